@@ -1 +1,226 @@
-"""Registered queries."""
+"""Registered queries: atom records, filters, alternative locations, backbone, sequences, frames."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..constants import EXCLUDED_RESIDUES, RESIDUE_LETTERS, SPECIAL_RESIDUES
+from ..operators import atoms as A
+from ..sources import structures as ST
+from . import views as VW
+from .registry import register
+
+KEYS = ["sid", "chain"]
+R4 = 4
+
+_specials_sql = ", ".join(f"'{k}'" for k in SPECIAL_RESIDUES)
+_excluded_sql = ", ".join(f"'{k}'" for k in EXCLUDED_RESIDUES)
+_special_case = "CASE resn " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPECIAL_RESIDUES.items()) + " ELSE resn END"
+_letters_case = "CASE resn " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in RESIDUE_LETTERS.items())
+
+# The segment reader as SQL: record choice, residue filters, special residues, backbone atoms,
+# alternative locations, complete backbone.
+SQL_CLEAN = VW.with_ctes(VW.SQL_ATOMS_V, f"""sel AS (
+  SELECT * FROM atoms_v
+  WHERE (type = 'ATOM' OR (type = 'HETATM' AND resn IN ({_specials_sql})))
+    AND resn NOT IN ({_excluded_sql}) AND NOT regexp_matches(name_col13, '^[0-9]$')),
+mapped AS (SELECT * REPLACE ({_special_case} AS resn) FROM sel WHERE atom IN ('C', 'N', 'CA', 'O')),
+alt AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY sid, chain, resi, atom
+                                 ORDER BY occ DESC, type DESC, serial DESC, aux DESC) AS rn FROM mapped)
+  WHERE rn = 1),
+bb AS (SELECT sid, chain, resi, count(DISTINCT atom) AS n_backbone FROM alt GROUP BY sid, chain, resi),
+clean AS (SELECT a.* FROM alt a JOIN bb USING (sid, chain, resi) WHERE bb.n_backbone = 4)""")
+
+
+def selected(spark, sf):
+    a = VW.atoms_v(spark, sf)
+    a = ST.select_structure_records(a)
+    a = A.filter_residues(a)
+    return A.map_special_residues(a)
+
+
+def altloc(spark, sf):
+    return A.resolve_altloc(A.keep_backbone_atoms(selected(spark, sf)), KEYS, order_extra=("aux",))
+
+
+def clean_atoms(spark, sf):
+    return A.complete_backbone(altloc(spark, sf), KEYS)
+
+
+@register("src_atoms", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
+SELECT sid, CAST(serial % 100000 AS INTEGER) AS serial, type, atom, resn, chain, resi, x, y, z, occ, b
+FROM atoms_v WHERE type = 'ATOM' OR (type = 'HETATM' AND resn IN ({_specials_sql}))""")
+def q_src_atoms(spark, sf):
+    a = VW.atoms_v(spark, sf)
+    lines = a.select("sid", ST.render_records(a).alias("line"))
+    parsed = ST.select_structure_records(ST.parse_records(lines))
+    return parsed.select("sid", "serial", "type", "atom", "resn", "chain", "resi", "x", "y", "z", "occ", "b")
+
+
+@register("filter_residues", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
+SELECT sid, serial, atom, resn FROM atoms_v
+WHERE resn NOT IN ({_excluded_sql}) AND NOT regexp_matches(name_col13, '^[0-9]$') AND NOT starts_with(atom, 'H')""")
+def q_filter_residues(spark, sf):
+    return A.filter_residues(VW.atoms_v(spark, sf), ignore_h=True).select("sid", "serial", "atom", "resn")
+
+
+@register("map_special_residue", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
+SELECT sid, serial, {_special_case} AS resn FROM atoms_v""")
+def q_map_special_residue(spark, sf):
+    return A.map_special_residues(VW.atoms_v(spark, sf)).select("sid", "serial", "resn")
+
+
+@register("filter_chain", VW.with_ctes(VW.SQL_ATOMS_V) + """
+SELECT sid, serial, chain FROM atoms_v WHERE trim(chain) = 'O'""")
+def q_filter_chain(spark, sf):
+    return A.filter_chain(VW.atoms_v(spark, sf), "O").select("sid", "serial", "chain")
+
+
+@register("filter_atoms", VW.with_ctes(VW.SQL_ATOMS_V) + """
+SELECT sid, serial, atom, resn, resi FROM atoms_v
+WHERE atom IN ('CA', 'N') AND resn IN ('ALA', 'GLY', 'MSE') AND resi IN (SELECT DISTINCT CAST(p_size AS INTEGER) FROM part)""")
+def q_filter_atoms(spark, sf):
+    a = A.filter_in(VW.atoms_v(spark, sf), "atom", ["CA", "N"])
+    a = A.filter_in(a, "resn", ["ALA", "GLY", "MSE"])
+    sizes = VW.table(spark, sf, "part").select(F.col("p_size").cast("int").alias("resi"))
+    a = A.filter_in(a, "resi", sizes)  # long lists arrive as a table: left-semi join
+    return a.select("sid", "serial", "atom", "resn", "resi")
+
+
+@register("win_altloc", SQL_CLEAN + """
+SELECT sid, chain, resi, atom, serial, occ FROM alt""")
+def q_win_altloc(spark, sf):
+    return altloc(spark, sf).select("sid", "chain", "resi", "atom", "serial", "occ")
+
+
+@register("agg_backbone_complete", SQL_CLEAN + """
+SELECT sid, chain, resi, CAST(n_backbone AS BIGINT) AS n_backbone, n_backbone = 4 AS complete FROM bb""")
+def q_agg_backbone_complete(spark, sf):
+    return A.backbone_flags(altloc(spark, sf), KEYS).select(
+        "sid", "chain", "resi", F.col("n_backbone").cast("long").alias("n_backbone"), "complete")
+
+
+@register("sort_residues", SQL_CLEAN + """
+SELECT sid, chain, CAST(row_number() OVER (PARTITION BY sid, chain ORDER BY resi, type, serial) AS BIGINT) AS ordinal,
+       resi, atom FROM clean""")
+def q_sort_residues(spark, sf):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*KEYS).orderBy("resi", "type", "serial")
+    return clean_atoms(spark, sf).select("sid", "chain", F.row_number().over(w).cast("long").alias("ordinal"), "resi", "atom")
+
+
+@register("agg_sequence", SQL_CLEAN + f"""
+SELECT sid, chain, string_agg({_letters_case} ELSE 'X' END, '' ORDER BY resi) AS seq, CAST(count(*) AS BIGINT) AS n_res
+FROM clean WHERE atom = 'CA' GROUP BY sid, chain""")
+def q_agg_sequence(spark, sf):
+    ca = clean_atoms(spark, sf).where(F.col("atom") == "CA").withColumn("aa", A.residue_letter("resn"))
+    return A.ordered_sequence(ca, KEYS).select("sid", "chain", "seq", F.col("n_res").cast("long").alias("n_res"))
+
+
+@register("agg_coords", SQL_CLEAN + """
+SELECT sid, chain, CAST(count(*) AS BIGINT) AS n_res,
+       string_agg(printf('%.3f,%.3f,%.3f', x, y, z), ';' ORDER BY resi) AS coords
+FROM clean WHERE atom = 'CA' GROUP BY sid, chain""")
+def q_agg_coords(spark, sf):
+    ca = clean_atoms(spark, sf).where(F.col("atom") == "CA")
+    c = A.ordered_coords(ca, KEYS)
+    txt = F.array_join(F.transform("coords", lambda p: F.format_string("%.3f,%.3f,%.3f", p["x"], p["y"], p["z"])), ";")
+    return c.select("sid", "chain", F.size("coords").cast("long").alias("n_res"), txt.alias("coords"))
+
+
+@register("src_ca_trace", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
+SELECT sid, chain, string_agg(CASE WHEN resn = 'UNK' THEN 'X' ELSE coalesce(({_letters_case} END), 'X') END, ''
+                              ORDER BY serial, aux) AS seq,
+       CAST(count(*) AS BIGINT) AS n_res
+FROM atoms_v WHERE type = 'ATOM' AND atom = 'CA' GROUP BY sid, chain""")
+def q_src_ca_trace(spark, sf):
+    a = VW.atoms_v(spark, sf)
+    lines = a.select("sid", "chain", "serial", "aux", ST.render_records(a).alias("line"))
+    ca = ST.ca_trace(lines, chain=None)
+    return A.ordered_sequence(ca.withColumn("o", F.struct("serial", "aux")), KEYS, order_col="o").select(
+        "sid", "chain", "seq", F.col("n_res").cast("long").alias("n_res"))
+
+
+@register("fn_residue_letter", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
+SELECT resn, CASE WHEN resn = 'PAD' THEN 'X' ELSE coalesce(({_letters_case} END), 'X') END AS letter,
+       CAST(count(*) AS BIGINT) AS n
+FROM atoms_v GROUP BY resn""")
+def q_fn_residue_letter(spark, sf):
+    a = VW.atoms_v(spark, sf)
+    return a.groupBy("resn").agg(F.count(F.lit(1)).alias("n")).select("resn", A.residue_letter("resn").alias("letter"), "n")
+
+
+_CODES = "ARNDCQEGHILKMFPSTWYV"
+
+
+def _count_of(ch, spark_side=True):
+    if spark_side:
+        return F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit(ch), F.lit("")))
+    return f"(strlen(text) - strlen(replace(text, '{ch}', '')))"
+
+
+@register("fn_encode_sequence", "SELECT doc_id, " + " || ',' || ".join(
+    f"CAST({_count_of(c, False)} AS VARCHAR)" for c in _CODES) + " AS composition, CAST(" + " + ".join(
+    f"{i} * {_count_of(c, False)}" for i, c in enumerate(_CODES)) + " + 20 * (" + " + ".join(
+    _count_of(c, False) for c in "BJOUXZ") + ") + 21 * (" + " + ".join(_count_of(c, False) for c in "-.") +
+    ") AS BIGINT) AS code_sum FROM documents")
+def q_fn_encode_sequence(spark, sf):
+    """Integer codes and the width-20 one-hot sum (composition) per document, from letter counts."""
+    d = VW.table(spark, sf, "documents")
+    counts = {c: _count_of(c) for c in _CODES + "BJOUXZ-."}
+    comp = F.concat_ws(",", *[counts[c].cast("string") for c in _CODES])
+    code_sum = sum(A.residue_code(F.lit(c)) * counts[c] for c in _CODES + "BJOUXZ-.")
+    return d.select("doc_id", comp.alias("composition"), code_sum.cast("long").alias("code_sum"))
+
+
+@register("truncate_residues", """
+WITH s AS (SELECT doc_id, regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') AS seq FROM documents)
+SELECT doc_id, CAST(length(seq) AS BIGINT) AS n_total, CAST(least(length(seq), 2000) AS BIGINT) AS n_kept,
+       md5(substr(seq, 1, 2000)) AS kept_md5 FROM s""")
+def q_truncate_residues(spark, sf):
+    from ..constants import MAX_TARGET_RESIDUES
+
+    d = VW.table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "[^ACDEFGHIKLMNPQRSTVWY]", "").alias("seq"))
+    return d.select("doc_id", F.length("seq").cast("long").alias("n_total"),
+                    F.least(F.length("seq"), F.lit(MAX_TARGET_RESIDUES)).cast("long").alias("n_kept"),
+                    F.md5(F.substring("seq", 1, MAX_TARGET_RESIDUES)).alias("kept_md5"))
+
+
+@register("join_residue_gaps", SQL_CLEAN + """,
+res AS (SELECT sid, chain, resi, resn FROM clean WHERE atom = 'CA'),
+rng AS (SELECT sid, chain, min(resi) AS lo, max(resi) AS hi FROM res GROUP BY sid, chain),
+full_r AS (SELECT sid, chain, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS resi FROM rng)
+SELECT f.sid, f.chain, f.resi, coalesce(r.resn, 'PAD') AS resn, r.resn IS NULL AS missing
+FROM full_r f LEFT JOIN res r USING (sid, chain, resi)""")
+def q_join_residue_gaps(spark, sf):
+    res = clean_atoms(spark, sf).where(F.col("atom") == "CA").select(*KEYS, "resi", "resn")
+    return A.residue_gaps(res, KEYS)
+
+
+@register("fn_residue_frame", SQL_CLEAN + """,
+p AS (
+  SELECT sid, chain, resi,
+         max(x) FILTER (WHERE atom = 'N') AS nx, max(y) FILTER (WHERE atom = 'N') AS ny, max(z) FILTER (WHERE atom = 'N') AS nz,
+         max(x) FILTER (WHERE atom = 'CA') AS ax, max(y) FILTER (WHERE atom = 'CA') AS ay, max(z) FILTER (WHERE atom = 'CA') AS az,
+         max(x) FILTER (WHERE atom = 'C') AS cx, max(y) FILTER (WHERE atom = 'C') AS cy, max(z) FILTER (WHERE atom = 'C') AS cz
+  FROM clean GROUP BY sid, chain, resi),
+v AS (SELECT *, ax - nx AS v1x, ay - ny AS v1y, az - nz AS v1z, cx - ax AS v2x, cy - ay AS v2y, cz - az AS v2z FROM p),
+e1 AS (SELECT *, sqrt(v1x * v1x + v1y * v1y + v1z * v1z + 1e-8) AS n1 FROM v),
+e1b AS (SELECT *, v1x / n1 AS e1x, v1y / n1 AS e1y, v1z / n1 AS e1z FROM e1),
+u AS (SELECT *, v2x - e1x * (e1x * v2x + e1y * v2y + e1z * v2z) AS u2x,
+                v2y - e1y * (e1x * v2x + e1y * v2y + e1z * v2z) AS u2y,
+                v2z - e1z * (e1x * v2x + e1y * v2y + e1z * v2z) AS u2z FROM e1b),
+e2 AS (SELECT *, sqrt(u2x * u2x + u2y * u2y + u2z * u2z + 1e-8) AS n2 FROM u),
+f AS (SELECT *, u2x / n2 AS e2x, u2y / n2 AS e2y, u2z / n2 AS e2z FROM e2)
+SELECT sid, chain, resi,
+       round(e1x, 4) AS e1_x, round(e1y, 4) AS e1_y, round(e1z, 4) AS e1_z,
+       round(e2x, 4) AS e2_x, round(e2y, 4) AS e2_y, round(e2z, 4) AS e2_z,
+       round(e1y * e2z - e1z * e2y, 4) AS e3_x, round(e1z * e2x - e1x * e2z, 4) AS e3_y, round(e1x * e2y - e1y * e2x, 4) AS e3_z,
+       ax AS t_x, ay AS t_y, az AS t_z
+FROM f""")
+def q_fn_residue_frame(spark, sf):
+    fr = A.residue_frames(clean_atoms(spark, sf), KEYS)
+    cols = [F.round(f"e{i}_{c}", R4).alias(f"e{i}_{c}") for i in (1, 2, 3) for c in "xyz"]
+    return fr.select("sid", "chain", "resi", *cols, "t_x", "t_y", "t_z")

@@ -26,6 +26,7 @@ from ..constants import RESIDUE_LETTERS
 # residue (read as MET) and one excluded residue.
 VIEW_RESIDUE_NAMES = list(RESIDUE_LETTERS) + ["MSE", "UNK"]
 VIEW_ATOM_NAMES = ["N", "CA", "C", "O"]
+VIEW_HYDROGEN = "1HB"  # a hydrogen whose name starts in column 13 with a digit
 # Label view thresholds: runs there are 1-8 residues long.
 VIEW_MIN_DOMAIN = 6
 VIEW_MIN_FRAGMENT = 3
@@ -43,7 +44,9 @@ def _sql_list(values) -> str:
 def atoms_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     resn = F.element_at(F.array(*[F.lit(n) for n in VIEW_RESIDUE_NAMES]), (F.col("l_partkey") % 22 + 1).cast("int"))
-    atom = F.element_at(F.array(*[F.lit(n) for n in VIEW_ATOM_NAMES]), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    atom = F.when(F.col("l_partkey") % 97 == 0, F.lit(VIEW_HYDROGEN)).otherwise(
+        F.element_at(F.array(*[F.lit(n) for n in VIEW_ATOM_NAMES]), (F.col("l_linenumber") % 4 + 1).cast("int")))
+    hetatm = resn.isin("MSE", "UNK") | (F.col("l_linenumber") == 7)
     return li.select(
         F.col("l_suppkey").alias("sid"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("serial"),
@@ -52,12 +55,13 @@ def atoms_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         atom.alias("atom"),
         resn.alias("resn"),
         F.col("l_linestatus").alias("chain"),
-        F.when(resn == "MSE", F.lit("HETATM")).otherwise(F.lit("ATOM")).alias("type"),
+        F.when(hetatm, F.lit("HETATM")).otherwise(F.lit("ATOM")).alias("type"),
         F.col("l_quantity").alias("x"),
         (F.floor("l_extendedprice") / 1000).alias("y"),
         F.round(F.col("l_discount") * 100).alias("z"),
         F.col("l_tax").alias("occ"),
         ((F.floor(F.col("l_extendedprice") * 100) % 10000) / 100).alias("b"),
+        F.when(atom.rlike("^[0-9]"), F.substring(atom, 1, 1)).otherwise(F.lit(" ")).alias("name_col13"),
     )
 
 
@@ -66,16 +70,18 @@ SQL_ATOMS_V = f"""atoms_v AS (
          l_orderkey * 8 + l_linenumber AS serial,
          l_partkey AS aux,
          CAST(l_partkey % 50 + 1 AS INTEGER) AS resi,
-         {_sql_list(VIEW_ATOM_NAMES)}[CAST(l_linenumber % 4 + 1 AS INTEGER)] AS atom,
+         CASE WHEN l_partkey % 97 = 0 THEN '{VIEW_HYDROGEN}'
+              ELSE {_sql_list(VIEW_ATOM_NAMES)}[CAST(l_linenumber % 4 + 1 AS INTEGER)] END AS atom,
          {_sql_list(VIEW_RESIDUE_NAMES)}[CAST(l_partkey % 22 + 1 AS INTEGER)] AS resn,
          l_linestatus AS chain,
-         CASE WHEN {_sql_list(VIEW_RESIDUE_NAMES)}[CAST(l_partkey % 22 + 1 AS INTEGER)] = 'MSE'
-              THEN 'HETATM' ELSE 'ATOM' END AS type,
+         CASE WHEN {_sql_list(VIEW_RESIDUE_NAMES)}[CAST(l_partkey % 22 + 1 AS INTEGER)] IN ('MSE', 'UNK')
+                   OR l_linenumber = 7 THEN 'HETATM' ELSE 'ATOM' END AS type,
          l_quantity AS x,
          floor(l_extendedprice) / 1000 AS y,
          round(l_discount * 100) AS z,
          l_tax AS occ,
-         (floor(l_extendedprice * 100) % 10000) / 100 AS b
+         (floor(l_extendedprice * 100) % 10000) / 100 AS b,
+         CASE WHEN l_partkey % 97 = 0 THEN '1' ELSE ' ' END AS name_col13
   FROM lineitem)"""
 
 
