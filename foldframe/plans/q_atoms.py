@@ -215,12 +215,12 @@ u AS (SELECT *, v2x - e1x * (e1x * v2x + e1y * v2y + e1z * v2z) AS u2x,
 e2 AS (SELECT *, sqrt(u2x * u2x + u2y * u2y + u2z * u2z + 1e-8) AS n2 FROM u),
 f AS (SELECT *, u2x / n2 AS e2x, u2y / n2 AS e2y, u2z / n2 AS e2z FROM e2)
 SELECT sid, chain, resi,
-       round(e1x, 4) AS e1_x, round(e1y, 4) AS e1_y, round(e1z, 4) AS e1_z,
-       round(e2x, 4) AS e2_x, round(e2y, 4) AS e2_y, round(e2z, 4) AS e2_z,
-       round(e1y * e2z - e1z * e2y, 4) AS e3_x, round(e1z * e2x - e1x * e2z, 4) AS e3_y, round(e1x * e2y - e1y * e2x, 4) AS e3_z,
+       e1x AS e1_x, e1y AS e1_y, e1z AS e1_z,
+       e2x AS e2_x, e2y AS e2_y, e2z AS e2_z,
+       e1y * e2z - e1z * e2y AS e3_x, e1z * e2x - e1x * e2z AS e3_y, e1x * e2y - e1y * e2x AS e3_z,
        ax AS t_x, ay AS t_y, az AS t_z
 FROM f""")
 def q_fn_residue_frame(spark, sf):
     fr = A.residue_frames(clean_atoms(spark, sf), KEYS)
-    cols = [F.round(f"e{i}_{c}", R4).alias(f"e{i}_{c}") for i in (1, 2, 3) for c in "xyz"]
+    cols = [f"e{i}_{c}" for i in (1, 2, 3) for c in "xyz"]
     return fr.select("sid", "chain", "resi", *cols, "t_x", "t_y", "t_z")

@@ -25,8 +25,9 @@ def _targets(spark, sf):
     return VW.targets_v(spark, sf)
 
 
-def _r(c, d=4):
-    return F.round(c, d)
+def _r(c):
+    """Output doubles are not rounded: rounding at a decimal tie can differ between engines."""
+    return F.col(c) if isinstance(c, str) else c
 
 
 SQL_SCORES = VW.with_ctes(VW.SQL_TARGETS_V, VW.SQL_QUERIES_V, """scores AS (
@@ -40,7 +41,7 @@ SQL_TOPK_RAW = SQL_SCORES + f""", ranked AS (
   SELECT qid, dbindex, raw AS score,
          row_number() OVER (PARTITION BY qid ORDER BY round(raw, 4) DESC, dbindex) - 1 AS emb_rank
   FROM scores)
-SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, round(score, 4) AS emb_score FROM ranked WHERE emb_rank < {K}"""
+SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, score AS emb_score FROM ranked WHERE emb_rank < {K}"""
 
 SQL_MASKED_HITS = SQL_SCORES + f""", masked AS (
   SELECT qid, dbindex, q_len, t_len, CASE WHEN q_len >= t_len * {MINCOV} THEN raw ELSE 0.0 END AS score FROM scores),
@@ -58,12 +59,12 @@ def masked_hits(spark, sf, **opts):
 
 @register("fn_cosine", VW.with_ctes(VW.SQL_TARGETS_V) + """
 SELECT a.dbindex,
-       round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+       list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
              / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
-                * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))), 4) AS cosine,
-       round(list_dot_product(
+                * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))) AS cosine,
+       list_dot_product(
              list_transform(CAST(a.embedding AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))),
-             list_transform(CAST(b.embedding AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))))), 4) AS normalized_dot
+             list_transform(CAST(b.embedding AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))))) AS normalized_dot
 FROM targets_v a JOIN targets_v b ON b.dbindex = a.dbindex + 1""")
 def q_fn_cosine(spark, sf):
     t = _targets(spark, sf).select("dbindex", "embedding")
@@ -77,7 +78,7 @@ def q_fn_cosine(spark, sf):
 
 
 @register("join_vector_search", SQL_SCORES + f"""
-SELECT qid, dbindex, round(raw, 4) AS score FROM scores WHERE round(raw, 4) >= {MINCOS}""")
+SELECT qid, dbindex, raw AS score FROM scores WHERE round(raw, 4) >= {MINCOS}""")
 def q_join_vector_search(spark, sf):
     pairs = S.threshold_join(_queries(spark, sf), _targets(spark, sf), MINCOS, exclude_self=True)
     return pairs.select("qid", "dbindex", _r("score").alias("score"))
@@ -100,14 +101,14 @@ def q_limit_blocked_topk(spark, sf):
 @register("mask_length_coverage", SQL_SCORES + f""", masked AS (
   SELECT qid, dbindex, CASE WHEN q_len >= t_len * {MINCOV} THEN raw ELSE 0.0 END AS score FROM scores),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 4) DESC, dbindex) - 1 AS emb_rank FROM masked)
-SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, round(score, 4) AS emb_score FROM ranked WHERE emb_rank < {K}""")
+SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, score AS emb_score FROM ranked WHERE emb_rank < {K}""")
 def q_mask_length_coverage(spark, sf):
     hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, mincov=MINCOV, exclude_self=True)
     return hits.select("qid", "dbindex", "emb_rank", _r("score").alias("emb_score"))
 
 
 @register("filter_min_cosine", SQL_MASKED_HITS + """
-SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, round(score, 4) AS emb_score FROM hits""")
+SELECT qid, dbindex, CAST(emb_rank AS BIGINT) AS emb_rank, score AS emb_score FROM hits""")
 def q_filter_min_cosine(spark, sf):
     return masked_hits(spark, sf).select("qid", "dbindex", "emb_rank", _r("score").alias("emb_score"))
 
@@ -158,14 +159,14 @@ def q_agg_class_counts(spark, sf):
 
 
 @register("agg_mean_plddt", SQL_MASKED_HITS + """
-SELECT q.query_chain, round(coalesce(avg(h.plddt), 0.0), 4) AS mean_plddt, CAST(count(h.qid) AS BIGINT) AS n_hits
+SELECT q.query_chain, coalesce(avg(h.plddt), 0.0) AS mean_plddt, CAST(count(h.qid) AS BIGINT) AS n_hits
 FROM (SELECT DISTINCT query_chain FROM queries_v) q
-LEFT JOIN (SELECT hits.qid, qv.query_chain, (qv.q_len % 1000) / 10.0 AS plddt
+LEFT JOIN (SELECT hits.qid, qv.query_chain, (qv.q_len % 1000) / 8.0 AS plddt
            FROM hits JOIN queries_v qv ON hits.qid = qv.qid) h ON q.query_chain = h.query_chain
 GROUP BY 1""")
 def q_agg_mean_plddt(spark, sf):
     qv = _queries(spark, sf)
-    hits = masked_hits(spark, sf).join(qv.select("qid", "query_chain", ((F.col("q_len") % 1000) / 10.0).alias("plddt")), "qid")
+    hits = masked_hits(spark, sf).join(qv.select("qid", "query_chain", ((F.col("q_len") % 1000) / 8.0).alias("plddt")), "qid")
     structures = qv.select("query_chain").distinct()
     return SU.mean_plddt(structures, hits, "query_chain").select(
         "query_chain", _r("mean_plddt").alias("mean_plddt"), "n_hits")

@@ -12,7 +12,9 @@ the DuckDB oracle runs). Both are written from the same rules:
 ``pages_v``    pages     -> structure files named by URL
 
 Every double a view emits has few decimals so that fixed-width text renders
-and parses back to the same value in both engines.
+and parses back to the same value in both engines; values that get averaged
+(confidence, pLDDT) are multiples of a power of two, so their sums are exact
+in any order and both engines produce the same mean.
 """
 from __future__ import annotations
 
@@ -100,8 +102,8 @@ def labels_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("pos").cast("int").alias("pos"),
         (F.col("pos") + 1 + 3 * F.floor(F.col("pos") / 20)).cast("int").alias("resi"),
         dom.cast("int").alias("domain_id"),
-        F.round(F.least(F.greatest(F.col("value"), F.lit(0.0)), F.lit(100.0)) / 100, 4).alias("conf"),
-        F.col("value").alias("b"),
+        (F.floor(F.least(F.greatest(F.col("value"), F.lit(0.0)), F.lit(100.0)) * 10.24) / 1024).alias("conf"),
+        (F.floor(F.col("value") * 4) / 4).alias("b"),
         resn.alias("resn"),
         F.col("event_type"),
     )
@@ -117,8 +119,8 @@ labels_v AS (
          CAST(pos + 1 + 3 * (pos // 20) AS INTEGER) AS resi,
          CAST(CASE WHEN event_type = 'error' AND pos % 3 = 0 THEN 0
                    ELSE ((pos // (user_id % 7 + 2)) * 7 + user_id) % 5 END AS INTEGER) AS domain_id,
-         round(least(greatest(value, 0.0), 100.0) / 100, 4) AS conf,
-         value AS b,
+         floor(least(greatest(value, 0.0), 100.0) * 10.24) / 1024 AS conf,
+         floor(value * 4) / 4 AS b,
          {_sql_list(RESIDUE_LETTERS)}[CAST(event_id % 20 + 1 AS INTEGER)] AS resn,
          event_type
   FROM labels_b)"""
