@@ -169,7 +169,13 @@ def queries_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         qchain.alias("query_chain"),
         F.col("embedding").alias("q_embedding"),
         F.col("length").alias("q_len"),
-    )
+        # per-domain fields a segmentation would have produced
+        F.concat((F.col("dbindex") * 10 + 1).cast("string"), F.lit("-"),
+                 (F.col("dbindex") * 10 + F.col("length") % 50 + 20).cast("string")).alias("dom_str"),
+        ((F.col("length") % 97) / 128.0).alias("dom_conf"),
+        ((F.col("length") % 1000) / 8.0).alias("dom_plddt"),
+        (F.floor(F.col("dbindex") / 2) % 3).cast("string").alias("_org"),
+    ).withColumn("organism", F.concat(F.lit("org"), F.col("_org"))).drop("_org")
 
 
 SQL_QUERIES_V = """queries_v AS (
@@ -178,7 +184,11 @@ SQL_QUERIES_V = """queries_v AS (
              || lpad(CAST(dbindex % 2 + 1 AS VARCHAR), 2, '0') AS query,
          'q' || lpad(CAST(dbindex // 2 AS VARCHAR), 5, '0') AS query_chain,
          embedding AS q_embedding,
-         length AS q_len
+         length AS q_len,
+         CAST(dbindex * 10 + 1 AS VARCHAR) || '-' || CAST(dbindex * 10 + length % 50 + 20 AS VARCHAR) AS dom_str,
+         (length % 97) / 128.0 AS dom_conf,
+         (length % 1000) / 8.0 AS dom_plddt,
+         'org' || CAST((dbindex // 2) % 3 AS VARCHAR) AS organism
   FROM targets_v)"""
 
 

@@ -21,7 +21,7 @@ def read_structures(spark: SparkSession, path_glob: str, organism: str | None =
     ``file_name`` gets ``.pdb`` appended when missing; ``structure_id`` is the
     name without it. ``organism`` defaults to the parent folder name.
     """
-    df = spark.read.option("wholetext", "true").text(path_glob).select(
+    df = spark.read.text(path_glob, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     return name_structures(df, organism)
 
