@@ -238,3 +238,38 @@ def argmax_label(scores: DataFrame, keys, cls: str = "class", score: str = "scor
     if background:
         best = best.withColumn("label", F.when(F.col("_bg") == 1, F.lit(0)).otherwise(F.col("label"))).drop("_bg")
     return best
+
+
+def halving_segmenter(df: DataFrame, keys, label: str = "domain_id", pos: str = "pos") -> DataFrame:
+    """Stand-in segmenter for tests: splits a domain into its first and second half by position.
+    Returns ``sub`` (0/1) per residue; a one-residue domain does not split."""
+    w = Window.partitionBy(*keys, label).orderBy(pos)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
+    return df.withColumn("sub", F.when(F.row_number().over(w) > F.floor(n / 2), 1).otherwise(0))
+
+
+def iterate_resegment(df: DataFrame, keys, segmenter, average_size: int, max_rounds: int = 3,
+                      label: str = "domain_id", pos: str = "pos", checkpoint: bool = True) -> DataFrame:
+    """Domains larger than ``average_size`` are sent to ``segmenter`` again, round after round,
+    until none is left or ``max_rounds`` are done; only chains longer than ``2 * average_size``.
+
+    ``segmenter(df_of_selected_residues, keys)`` returns the rows with a ``sub`` column (its own
+    split of each selected domain). New ids are ``dense_rank`` over (old id, sub) per chain, so
+    they cannot collide; a domain whose split gives one part is never sent again."""
+    d = df.withColumn("_done", F.lit(False))
+    for _ in range(max_rounds):
+        size = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
+        chain_len = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        d = d.withColumn("_sel", (F.col(label) != 0) & (size > average_size) & (chain_len > 2 * average_size) & ~F.col("_done"))
+        if checkpoint and d.sparkSession.sparkContext.getCheckpointDir():
+            d = d.checkpoint()
+        if d.where("_sel").limit(1).count() == 0:
+            break
+        seg = segmenter(d.where("_sel"), keys).select(*keys, pos, "sub")
+        d = d.join(seg, [*keys, pos], "left").withColumn("sub", F.coalesce("sub", F.lit(0)))
+        parts = F.size(F.collect_set("sub").over(Window.partitionBy(*keys, label)))
+        d = d.withColumn("_done", F.col("_done") | (F.col("_sel") & (parts == 1)))
+        new = F.dense_rank().over(Window.partitionBy(*keys).orderBy(label, "sub"))
+        d = d.withColumn(label, F.when(F.col(label) == 0, F.lit(0)).otherwise(new).cast("int")).drop("sub", "_sel")
+        # ids were renumbered: a domain marked done keeps its flag through the renumbering
+    return d.drop("_done", "_sel") if "_sel" in d.columns else d.drop("_done")

@@ -112,7 +112,11 @@ def cosine_scorer(q_col: str = "q_embedding", t_col: str = "t_embedding", decima
             cos = np.einsum("ij,ij->i", q, t) / (np.linalg.norm(q, axis=1) * np.linalg.norm(t, axis=1))
             cos = np.round(np.nan_to_num(cos, nan=0.0), decimals)
             out = pdf[list(keep)].copy()
-            out["len_ali"] = np.minimum(pdf.get("q_len", 0), pdf.get("t_len", 0)).astype("int32") if "q_len" in pdf else 0
+            if "q_len" in pdf and "t_len" in pdf:
+                shorter = np.minimum(pdf["q_len"].to_numpy(np.float64), pdf["t_len"].to_numpy(np.float64))
+                out["len_ali"] = np.floor(shorter * cos * 2).astype("int32")
+            else:
+                out["len_ali"] = 0
             out["rmsd"] = 0.0
             out["seq_id"] = 1.0
             out["qtm"] = cos

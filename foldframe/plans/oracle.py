@@ -23,13 +23,17 @@ def duck(sf_dir: str):
 
 
 def _norm(v, digits=6):
-    if v is None:
+    import pandas as pd
+
+    if v is None or v is pd.NA or v is pd.NaT:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
         r = round(v, digits)
-        return (1, repr(0.0 if r == 0 else r))
+        if r == int(r) and abs(r) < 2 ** 53:
+            return (1, str(int(r)))
+        return (1, repr(r))
     if hasattr(v, "item"):
         return _norm(v.item(), digits)
     return (1, str(v))

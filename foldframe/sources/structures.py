@@ -117,3 +117,20 @@ def ca_trace(lines: DataFrame, chain: str | None, line_col: str = "line") -> Dat
 
 def excluded_residue_names():
     return list(EXCLUDED_RESIDUES)
+
+
+def join_input_chains(inputs: DataFrame, lists: DataFrame, group_col: str, order_col: str, list_col: str,
+                      sep: str = ",") -> DataFrame:
+    """Pair the inputs of a group (in ``order_col`` order) with a comma list of chain ids by
+    position. A single id is used for every input; any other length difference sets
+    ``status = 'length_mismatch'`` (the original stops with an error)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(group_col)
+    i = inputs.withColumn("_pos", F.row_number().over(w.orderBy(order_col))).withColumn("_n", F.count(F.lit(1)).over(w))
+    ids = lists.select(group_col, F.split(F.col(list_col), sep).alias("_ids"))
+    j = i.join(ids, group_col)
+    one = F.size("_ids") == 1
+    chain = F.when(one, F.element_at("_ids", 1)).otherwise(F.element_at("_ids", F.col("_pos").cast("int")))
+    status = F.when(one | (F.size("_ids") == F.col("_n")), F.lit("ok")).otherwise(F.lit("length_mismatch"))
+    return j.select(*[c for c in inputs.columns], chain.alias("chain"), status.alias("status"))
