@@ -1,18 +1,23 @@
 """Exact cosine search of query domains against a target database.
 
-The scoring is a blocked matrix product. Queries are hashed into ``nq``
-blocks and targets into ``nt`` blocks (block counts come from the row counts,
-so every block has a bounded number of rows whatever the key distribution).
-Each query row is sent to every target block and each target row to every
-query block; ``cogroup(qb, tb).applyInPandas`` multiplies one query block by
-one target block with numpy and emits only that block's top-k per query (or,
-in threshold mode, only the pairs above a score). No pair table is ever
-materialised; the final top-k over blocks is a window whose partial
-``WindowGroupLimit`` runs before the shuffle.
-
-Ranking key everywhere: score rounded to 4 decimals, descending, then
-``dbindex`` ascending, so results do not depend on block sizes or partition
-counts.
+Two physical strategies, one result:
+
+* **Broadcast queries, scan targets in place** (default). When the query set has at most
+  ``broadcast_rows`` rows (checked with a count before anything is collected), the query
+  vectors are shipped to every executor once as a broadcast variable and the target table is
+  scored where it lies: ``mapInPandas`` over the target scan multiplies chunks of targets by the
+  query block with numpy and keeps a running top-k per query, emitting only ``k`` rows per
+  query per partition. The target table is never shuffled; only the small candidate rows are,
+  for the final ``row_number`` top-k (whose partial ``WindowGroupLimit`` runs before the
+  shuffle). This is the "batch of queries against one pass of the database" of the original.
+* **Blocked product** (query sets above the bound, or when block sizes are given). Queries
+  are hashed into ``nq`` blocks and targets into ``nt`` blocks; every query row is sent to every
+  target block and vice versa, and ``cogroup(qb, tb).applyInPandas`` runs the same kernel per
+  block pair. Nothing passes through the driver.
+
+No pair table is materialised in either path. Ranking key everywhere: score rounded to 4
+decimals, descending, then ``dbindex`` ascending, so results do not depend on block sizes,
+chunk sizes or partition counts.
 """
 from __future__ import annotations
 
@@ -27,106 +32,155 @@ from ..constants import EMPTY_METADATA
 
 SCORE_SCHEMA = "qid long, dbindex long, score double, q_len int, t_len int"
 RANK_DECIMALS = 4
-_DROP = -(2 ** 62)  # key of pairs that may not be returned (self pairs)
-
-
-def _block_scores(qpdf: pd.DataFrame, tpdf: pd.DataFrame, k: int | None, min_score: float | None,
-                  mincov: float | None, exclude_self: bool, chunk: int) -> pd.DataFrame:
-    empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "dbindex": pd.Series([], dtype="int64"),
-                          "score": pd.Series([], dtype="float64"), "q_len": pd.Series([], dtype="int32"),
-                          "t_len": pd.Series([], dtype="int32")})
-    if len(qpdf) == 0 or len(tpdf) == 0:
-        return empty
-    tpdf = tpdf.sort_values("dbindex", kind="stable").reset_index(drop=True)
-    qv = np.stack(qpdf["vec"].to_numpy()).astype(np.float64)
-    qn = np.linalg.norm(qv, axis=1)
-    qid = qpdf["qid"].to_numpy(np.int64)
-    qlen = qpdf["q_len"].to_numpy(np.int64)
-    tv_all = np.stack(tpdf["vec"].to_numpy()).astype(np.float64)
-    tn_all = np.linalg.norm(tv_all, axis=1)
-    tid_all = tpdf["dbindex"].to_numpy(np.int64)
-    tlen_all = tpdf["t_len"].to_numpy(np.int64)
-    nt = len(tpdf)
-    out = []
-    best_key = best_col = None  # running top-k: composite key and column index
-    for start in range(0, nt, chunk):
-        stop = min(nt, start + chunk)
-        tv, tn, tid, tlen = tv_all[start:stop], tn_all[start:stop], tid_all[start:stop], tlen_all[start:stop]
+BROADCAST_ROWS = 16384          # largest query set shipped to executors (16384 x 128 floats = 8 MiB)
+WORK_ELEMENTS = 1 << 24         # query rows x target rows scored at once in one task
+_DROP = -(2 ** 62)              # key of pairs that may not be returned (self pairs)
+_ID_BITS = 48                   # dbindex < 2^48; key = rounded score << 48 - dbindex
+
+
+def _empty() -> pd.DataFrame:
+    return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "dbindex": pd.Series([], dtype="int64"),
+                         "score": pd.Series([], dtype="float64"), "q_len": pd.Series([], dtype="int32"),
+                         "t_len": pd.Series([], dtype="int32")})
+
+
+class _Scorer:
+    """Scores a fixed query block against a stream of target chunks.
+
+    Top-k mode keeps, per query, the ``k`` best (key, dbindex, score, t_len); threshold mode
+    collects the pairs whose rounded score reaches ``min_score``."""
+
+    def __init__(self, qid, qvec, qlen, k, min_score, mincov, exclude_self, work=WORK_ELEMENTS):
+        self.qid = np.asarray(qid, dtype=np.int64)
+        self.qv = np.asarray(qvec, dtype=np.float64)
+        self.qn = np.linalg.norm(self.qv, axis=1)
+        self.qlen = np.asarray(qlen, dtype=np.int64)
+        self.k, self.min_score, self.mincov, self.exclude_self = k, min_score, mincov, exclude_self
+        nq = len(self.qid)
+        self.chunk = max(16, work // max(1, nq))
+        if k is not None:
+            self.bkey = np.full((nq, 0), _DROP, dtype=np.int64)
+            self.bdb = np.zeros((nq, 0), dtype=np.int64)
+            self.bsc = np.zeros((nq, 0), dtype=np.float64)
+            self.btl = np.zeros((nq, 0), dtype=np.int64)
+        self.pairs = []
+
+    def feed(self, tid, tvec, tlen):
+        for a in range(0, len(tid), self.chunk):
+            self._chunk(tid[a:a + self.chunk], tvec[a:a + self.chunk], tlen[a:a + self.chunk])
+
+    def _chunk(self, tid, tv, tlen):
+        tn = np.linalg.norm(tv, axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            s = (qv @ tv.T) / np.outer(qn, tn)
+            s = (self.qv @ tv.T) / np.outer(self.qn, tn)
         s = np.nan_to_num(s, nan=0.0)
-        if mincov is not None:
-            keep = qlen[:, None] >= tlen[None, :] * mincov
-            s = np.where(keep, s, 0.0)
-        valid = np.ones_like(s, dtype=bool)
-        if exclude_self:
-            valid &= qid[:, None] != tid[None, :]
-        if k is None:
-            sel = valid & (np.round(s, RANK_DECIMALS) >= min_score)
-            qi, ti = np.nonzero(sel)
-            out.append(pd.DataFrame({"qid": qid[qi], "dbindex": tid[ti], "score": s[qi, ti],
-                                     "q_len": qlen[qi].astype(np.int32), "t_len": tlen[ti].astype(np.int32)}))
-            continue
-        # composite key: larger rounded score first, then smaller dbindex (column order)
-        iscore = np.rint(np.round(s, RANK_DECIMALS) * 10 ** RANK_DECIMALS).astype(np.int64)
-        cols = np.arange(start, stop, dtype=np.int64)
-        key = iscore * (nt + 1) + (nt - cols)[None, :]
-        key = np.where(valid, key, _DROP)
-        if best_key is not None:
-            key = np.concatenate([best_key, key], axis=1)
-            colsel = np.concatenate([best_col, np.broadcast_to(cols, (len(qid), len(cols)))], axis=1)
-        else:
-            colsel = np.broadcast_to(cols, (len(qid), len(cols)))
-        kk = min(k, key.shape[1])
-        part = np.argpartition(-key, kk - 1, axis=1)[:, :kk]
-        best_key = np.take_along_axis(key, part, axis=1)
-        best_col = np.take_along_axis(colsel, part, axis=1)
-    if k is not None:
-        rows, slots = np.nonzero(best_key > _DROP)
-        cidx = best_col[rows, slots]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sc = np.einsum("ij,ij->i", qv[rows], tv_all[cidx]) / (qn[rows] * tn_all[cidx])
-        sc = np.nan_to_num(sc, nan=0.0)
-        if mincov is not None:
-            sc = np.where(qlen[rows] >= tlen_all[cidx] * mincov, sc, 0.0)
-        out.append(pd.DataFrame({"qid": qid[rows], "dbindex": tid_all[cidx], "score": sc,
-                                 "q_len": qlen[rows].astype(np.int32), "t_len": tlen_all[cidx].astype(np.int32)}))
-    if not out:
-        return empty
-    return pd.concat(out, ignore_index=True)
+        if self.mincov is not None:
+            s = np.where(self.qlen[:, None] >= tlen[None, :] * self.mincov, s, 0.0)
+        r = np.round(s, RANK_DECIMALS)
+        valid = (self.qid[:, None] != tid[None, :]) if self.exclude_self else np.ones(s.shape, dtype=bool)
+        if self.k is None:
+            qi, ti = np.nonzero(valid & (r >= self.min_score))
+            self.pairs.append(pd.DataFrame({"qid": self.qid[qi], "dbindex": tid[ti], "score": s[qi, ti],
+                                            "q_len": self.qlen[qi].astype(np.int32), "t_len": tlen[ti].astype(np.int32)}))
+            return
+        iscore = np.rint(r * 10 ** RANK_DECIMALS).astype(np.int64)
+        key = np.where(valid, (iscore << _ID_BITS) - tid[None, :], _DROP)
+        nq = len(self.qid)
+        key = np.concatenate([self.bkey, key], axis=1)
+        db = np.concatenate([self.bdb, np.broadcast_to(tid, (nq, len(tid)))], axis=1)
+        sc = np.concatenate([self.bsc, s], axis=1)
+        tl = np.concatenate([self.btl, np.broadcast_to(tlen, (nq, len(tid)))], axis=1)
+        kk = min(self.k, key.shape[1])
+        part = np.argpartition(-key, kk - 1, axis=1)[:, :kk] if kk < key.shape[1] else np.arange(key.shape[1])[None, :].repeat(nq, 0)
+        self.bkey = np.take_along_axis(key, part, axis=1)
+        self.bdb = np.take_along_axis(db, part, axis=1)
+        self.bsc = np.take_along_axis(sc, part, axis=1)
+        self.btl = np.take_along_axis(tl, part, axis=1)
+
+    def result(self) -> pd.DataFrame:
+        if self.k is None:
+            return pd.concat(self.pairs, ignore_index=True) if self.pairs else _empty()
+        rows, slots = np.nonzero(self.bkey > _DROP)
+        if len(rows) == 0:
+            return _empty()
+        return pd.DataFrame({"qid": self.qid[rows], "dbindex": self.bdb[rows, slots], "score": self.bsc[rows, slots],
+                             "q_len": self.qlen[rows].astype(np.int32), "t_len": self.btl[rows, slots].astype(np.int32)})
+
+
+def _vectors(series) -> np.ndarray:
+    return np.stack(series.to_numpy()).astype(np.float64) if len(series) else np.zeros((0, 0))
+
+
+def _score_broadcast(queries: DataFrame, targets: DataFrame, k, min_score, mincov, exclude_self, work) -> DataFrame:
+    spark = queries.sparkSession
+    qp = queries.select(F.col("qid").cast("long"), "q_embedding", F.col("q_len").cast("long")).toPandas()
+    qv = np.stack(qp["q_embedding"].to_numpy()).astype(np.float32) if len(qp) else np.zeros((0, 1), np.float32)
+    bc = spark.sparkContext.broadcast((qp["qid"].to_numpy(np.int64), qv, qp["q_len"].to_numpy(np.int64)))
+    t = targets.select(F.col("dbindex").cast("long").alias("dbindex"), F.col("embedding").alias("vec"),
+                       F.col("length").cast("long").alias("t_len"))
+
+    def run(batches):
+        qid, qvec, qlen = bc.value
+        sc = _Scorer(qid, qvec, qlen, k, min_score, mincov, exclude_self, work)
+        for pdf in batches:
+            if len(pdf) and len(qid):
+                sc.feed(pdf["dbindex"].to_numpy(np.int64), _vectors(pdf["vec"]), pdf["t_len"].to_numpy(np.int64))
+            if k is None:  # threshold mode streams its pairs out batch by batch
+                out, sc.pairs = sc.result(), []
+                if len(out):
+                    yield out
+        if k is not None:
+            yield sc.result()
+
+    return t.mapInPandas(run, SCORE_SCHEMA)
 
 
 def _blocks(n: int, rows_per_block: int) -> int:
     return max(1, math.ceil(n / max(1, rows_per_block)))
 
 
-def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, min_score: float | None = None,
-                 mincov: float | None = None, exclude_self: bool = False, query_block_rows: int = 2048,
-                 target_block_rows: int = 65536, chunk: int = 4096) -> DataFrame:
-    """Score queries ``(qid, q_embedding, q_len)`` against targets ``(dbindex, embedding, length)``.
-
-    ``k`` set: per block top-k per query (the caller finishes with ``topk``).
-    ``k`` unset: all pairs whose rounded score is ``>= min_score`` (threshold join).
-    """
-    if k is None and min_score is None:
-        raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
-    nq = _blocks(queries.count(), query_block_rows)
+def _score_cogroup(queries: DataFrame, targets: DataFrame, n_q: int, k, min_score, mincov, exclude_self,
+                   query_block_rows: int, target_block_rows: int, work: int) -> DataFrame:
+    nq = _blocks(n_q, query_block_rows)
     nt = _blocks(targets.count(), target_block_rows)
     q = queries.select(
-        F.col("qid").cast("long").alias("qid"), F.col("q_embedding").alias("vec"), F.col("q_len").cast("int").alias("q_len"),
+        F.col("qid").cast("long").alias("qid"), F.col("q_embedding").alias("vec"), F.col("q_len").cast("long").alias("q_len"),
         F.pmod(F.xxhash64("qid"), F.lit(nq)).alias("qb"),
     ).withColumn("tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nt - 1).cast("long"))))
     t = targets.select(
-        F.col("dbindex").cast("long").alias("dbindex"), F.col("embedding").alias("vec"), F.col("length").cast("int").alias("t_len"),
+        F.col("dbindex").cast("long").alias("dbindex"), F.col("embedding").alias("vec"), F.col("length").cast("long").alias("t_len"),
         F.pmod(F.xxhash64("dbindex"), F.lit(nt)).alias("tb"),
     ).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))))
 
     def fn(qpdf, tpdf):
-        return _block_scores(qpdf, tpdf, k, min_score, mincov, exclude_self, chunk)
+        if len(qpdf) == 0 or len(tpdf) == 0:
+            return _empty()
+        sc = _Scorer(qpdf["qid"].to_numpy(np.int64), _vectors(qpdf["vec"]), qpdf["q_len"].to_numpy(np.int64),
+                     k, min_score, mincov, exclude_self, work)
+        sc.feed(tpdf["dbindex"].to_numpy(np.int64), _vectors(tpdf["vec"]), tpdf["t_len"].to_numpy(np.int64))
+        return sc.result()
 
     return q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInPandas(fn, SCORE_SCHEMA)
 
 
+def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, min_score: float | None = None,
+                 mincov: float | None = None, exclude_self: bool = False, query_block_rows: int | None = None,
+                 target_block_rows: int = 65536, broadcast_rows: int = BROADCAST_ROWS,
+                 work_elements: int = WORK_ELEMENTS) -> DataFrame:
+    """Score queries ``(qid, q_embedding, q_len)`` against targets ``(dbindex, embedding, length)``.
+
+    ``k`` set: per-partition (or per-block) top-k per query; finish with ``topk``.
+    ``k`` unset: all pairs whose rounded score is ``>= min_score`` (threshold join).
+    Broadcast path when the query count is within ``broadcast_rows`` and no block size is given."""
+    if k is None and min_score is None:
+        raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
+    n_q = queries.count()
+    if query_block_rows is None and n_q <= broadcast_rows:
+        return _score_broadcast(queries, targets, k, min_score, mincov, exclude_self, work_elements)
+    return _score_cogroup(queries, targets, n_q, k, min_score, mincov, exclude_self,
+                          query_block_rows or broadcast_rows, target_block_rows, work_elements)
+
+
 def rank_key():
     return [F.round("score", RANK_DECIMALS).desc(), F.col("dbindex").asc()]
 

@@ -94,7 +94,7 @@ def q_win_topk(spark, sf):
 def q_limit_blocked_topk(spark, sf):
     # tiny blocks and chunks: the merged result must equal the one-block top-k
     hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, exclude_self=True,
-                           query_block_rows=37, target_block_rows=53, chunk=16)
+                           query_block_rows=37, target_block_rows=53, work_elements=200)
     return hits.select("qid", "dbindex", "emb_rank", _r("score").alias("emb_score"))
 
 
