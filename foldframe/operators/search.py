@@ -188,7 +188,9 @@ def rank_key():
 def topk(scored: DataFrame, k: int) -> DataFrame:
     """Top-k per query with 0-based ``emb_rank``; ties by ``dbindex``. Returns all rows when fewer than k."""
     w = Window.partitionBy("qid").orderBy(*rank_key())
-    return scored.withColumn("emb_rank", (F.row_number().over(w) - 1).cast("long")).where(F.col("emb_rank") < k)
+    # filter on row_number itself so the optimizer plans partial + final WindowGroupLimit
+    ranked = scored.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return ranked.withColumn("emb_rank", (F.col("_rn") - 1).cast("long")).drop("_rn")
 
 
 def vector_search(queries: DataFrame, targets: DataFrame, k: int, mincov: float | None = None,

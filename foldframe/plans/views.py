@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import RESIDUE_LETTERS
+from ..constants import QUERY_DOMAIN_SUFFIX, RESIDUE_LETTERS
 
 # --- fixed values: residue names used by the atom view ----------------------
 # The 20 standard names in the order of RESIDUE_LETTERS, then one special
@@ -165,7 +165,7 @@ def queries_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     qchain = F.concat(F.lit("q"), F.lpad(F.floor(F.col("dbindex") / 2).cast("string"), 5, "0"))
     return t.select(
         F.col("dbindex").alias("qid"),
-        F.concat(qchain, F.lit("_merizo_"), F.lpad((F.col("dbindex") % 2 + 1).cast("string"), 2, "0")).alias("query"),
+        F.concat(qchain, F.lit(QUERY_DOMAIN_SUFFIX + "_"), F.lpad((F.col("dbindex") % 2 + 1).cast("string"), 2, "0")).alias("query"),
         qchain.alias("query_chain"),
         F.col("embedding").alias("q_embedding"),
         F.col("length").alias("q_len"),
@@ -178,9 +178,9 @@ def queries_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("organism", F.concat(F.lit("org"), F.col("_org"))).drop("_org")
 
 
-SQL_QUERIES_V = """queries_v AS (
+SQL_QUERIES_V = f"""queries_v AS (
   SELECT dbindex AS qid,
-         'q' || lpad(CAST(dbindex // 2 AS VARCHAR), 5, '0') || '_merizo_'
+         'q' || lpad(CAST(dbindex // 2 AS VARCHAR), 5, '0') || '{QUERY_DOMAIN_SUFFIX}_'
              || lpad(CAST(dbindex % 2 + 1 AS VARCHAR), 2, '0') AS query,
          'q' || lpad(CAST(dbindex // 2 AS VARCHAR), 5, '0') AS query_chain,
          embedding AS q_embedding,
