@@ -41,8 +41,9 @@ def main() -> None:
     queries = all_queries()
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = only or HEADLINE
-    # warm-up: JVM, Python workers, parquet footers
-    queries["fn_metadata_json"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up on the smallest tables: JVM, code generation, Python workers, parquet footers
+    for warm in ("fn_metadata_json", "udf_batch_model"):
+        queries[warm](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         t0 = time.time()

@@ -97,10 +97,13 @@ def split_internal(df: DataFrame, keys, threshold: int, label: str = "domain_id"
     d = d.withColumn("_si", F.coalesce(si, F.lit(False)))
     anchor_lab = F.when(~F.col("_si"), F.col(label))
     anchor_pos = F.when(~F.col("_si"), F.col(pos))
+    # nearest anchor on the right = running "last non-null" in descending order: a growing frame
+    # (linear per chain) instead of a shrinking unbounded-following one (quadratic per chain)
+    wd = Window.partitionBy(*keys).orderBy(F.col(pos).desc()).rowsBetween(UNB, 0)
     d = (d.withColumn("_ll_lab", F.last(anchor_lab, ignorenulls=True).over(w.rowsBetween(UNB, 0)))
           .withColumn("_ll_pos", F.last(anchor_pos, ignorenulls=True).over(w.rowsBetween(UNB, 0)))
-          .withColumn("_rr_lab", F.first(anchor_lab, ignorenulls=True).over(w.rowsBetween(0, UNF)))
-          .withColumn("_rr_pos", F.first(anchor_pos, ignorenulls=True).over(w.rowsBetween(0, UNF))))
+          .withColumn("_rr_lab", F.last(anchor_lab, ignorenulls=True).over(wd))
+          .withColumn("_rr_pos", F.last(anchor_pos, ignorenulls=True).over(wd)))
     s = F.col("_ll_pos") + 1
     e = F.col("_rr_pos") - 1
     mid = s + F.floor((e - s) / 2)

@@ -52,12 +52,26 @@ def clean_atoms(spark, sf):
 SELECT sid, CAST(serial % 100000 AS INTEGER) AS serial, type, atom, resn, chain, resi, x, y, z, occ, b
 FROM atoms_v WHERE type = 'ATOM' OR (type = 'HETATM' AND resn IN ({_specials_sql}))""")
 def q_src_atoms(spark, sf):
-    a = VW.atoms_v(spark, sf)
-    lines = a.select("sid", ST.render_records(a).alias("line"))
-    parsed = ST.select_structure_records(ST.parse_records(lines))
+    files = structure_files(spark, sf)
+    parsed = ST.select_structure_records(ST.parse_records(ST.explode_lines(files, "sid")))
     return parsed.select("sid", "serial", "type", "atom", "resn", "chain", "resi", "x", "y", "z", "occ", "b")
 
 
+def structure_files(spark, sf):
+    """The atom view written as one structure file per ``sid`` (records in serial order), then read
+    back whole: the input form of the original (one text file per structure)."""
+    from ..session import scratch_path
+
+    a = VW.atoms_v(spark, sf)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "structures")
+    (a.select("sid", "serial", "aux", ST.render_records(a).alias("value")).repartition(n, "sid")
+      .sortWithinPartitions("sid", "serial", "aux").select("sid", "value")
+      .write.mode("overwrite").partitionBy("sid").text(path))
+    files = ST.read_structures(spark, path)
+    return files.select(F.regexp_extract("path", r"sid=(\d+)/", 1).cast("long").alias("sid"), "content")
+
+
 @register("filter_residues", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
 SELECT sid, serial, atom, resn FROM atoms_v
 WHERE resn NOT IN ({_excluded_sql}) AND NOT regexp_matches(name_col13, '^[0-9]$') AND NOT starts_with(atom, 'H')""")
@@ -136,10 +150,9 @@ SELECT sid, chain, string_agg(CASE WHEN resn = 'UNK' THEN 'X' ELSE coalesce(({_l
        CAST(count(*) AS BIGINT) AS n_res
 FROM atoms_v WHERE type = 'ATOM' AND atom = 'CA' GROUP BY sid, chain""")
 def q_src_ca_trace(spark, sf):
-    a = VW.atoms_v(spark, sf)
-    lines = a.select("sid", "chain", "serial", "aux", ST.render_records(a).alias("line"))
+    lines = ST.explode_lines(structure_files(spark, sf), "sid", first_model=False)
     ca = ST.ca_trace(lines, chain=None)
-    return A.ordered_sequence(ca.withColumn("o", F.struct("serial", "aux")), KEYS, order_col="o").select(
+    return A.ordered_sequence(ca, KEYS, order_col="line_no").select(
         "sid", "chain", "seq", F.col("n_res").cast("long").alias("n_res"))
 
 

@@ -19,7 +19,8 @@ def ca(spark, sf):
 def residue_labels(spark, sf):
     """Clean CA residues with the label of the same (structure, residue number) from the label view."""
     lab = VW.labels_v(spark, sf).select("sid", "resi", "domain_id", "conf")
-    return ca(spark, sf).join(lab, ["sid", "resi"])
+    # read twice downstream (node list and edge labels): materialised once in the checkpoint folder
+    return ca(spark, sf).join(lab, ["sid", "resi"]).checkpoint()
 
 
 SQL_CA = QA.SQL_CLEAN + """,
@@ -74,8 +75,10 @@ def q_join_labels_to_atoms(spark, sf):
 @register("set_intersect_edges", SQL_LAB + """
 SELECT sid, chain, i, j FROM sedges""")
 def q_set_intersect_edges(spark, sf):
-    edges = G.contacts(ca(spark, sf), KEYS, CUT)
-    return G.same_label_edges(edges, residue_labels(spark, sf), KEYS).select(*KEYS, "i", "j")
+    res = residue_labels(spark, sf)
+    # only labelled residues can end up on a same-domain edge: contacts among them suffice
+    edges = G.contacts(res.select(*KEYS, "resi", "x", "y", "z"), KEYS, CUT)
+    return G.same_label_edges(edges, res, KEYS).select(*KEYS, "i", "j")
 
 
 @register("graph_components", SQL_LAB + """,
@@ -92,5 +95,5 @@ SELECT l.sid, l.chain, l.resi, CAST(coalesce(n.new_id, 0) AS INTEGER) AS domain_
 FROM rl l LEFT JOIN num n ON l.sid = n.sid AND l.chain = n.chain AND l.resi = n.node""")
 def q_graph_components(spark, sf):
     res = residue_labels(spark, sf)
-    edges = G.same_label_edges(G.contacts(ca(spark, sf), KEYS, CUT), res, KEYS)
+    edges = G.same_label_edges(G.contacts(res.select(*KEYS, "resi", "x", "y", "z"), KEYS, CUT), res, KEYS)
     return G.split_domains(res, edges, KEYS).select(*KEYS, "resi", "domain_id")

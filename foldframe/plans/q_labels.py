@@ -114,7 +114,8 @@ def labels(spark, sf):
 def segmented(spark, sf):
     """Clean then renumber: the labels every segmentation output is made from."""
     d = L.clean_labels(labels(spark, sf), KEYS, MIN_DOM, MIN_FRAG)
-    return L.renumber_first_seen(d, KEYS)
+    # summaries read the cleaned labels more than once: materialise them in the checkpoint folder
+    return L.renumber_first_seen(d, KEYS).checkpoint()
 
 
 @register("win_runs", BASE + ",\n" + sql_run_len("labels_v", "x_") + """

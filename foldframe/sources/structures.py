@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import CA_READER_EXTRA, EXCLUDED_RESIDUES, RESIDUE_LETTERS, SPECIAL_RESIDUES, UNKNOWN_LETTER
+from ..functions import formats as FM
 from ..functions import names as N
 
 ATOM_COLUMNS = ["type", "serial", "atom", "alt", "resn", "chain", "resi", "x", "y", "z", "occ", "b"]
@@ -84,15 +85,17 @@ def select_structure_records(atoms: DataFrame) -> DataFrame:
     return atoms.where((F.col("type") == "ATOM") | ((F.col("type") == "HETATM") & F.col("resn").isin(list(SPECIAL_RESIDUES))))
 
 
-def render_records(atoms: DataFrame, b_format: str = "%6.2f") -> Column:
-    """Fixed-width record text of each atom (columns as the parser reads them)."""
+def render_records(atoms: DataFrame) -> Column:
+    """Fixed-width record text of each atom (columns as the parser reads them):
+    ``%-6s%5d %-4s%1s%3s %1s%4d    %8.3f%8.3f%8.3f%6.2f%6.2f``."""
     name = F.when((F.length("atom") >= 4) | F.col("atom").rlike("^[0-9]"), F.col("atom")).otherwise(
         F.concat(F.lit(" "), F.col("atom")))
     alt = F.coalesce(F.col("alt"), F.lit(" ")) if "alt" in atoms.columns else F.lit(" ")
-    return F.format_string(
-        "%-6s%5d %-4s%1s%3s %1s%4d    %8.3f%8.3f%8.3f%6.2f" + b_format,
-        F.col("type"), (F.col("serial") % 100000).cast("int"), name, alt,
-        F.col("resn"), F.col("chain"), F.col("resi"), F.col("x"), F.col("y"), F.col("z"), F.col("occ"), F.col("b"))
+    return F.concat(
+        FM.pad_right("type", 6), FM.pad_left(F.col("serial") % 100000, 5), F.lit(" "), FM.pad_right(name, 4), alt,
+        FM.pad_left("resn", 3), F.lit(" "), FM.pad_left("chain", 1), FM.pad_left("resi", 4), F.lit("    "),
+        FM.fixed_point("x", 8, 3), FM.fixed_point("y", 8, 3), FM.fixed_point("z", 8, 3),
+        FM.fixed_point("occ", 6, 2), FM.fixed_point("b", 6, 2))
 
 
 def ca_trace(lines: DataFrame, chain: str | None, line_col: str = "line") -> DataFrame:
@@ -107,6 +110,7 @@ def ca_trace(lines: DataFrame, chain: str | None, line_col: str = "line") -> Dat
     keep = [c for c in lines.columns if c != line_col]
     return df.select(
         *keep,
+        *([] if "chain" in keep else [F.trim(_field(ln, 21, 2)).alias("chain")]),
         F.trim(_field(ln, 18, 3)).alias("resn"),
         F.coalesce(lut[F.trim(_field(ln, 18, 3))], F.lit(UNKNOWN_LETTER)).alias("aa"),
         F.trim(_field(ln, 31, 8)).cast("float").alias("x"),
