@@ -26,3 +26,25 @@ def dense_index(df: DataFrame, order_cols, group_cols=(), out: str = "rn", parti
     # offsets has one row per (partition, group): a size bounded by partitions x groups
     d = d.join(F.broadcast(offsets) if not group_cols else offsets, ["_pid", *group_cols])
     return d.withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_pid", "_lrn", "_off")
+
+
+def run_starts(df: DataFrame, order_col: str, key_col: str, out: str = "run_start", range_rows: int = 1 << 16) -> DataFrame:
+    """For a table keyed by an integer ``order_col``, the ``order_col`` value at which the current
+    run of equal ``key_col`` values began (runs break at a gap in ``order_col`` or a new key).
+
+    Two-level scan, no window over a hot key and no single-task pass over the table: the previous
+    row comes from an equi-join on ``order_col - 1``; the running maximum of run starts is taken
+    inside ranges of ``range_rows`` consecutive values (bounded windows), and the carry from
+    earlier ranges comes from a table with one row per range (broadcast: its size is the row
+    count divided by ``range_rows``)."""
+    prev = df.select((F.col(order_col) + 1).alias(order_col), F.col(key_col).alias("_prev"))
+    d = df.join(prev, order_col, "left")
+    d = d.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col(key_col)), F.col(order_col)))
+    d = d.withColumn("_rng", F.floor(F.col(order_col) / range_rows)).drop("_prev")
+    local = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_local", F.max("_start").over(local))
+    per_range = d.groupBy("_rng").agg(F.max("_start").alias("_m"))
+    before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    carry = per_range.select("_rng", F.max("_m").over(before).alias("_carry"))
+    d = d.join(F.broadcast(carry), "_rng", "left")
+    return d.withColumn(out, F.coalesce("_local", "_carry")).drop("_start", "_rng", "_local", "_carry")

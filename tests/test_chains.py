@@ -40,3 +40,22 @@ def test_division_needs_every_query_domain(spark):
 
     sc = _scored(spark, [row(1, 1, 0.9), row(1, 2, 0.8), row(2, 1, 0.0)])
     assert C.division(sc).count() == 0
+
+
+def test_run_starts_across_ranges(spark):
+    from foldframe.operators.indexing import run_starts
+
+    names = ["a", "a", "a", "b", "b", "a", "c", "c", "c", "c", "c"]
+    rows = [(i, n) for i, n in enumerate(names)] + [(13, "c")]  # a gap breaks a run too
+    t = spark.createDataFrame(rows, "dbindex long, chain string")
+    for rr in (1, 2, 3, 1 << 16):
+        got = {r["dbindex"]: r["run_start"] for r in run_starts(t, "dbindex", "chain", range_rows=rr).collect()}
+        assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 6, 9: 6, 10: 6, 13: 13}, rr
+
+
+def test_dense_index_without_one_task_window(spark):
+    from foldframe.operators.indexing import dense_index
+
+    df = spark.createDataFrame([(g, i) for g in ("x", "y") for i in range(50)], "g string, i long")
+    got = {(r["g"], r["i"]): r["rn"] for r in dense_index(df, ["i"], ["g"], partitions=7).collect()}
+    assert got == {(g, i): i + 1 for g in ("x", "y") for i in range(50)}
