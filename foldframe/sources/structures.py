@@ -90,7 +90,7 @@ def render_records(atoms: DataFrame) -> Column:
     ``%-6s%5d %-4s%1s%3s %1s%4d    %8.3f%8.3f%8.3f%6.2f%6.2f``."""
     name = F.when((F.length("atom") >= 4) | F.col("atom").rlike("^[0-9]"), F.col("atom")).otherwise(
         F.concat(F.lit(" "), F.col("atom")))
-    alt = F.coalesce(F.col("alt"), F.lit(" ")) if "alt" in atoms.columns else F.lit(" ")
+    alt = FM.pad_right(F.coalesce(F.col("alt"), F.lit(" ")), 1) if "alt" in atoms.columns else F.lit(" ")
     return F.concat(
         FM.pad_right("type", 6), FM.pad_left(F.col("serial") % 100000, 5), F.lit(" "), FM.pad_right(name, 4), alt,
         FM.pad_left("resn", 3), F.lit(" "), FM.pad_left("chain", 1), FM.pad_left("resi", 4), F.lit("    "),
