@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
-    ATOM_READER_EXTRA, BACKBONE_ATOMS, EXCLUDED_RESIDUES, FRAME_EPS, RESIDUE_CODE_GAP, RESIDUE_CODE_ORDER,
+    ATOM_READER_EXTRA, BACKBONE_ATOMS, EXCLUDED_RESIDUES, FRAME_EPS, MAX_TARGET_RESIDUES, RESIDUE_CODE_GAP, RESIDUE_CODE_ORDER,
     RESIDUE_CODE_RARE, RESIDUE_LETTERS, SPECIAL_RESIDUES, UNKNOWN_LETTER,
 )
 
@@ -146,3 +146,15 @@ def structure_atoms(records: DataFrame, keys, chain: str | None = None, ignore_h
         a = filter_chain(a, chain)
     a = resolve_altloc(a, keys, order_extra)
     return complete_backbone(a, keys)
+
+
+def residue_sequence(text) -> Column:
+    """The residue letters of a text (the 20 standard one-letter codes), in order."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.regexp_replace(c, "[^" + "".join(sorted(RESIDUE_LETTERS.values())) + "]", "")
+
+
+def truncate_residues(seq, n: int = MAX_TARGET_RESIDUES) -> Column:
+    """First ``n`` residues of a sequence (the target database keeps 2000)."""
+    c = F.col(seq) if isinstance(seq, str) else seq
+    return F.substring(c, 1, n)

@@ -34,3 +34,16 @@ def organism_stats(reports: DataFrame, group_col: str = "organism", value_col: s
     r = reports.where(F.col(value_col) != 0) if exclude_zero else reports
     return r.groupBy(group_col).agg(
         F.avg(value_col).alias("mean_plddt"), F.stddev_samp(value_col).alias("stddev_plddt"))
+
+
+def mean_pool(df: DataFrame, group_cols, vector_col: str) -> DataFrame:
+    """Mean vector per group, one row per (group, dimension): ``posexplode`` then a grouped average
+    (partial aggregation, so a large group never sits in one task)."""
+    e = df.select(*group_cols, F.posexplode(vector_col).alias("dim", "_v"))
+    return e.groupBy(*group_cols, "dim").agg(F.avg(F.col("_v").cast("double")).alias("mean"))
+
+
+def metadata_value(metadata, key: str):
+    """Value of ``key`` in a metadata JSON string (null when absent)."""
+    c = F.col(metadata) if isinstance(metadata, str) else metadata
+    return F.get_json_object(c, f"$.{key}")

@@ -193,12 +193,10 @@ WITH s AS (SELECT doc_id, regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g
 SELECT doc_id, CAST(length(seq) AS BIGINT) AS n_total, CAST(least(length(seq), 2000) AS BIGINT) AS n_kept,
        md5(substr(seq, 1, 2000)) AS kept_md5 FROM s""")
 def q_truncate_residues(spark, sf):
-    from ..constants import MAX_TARGET_RESIDUES
-
-    d = VW.table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "[^ACDEFGHIKLMNPQRSTVWY]", "").alias("seq"))
-    return d.select("doc_id", F.length("seq").cast("long").alias("n_total"),
-                    F.least(F.length("seq"), F.lit(MAX_TARGET_RESIDUES)).cast("long").alias("n_kept"),
-                    F.md5(F.substring("seq", 1, MAX_TARGET_RESIDUES)).alias("kept_md5"))
+    d = VW.table(spark, sf, "documents").select("doc_id", A.residue_sequence("text").alias("seq"))
+    kept = A.truncate_residues("seq")
+    return d.select("doc_id", F.length("seq").cast("long").alias("n_total"), F.length(kept).cast("long").alias("n_kept"),
+                    F.md5(kept).alias("kept_md5"))
 
 
 @register("join_residue_gaps", SQL_CLEAN + """,

@@ -361,7 +361,9 @@ def q_fn_base_name(spark, sf):
 @register("fn_metadata_json", """
 SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
 def q_fn_metadata_json(spark, sf):
-    return VW.table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    from ..operators import summary as SU
+
+    return VW.table(spark, sf, "events").select("event_id", SU.metadata_value("props", "k").alias("k"))
 
 
 SQL_RANGES = """
@@ -509,7 +511,7 @@ def q_anti_join_processed(spark, sf):
     """Restartable job: inputs that already have an output (a labels row) are skipped."""
     d = VW.table(spark, sf, "documents").select("doc_id")
     done = VW.table(spark, sf, "labels").select("doc_id")
-    return d.join(done, "doc_id", "left_anti")
+    return ST.unprocessed(d, done, "doc_id")
 
 
 @register("sort_natural", """
@@ -527,8 +529,9 @@ WITH e AS (SELECT label, unnest(range(1, 65)) AS dim, embedding FROM embeddings)
 SELECT label, CAST(dim - 1 AS INTEGER) AS dim, avg(CAST(embedding[dim] AS DOUBLE)) AS mean FROM e GROUP BY label, dim""")
 def q_agg_mean_pool(spark, sf):
     """Mean over the vectors of a group (here: embeddings by label), one value per dimension."""
-    e = VW.table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("dim", "v"))
-    return e.groupBy("label", "dim").agg(F.avg(F.col("v").cast("double")).alias("mean"))
+    from ..operators import summary as SU
+
+    return SU.mean_pool(VW.table(spark, sf, "embeddings"), ["label"], "embedding")
 
 
 # ------------------------------------------------------------------ iteration

@@ -138,3 +138,9 @@ def join_input_chains(inputs: DataFrame, lists: DataFrame, group_col: str, order
     chain = F.when(one, F.element_at("_ids", 1)).otherwise(F.element_at("_ids", F.col("_pos").cast("int")))
     status = F.when(one | (F.size("_ids") == F.col("_n")), F.lit("ok")).otherwise(F.lit("length_mismatch"))
     return j.select(*[c for c in inputs.columns], chain.alias("chain"), status.alias("status"))
+
+
+def unprocessed(inputs: DataFrame, outputs: DataFrame, key) -> DataFrame:
+    """Inputs that have no output yet (left anti join): a restartable job skips finished work."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return inputs.join(outputs.select(*keys).distinct(), keys, "left_anti")
