@@ -84,13 +84,14 @@ def same_label_edges(edges: DataFrame, labels: DataFrame, keys, node: str = "res
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, keys, node: str = "node",
-                         checkpoint_every: int = 3, max_rounds: int = 10_000) -> DataFrame:
+                         checkpoint_every: int = 1, max_rounds: int = 10_000) -> DataFrame:
     """Component of every node = smallest node id reachable through ``edges`` (``i``, ``j``).
 
     Min-label propagation with pointer jumping: each round every node takes the smallest label
     among itself and its neighbours, then the label of its label. Rounds repeat until no label
-    changes (checked with a count); the lineage is cut with ``checkpoint()`` into the session's
-    checkpoint folder every few rounds. Nodes are never collected to the driver."""
+    changes (checked with a count on the materialised labels); the lineage is cut with ``checkpoint()`` into the session's
+    checkpoint folder every round (one row per node), so no round recomputes earlier ones.
+    Nodes are never collected to the driver."""
     und = edges.select(*keys, F.col("i").alias("src"), F.col("j").alias("dst")).unionByName(
         edges.select(*keys, F.col("j").alias("src"), F.col("i").alias("dst"))).distinct()
     lab = nodes.select(*keys, F.col(node).alias("v"), F.col(node).alias("c"))
