@@ -5,8 +5,9 @@ Two physical strategies, one result:
 * **Broadcast queries, scan targets in place** (default). When the query set has at most
   ``broadcast_rows`` rows (checked with a count before anything is collected), the query
   vectors are shipped to every executor once as a broadcast variable and the target table is
-  scored where it lies: ``mapInPandas`` over the target scan multiplies chunks of targets by the
-  query block with numpy and keeps a running top-k per query, emitting only ``k`` rows per
+  scored where it lies: ``mapInArrow`` over the target scan reshapes each Arrow batch of vectors
+  into a matrix (no per-row Python objects), multiplies chunks of targets by the query block
+  with numpy and keeps a running top-k per query, emitting only ``k`` rows per
   query per partition. The target table is never shuffled; only the small candidate rows are,
   for the final ``row_number`` top-k (whose partial ``WindowGroupLimit`` runs before the
   shuffle). This is the "batch of queries against one pass of the database" of the original.
@@ -111,6 +112,35 @@ def _vectors(series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64) if len(series) else np.zeros((0, 0))
 
 
+def _arrow_vectors(col) -> np.ndarray:
+    """A list<float> Arrow column as a (rows, dim) float64 matrix without per-row Python objects."""
+    import pyarrow as pa
+
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, 0))
+    if col.null_count:
+        raise ValueError("target vectors may not be null")
+    offs = col.offsets.to_numpy()
+    dim = int(offs[1] - offs[0])
+    if not np.all(np.diff(offs) == dim):
+        raise ValueError("target vectors must all have the same length")
+    flat = col.values.to_numpy(zero_copy_only=False)[offs[0]:offs[0] + n * dim]
+    return flat.reshape(n, dim).astype(np.float64)
+
+
+def _arrow_batch(pdf: pd.DataFrame):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pdf["qid"].to_numpy(np.int64)), pa.array(pdf["dbindex"].to_numpy(np.int64)),
+         pa.array(pdf["score"].to_numpy(np.float64)), pa.array(pdf["q_len"].to_numpy(np.int32)),
+         pa.array(pdf["t_len"].to_numpy(np.int32))],
+        names=["qid", "dbindex", "score", "q_len", "t_len"])
+
+
 def _score_broadcast(queries: DataFrame, targets: DataFrame, k, min_score, mincov, exclude_self, work) -> DataFrame:
     spark = queries.sparkSession
     qp = queries.select(F.col("qid").cast("long"), "q_embedding", F.col("q_len").cast("long")).toPandas()
@@ -120,19 +150,22 @@ def _score_broadcast(queries: DataFrame, targets: DataFrame, k, min_score, minco
                        F.col("length").cast("long").alias("t_len"))
 
     def run(batches):
+        # Arrow batches straight from the scan: vectors are reshaped, never boxed per row
         qid, qvec, qlen = bc.value
         sc = _Scorer(qid, qvec, qlen, k, min_score, mincov, exclude_self, work)
-        for pdf in batches:
-            if len(pdf) and len(qid):
-                sc.feed(pdf["dbindex"].to_numpy(np.int64), _vectors(pdf["vec"]), pdf["t_len"].to_numpy(np.int64))
+        for b in batches:
+            if b.num_rows and len(qid):
+                sc.feed(b.column("dbindex").to_numpy(zero_copy_only=False).astype(np.int64),
+                        _arrow_vectors(b.column("vec")),
+                        b.column("t_len").to_numpy(zero_copy_only=False).astype(np.int64))
             if k is None:  # threshold mode streams its pairs out batch by batch
                 out, sc.pairs = sc.result(), []
                 if len(out):
-                    yield out
+                    yield _arrow_batch(out)
         if k is not None:
-            yield sc.result()
+            yield _arrow_batch(sc.result())
 
-    return t.mapInPandas(run, SCORE_SCHEMA)
+    return t.mapInArrow(run, SCORE_SCHEMA)
 
 
 def _blocks(n: int, rows_per_block: int) -> int:
