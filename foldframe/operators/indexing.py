@@ -35,8 +35,8 @@ def run_starts(df: DataFrame, order_col: str, key_col: str, out: str = "run_star
     Two-level scan, no window over a hot key and no single-task pass over the table: the previous
     row comes from an equi-join on ``order_col - 1``; the running maximum of run starts is taken
     inside ranges of ``range_rows`` consecutive values (bounded windows), and the carry from
-    earlier ranges comes from a table with one row per range (broadcast: its size is the row
-    count divided by ``range_rows``)."""
+    earlier ranges comes from a table with one row per range, joined on the range key the data is
+    already partitioned by."""
     prev = df.select((F.col(order_col) + 1).alias(order_col), F.col(key_col).alias("_prev"))
     d = df.join(prev, order_col, "left")
     d = d.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col(key_col)), F.col(order_col)))
@@ -46,5 +46,6 @@ def run_starts(df: DataFrame, order_col: str, key_col: str, out: str = "run_star
     per_range = d.groupBy("_rng").agg(F.max("_start").alias("_m"))
     before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     carry = per_range.select("_rng", F.max("_m").over(before).alias("_carry"))
-    d = d.join(F.broadcast(carry), "_rng", "left")
+    # d is already hash-partitioned by _rng for the window above: only the carry side moves
+    d = d.join(carry, "_rng", "left")
     return d.withColumn(out, F.coalesce("_local", "_carry")).drop("_start", "_rng", "_local", "_carry")

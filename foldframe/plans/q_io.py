@@ -9,7 +9,6 @@ from ..functions import formats as FM
 from ..functions import names as N
 from ..functions import text as TX
 from ..operators import boundaries as BD
-from ..operators import chains as C
 from ..operators import indexing as IX
 from ..operators import labels as L
 from ..operators import search as S
@@ -400,20 +399,24 @@ def q_fn_parse_boundary(spark, sf):
 
 @register("src_boundaries_csv", SQL_RANGES + """,
 doms AS (SELECT p_partkey // 3 AS target, string_agg(range || ':' || CAST(p_partkey AS VARCHAR), '|' ORDER BY p_partkey) AS ranges
-         FROM r WHERE p_partkey % 4 = 0 GROUP BY 1),
-ex AS (SELECT target, unnest(range(1, len(string_split(ranges, '|')) + 1)) AS dom, string_split(ranges, '|') AS parts FROM doms)
-SELECT target, CAST(dom AS INTEGER) AS dom, string_split(parts[dom], ':')[1] AS range, string_split(parts[dom], ':')[2] AS label
-FROM ex""")
+         FROM r GROUP BY 1),
+ex AS (SELECT target, unnest(range(1, len(string_split(ranges, '|')) + 1)) AS dom, string_split(ranges, '|') AS parts FROM doms),
+ex2 AS (SELECT target, CAST(dom AS INTEGER) AS dom, string_split(parts[dom], ':')[1] AS range,
+               string_split(parts[dom], ':')[2] AS label FROM ex)
+SELECT target, dom, range, label,
+       CAST(regexp_extract(regexp_replace(regexp_replace(range, '[A-Z]', '', 'g'), '[()]', '', 'g'), '^(-?\\d+)-(-?\\d+)$', 1) AS INTEGER) AS first,
+       CAST(regexp_extract(regexp_replace(regexp_replace(range, '[A-Z]', '', 'g'), '[()]', '', 'g'), '^(-?\\d+)-(-?\\d+)$', 2) AS INTEGER) AS last
+FROM ex2""")
 def q_src_boundaries_csv(spark, sf):
     """A boundary list written as CSV (``target,ranges`` with ``|`` between domains and ``:label``),
     read back and exploded to one row per domain range."""
-    r = part_ranges(spark, sf).where(F.col("p_partkey") % 4 == 0)
+    r = part_ranges(spark, sf)
     doms = r.groupBy(F.floor(F.col("p_partkey") / 3).alias("target")).agg(
         F.array_sort(F.collect_list(F.struct("p_partkey", F.concat_ws(":", "range", F.col("p_partkey").cast("string")).alias("d")))).alias("_d"))
     doms = doms.select(F.col("target").cast("long").alias("target"), F.array_join(F.transform("_d", lambda x: x["d"]), "|").alias("ranges"))
     back = SK.roundtrip_csv(spark, doms, "boundaries", sep=",")
     ex = BD.explode_ranges(back, "ranges", ["target"], domain_sep=r"\|")
-    return ex.select("target", "dom", "range", "label")
+    return ex.select("target", "dom", "range", "label", "first", "last")
 
 
 @register("fn_expand_boundaries", QA.SQL_CLEAN + """,
