@@ -20,6 +20,11 @@ def dense_index(df: DataFrame, order_cols, group_cols=(), out: str = "rn", parti
     d = df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
     d = d.withColumn("_lrn", F.row_number().over(local))
+    # The counts below and the rows they are joined to must see the same partitioning. Range
+    # bounds come from sampling the input, whose row order after a shuffle is not fixed, so a
+    # second evaluation could cut the ranges elsewhere: materialise the numbered rows once.
+    if d.sparkSession.sparkContext.getCheckpointDir():
+        d = d.checkpoint()
     counts = d.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
     ow = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(ow), F.lit(0))).drop("_cnt")

@@ -268,3 +268,14 @@ def aligned_coverage(hits: DataFrame, mincov: float) -> DataFrame:
 def split_significant(hits: DataFrame, mintm: float) -> DataFrame:
     """Flag significant hits (``max(qtm, ttm) >= mintm``); write the two sides with two filters."""
     return hits.withColumn("max_tm", F.greatest("qtm", "ttm")).withColumn("significant", F.col("max_tm") >= mintm)
+
+
+def number_insignificant(flagged: DataFrame) -> DataFrame:
+    """The batch path numbers insignificant hits with one counter over all queries (0-based, in
+    query then rank order); significant hits get null. Numbered with range partitioning and
+    per-partition offsets, not a one-task window."""
+    from .indexing import dense_index
+
+    ins = dense_index(flagged.where(~F.col("significant")), ["qid", "emb_rank"], out="_n")
+    ins = ins.select("qid", "dbindex", (F.col("_n") - 1).alias("insig_no"))
+    return flagged.join(ins, ["qid", "dbindex"], "left")
