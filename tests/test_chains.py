@@ -59,3 +59,16 @@ def test_dense_index_without_one_task_window(spark):
     df = spark.createDataFrame([(g, i) for g in ("x", "y") for i in range(50)], "g string, i long")
     got = {(r["g"], r["i"]): r["rn"] for r in dense_index(df, ["i"], ["g"], partitions=7).collect()}
     assert got == {(g, i): i + 1 for g in ("x", "y") for i in range(50)}
+
+
+def test_dense_index_on_a_shuffled_input(spark):
+    """Input whose row order changes between evaluations (it comes out of a shuffle)."""
+    from pyspark.sql import functions as F
+
+    from foldframe.operators.indexing import dense_index
+
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(13, "k")
+    df = df.withColumn("k2", F.col("k")).repartition(11)
+    got = dense_index(df, ["k"], out="rn", partitions=9).select("k", "rn")
+    assert got.where(F.col("rn") != F.col("k") + 1).count() == 0
+    assert got.count() == 5000
