@@ -2,7 +2,8 @@
 
 The original starts one Python process per structure and reloads both
 networks each time; here a model is loaded once per task and fed Arrow
-batches (``mapInPandas`` with an iterator). A pair scorer runs over candidate
+batches (``mapInPandas``, or ``mapInArrow`` when the code works on Arrow record batches
+directly, with an iterator). A pair scorer runs over candidate
 pairs that are spread over tasks by a salted hash, so one hot query cannot
 pile all its pairs into one task.
 """
@@ -20,26 +21,41 @@ from pyspark.sql.types import StructType
 ALIGNMENT_SCHEMA = "len_ali int, rmsd double, seq_id double, qtm double, ttm double"
 
 
-def batch_model(df: DataFrame, model_factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
-                schema: str | StructType) -> DataFrame:
+def batch_model(df: DataFrame, model_factory: Callable, schema: str | StructType, arrow: bool = False) -> DataFrame:
     """Apply ``model = model_factory()`` to every Arrow batch of every partition.
 
-    The factory runs once per task (one model load per partition, not per row or file)."""
+    The factory runs once per task (one model load per partition, not per row or file). The model
+    takes and returns pandas DataFrames, or with ``arrow=True`` ``pyarrow.RecordBatch`` objects
+    (no pandas conversion: vector columns stay flat buffers); Arrow outputs are cast to the
+    declared schema."""
+    if not arrow:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = model_factory()
+            for pdf in batches:
+                yield model(pdf)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return df.mapInPandas(run, schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    target = to_arrow_schema(st)
+
+    def run_arrow(batches):
         model = model_factory()
-        for pdf in batches:
-            yield model(pdf)
+        for b in batches:
+            out = model(b)
+            yield out if out.schema.equals(target) else out.cast(target)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run_arrow, st)
 
 
-def pair_scores(pairs: DataFrame, scorer_factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
-                schema: str | StructType, key_cols=("qid", "dbindex"), partitions: int | None = None) -> DataFrame:
+def pair_scores(pairs: DataFrame, scorer_factory: Callable, schema: str | StructType, key_cols=("qid", "dbindex"),
+                partitions: int | None = None, arrow: bool = False) -> DataFrame:
     """Score candidate pairs with a caller's scorer, pairs spread over tasks by a hash of the pair."""
     n = partitions or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pairs.repartition(n, F.xxhash64(*[F.col(c) for c in key_cols]))
-    return batch_model(spread, scorer_factory, schema)
+    return batch_model(spread, scorer_factory, schema, arrow=arrow)
 
 
 def error_rows(df: DataFrame, fn: Callable[[pd.Series], object], in_col: str, out_type: str,
@@ -126,3 +142,36 @@ def cosine_scorer(q_col: str = "q_embedding", t_col: str = "t_embedding", decima
         return scorer
 
     return factory
+
+
+def cosine_scorer_arrow(q_col: str = "q_embedding", t_col: str = "t_embedding", decimals: int = 4, keep=()):
+    """The cosine stand-in scorer on Arrow batches (same output as ``cosine_scorer``)."""
+
+    def factory():
+        import pyarrow as pa
+
+        from .search import _arrow_vectors
+
+        def scorer(b):
+            n = b.num_rows
+            names = b.schema.names
+            if n:
+                q, t = _arrow_vectors(b.column(q_col)), _arrow_vectors(b.column(t_col))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cos = np.einsum("ij,ij->i", q, t) / (np.linalg.norm(q, axis=1) * np.linalg.norm(t, axis=1))
+                cos = np.round(np.nan_to_num(cos, nan=0.0), decimals)
+            else:
+                cos = np.zeros(0)
+            if "q_len" in names and "t_len" in names and n:
+                shorter = np.minimum(b.column("q_len").to_numpy(zero_copy_only=False).astype(np.float64),
+                                     b.column("t_len").to_numpy(zero_copy_only=False).astype(np.float64))
+                len_ali = np.floor(shorter * cos * 2).astype(np.int32)
+            else:
+                len_ali = np.zeros(n, dtype=np.int32)
+            arrays = [b.column(c) for c in keep] + [pa.array(len_ali, pa.int32()), pa.array(np.zeros(n)),
+                                                     pa.array(np.ones(n)), pa.array(cos), pa.array(cos)]
+            return pa.RecordBatch.from_arrays(arrays, names=list(keep) + ["len_ali", "rmsd", "seq_id", "qtm", "ttm"])
+
+        return scorer
+
+    return factory

@@ -91,7 +91,7 @@ def aligned_hits(spark, sf):
     keep = ["qid", "dbindex", "emb_rank", "score", "q_len", "t_len", "query", "dom_str", "dom_conf", "dom_plddt", "target", "metadata"]
     schema = ("qid long, dbindex long, emb_rank long, score double, q_len int, t_len int, query string, dom_str string, "
               "dom_conf double, dom_plddt double, target string, metadata string, " + SL.ALIGNMENT_SCHEMA)
-    scored = SL.pair_scores(pairs, SL.cosine_scorer(keep=keep), schema)
+    scored = SL.pair_scores(pairs, SL.cosine_scorer_arrow(keep=keep), schema, arrow=True)
     return S.join_metadata(scored.drop("metadata"), VW.targets_v(spark, sf))
 
 
