@@ -207,9 +207,11 @@ def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, m
     Broadcast path when the query count is within ``broadcast_rows`` and no block size is given."""
     if k is None and min_score is None:
         raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
+    if query_block_rows is None:
+        # bounded count: stops reading as soon as the query set is known to exceed the bound
+        if queries.limit(broadcast_rows + 1).count() <= broadcast_rows:
+            return _score_broadcast(queries, targets, k, min_score, mincov, exclude_self, work_elements)
     n_q = queries.count()
-    if query_block_rows is None and n_q <= broadcast_rows:
-        return _score_broadcast(queries, targets, k, min_score, mincov, exclude_self, work_elements)
     return _score_cogroup(queries, targets, n_q, k, min_score, mincov, exclude_self,
                           query_block_rows or broadcast_rows, target_block_rows, work_elements)
 
