@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranked, texts, written
+from .common import texts, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_BYTES = 4096
@@ -31,13 +31,15 @@ def lower_az(text: Column) -> Column:
 
 
 def _blocks(norm: DataFrame, block_bytes: int) -> DataFrame:
-    """One row for each block: ``doc_id, text_sha256, idx, n_blocks, block, h``; the empty text has one empty block."""
+    """One row for each block: ``doc_id, text_sha256, idx, n_blocks, block, h``; the empty text has one empty block.
+
+    The outer explode keeps the optimizer from adding a filter that would cut every text a second time."""
     b = int(block_bytes)
     cut = F.expr(f"transform(sequence(0L, greatest(0L, (length(bin) - 1L) div {b}L)), "
                  f"i -> substring(bin, cast(i * {b} + 1 as int), {b}))")
     d = norm.select("doc_id", "text_sha256", cut.alias("blocks"))
     return d.select("doc_id", "text_sha256", F.size("blocks").alias("n_blocks"),
-                    F.posexplode("blocks").alias("idx", "block")).withColumn("h", F.xxhash64("block"))
+                    F.posexplode_outer("blocks").alias("idx", "block")).withColumn("h", F.xxhash64("block"))
 
 
 def _names(distinct: DataFrame, cols: list[str], rows: int) -> DataFrame:
@@ -55,7 +57,8 @@ def _names(distinct: DataFrame, cols: list[str], rows: int) -> DataFrame:
 
 def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      block_bytes: int = BLOCK_BYTES, hash_bits: int = 64) -> DataFrame:
-    """``doc_id, text_sha256, level, name`` of each distinct (id, text): equal texts have equal (level, name).
+    """``doc_id, text_sha256, times, level, name`` of each distinct (id, text), ``times`` being the rows that have it:
+    equal texts have equal (level, name).
 
     ``hash_bits`` shortens the sort hash; the result does not depend on it (tests use 2 bits)."""
     t = texts(docs, id_col, text_col).withColumn("norm", lower_az(F.col("text")))
@@ -64,7 +67,7 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if hash_bits < 64:
         occ = occ.withColumn("h", F.shiftrightunsigned("h", 64 - hash_bits))
     # rows without content; the distinct blocks carry the content once
-    slim = written(occ.select("doc_id", "text_sha256", "n_blocks", "idx", "h").distinct(), "block-rows")
+    slim = written(occ.groupBy("doc_id", "text_sha256", "n_blocks", "idx", "h").agg(F.count(F.lit(1)).alias("times")), "block-rows")
     sorted_blocks = occ.select("h", "block").distinct()
     per_hash = written(sorted_blocks.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "block-hashes")
     n_hashes = per_hash.count()
@@ -72,29 +75,29 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         names = _names(per_hash.select("h"), ["h"], n_hashes)
         cur = slim.join(names, "h")
     else:  # different blocks with one hash: those take their names from hash and content together
-        clash = F.broadcast(per_hash.where("n > 1").select("h").limit(1 << 20)) if per_hash.where("n > 1").count() < 1 << 20 else per_hash.where("n > 1").select("h")
-        own = occ.join(clash, "h", "left_semi").select("doc_id", "text_sha256", "n_blocks", "idx", "h", "block").distinct()
+        clash = per_hash.where("n > 1").select("h")
+        own = occ.join(clash, "h", "left_semi").groupBy("doc_id", "text_sha256", "n_blocks", "idx", "h", "block").agg(F.count(F.lit(1)).alias("times"))
         both = per_hash.where("n = 1").select("h", F.lit(None).cast("binary").alias("block")).unionByName(
             own.select("h", "block").distinct())
         names = written(_names(both, ["h", "block"], n_hashes), "block-names")
         lone, many = names.where("block is null").drop("block"), names.where("block is not null")
-        cur = slim.join(lone, "h").select("doc_id", "text_sha256", "n_blocks", "idx", "name").unionByName(
-            own.join(many, ["h", "block"]).select("doc_id", "text_sha256", "n_blocks", "idx", "name"))
-    cur = written(cur.select("doc_id", "text_sha256", F.col("n_blocks").cast("long").alias("n_blocks"),
+        cur = slim.join(lone, "h").select("doc_id", "text_sha256", "times", "n_blocks", "idx", "name").unionByName(
+            own.join(many, ["h", "block"]).select("doc_id", "text_sha256", "times", "n_blocks", "idx", "name"))
+    cur = written(cur.select("doc_id", "text_sha256", "times", F.col("n_blocks").cast("long").alias("n_blocks"),
                              F.col("idx").cast("long").alias("idx"), "name"), "names-0")
-    done = cur.where("n_blocks = 1").select("doc_id", "text_sha256", F.lit(0).alias("level"), "name")
+    done = cur.where("n_blocks = 1").select("doc_id", "text_sha256", "times", F.lit(0).alias("level"), "name")
     level, open_rows = 0, cur.where("n_blocks > 1")
     rows = open_rows.count()
     while rows:
         level += 1
         # what one block of this level covers: two of the level below; the last may stand alone (right = -1)
-        pairs = written(open_rows.groupBy("doc_id", "text_sha256", "n_blocks", F.expr("idx div 2").alias("pair")).agg(
+        pairs = written(open_rows.groupBy("doc_id", "text_sha256", "times", "n_blocks", F.expr("idx div 2").alias("pair")).agg(
             F.max(F.when(F.col("idx") % 2 == 0, F.col("name"))).alias("a"),
             F.coalesce(F.max(F.when(F.col("idx") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b")), f"pairs-{level}")
         names = _names(pairs.select("a", "b").distinct(), ["a", "b"], rows)
         nxt = written(pairs.join(names, ["a", "b"]).select(
-            "doc_id", "text_sha256", F.expr("(n_blocks + 1) div 2").alias("n_blocks"), F.col("pair").alias("idx"), "name"), f"names-{level}")
-        done = done.unionByName(nxt.where("n_blocks = 1").select("doc_id", "text_sha256", F.lit(level).alias("level"), "name"))
+            "doc_id", "text_sha256", "times", F.expr("(n_blocks + 1) div 2").alias("n_blocks"), F.col("pair").alias("idx"), "name"), f"names-{level}")
+        done = done.unionByName(nxt.where("n_blocks = 1").select("doc_id", "text_sha256", "times", F.lit(level).alias("level"), "name"))
         open_rows = nxt.where("n_blocks > 1")
         rows = open_rows.count()
     return done
@@ -105,12 +108,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row for each input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Of equal normalised texts the row with the largest id stays; of repeated rows with that id, all say ``kept``."""
-    ids = written(block_identities(docs, id_col, text_col, block_bytes, hash_bits), "identities")
-    t = texts(docs, id_col, text_col)
-    rows = written(t.select("doc_id", F.sha2(lower_az(F.col("text")).cast("binary"), 256).alias("text_sha256"))
-                   .groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times")), "row-counts")
-    on = (rows["doc_id"].eqNullSafe(ids["doc_id"])) & (rows["text_sha256"] == ids["text_sha256"])
-    named = written(rows.join(ids, on).select(rows["doc_id"], rows["text_sha256"], "times", "level", "name"), "named-rows")
+    named = written(block_identities(docs, id_col, text_col, block_bytes, hash_bits), "identities")
     groups = named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
     out = named.join(groups, ["level", "name"])
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))

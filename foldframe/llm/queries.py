@@ -5,20 +5,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from . import sql
+from .byte_bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .sharding import shard_rows
 from .simhash import simhash_dedup
+from .sketches import document_fingerprints
+from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -27,8 +46,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_documents(spark, sf_dir)).drop("moved")
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(_documents(spark, sf_dir))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op7_exact_dedup, op8_sharding)}
+    return {f.__name__: f for f in (
+        op1_token_counts, op3_simhash_near_dedup, op4_best_fit_packing, op6_byte_bpe, op7_exact_dedup, op8_sharding,
+        op9_document_fingerprints, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
