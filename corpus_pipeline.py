@@ -1,10 +1,82 @@
-"""Corpus pipeline: documents -> toxicity filter -> exact dedup -> near dedup -> repeated passages -> packed sequences."""
-STAGES = []
+"""Corpus pipeline: documents -> toxic documents out -> exact copies out -> near copies out -> repeated passages cut ->
+packed sequences.
+
+Each stage takes what its predecessor kept (all of it) and returns a table with the columns of ``documents``; the last
+returns the packed pieces. ``run`` writes each stage's result to the shared checkpoint folder and reads it again.
+
+Defined results: an empty or null text is kept unless another row has the same (empty) text; a document that loses all
+its bytes stays as an empty text; rows that repeat an id go or stay together in the near-copy stage.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import public_tokenizers
+from foldframe.llm.common import map_batches, ready, written
+from foldframe.llm.exact_dedup import exact_dedup, lower_az
+from foldframe.llm.packing import pack
+from foldframe.llm.simhash import simhash_dedup
+from foldframe.llm.suffix_dedup import remove_repeats
+from foldframe.llm.toxicity import fit, labelled_words, score
+
+#: Not expressible in SQL: the classifier, near copies by fingerprints, tokenisation.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not reject, fitted on the labelled ones among them."""
+    model = fit(labelled_words(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    scored = score(docs, model, keep=docs.columns)
+    return scored.where("not toxic").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with the same text but for the case of A-Z, the one with the largest id."""
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    named = docs.withColumn("_norm", F.sha2(lower_az(F.coalesce("text", F.lit(""))).cast("binary"), 256))
+    stay = named.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_norm") == F.col("_sha")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "_norm"]).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints, the document with the smallest id."""
+    kept = simhash_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has; a character cut in half goes."""
+    def text(cols):
+        new = [t.decode("utf-8", "ignore") for t in cols["kept"]]
+        return {"new": new, "n": [len(t) for t in new]}
+
+    n = len(docs.columns)
+    cut = remove_repeats(docs, keep=tuple(docs.columns), with_text=True)
+    cut = map_batches(cut, text, "new string, n long", keep=[*[f"k{i}" for i in range(n)], "n_removed"])
+    column = {c: F.col(f"k{i}") for i, c in enumerate(docs.columns)}
+    changed = F.col(f"k{n}") > 0  # n_removed
+    column["text"] = F.when(changed, F.col("new")).otherwise(column["text"])
+    column["n_chars"] = F.when(changed, F.col("n").cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
+    return cut.select(*[column[c].alias(c) for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their token ids and their place in sequences of at most 4096 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("simhash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("best-fit packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = ready(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for i, (_, stage) in enumerate(STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"stage-{i}")
     return docs

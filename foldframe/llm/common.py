@@ -40,16 +40,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], ddl: str) -> DataFrame:
-    """``fn`` turns the columns of one Arrow batch (lists) into output columns (lists or arrays)."""
-    struct = T.StructType.fromDDL(ddl)
+def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], ddl: str, keep: list[str] | None = None) -> DataFrame:
+    """``fn`` turns the columns of one Arrow batch (lists) into output columns (lists or arrays).
+
+    The columns in ``keep`` pass unchanged, before the others, as ``k0``, ``k1``, ... whatever their names are."""
+    keep = keep or []
+    new = T.StructType.fromDDL(ddl)
+    struct = T.StructType([*[T.StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(keep)], *new.fields])
     schema = to_arrow_schema(struct)
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                out = fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
+                col = dict(zip(names, batch.columns))
+                out = fn({n: c.to_pylist() for n, c in col.items() if n not in keep})
+                arrays = [*[col[c].cast(f.type) for c, f in zip(keep, schema)], *[pa.array(out[f.name], type=f.type) for f in list(schema)[len(keep):]]]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return df.mapInArrow(run, struct)
 

@@ -10,10 +10,12 @@ import public_tokenizers
 from . import sql
 from .byte_bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .language_model import lm_scores
 from .packing import pack
 from .sharding import shard_rows
 from .simhash import simhash_dedup
 from .sketches import document_fingerprints
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import toxicity
 
@@ -26,6 +28,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -34,6 +40,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -56,8 +66,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_token_counts, op3_simhash_near_dedup, op4_best_fit_packing, op6_byte_bpe, op7_exact_dedup, op8_sharding,
-        op9_document_fingerprints, op10_toxicity)}
+        op1_token_counts, op2_suffix_dedup, op3_simhash_near_dedup, op4_best_fit_packing, op5_lm_scoring, op6_byte_bpe,
+        op7_exact_dedup, op8_sharding, op9_document_fingerprints, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

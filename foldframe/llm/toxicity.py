@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_texts, map_batches, written
+from .common import binary_texts, map_batches, ready, written
 
 #: Bound on the labelled rows that the model is fitted on.
 SAMPLE = 8000
@@ -105,18 +105,21 @@ def fit(rows: list[tuple[int, list[bytes]]], grades: int = GRADES, l1: float = 2
 
 
 def score(docs: DataFrame, model: tuple[dict[bytes, float], list[float]], id_col: str = "doc_id", text_col: str = "text",
-          cut: float = CUT) -> DataFrame:
-    """One row for each input row: ``doc_id, severity, p_toxic, toxic``."""
+          cut: float = CUT, keep: list[str] | None = None) -> DataFrame:
+    """One row for each input row: the kept columns (``k0``, ``k1``, ...), ``doc_id, severity, p_toxic, toxic``."""
     weights, thresholds = model
     known = frozenset(weights)
+    keep = keep or []
 
     def run(cols):
         # in the order of the words: the same sum wherever a document is scored
-        z = np.array([sum(weights[w] for w in sorted(known.intersection(words(t)))) for t in cols["text"]], float)
+        z = np.array([sum(weights[w] for w in sorted(known.intersection(words(t)))) for t in cols["_text"]], float)
         p = 1 / (1 + np.exp(-np.clip(z[None, :] - np.array(thresholds)[:, None], -500, 500))) if thresholds else np.zeros((1, len(z)))
-        return {"doc_id": cols["doc_id"], "severity": p.sum(axis=0), "p_toxic": p[0], "toxic": (p[0] >= cut).tolist()}
+        return {"doc_id": cols["_id"], "severity": p.sum(axis=0), "p_toxic": p[0], "toxic": (p[0] >= cut).tolist()}
 
-    return map_batches(binary_texts(docs, id_col, text_col), run, "doc_id long, severity double, p_toxic double, toxic boolean")
+    d = ready(docs).select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], F.col(f"`{id_col}`").cast("long").alias("_id"),
+                           F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("_text"))
+    return map_batches(d, run, "doc_id long, severity double, p_toxic double, toxic boolean", [f"_k{i}" for i in range(len(keep))])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
