@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from .common import map_batches, texts
 from .token_counts import read_ranks, runs_of
 
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 1_000_000
 #: Words of one recursive query, and bytes of text decoded by one query.
 QUERY_WORDS, QUERY_BYTES = 20_000, 4_000_000
 #: A longer word (bytes) would take a round for each of its pairs: it is contracted alone, by the same rule.
@@ -108,13 +108,12 @@ class Codec:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM pairs")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM entries")
         self.merges = dict(zip(zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()), pairs["rank"].to_pylist()))
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}  # ids of words, and of runs of words
 
     def _learn(self, words: list[str]) -> None:
         for w in (w for w in words if len(w) * 4 > LONG_WORD and len(w.encode()) > LONG_WORD):
-            self.words[w] = np.array(contract(self.byte_ids[np.frombuffer(w.encode(), np.uint8)].tolist(), self.merges), "<u4").tobytes()
-        words = [w for w in words if w not in self.words]
+            self.memory[w] = np.array(contract(self.byte_ids[np.frombuffer(w.encode(), np.uint8)].tolist(), self.merges), "<u4").tobytes()
+        words = [w for w in words if w not in self.memory]
         for i in range(0, len(words), QUERY_WORDS):
             part = words[i:i + QUERY_WORDS]
             raw = [w.encode() for w in part]
@@ -127,23 +126,29 @@ class Codec:
             ends = ids.offsets.to_numpy().tolist()
             flat = ids.values.to_numpy().astype("<u4").tobytes()
             for k, w in enumerate(got.column("word").to_pylist()):
-                self.words[part[w]] = flat[4 * ends[k]:4 * ends[k + 1]]
+                self.memory[part[w]] = flat[4 * ends[k]:4 * ends[k + 1]]
+
+    def _words(self, run: str) -> list[str]:
+        """The pattern's matches in a run; letters, and letters with a last comma or full stop, need no matching."""
+        letters = run[1:] if run[:1] == " " else run
+        if letters.isalpha():
+            return [run]
+        if letters[-1:] in (",", ".") and letters[:-1].isalpha():
+            return [run[:-1], run[-1]]
+        return self.pattern.findall(run)
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > MEMORY_WORDS or len(self.runs) > MEMORY_WORDS:
-            self.words.clear()
-            self.runs.clear()
+        memory = self.memory
+        if len(memory) > MEMORY_WORDS:
+            memory.clear()
         split = [runs_of(t) for t in texts_]
         # a run of text between spaces is matched once; a text with double spaces is matched whole
-        new = {r: self.pattern.findall(r) for r in {r for rs in split if rs is not None for r in rs} if r not in self.runs}
-        whole = [None if rs is not None else self.pattern.findall(t) for t, rs in zip(texts_, split)]
-        unknown = {w for ws in new.values() for w in ws if w not in self.words} | {w for ws in whole if ws for w in ws if w not in self.words}
-        self._learn(sorted(unknown))
-        for r, ws in new.items():
-            self.runs[r] = b"".join(map(self.words.__getitem__, ws))
-        return [b"".join(map(self.runs.__getitem__, rs)) if rs is not None else b"".join(map(self.words.__getitem__, ws))
-                for rs, ws in zip(split, whole)]
+        new = {r: self._words(r) for r in set().union(*[rs for rs in split if rs is not None]).difference(memory)}
+        whole = {i: self.pattern.findall(t) for i, (t, rs) in enumerate(zip(texts_, split)) if rs is None}
+        self._learn(sorted(set().union(*new.values(), *whole.values()).difference(memory)))
+        memory.update((r, b"".join(map(memory.__getitem__, ws))) for r, ws in new.items() if len(ws) != 1 or ws[0] != r)
+        return [b"".join(map(memory.__getitem__, whole[i] if rs is None else rs)) for i, rs in enumerate(split)]
 
     def decode(self, ids_: list[bytes]) -> list[bytes]:
         out, i = [], 0

@@ -50,44 +50,48 @@ def _memory(path: str) -> dict:
 
 
 def _learn(tok, memory: dict[str, bytes], new: set[str]) -> None:
-    """Ids of runs that are new. Words of letters go through the tokenizer many at a time, one pre-token each."""
-    # a last comma or full stop after a letter is a pre-token of its own; ASCII letters lose their case
-    stem = {r: r[:-1] if len(r) > 1 and r[-1] in ",." and r[-2].isalpha() else r for r in new}
-    low = {s: s.lower() if s.isascii() else s for s in stem.values()}
-    missing = sorted({w for w in low.values() if w not in memory})
-    letters, rest = [w for w in missing if w.isalpha()], [w for w in missing if not w.isalpha()] + [",", "."]
+    """Ids of runs that are new. Words of letters go through the tokenizer many at a time, one pre-token each; a last
+    comma or full stop after them is a pre-token of its own."""
+    stem = {r: r[:-1] for r in new if r[-1] in ",." and r[:-1].isalpha()}
+    words = sorted((new.difference(stem) | set(stem.values()) | {",", "."}).difference(memory))
+    letters, rest = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
     for i in range(0, len(letters), 500):
         part = letters[i:i + 500]
         e = tok.encode(" ".join(part), add_special_tokens=False)
         ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
         if len(ids) and (np.diff(word) >= 0).all() and word[-1] + 1 == len(part):
             ends = np.searchsorted(word, np.arange(len(part) + 1)).tolist()
-            memory.update((w, ids[ends[k]:ends[k + 1]].tobytes()) for k, w in enumerate(part))
+            flat = ids.tobytes()
+            memory.update((w, flat[4 * ends[k]:4 * ends[k + 1]]) for k, w in enumerate(part))
         else:
             rest += part
     memory.update((w, np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in rest)
-    for r, s in stem.items():
-        memory[r] = memory[low[s]] + (b"" if r == s else memory[r[-1]])
+    memory.update((r, memory[s] + memory[r[-1]]) for r, s in stem.items())
 
 
-def encode_texts(texts_: list[str], path: str) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text.
+def runs_of(text: str) -> list[str]:
+    """Parts whose ids in turn are the text's: the pre-tokeniser never joins over white space. The tokenizer lower-cases
+    anyway; doing it first, where a letter's lower case does not depend on its place (Latin-1), leaves fewer distinct
+    parts. Python also splits at \\x1c-\\x1f, which are no white space for the tokenizer: a text with them is one part."""
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return [text]
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split()
+    return text.lower().split()
+
 
-    The normaliser and the pre-tokeniser never join over white space, so a text's ids are those of its runs of other
-    characters in turn; each distinct run is encoded once. Python also splits at \\x1c-\\x1f, which are no white space
-    there: texts with them are encoded whole."""
+def encode_texts(texts_: list[str], path: str) -> list[bytes]:
+    """Little-endian unsigned 32-bit ids of each text; each distinct part is encoded once."""
     tok, memory = _tokenizer(path), _memory(path)
     if len(memory) > MEMORY_WORDS:
         memory.clear()
     out, step = [], 256
     for i in range(0, len(texts_), step):
-        part = texts_[i:i + step]
-        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in part]
-        runs = [[] if o else t.split() for t, o in zip(part, odd)]
-        _learn(tok, memory, {r for rs in runs for r in rs if r not in memory})
-        for rs, t, o in zip(runs, part, odd):
-            out.append(np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if o
-                       else b"".join(map(memory.__getitem__, rs)))
+        runs = [runs_of(t) for t in texts_[i:i + step]]
+        _learn(tok, memory, set().union(*runs).difference(memory))
+        out += [b"".join(map(memory.__getitem__, rs)) for rs in runs]
     return out
 
 
