@@ -5,7 +5,7 @@ All suffixes of a large corpus cannot be sorted, so the work is cut where equal
 
 1. Documents are gathered into chunks (rows of a written table). Every ``SPAN``-byte window has a key, the least hash of
    its ``GRAM``-byte pieces: equal windows have equal keys, and neighbouring windows mostly share theirs, so a chunk is
-   some runs of windows with one key. Keys, 4 bytes each and one for each chunk, are shuffled by value; those that no
+   some runs of windows with one key. Keys, 32 bits each and one for each chunk, are shuffled by value; those that no
    other document has are answered "alone" and their windows are done.
 2. Each chunk sends the distinct contexts (run of windows and the bytes that they cover) of the other keys to the key's
    bucket, with the smallest id that has the context in the chunk.
@@ -51,11 +51,13 @@ CHUNK_BYTES = 4 << 20
 RUN_WINDOWS = 32
 HOT_CHUNKS = 256
 NO_ID = -(1 << 63)
+#: zstd level of texts in written tables and shuffles.
+LEVEL = 9
 MESSAGE = "bucket int, chunk long, payload binary"
 
 
 def pack(*arrays) -> bytes:
-    return zstandard.compress(pickle.dumps(arrays, protocol=5), 3)
+    return zstandard.compress(pickle.dumps(arrays, protocol=5), LEVEL)
 
 
 def unpack(blob: bytes) -> tuple:
@@ -118,7 +120,23 @@ def window_runs(body: np.ndarray, ends: np.ndarray, span: int = SPAN, gram: int
 
 def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket by the high bits: sorted keys have sorted buckets."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    return (_scaled(keys, buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _scaled(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """keys * buckets / 2 ** 32: the bucket, and 32 bits of the place in it."""
+    return (keys >> np.uint64(32)) * np.uint64(buckets) + ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32))
+
+
+def _gaps(sorted_: np.ndarray) -> bytes:
+    """A sorted array of 32-bit numbers as gaps, byte by byte, compressed."""
+    gaps = np.diff(sorted_.astype(np.int64), prepend=0).astype("<u4")
+    return zstandard.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _from_gaps(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
 
 
 def _heads(sorted_: np.ndarray) -> np.ndarray:
@@ -231,7 +249,7 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, keep: list[str], ch
             nonlocal held, size, made
             ids, texts, extra = ([x for part in held for x in part[k].to_pylist()] for k in range(3))
             out = {"chunk": base + made, "ids": ids, "ends": np.cumsum([len(t) for t in texts]).tolist(),
-                   "body": zstandard.compress(b"".join(texts), 3), "rest": extra}
+                   "body": zstandard.compress(b"".join(texts), LEVEL), "rest": extra}
             held, size, made = [], 0, made + 1
             return pa.RecordBatch.from_pylist([out], schema=schema)
 
@@ -259,7 +277,7 @@ def _messages(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _send_keys(buckets: int, span: int, gram: int):
-    """Distinct keys of each chunk, 4 bytes each: the low bits, the last of them saying that two of its documents have it."""
+    """Distinct keys of each chunk, their place in the bucket in 32 bits, the last saying that two of its documents have it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -269,9 +287,9 @@ def _send_keys(buckets: int, span: int, gram: int):
                     continue
                 ids, key = ids[order], key[order][head]
                 both = np.minimum.reduceat(ids, head) != np.maximum.reduceat(ids, head)
-                short = (key & np.uint64(0xFFFFFFFE) | both.astype(np.uint64)).astype("<u4")
+                short = _scaled(key, buckets) & np.uint64(0xFFFFFFFE) | both.astype(np.uint64)
                 cut = np.searchsorted(buckets_of(key, buckets), np.arange(buckets + 1))
-                yield _messages([(b, c.chunk, short[cut[b]:cut[b + 1]].tobytes()) for b in range(buckets) if cut[b] < cut[b + 1]])
+                yield _messages([(b, c.chunk, _gaps(np.sort(short[cut[b]:cut[b + 1]]))) for b in range(buckets) if cut[b] < cut[b + 1]])
 
     return run
 
@@ -279,7 +297,7 @@ def _send_keys(buckets: int, span: int, gram: int):
 def _answer_keys(hot_chunks: int):
     """For each chunk's keys, as bits: is it in another document too; do very many chunks have it."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(p, "<u4") for p in table.column("payload").to_pylist()]
+        parts = [_from_gaps(p) for p in table.column("payload").to_pylist()]
         all_ = np.concatenate(parts)
         _, at, n = np.unique(all_ >> 1, return_inverse=True, return_counts=True)
         shared = (n > 1) | (np.bincount(at, all_ & 1) > 0)
@@ -333,7 +351,7 @@ def _send_contexts(buckets: int, span: int, gram: int):
         place = np.empty(len(sort), np.int64)
         place[sort] = np.arange(len(sort))
         a, w, at, d = np.array(spots, np.int64).reshape(-1, 4).T
-        rows.append((-1, c.chunk, pack(a, w.astype(np.uint8), place[at].astype(np.int32), d > least[at] if len(at) else np.zeros(0, bool))))
+        rows.append((-1, c.chunk, pack(_gaps(a), w.astype(np.uint8), place[at].astype(np.int32), d > least[at] if len(at) else np.zeros(0, bool))))
         return pa.Table.from_batches([_messages(rows)])
 
     return run
@@ -382,6 +400,7 @@ def _cut(struct: T.StructType, n_keep: int, span: int):
         c = _Chunk(row)
         said = sorted(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist()))
         start, n, at, larger = unpack(said[0][1])  # bucket -1
+        start = _from_gaps(start)
         bits = np.concatenate([np.zeros(0, np.uint32), *[unpack(p)[0] for _, p in said[1:]]]).astype("<u4")
         size = len(c.bytes)
         # runs of a document that is not the chunk's smallest are covered whole, the others window by window

@@ -15,6 +15,7 @@ each; an empty table gives an empty table; other columns are ignored.
 """
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -44,14 +45,14 @@ def labelled_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_
     d = binary_texts(docs, id_col, text_col).join(F.broadcast(lab), F.col("doc_id") == F.col("of_id"))
 
     def run(cols):
-        return {"doc_id": cols["doc_id"], "toxic": cols["toxic"], "words": [b" ".join(sorted(set(words(t)))) for t in cols["text"]]}
+        return {"copy": [hashlib.sha256(t).digest() for t in cols["text"]], "toxic": cols["toxic"], "words": [b" ".join(sorted(set(words(t)))) for t in cols["text"]]}
 
-    rows = map_batches(d.select("doc_id", "toxic", "text"), run, "doc_id long, toxic int, words binary").toPandas()
+    rows = map_batches(d.select("toxic", "text"), run, "copy binary, toxic int, words binary").toPandas()
     # copies count once, with their largest label: else the words of an often copied document speak too loud
-    label: dict[bytes, int] = {}
-    for _, toxic, w in sorted(zip(rows["doc_id"], rows["toxic"], map(bytes, rows["words"]))):
-        label[w] = max(label.get(w, 0), int(toxic > 0))
-    return [(t, w.split()) for w, t in label.items()]
+    found: dict[bytes, tuple[int, bytes]] = {}
+    for copy, toxic, w in sorted(zip(map(bytes, rows["copy"]), rows["toxic"], map(bytes, rows["words"]))):
+        found[copy] = (int(toxic > 0), w)
+    return [(t, w.split()) for t, w in found.values()]
 
 
 def grade(rows: list[tuple[int, list[bytes]]], grades: int = GRADES) -> np.ndarray:
@@ -84,22 +85,32 @@ def fit(rows: list[tuple[int, list[bytes]]], grades: int = GRADES, l1: float = 2
     base = np.clip(reached.mean(axis=1), 1 / (2 * n), 1 - 1 / (2 * n))
     t = -np.log(base / (1 - base))
     w = np.zeros(dims)
-    # a word's step is bounded by the share of rows that hold it and how many words a row has with it
+    # a word's step follows the share of rows that hold it; a step that makes the objective worse halves all steps
     share = np.bincount(col_of, minlength=dims) / n
     rate = 1.0 / (0.25 * grades * np.maximum(share, 1 / n) * 8)
-    v, s = w.copy(), t.copy()
-    for i in range(steps):
-        z = np.bincount(row_of, v[col_of], minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(z[None, :] - s[:, None], -30, 30)))
-        err = p - reached
+
+    def at_point(w_, t_):
+        z = np.bincount(row_of, w_[col_of], minlength=n)
+        m = np.clip(z[None, :] - t_[:, None], -500, 500)
+        loss = (np.logaddexp(0, m) - reached * m).sum(axis=0).mean() + l1 * np.abs(w_).sum()
+        return loss, 1 / (1 + np.exp(-m)) - reached
+
+    v, s, since, best = w.copy(), t.copy(), 0, np.inf
+    for _ in range(steps):
+        _, err = at_point(v, s)
         g = np.bincount(col_of, err.sum(axis=0)[row_of], minlength=dims) / n
         new_w = v - rate * g
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - rate * l1, 0)
-        new_w = np.clip(new_w, -12, 12)
         new_t = np.maximum.accumulate(s + 0.5 * err.mean(axis=1))
-        m = i / (i + 3) if i < steps // 2 else 0.0  # momentum first, then plain steps to settle
+        loss, _ = at_point(new_w, new_t)
+        if loss > best + 1e-12:
+            if not since:  # a plain step, too long
+                rate = rate / 2
+            v, s, since = w.copy(), t.copy(), 0  # again from the last good point, without momentum
+            continue
+        m = since / (since + 3)
         v, s = new_w + m * (new_w - w), np.maximum.accumulate(new_t + m * (new_t - t))
-        w, t = new_w, new_t
+        w, t, best, since = new_w, new_t, loss, since + 1
     words_ = sorted(at)
     return {words_[i]: float(w[i]) for i in np.flatnonzero(w)}, t.tolist()
 
