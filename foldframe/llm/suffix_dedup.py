@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ready, written
+from .common import ready, release, written
 
 SPAN, GRAM, STEP = 50, 24, 8
 CHUNK_BYTES = 4 << 20
@@ -435,9 +435,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chunks = chunk_table(docs, id_col, text_col, list(keep), chunk_bytes)
     n = buckets or max(8, 2 * chunks.count())
     light = chunks.select("chunk", "ids", "ends", "body")
-    asked = light.mapInArrow(_send_keys(n, span, gram), MESSAGE)
-    known = asked.groupBy("bucket").applyInArrow(_answer_keys(hot_chunks), MESSAGE)
+    known = light.mapInArrow(_send_keys(n, span, gram), MESSAGE).groupBy("bucket").applyInArrow(_answer_keys(hot_chunks), MESSAGE)
     sent = written(light.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_send_contexts(n, span, gram), MESSAGE), "contexts")
+    del known
+    release(sent.sparkSession)
     answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer_contexts(span), MESSAGE)
     rest = chunks.schema["rest"].dataType.elementType
     struct = T.StructType([*[T.StructField(f"k{i}", rest[f"c{i}"].dataType) for i in range(len(keep))],
