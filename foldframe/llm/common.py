@@ -1,7 +1,6 @@
 """Helpers shared by the operators of this folder: input columns, written tables, ranks without a hot window."""
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,13 +40,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark) -> None:
-    """Let go of the shuffle files of steps whose results are written: Spark removes them once the driver has collected
-    its garbage, which on a roomy driver may be long after the disks of the executors are full."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], ddl: str, keep: list[str] | None = None) -> DataFrame:
     """``fn`` turns the columns of one Arrow batch (lists) into output columns (lists or arrays).
 
