@@ -82,13 +82,13 @@ def runs_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def encode_texts(texts_: list[str], path: str) -> list[bytes]:
+def encode_texts(texts_: list[str], path: str, memory_words: int = MEMORY_WORDS) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text; each distinct part is encoded once."""
     tok, memory = _tokenizer(path), _memory(path)
-    if len(memory) > MEMORY_WORDS:
-        memory.clear()
     out, step = [], 256
     for i in range(0, len(texts_), step):
+        if len(memory) > memory_words:
+            memory.clear()
         runs = [runs_of(t) for t in texts_[i:i + step]]
         _learn(tok, memory, set().union(*runs).difference(memory))
         out += [b"".join(map(memory.__getitem__, rs)) for rs in runs]
@@ -96,13 +96,13 @@ def encode_texts(texts_: list[str], path: str) -> list[bytes]:
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, memory_words: int = MEMORY_WORDS) -> DataFrame:
     """Pieces of each document: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (binary)."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(cols):
         out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-        for doc, ids in zip(cols["doc_id"], encode_texts(cols["text"], path)):
+        for doc, ids in zip(cols["doc_id"], encode_texts(cols["text"], path, memory_words)):
             ids += end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
@@ -217,9 +217,9 @@ def place_rows(plan: list[tuple[int, list[int]]], capacity: int) -> list[tuple[i
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, memory_words: int = MEMORY_WORDS) -> DataFrame:
     """One row for each piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``)."""
-    p = written(pieces(docs, path, id_col, text_col, capacity, with_ids), "pieces")
+    p = written(pieces(docs, path, id_col, text_col, capacity, with_ids, memory_words), "pieces")
     spark = p.sparkSession
     # at most ``capacity`` rows, whatever the number of documents
     hist = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
