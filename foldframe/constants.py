@@ -56,8 +56,6 @@ MAX_TARGET_RESIDUES = 2000
 BATCH_STAGE_SIZE = 500
 COMPACT_TARGET_MB = 128
 EMPTY_METADATA = "{ }"
-# Suffix the original puts between a query chain's name and its domain number.
-QUERY_DOMAIN_SUFFIX = "_merizo"
 FRAME_EPS = 1e-8
 
 # Output field names accepted by the hit writer, in the default order, and the

@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import QUERY_DOMAIN_SUFFIX
 
 
 def _c(c) -> Column:
@@ -41,7 +40,7 @@ def chain_of_domain(name) -> Column:
     return F.regexp_replace(s, r"_TED$", "")
 
 
-def query_chain(name, suffix: str = QUERY_DOMAIN_SUFFIX) -> Column:
+def query_chain(name, suffix: str) -> Column:
     """Query domain name -> query chain: strip ``<suffix>_<digits>`` at the end."""
     return F.regexp_replace(_c(name), suffix + r"_[0-9]+$", "")
 

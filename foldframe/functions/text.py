@@ -4,40 +4,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ALIGNED = r"Aligned length=\s*(\d+),\s+RMSD=\s*([0-9.]+),\s+Seq_ID=n_identical/n_aligned=\s*([0-9.]+)"
-TM_SCORE = r"TM-score=\s*([0-9.]+)"
-ALIGNMENT_MARK = '(":" denotes residue pairs'
+# fixed values: labels of the aligner's output
+LENGTH_LABEL = "Aligned length="
+RMSD_LABEL = "RMSD="
+IDENTITY_LABEL = "n_identical/n_aligned="
+TM_LABEL = "TM-score="
+ALIGNMENT_LABEL = '(":" denotes residue pairs'
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def number_after(report, label: str, nth: int = 1) -> Column:
+    """The number behind the ``nth`` occurrence of a label; null where there is none or it is no number."""
+    behind = F.try_element_at(F.split(_c(report), "\\Q" + label + "\\E"), F.lit(nth + 1))
+    return F.regexp_substr(F.ltrim(behind), F.lit("^[0-9]*[.]?[0-9]+")).try_cast("double")
+
+
 def aligner_fields(report) -> list[Column]:
-    """``len_ali, rmsd, seq_id, qtm, ttm`` from an aligner report (first two TM-scores)."""
-    r = _c(report)
-    has = r.rlike(ALIGNED)
-    tms = F.regexp_extract_all(r, F.lit(TM_SCORE), 1)
+    """``len_ali, rmsd, seq_id, qtm, ttm`` from an aligner report (first two TM-scores); each null where it is missing."""
     return [
-        F.when(has, F.regexp_extract(r, ALIGNED, 1).cast("int")).alias("len_ali"),
-        F.when(has, F.regexp_extract(r, ALIGNED, 2).cast("double")).alias("rmsd"),
-        F.when(has, F.regexp_extract(r, ALIGNED, 3).cast("double")).alias("seq_id"),
-        F.element_at(tms, 1).cast("double").alias("qtm"),
-        F.element_at(tms, 2).cast("double").alias("ttm"),
+        number_after(report, LENGTH_LABEL).try_cast("int").alias("len_ali"),
+        number_after(report, RMSD_LABEL).alias("rmsd"),
+        number_after(report, IDENTITY_LABEL).alias("seq_id"),
+        number_after(report, TM_LABEL).alias("qtm"),
+        number_after(report, TM_LABEL, 2).alias("ttm"),
     ]
 
 
 def alignment_lines(report) -> Column:
-    """The three lines after the alignment marker, joined by newlines (null when absent)."""
-    r = _c(report)
-    pos = F.instr(r, ALIGNMENT_MARK)
-    tail = F.substring(r, pos, 1 << 30)
-    return F.when(pos > 0, F.array_join(F.slice(F.split(tail, "\n"), 2, 3), "\n"))
+    """The three lines below the line that explains the alignment's signs, joined by newlines (null when absent)."""
+    lines = F.split(_c(report), "\n")
+    at = F.array_position(F.transform(lines, lambda x: x.contains(ALIGNMENT_LABEL)), F.lit(True))
+    return F.when(at > 0, F.array_join(F.slice(lines, (at + 1).cast("int"), 3), "\n"))
 
 
 def report_mean(first_line) -> Column:
     """Mean pLDDT from a report header ``#<file> Results. mean plddt: <v>``."""
-    return F.trim(F.element_at(F.split(_c(first_line), "mean plddt:"), 2)).cast("double")
+    return F.trim(F.try_element_at(F.split(_c(first_line), "mean plddt:"), F.lit(2))).try_cast("double")
 
 
 def parse_boundary(s) -> Column:

@@ -13,7 +13,7 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 _OFFSETS = [list(o) for o in itertools.product((-1, 0, 1), repeat=3)]
 
@@ -83,37 +83,26 @@ def same_label_edges(edges: DataFrame, labels: DataFrame, keys, node: str = "res
     return e.where((F.col("_li") == F.col("_lj")) & (F.col("_li") != 0)).drop("_li", "_lj")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, keys, node: str = "node",
-                         checkpoint_every: int = 1, max_rounds: int = 10_000) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, keys, node: str = "node") -> DataFrame:
     """Component of every node = smallest node id reachable through ``edges`` (``i``, ``j``).
 
-    Min-label propagation with pointer jumping: each round every node takes the smallest label
-    among itself and its neighbours, then the label of its label. Rounds repeat until no label
-    changes (checked with a count on the materialised labels); the lineage is cut with ``checkpoint()`` into the session's
-    checkpoint folder every round (one row per node), so no round recomputes earlier ones.
-    Nodes are never collected to the driver."""
+    Min-label propagation with pointer jumping: each round every node takes the smallest label among itself and its
+    neighbours, then the label of its label, until no label changes. Both steps of a round are checkpointed into the
+    session's checkpoint folder (one row per node), so each is evaluated once. Nodes are never collected to the driver."""
+    ensure_checkpoint_dir(nodes.sparkSession)
     und = edges.select(*keys, F.col("i").alias("src"), F.col("j").alias("dst")).unionByName(
-        edges.select(*keys, F.col("j").alias("src"), F.col("i").alias("dst"))).distinct()
-    lab = nodes.select(*keys, F.col(node).alias("v"), F.col(node).alias("c"))
-    has_ckpt = bool(checkpoint_dir(lab.sparkSession))
-    if has_ckpt:
-        # the loop reads both inputs every round: materialise them once, lineage cut
-        und, lab = und.checkpoint(), lab.checkpoint()
-    for rnd in range(1, max_rounds + 1):
+        edges.select(*keys, F.col("j").alias("src"), F.col("i").alias("dst"))).distinct().checkpoint()
+    lab = nodes.select(*keys, F.col(node).alias("v"), F.col(node).alias("c")).checkpoint()
+    while True:
         nb = und.join(lab.select(*keys, F.col("v").alias("src"), F.col("c").alias("cs")), [*keys, "src"]).groupBy(
             *keys, F.col("dst").alias("v")).agg(F.min("cs").alias("cn"))
-        new = lab.join(nb, [*keys, "v"], "left").select(*keys, "v", F.least("c", F.coalesce("cn", "c")).alias("c"))
-        # pointer jumping: adopt the label of the node named by the label
-        jump = new.select(*keys, F.col("v").alias("c"), F.col("c").alias("cc"))
-        new = new.join(jump, [*keys, "c"], "left").select(*keys, "v", F.least("c", F.coalesce("cc", "c")).alias("c"))
-        if has_ckpt and rnd % checkpoint_every == 0:
-            new = new.checkpoint()
-        changed = new.join(lab.select(*keys, "v", F.col("c").alias("c_old")), [*keys, "v"]).where(
-            F.col("c") != F.col("c_old")).limit(1).count()
-        lab = new
-        if changed == 0:
-            break
-    return lab.select(*keys, F.col("v").alias(node), F.col("c").alias("component"))
+        near = lab.join(nb, [*keys, "v"], "left").select(
+            *keys, "v", F.col("c").alias("c_old"), F.least("c", F.coalesce("cn", "c")).alias("c")).checkpoint()
+        jump = near.select(*keys, F.col("v").alias("c"), F.col("c").alias("cc"))
+        new = near.join(jump, [*keys, "c"], "left").select(*keys, "v", "c_old", F.least("c", F.coalesce("cc", "c")).alias("c")).checkpoint()
+        lab = new.select(*keys, "v", "c")
+        if new.where(F.col("c") != F.col("c_old")).limit(1).count() == 0:
+            return lab.select(*keys, F.col("v").alias(node), F.col("c").alias("component"))
 
 
 def number_components(comp: DataFrame, keys) -> DataFrame:

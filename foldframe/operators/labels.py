@@ -131,7 +131,7 @@ def clean_labels(df: DataFrame, keys, min_domain: int, min_fragment: int, label:
                  pos: str = "pos") -> DataFrame:
     """Only when a chain has more than one distinct label (0 included): absorb small domains,
     then clean short runs."""
-    multi = F.size(F.collect_set(label).over(_all(keys))) > 1
+    multi = F.min(label).over(_all(keys)) != F.max(label).over(_all(keys))
     d = df.withColumn("_multi", multi).withColumn("_orig0", F.col(label))
     d = absorb_small_domains(d, keys, min_domain, label, pos)
     d = clean_short_runs(d, keys, min_fragment, label, pos)
@@ -270,8 +270,9 @@ def iterate_resegment(df: DataFrame, keys, segmenter, average_size: int, max_rou
             break
         seg = segmenter(d.where("_sel"), keys).select(*keys, pos, "sub")
         d = d.join(seg, [*keys, pos], "left").withColumn("sub", F.coalesce("sub", F.lit(0)))
-        parts = F.size(F.collect_set("sub").over(Window.partitionBy(*keys, label)))
-        d = d.withColumn("_done", F.col("_done") | (F.col("_sel") & (parts == 1)))
+        domain = Window.partitionBy(*keys, label)
+        one_part = F.min("sub").over(domain) == F.max("sub").over(domain)
+        d = d.withColumn("_done", F.col("_done") | (F.col("_sel") & one_part))
         new = F.dense_rank().over(Window.partitionBy(*keys).orderBy(label, "sub"))
         d = d.withColumn(label, F.when(F.col(label) == 0, F.lit(0)).otherwise(new).cast("int")).drop("sub", "_sel")
         # ids were renumbered: a domain marked done keeps its flag through the renumbering

@@ -1,69 +1,59 @@
-"""Exact cosine search of query domains against a target database.
-
-Two physical strategies, one result:
-
-* **Broadcast queries, scan targets in place** (default). When the query set has at most
-  ``broadcast_rows`` rows (checked with a count before anything is collected), the query
-  vectors are shipped to every executor once as a broadcast variable and the target table is
-  scored where it lies: ``mapInArrow`` over the target scan reshapes each Arrow batch of vectors
-  into a matrix (no per-row Python objects), multiplies chunks of targets by the query block
-  with numpy and keeps a running top-k per query, emitting only ``k`` rows per
-  query per partition. The target table is never shuffled; only the small candidate rows are,
-  for the final ``row_number`` top-k (whose partial ``WindowGroupLimit`` runs before the
-  shuffle). This is the "batch of queries against one pass of the database" of the original.
-* **Blocked product** (query sets above the bound, or when block sizes are given). Queries
-  are hashed into ``nq`` blocks and targets into ``nt`` blocks; every query row is sent to every
-  target block and vice versa, and ``cogroup(qb, tb).applyInPandas`` runs the same kernel per
-  block pair. Nothing passes through the driver.
-
-No pair table is materialised in either path. Ranking key everywhere: score rounded to 4
-decimals, descending, then ``dbindex`` ascending, so results do not depend on block sizes,
-chunk sizes or partition counts.
+"""Exact cosine search of query domains against a target database: one plan, one ranking rule.
+
+Queries are hashed into ``nq`` blocks and targets into ``nt`` blocks of bounded size; a query row is sent to every target
+block and a target row to every query block, and ``cogroup(qb, tb).applyInArrow`` scores a block pair with numpy
+(Arrow vectors are reshaped to matrices, never boxed). A block pair sends on at most ``k`` rows a query, and nothing
+below the minimum score; the final top-k has a partial ``WindowGroupLimit`` before its shuffle. Nothing passes through
+the driver but two row counts, and there is no second path for small query sets.
+
+Ranking rule: the kernel makes the integer ``score_key`` (score x 10,000, halves away from zero) and everything ranks,
+filters and thresholds on that column, then on ``dbindex``. Results therefore do not depend on block sizes, chunk sizes
+or partition counts.
 """
 from __future__ import annotations
 
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import EMPTY_METADATA
 
-SCORE_SCHEMA = "qid long, dbindex long, score double, q_len int, t_len int"
-RANK_DECIMALS = 4
-BROADCAST_ROWS = 16384          # largest query set shipped to executors (16384 x 128 floats = 8 MiB)
-WORK_ELEMENTS = 1 << 24         # query rows x target rows scored at once in one task
-_DROP = -(2 ** 62)              # key of pairs that may not be returned (self pairs)
-_ID_BITS = 48                   # dbindex < 2^48; key = rounded score << 48 - dbindex
+SCORE_SCHEMA = "qid long, dbindex long, score double, score_key long, q_len int, t_len int"
+_NAMES = ["qid", "dbindex", "score", "score_key", "q_len", "t_len"]
+RANK_SCALE = 10_000             # score_key = score x RANK_SCALE, rounded
+QUERY_BLOCK_ROWS = 16_384       # x 128 floats = 8 MiB
+TARGET_BLOCK_ROWS = 65_536
+WORK_ELEMENTS = 1 << 21         # query rows x target rows scored at once in one task: 16 MiB an array
+_DROP = -(2 ** 62)              # key of pairs that may not be returned (self pairs, below the minimum)
+_ID_BITS = 48                   # dbindex < 2^48; order key = score_key << 48 - dbindex
+
+
+def score_keys(score: np.ndarray) -> np.ndarray:
+    """Scaled integer score, halves away from zero."""
+    return np.where(score < 0, -1, 1) * np.floor(np.abs(score) * RANK_SCALE + 0.5).astype(np.int64)
 
 
-def _empty() -> pd.DataFrame:
-    return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "dbindex": pd.Series([], dtype="int64"),
-                         "score": pd.Series([], dtype="float64"), "q_len": pd.Series([], dtype="int32"),
-                         "t_len": pd.Series([], dtype="int32")})
+def least_key(min_score: float) -> int:
+    """The smallest ``score_key`` whose score (4 decimals) is at least ``min_score``."""
+    return math.ceil(round(min_score * RANK_SCALE, 6))
 
 
 class _Scorer:
     """Scores a fixed query block against a stream of target chunks.
 
-    Top-k mode keeps, per query, the ``k`` best (key, dbindex, score, t_len); threshold mode
-    collects the pairs whose rounded score reaches ``min_score``."""
+    Top-k mode keeps the ``k`` best of each query; threshold mode collects the pairs that reach ``min_score``."""
 
     def __init__(self, qid, qvec, qlen, k, min_score, mincov, exclude_self, work=WORK_ELEMENTS):
-        self.qid = np.asarray(qid, dtype=np.int64)
-        self.qv = np.asarray(qvec, dtype=np.float64)
-        self.qn = np.linalg.norm(self.qv, axis=1)
-        self.qlen = np.asarray(qlen, dtype=np.int64)
-        self.k, self.min_score, self.mincov, self.exclude_self = k, min_score, mincov, exclude_self
-        nq = len(self.qid)
-        self.chunk = max(16, work // max(1, nq))
-        if k is not None:
-            self.bkey = np.full((nq, 0), _DROP, dtype=np.int64)
-            self.bdb = np.zeros((nq, 0), dtype=np.int64)
-            self.bsc = np.zeros((nq, 0), dtype=np.float64)
-            self.btl = np.zeros((nq, 0), dtype=np.int64)
+        self.qid, self.qv, self.qlen = qid, qvec, qlen
+        self.qn = np.linalg.norm(qvec, axis=1)
+        self.k, self.mincov, self.exclude_self = k, mincov, exclude_self
+        self.least = None if min_score is None else least_key(min_score)
+        n = len(qid)
+        self.chunk = max(16, work // max(1, n))
+        self.best = [np.full((n, 0), _DROP, np.int64), np.zeros((n, 0)), np.zeros((n, 0), np.int64)]  # order key, score, t_len
         self.pairs = []
 
     def feed(self, tid, tvec, tlen):
@@ -71,51 +61,46 @@ class _Scorer:
             self._chunk(tid[a:a + self.chunk], tvec[a:a + self.chunk], tlen[a:a + self.chunk])
 
     def _chunk(self, tid, tv, tlen):
-        tn = np.linalg.norm(tv, axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            s = (self.qv @ tv.T) / np.outer(self.qn, tn)
+            s = (self.qv @ tv.T) / np.outer(self.qn, np.linalg.norm(tv, axis=1))
         s = np.nan_to_num(s, nan=0.0)
         if self.mincov is not None:
             s = np.where(self.qlen[:, None] >= tlen[None, :] * self.mincov, s, 0.0)
-        r = np.round(s, RANK_DECIMALS)
+        key = score_keys(s)
         valid = (self.qid[:, None] != tid[None, :]) if self.exclude_self else np.ones(s.shape, dtype=bool)
+        if self.least is not None:
+            valid &= key >= self.least
         if self.k is None:
-            qi, ti = np.nonzero(valid & (r >= self.min_score))
-            self.pairs.append(pd.DataFrame({"qid": self.qid[qi], "dbindex": tid[ti], "score": s[qi, ti],
-                                            "q_len": self.qlen[qi].astype(np.int32), "t_len": tlen[ti].astype(np.int32)}))
+            q, t = np.nonzero(valid)
+            self.pairs.append((self.qid[q], tid[t], s[q, t], key[q, t], self.qlen[q], tlen[t]))
             return
-        iscore = np.rint(r * 10 ** RANK_DECIMALS).astype(np.int64)
-        key = np.where(valid, (iscore << _ID_BITS) - tid[None, :], _DROP)
-        nq = len(self.qid)
-        key = np.concatenate([self.bkey, key], axis=1)
-        db = np.concatenate([self.bdb, np.broadcast_to(tid, (nq, len(tid)))], axis=1)
-        sc = np.concatenate([self.bsc, s], axis=1)
-        tl = np.concatenate([self.btl, np.broadcast_to(tlen, (nq, len(tid)))], axis=1)
-        kk = min(self.k, key.shape[1])
-        part = np.argpartition(-key, kk - 1, axis=1)[:, :kk] if kk < key.shape[1] else np.arange(key.shape[1])[None, :].repeat(nq, 0)
-        self.bkey = np.take_along_axis(key, part, axis=1)
-        self.bdb = np.take_along_axis(db, part, axis=1)
-        self.bsc = np.take_along_axis(sc, part, axis=1)
-        self.btl = np.take_along_axis(tl, part, axis=1)
-
-    def result(self) -> pd.DataFrame:
+        order = np.where(valid, (key << _ID_BITS) - tid[None, :], _DROP)
+        top = self._top(order)
+        part = [np.take_along_axis(order, top, axis=1), np.take_along_axis(s, top, axis=1), tlen[top]]
+        merged = [np.concatenate(x, axis=1) for x in zip(self.best, part)]
+        top = self._top(merged[0])
+        self.best = [np.take_along_axis(x, top, axis=1) for x in merged]
+
+    def _top(self, order):
+        n, width = order.shape
+        if width <= self.k:
+            return np.broadcast_to(np.arange(width), (n, width))
+        return np.argpartition(-order, self.k - 1, axis=1)[:, :self.k]
+
+    def result(self) -> pa.Table:
         if self.k is None:
-            return pd.concat(self.pairs, ignore_index=True) if self.pairs else _empty()
-        rows, slots = np.nonzero(self.bkey > _DROP)
-        if len(rows) == 0:
-            return _empty()
-        return pd.DataFrame({"qid": self.qid[rows], "dbindex": self.bdb[rows, slots], "score": self.bsc[rows, slots],
-                             "q_len": self.qlen[rows].astype(np.int32), "t_len": self.btl[rows, slots].astype(np.int32)})
-
-
-def _vectors(series) -> np.ndarray:
-    return np.stack(series.to_numpy()).astype(np.float64) if len(series) else np.zeros((0, 0))
+            cols = [np.concatenate(c) for c in zip(*self.pairs)] if self.pairs else [np.zeros(0)] * 6
+        else:
+            order, score, tlen = self.best
+            r, c = np.nonzero(order > _DROP)
+            dbindex = -order[r, c] & ((1 << _ID_BITS) - 1)
+            cols = [self.qid[r], dbindex, score[r, c], (order[r, c] + dbindex) >> _ID_BITS, self.qlen[r], tlen[r, c]]
+        kinds = (np.int64, np.int64, np.float64, np.int64, np.int32, np.int32)
+        return pa.Table.from_arrays([pa.array(x.astype(t)) for x, t in zip(cols, kinds)], names=_NAMES)
 
 
 def _arrow_vectors(col) -> np.ndarray:
     """A list<float> Arrow column as a (rows, dim) float64 matrix without per-row Python objects."""
-    import pyarrow as pa
-
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     n = len(col)
@@ -131,51 +116,20 @@ def _arrow_vectors(col) -> np.ndarray:
     return flat.reshape(n, dim).astype(np.float64)
 
 
-def _arrow_batch(pdf: pd.DataFrame):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays(
-        [pa.array(pdf["qid"].to_numpy(np.int64)), pa.array(pdf["dbindex"].to_numpy(np.int64)),
-         pa.array(pdf["score"].to_numpy(np.float64)), pa.array(pdf["q_len"].to_numpy(np.int32)),
-         pa.array(pdf["t_len"].to_numpy(np.int32))],
-        names=["qid", "dbindex", "score", "q_len", "t_len"])
-
-
-def _score_broadcast(queries: DataFrame, targets: DataFrame, k, min_score, mincov, exclude_self, work) -> DataFrame:
-    spark = queries.sparkSession
-    qp = queries.select(F.col("qid").cast("long"), "q_embedding", F.col("q_len").cast("long")).toPandas()
-    qv = np.stack(qp["q_embedding"].to_numpy()).astype(np.float32) if len(qp) else np.zeros((0, 1), np.float32)
-    bc = spark.sparkContext.broadcast((qp["qid"].to_numpy(np.int64), qv, qp["q_len"].to_numpy(np.int64)))
-    t = targets.select(F.col("dbindex").cast("long").alias("dbindex"), F.col("embedding").alias("vec"),
-                       F.col("length").cast("long").alias("t_len"))
-
-    def run(batches):
-        # Arrow batches straight from the scan: vectors are reshaped, never boxed per row
-        qid, qvec, qlen = bc.value
-        sc = _Scorer(qid, qvec, qlen, k, min_score, mincov, exclude_self, work)
-        for b in batches:
-            if b.num_rows and len(qid):
-                sc.feed(b.column("dbindex").to_numpy(zero_copy_only=False).astype(np.int64),
-                        _arrow_vectors(b.column("vec")),
-                        b.column("t_len").to_numpy(zero_copy_only=False).astype(np.int64))
-            if k is None:  # threshold mode streams its pairs out batch by batch
-                out, sc.pairs = sc.result(), []
-                if len(out):
-                    yield _arrow_batch(out)
-        if k is not None:
-            yield _arrow_batch(sc.result())
-
-    return t.mapInArrow(run, SCORE_SCHEMA)
-
-
 def _blocks(n: int, rows_per_block: int) -> int:
     return max(1, math.ceil(n / max(1, rows_per_block)))
 
 
-def _score_cogroup(queries: DataFrame, targets: DataFrame, n_q: int, k, min_score, mincov, exclude_self,
-                   query_block_rows: int, target_block_rows: int, work: int) -> DataFrame:
-    nq = _blocks(n_q, query_block_rows)
-    nt = _blocks(targets.count(), target_block_rows)
+def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, min_score: float | None = None,
+                 mincov: float | None = None, exclude_self: bool = False, query_block_rows: int = QUERY_BLOCK_ROWS,
+                 target_block_rows: int = TARGET_BLOCK_ROWS, work_elements: int = WORK_ELEMENTS) -> DataFrame:
+    """Score queries ``(qid, q_embedding, q_len)`` against targets ``(dbindex, embedding, length)``.
+
+    ``k`` set: top-k per query and block pair, of the pairs that reach ``min_score`` if that is set; finish with ``topk``.
+    ``k`` unset: all pairs whose rounded score is ``>= min_score`` (threshold join)."""
+    if k is None and min_score is None:
+        raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
+    nq, nt = _blocks(queries.select("qid").count(), query_block_rows), _blocks(targets.select("dbindex").count(), target_block_rows)
     q = queries.select(
         F.col("qid").cast("long").alias("qid"), F.col("q_embedding").alias("vec"), F.col("q_len").cast("long").alias("q_len"),
         F.pmod(F.xxhash64("qid"), F.lit(nq)).alias("qb"),
@@ -185,39 +139,18 @@ def _score_cogroup(queries: DataFrame, targets: DataFrame, n_q: int, k, min_scor
         F.pmod(F.xxhash64("dbindex"), F.lit(nt)).alias("tb"),
     ).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))))
 
-    def fn(qpdf, tpdf):
-        if len(qpdf) == 0 or len(tpdf) == 0:
-            return _empty()
-        sc = _Scorer(qpdf["qid"].to_numpy(np.int64), _vectors(qpdf["vec"]), qpdf["q_len"].to_numpy(np.int64),
-                     k, min_score, mincov, exclude_self, work)
-        sc.feed(tpdf["dbindex"].to_numpy(np.int64), _vectors(tpdf["vec"]), tpdf["t_len"].to_numpy(np.int64))
-        return sc.result()
+    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
+        long = lambda table, name: table.column(name).to_numpy().astype(np.int64)
+        scorer = _Scorer(long(left, "qid"), _arrow_vectors(left.column("vec")), long(left, "q_len"), k, min_score, mincov, exclude_self, work_elements)
+        if left.num_rows and right.num_rows:
+            scorer.feed(long(right, "dbindex"), _arrow_vectors(right.column("vec")), long(right, "t_len"))
+        return scorer.result()
 
-    return q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInPandas(fn, SCORE_SCHEMA)
-
-
-def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, min_score: float | None = None,
-                 mincov: float | None = None, exclude_self: bool = False, query_block_rows: int | None = None,
-                 target_block_rows: int = 65536, broadcast_rows: int = BROADCAST_ROWS,
-                 work_elements: int = WORK_ELEMENTS) -> DataFrame:
-    """Score queries ``(qid, q_embedding, q_len)`` against targets ``(dbindex, embedding, length)``.
-
-    ``k`` set: per-partition (or per-block) top-k per query; finish with ``topk``.
-    ``k`` unset: all pairs whose rounded score is ``>= min_score`` (threshold join).
-    Broadcast path when the query count is within ``broadcast_rows`` and no block size is given."""
-    if k is None and min_score is None:
-        raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
-    if query_block_rows is None:
-        # bounded count: stops reading as soon as the query set is known to exceed the bound
-        if queries.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            return _score_broadcast(queries, targets, k, min_score, mincov, exclude_self, work_elements)
-    n_q = queries.count()
-    return _score_cogroup(queries, targets, n_q, k, min_score, mincov, exclude_self,
-                          query_block_rows or broadcast_rows, target_block_rows, work_elements)
+    return q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInArrow(fn, SCORE_SCHEMA)
 
 
 def rank_key():
-    return [F.round("score", RANK_DECIMALS).desc(), F.col("dbindex").asc()]
+    return [F.col("score_key").desc(), F.col("dbindex").asc()]
 
 
 def topk(scored: DataFrame, k: int) -> DataFrame:
@@ -229,9 +162,12 @@ def topk(scored: DataFrame, k: int) -> DataFrame:
 
 
 def vector_search(queries: DataFrame, targets: DataFrame, k: int, mincov: float | None = None,
-                  exclude_self: bool = False, **block_opts) -> DataFrame:
-    """Exact top-k cosine search; ``mincov`` applies the length mask before ranking (masked score = 0)."""
-    scored = score_blocks(queries, targets, k=k, mincov=mincov, exclude_self=exclude_self, **block_opts)
+                  exclude_self: bool = False, min_score: float | None = None, **block_opts) -> DataFrame:
+    """Exact top-k cosine search; ``mincov`` applies the length mask before ranking (masked score = 0).
+
+    ``min_score`` drops lower pairs in the kernel; they rank below all that stay, so ranks are those of
+    ``filter_min_cosine`` after the search."""
+    scored = score_blocks(queries, targets, k=k, min_score=min_score, mincov=mincov, exclude_self=exclude_self, **block_opts)
     return topk(scored, k)
 
 
@@ -242,7 +178,7 @@ def threshold_join(queries: DataFrame, targets: DataFrame, min_score: float, exc
 
 
 def filter_min_cosine(hits: DataFrame, mincos: float) -> DataFrame:
-    return hits.where(F.round("score", RANK_DECIMALS) >= mincos)
+    return hits.where(F.col("score_key") >= least_key(mincos))
 
 
 def rank_kept(hits: DataFrame) -> DataFrame:

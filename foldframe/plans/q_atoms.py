@@ -49,7 +49,7 @@ def clean_atoms(spark, sf):
 
 
 @register("src_atoms", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
-SELECT sid, CAST(serial % 100000 AS INTEGER) AS serial, type, atom, resn, chain, resi, x, y, z, occ, b
+SELECT sid, CAST(serial AS INTEGER) AS serial, type, atom, resn, chain, resi, x, y, z, occ, b
 FROM atoms_v WHERE type = 'ATOM' OR (type = 'HETATM' AND resn IN ({_specials_sql}))""")
 def q_src_atoms(spark, sf):
     files = structure_files(spark, sf)

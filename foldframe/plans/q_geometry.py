@@ -66,10 +66,13 @@ def q_agg_distance_bins(spark, sf):
 
 
 @register("join_labels_to_atoms", QA.SQL_CLEAN + ",\n" + VW.SQL_LABELS_V + """
-SELECT c.sid, c.chain, c.resi, c.atom, l.domain_id, l.conf FROM clean c JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi""")
+SELECT c.sid, c.chain, c.resi, c.atom, coalesce(l.domain_id, 0) AS domain_id, l.conf
+FROM clean c LEFT JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi""")
 def q_join_labels_to_atoms(spark, sf):
     lab = VW.labels_v(spark, sf).select("sid", "resi", "domain_id", "conf")
-    return QA.clean_atoms(spark, sf).select(*KEYS, "resi", "atom").join(lab, ["sid", "resi"])
+    # an atom of a residue without a label row is in no domain (0)
+    j = QA.clean_atoms(spark, sf).select(*KEYS, "resi", "atom").join(lab, ["sid", "resi"], "left")
+    return j.withColumn("domain_id", F.coalesce("domain_id", F.lit(0)))
 
 
 @register("set_intersect_edges", SQL_LAB + """

@@ -203,12 +203,12 @@ def q_sink_metadata_json(spark, sf):
 
 @register("sink_atom_records", QA.SQL_CLEAN + ",\n" + VW.SQL_LABELS_V + """
 SELECT printf('ATOM  %5d  %-4s%s %-1s%4d    %8.3f%8.3f%8.3f%6.2f%6d', c.serial, c.atom, c.resn, c.chain, c.resi,
-              c.x, c.y, c.z, CAST(l.domain_id AS DOUBLE), CAST(trunc(c.b) AS BIGINT)) AS line
-FROM clean c JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi""")
+              c.x, c.y, c.z, CAST(coalesce(l.domain_id, 0) AS DOUBLE), CAST(trunc(c.b) AS BIGINT)) AS line
+FROM clean c LEFT JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi""")
 def q_sink_atom_records(spark, sf):
     """Atoms with the residue's domain id in the occupancy column and a truncated integer b-factor."""
     lab = VW.labels_v(spark, sf).select("sid", "resi", "domain_id")
-    a = QA.clean_atoms(spark, sf).join(lab, ["sid", "resi"])
+    a = QA.clean_atoms(spark, sf).join(lab, ["sid", "resi"], "left").withColumn("domain_id", F.coalesce("domain_id", F.lit(0)))
     return SK.roundtrip_text(spark, a.select(SK.atom_record(a, occ_col="domain_id").alias("line")), "atom_records")
 
 
@@ -336,7 +336,8 @@ def q_sink_compact(spark, sf):
     f = IX.dense_index(f, ["path"], ["organism"]).join(plan.select("organism", "files_per_partition"), "organism")
     f = f.withColumn("bucket", F.floor((F.col("rn") - 1) / F.col("files_per_partition")).cast("long"))
     path = scratch_path(spark, "compact")
-    (f.repartitionByRange("organism", "bucket", "rn").sortWithinPartitions("organism", "bucket", "rn")
+    # a bucket is one file: its rows go to one partition, in order
+    (f.repartition("organism", "bucket").sortWithinPartitions("organism", "bucket", "rn")
       .select("organism", "bucket", F.concat("content", F.lit("\n")).alias("value"))
       .write.mode("overwrite").partitionBy("organism", "bucket").text(path))
     return f.select("file_id", "organism", "bucket")
@@ -459,11 +460,11 @@ WITH t AS (
   FROM lineitem),
 p AS (
   SELECT l_orderkey, l_linenumber, l_partkey,
-         CAST(nullif(regexp_extract(report, 'Aligned length=\\s*(\\d+),\\s+RMSD=\\s*([0-9.]+),\\s+Seq_ID=n_identical/n_aligned=\\s*([0-9.]+)', 1), '') AS INTEGER) AS len_ali,
-         CAST(nullif(regexp_extract(report, 'Aligned length=\\s*(\\d+),\\s+RMSD=\\s*([0-9.]+),\\s+Seq_ID=n_identical/n_aligned=\\s*([0-9.]+)', 2), '') AS DOUBLE) AS rmsd,
-         CAST(nullif(regexp_extract(report, 'Aligned length=\\s*(\\d+),\\s+RMSD=\\s*([0-9.]+),\\s+Seq_ID=n_identical/n_aligned=\\s*([0-9.]+)', 3), '') AS DOUBLE) AS seq_id,
-         CAST(regexp_extract_all(report, 'TM-score=\\s*([0-9.]+)', 1)[1] AS DOUBLE) AS qtm,
-         CAST(regexp_extract_all(report, 'TM-score=\\s*([0-9.]+)', 1)[2] AS DOUBLE) AS ttm
+         TRY_CAST(TRY_CAST(split_part(split_part(report, 'Aligned length=', 2), ',', 1) AS DOUBLE) AS INTEGER) AS len_ali,
+         TRY_CAST(split_part(split_part(report, 'RMSD=', 2), ',', 1) AS DOUBLE) AS rmsd,
+         TRY_CAST(split_part(split_part(report, 'n_identical/n_aligned=', 2), chr(10), 1) AS DOUBLE) AS seq_id,
+         TRY_CAST(split_part(split_part(report, 'TM-score=', 2), '(', 1) AS DOUBLE) AS qtm,
+         TRY_CAST(split_part(split_part(report, 'TM-score=', 3), '(', 1) AS DOUBLE) AS ttm
   FROM t)"""
 
 

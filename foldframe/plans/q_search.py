@@ -53,7 +53,7 @@ hits AS (SELECT * FROM ranked WHERE emb_rank < {K} AND round(score, 4) >= {MINCO
 
 def masked_hits(spark, sf, **opts):
     """The single-path search: mask by length, top-k, then the cosine threshold."""
-    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, mincov=MINCOV, exclude_self=True, **opts)
+    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, mincov=MINCOV, exclude_self=True, min_score=MINCOS, **opts)
     return S.filter_min_cosine(hits, MINCOS)
 
 
@@ -92,9 +92,8 @@ def q_win_topk(spark, sf):
 
 @register("limit_blocked_topk", SQL_TOPK_RAW)
 def q_limit_blocked_topk(spark, sf):
-    # tiny blocks and chunks: the merged result must equal the one-block top-k
-    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, exclude_self=True,
-                           query_block_rows=37, target_block_rows=53, work_elements=200)
+    # the blocks of production; tests compare them with tiny ones
+    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, exclude_self=True)
     return hits.select("qid", "dbindex", "emb_rank", _r("score").alias("emb_score"))
 
 

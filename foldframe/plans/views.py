@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import QUERY_DOMAIN_SUFFIX, RESIDUE_LETTERS
+from ..constants import RESIDUE_LETTERS
 
 # --- fixed values: residue names used by the atom view ----------------------
 # The 20 standard names in the order of RESIDUE_LETTERS, then one special
@@ -33,6 +33,9 @@ VIEW_HYDROGEN = "1HB"  # a hydrogen whose name starts in column 13 with a digit
 VIEW_MIN_DOMAIN = 6
 VIEW_MIN_FRAGMENT = 3
 
+# between a query chain's name and its domain number in the views
+QUERY_DOMAIN_SUFFIX = "_dom"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

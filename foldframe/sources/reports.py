@@ -73,4 +73,6 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
         t = t.withColumn("length", F.length("seq"))
     if "metadata" not in t.columns:
         t = t.withColumn("metadata", F.lit(None).cast("string"))
-    return t.withColumn("metadata", F.coalesce("metadata", F.lit(EMPTY_METADATA))).where(F.col("embedding").isNotNull())
+    # an entry without a vector is a broken database: the read fails instead of losing the entry
+    vector = F.when(F.col("embedding").isNull(), F.raise_error(F.concat(F.lit("target without a vector: dbindex "), F.col("dbindex").cast("string")))).otherwise(F.col("embedding"))
+    return t.withColumn("metadata", F.coalesce("metadata", F.lit(EMPTY_METADATA))).withColumn("embedding", vector)

@@ -28,7 +28,7 @@ def read_structures(spark: SparkSession, path_glob: str, organism: str | None =
 
 
 def name_structures(files: DataFrame, organism: str | None = None, path_col: str = "path") -> DataFrame:
-    org = F.lit(organism) if organism else F.element_at(F.split(F.col(path_col), "/"), -2)
+    org = F.lit(organism) if organism else F.try_element_at(F.split(F.col(path_col), "/"), F.lit(-2))
     return files.select(
         org.alias("organism"),
         F.col(path_col).alias("path"),
@@ -57,27 +57,41 @@ def _field(line: Column, start: int, length: int) -> Column:
     return F.substring(line, start, length)
 
 
+SERIAL = "^.{6} *([0-9]+)"
+
+
+def _wider(line: Column) -> Column:
+    """Places by which a serial of more than five digits moves the fields behind it."""
+    return F.greatest(F.length(F.regexp_extract(line, SERIAL, 1)) - 5, F.lit(0))
+
+
 def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Parse fixed-width ATOM/HETATM records (1-based columns) into typed columns."""
+    """Parse fixed-width ATOM/HETATM records (1-based columns) into typed columns; what cannot be read is null
+    (``bad_records`` lists such lines), so one bad line does not end the job."""
     ln = F.col(line_col)
     rec = ln.startswith("ATOM") | ln.startswith("HETATM")
     keep = [c for c in lines.columns if c != line_col]
-    return lines.where(rec).select(
-        *keep,
-        F.trim(_field(ln, 1, 6)).alias("type"),
-        F.trim(_field(ln, 7, 5)).cast("int").alias("serial"),
-        F.trim(_field(ln, 13, 4)).alias("atom"),
-        F.trim(_field(ln, 17, 1)).alias("alt"),
-        F.trim(_field(ln, 18, 3)).alias("resn"),
-        F.trim(_field(ln, 21, 2)).alias("chain"),
-        F.trim(_field(ln, 23, 4)).cast("int").alias("resi"),
-        F.trim(_field(ln, 31, 8)).cast("double").alias("x"),
-        F.trim(_field(ln, 39, 8)).cast("double").alias("y"),
-        F.trim(_field(ln, 47, 8)).cast("double").alias("z"),
-        F.trim(_field(ln, 55, 6)).cast("double").alias("occ"),
-        F.trim(_field(ln, 61, 6)).cast("double").alias("b"),
-        _field(ln, 13, 1).alias("name_col13"),
-    )
+    serial = F.regexp_extract(ln, SERIAL, 1)
+    wider = _wider(ln)
+
+    def text(start: int, length: int) -> Column:
+        return F.trim(F.substring(ln, F.lit(start) + wider, F.lit(length)))
+
+    fields = {"serial": serial.try_cast("int"), "atom": text(13, 4), "alt": text(17, 1), "resn": text(18, 3), "chain": text(21, 2),
+              "resi": text(23, 4).try_cast("int"), "x": text(31, 8).try_cast("double"), "y": text(39, 8).try_cast("double"),
+              "z": text(47, 8).try_cast("double"), "occ": text(55, 6).try_cast("double"), "b": text(61, 6).try_cast("double")}
+    return lines.where(rec).select(*keep, F.trim(_field(ln, 1, 6)).alias("type"), *[c.alias(n) for n, c in fields.items()],
+                                   F.substring(ln, F.lit(13) + wider, F.lit(1)).alias("name_col13"))
+
+
+def bad_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Records whose serial, residue number or position cannot be read, for quarantine."""
+    parsed = parse_records(lines.withColumn("_record", F.col(line_col)), line_col)
+    needed = ["serial", "resi", "x", "y", "z"]
+    bad = F.lit(False)
+    for n in needed:
+        bad = bad | F.col(n).isNull()
+    return parsed.where(bad).select(*[c for c in lines.columns if c != line_col], F.col("_record").alias(line_col))
 
 
 def select_structure_records(atoms: DataFrame) -> DataFrame:
@@ -92,7 +106,7 @@ def render_records(atoms: DataFrame) -> Column:
         F.concat(F.lit(" "), F.col("atom")))
     alt = FM.pad_right(F.coalesce(F.col("alt"), F.lit(" ")), 1) if "alt" in atoms.columns else F.lit(" ")
     return F.concat(
-        FM.pad_right("type", 6), FM.pad_left(F.col("serial") % 100000, 5), F.lit(" "), FM.pad_right(name, 4), alt,
+        FM.pad_right("type", 6), F.lpad(F.col("serial").cast("string"), F.greatest(F.lit(5), F.length(F.col("serial").cast("string"))), F.lit(" ")), F.lit(" "), FM.pad_right(name, 4), alt,
         FM.pad_left("resn", 3), F.lit(" "), FM.pad_left("chain", 1), FM.pad_left("resi", 4), F.lit("    "),
         FM.fixed_point("x", 8, 3), FM.fixed_point("y", 8, 3), FM.fixed_point("z", 8, 3),
         FM.fixed_point("occ", 6, 2), FM.fixed_point("b", 6, 2))
@@ -102,27 +116,28 @@ def ca_trace(lines: DataFrame, chain: str | None, line_col: str = "line") -> Dat
     """Search-side CA reader: ``ATOM`` records whose atom field is exactly `` CA ``; one chain
     (``None`` = all chains); residue name -> letter with ``X`` default; duplicates kept."""
     ln = F.col(line_col)
-    df = lines.where(ln.startswith("ATOM") & (_field(ln, 13, 4) == " CA "))
+    wider = _wider(ln)
+
+    def field(start: int, length: int) -> Column:
+        return F.substring(ln, F.lit(start) + wider, F.lit(length))
+
+    df = lines.where(ln.startswith("ATOM") & (field(13, 4) == " CA "))
     if chain is not None:
-        df = df.where(F.trim(_field(ln, 21, 2)) == chain)
+        df = df.where(F.trim(field(21, 2)) == chain)
     letters = {**RESIDUE_LETTERS, **CA_READER_EXTRA}
     lut = F.create_map(*[F.lit(x) for kv in letters.items() for x in kv])
     keep = [c for c in lines.columns if c != line_col]
     return df.select(
         *keep,
-        *([] if "chain" in keep else [F.trim(_field(ln, 21, 2)).alias("chain")]),
-        F.trim(_field(ln, 18, 3)).alias("resn"),
-        F.coalesce(lut[F.trim(_field(ln, 18, 3))], F.lit(UNKNOWN_LETTER)).alias("aa"),
-        F.trim(_field(ln, 31, 8)).cast("float").alias("x"),
-        F.trim(_field(ln, 39, 8)).cast("float").alias("y"),
-        F.trim(_field(ln, 47, 8)).cast("float").alias("z"),
+        *([] if "chain" in keep else [F.trim(field(21, 2)).alias("chain")]),
+        F.trim(field(18, 3)).alias("resn"),
+        F.coalesce(lut[F.trim(field(18, 3))], F.lit(UNKNOWN_LETTER)).alias("aa"),
+        F.trim(field(31, 8)).try_cast("float").alias("x"),
+        F.trim(field(39, 8)).try_cast("float").alias("y"),
+        F.trim(field(47, 8)).try_cast("float").alias("z"),
     )
 
 
-def excluded_residue_names():
-    return list(EXCLUDED_RESIDUES)
-
-
 def join_input_chains(inputs: DataFrame, lists: DataFrame, group_col: str, order_col: str, list_col: str,
                       sep: str = ",") -> DataFrame:
     """Pair the inputs of a group (in ``order_col`` order) with a comma list of chain ids by
@@ -135,7 +150,7 @@ def join_input_chains(inputs: DataFrame, lists: DataFrame, group_col: str, order
     ids = lists.select(group_col, F.split(F.col(list_col), sep).alias("_ids"))
     j = i.join(ids, group_col)
     one = F.size("_ids") == 1
-    chain = F.when(one, F.element_at("_ids", 1)).otherwise(F.element_at("_ids", F.col("_pos").cast("int")))
+    chain = F.when(one, F.try_element_at("_ids", F.lit(1))).otherwise(F.try_element_at("_ids", F.col("_pos").cast("int")))
     status = F.when(one | (F.size("_ids") == F.col("_n")), F.lit("ok")).otherwise(F.lit("length_mismatch"))
     return j.select(*[c for c in inputs.columns], chain.alias("chain"), status.alias("status"))
 

@@ -74,3 +74,20 @@ def test_metadata_default(spark):
     t = spark.createDataFrame([(1, '{"cath": "3.40.50.300"}'), (2, None)], "dbindex long, metadata string")
     got = {r["dbindex"]: r["metadata"] for r in S.join_metadata(hits, t).collect()}
     assert got == {1: '{"cath": "3.40.50.300"}', 2: "{ }"}
+
+
+def test_rank_does_not_depend_on_partitions_or_blocks(spark):
+    """Scores at a rounding tie (0.03125) and just above it rank by the same rule everywhere."""
+    def unit(c):
+        return [c, float(np.sqrt(1 - c * c))]
+
+    q = spark.createDataFrame([(9, [1.0, 0.0], 10)], "qid long, q_embedding array<double>, q_len int")
+    rows = [(0, unit(0.03125), 10), (1, unit(0.03131), 10)]
+    for n in (1, 2, 8):
+        t = spark.createDataFrame(rows, "dbindex long, embedding array<double>, length int").repartition(n, "dbindex")
+        for block in (1, 65536):
+            assert [r["dbindex"] for r in S.vector_search(q, t, 1, target_block_rows=block).collect()] == [0]
+            kept = S.filter_min_cosine(S.vector_search(q, t, 5, target_block_rows=block), 0.0313)
+            joined = S.threshold_join(q, t, 0.0313, target_block_rows=block)
+            pushed = S.vector_search(q, t, 5, min_score=0.0313, target_block_rows=block)
+            assert {r["dbindex"] for r in kept.collect()} == {r["dbindex"] for r in joined.collect()} == {r["dbindex"] for r in pushed.collect()} == {0, 1}
