@@ -15,10 +15,15 @@ from foldframe.session import ensure_checkpoint_dir, scratch_path, ship_package
 CELL_ROWS = 4096
 
 
+#: Documents of one Arrow batch: the JVM's buffers and a worker's copies hold batches whole, and texts can be long.
+BATCH_ROWS = 1000
+
+
 def ready(df: DataFrame) -> DataFrame:
-    """Checkpoint folder and shipped package for the session of ``df``."""
+    """Checkpoint folder, shipped package and batch size for the session of ``df``."""
     ensure_checkpoint_dir(df.sparkSession)
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df
 
 
