@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from foldframe.session import scratch_path
+
 from .common import ready, written
 
 SPAN, GRAM, STEP = 50, 24, 8
@@ -235,7 +238,8 @@ class _Chunk:
 
 
 def chunk_table(docs: DataFrame, id_col: str, text_col: str, keep: list[str], chunk_bytes: int) -> DataFrame:
-    """Written table ``chunk long, ids, ends, body, rest``: documents gathered up to ``chunk_bytes`` a row."""
+    """Written table ``chunk long, ids, ends, body, rest``: documents gathered up to ``chunk_bytes`` a row, in buckets by
+    ``chunk``, so that what comes back to the chunks is shuffled to them and they stay where they are."""
     rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.lit(0).alias("none"))
     d = ready(docs).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"), rest.alias("rest"))
     struct = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
@@ -268,7 +272,19 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, keep: list[str], ch
         if held:
             yield row()
 
-    return written(d.mapInArrow(run, struct), "chunks")
+    return _bucketed(d.mapInArrow(run, struct), "chunks", "chunk")
+
+
+def _bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder in buckets by ``column``, as many as a shuffle has partitions.
+
+    Only a catalog table can be read as buckets; its entry is dropped as soon as it is resolved, the files stay."""
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, column).option("path", scratch_path(spark, name)).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def _messages(rows: list[tuple]) -> pa.RecordBatch:
