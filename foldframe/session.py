@@ -48,9 +48,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; set a scratch one only when unset."""
+    """Use the cluster's checkpoint folder; where none is set, a scratch one in local mode and an error on a cluster."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="foldframe-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
