@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from foldframe.llm.common import map_batches, ready, written
+from foldframe.llm.common import ready, written
 from foldframe.llm.exact_dedup import exact_dedup, lower_az
 from foldframe.llm.packing import pack
 from foldframe.llm.simhash import simhash_dedup
@@ -46,18 +46,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id has; a character cut in half goes."""
-    def text(cols):
-        new = [t.decode("utf-8", "ignore") for t in cols["kept"]]
-        return {"new": new, "n": [len(t) for t in new]}
-
-    n = len(docs.columns)
-    cut = remove_repeats(docs, keep=tuple(docs.columns), with_text=True)
-    cut = map_batches(cut, text, "new string, n long", keep=[*[f"k{i}" for i in range(n)], "n_removed"])
-    column = {c: F.col(f"k{i}") for i, c in enumerate(docs.columns)}
-    changed = F.col(f"k{n}") > 0  # n_removed
-    column["text"] = F.when(changed, F.col("new")).otherwise(column["text"])
-    column["n_chars"] = F.when(changed, F.col("n").cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
+    """Texts without the passages that a document with a smaller id has; a character cut in half goes.
+
+    The text travels once, as the bytes that are cut; whether it was null is kept beside the other columns."""
+    others = [c for c in docs.columns if c != "text"]
+    null = "_" + "_".join(docs.columns)  # no column has this name
+    cut = remove_repeats(docs.withColumn(null, F.col("text").isNull()), keep=(*others, null), with_text=True, whole_characters=True)
+    column = {c: F.col(f"k{i}") for i, c in enumerate(others)}
+    text = F.col("kept").cast("string")
+    column["text"] = F.when(~F.col(f"k{len(others)}"), text)
+    column["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
     return cut.select(*[column[c].alias(c) for c in docs.columns])
 
 

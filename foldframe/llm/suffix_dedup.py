@@ -408,7 +408,7 @@ def _answer_contexts(span: int):
     return run
 
 
-def _cut(struct: T.StructType, n_keep: int, span: int):
+def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
     schema = to_arrow_schema(struct)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -432,8 +432,11 @@ def _cut(struct: T.StructType, n_keep: int, span: int):
             mask = gone[begin:end]
             removed = int(mask.sum())
             kept = c.bytes[begin:end][~mask].tobytes() if removed else c.body[begin:end]
+            digest = hashlib.sha256(kept).hexdigest()
+            if removed and whole_characters:
+                kept = kept.decode("utf-8", "ignore").encode()
             values = [*[row["rest"][i][f"c{j}"] for j in range(n_keep)], row["ids"][i], end - begin, removed,
-                      int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if removed else 0, hashlib.sha256(kept).hexdigest(), kept]
+                      int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if removed else 0, digest, kept]
             for f, v in zip(schema, values):
                 out[f.name].append(v)
             begin = end
@@ -444,9 +447,10 @@ def _cut(struct: T.StructType, n_keep: int, span: int):
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), span: int = SPAN,
                    gram: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS, buckets: int | None = None,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, whole_characters: bool = False) -> DataFrame:
     """One row for each input row: the kept columns (``k0``, ``k1``, ...), ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``
-    and, ``with_text``, ``kept`` (binary)."""
+    and, ``with_text``, ``kept`` (binary; with ``whole_characters``, UTF-8 characters cut in half go from it, while
+    ``kept_sha256`` is of the bytes as they were kept)."""
     gram = gram or min(GRAM, span)
     chunks = chunk_table(docs, id_col, text_col, list(keep), chunk_bytes)
     n = buckets or max(8, 2 * chunks.count())
@@ -461,4 +465,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                            T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
                            *[T.StructField("kept", T.BinaryType())] * with_text])
     back = sent.where("bucket < 0").unionByName(answers)
-    return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(struct, len(keep), span), struct)
+    return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(struct, len(keep), span, whole_characters), struct)
