@@ -21,7 +21,8 @@ All suffixes of a large corpus cannot be sorted, so the work is cut where equal
 
 Chunks, buckets and messages are bounded by ``chunk_bytes``, not by the corpus; a key that very many chunks hold
 (``hot_chunks``) is dealt window by window instead, so no bucket collects the edges of a passage that a third of all
-documents share. Results do not depend on any of these settings. (Windows are judged on the input; overlaps count.)
+documents share; a bucket merges whole keys in parts of ``merge_bytes``. Results do not depend on any of these settings.
+(Windows are judged on the input; overlaps count.)
 
 Defined results: null text = empty; texts under ``SPAN`` bytes lose nothing; a null id counts as smaller than any other;
 rows of one id never cut each other; an empty table gives an empty table; other columns can be kept (``keep``), whatever
@@ -32,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,8 @@ CHUNK_BYTES = 4 << 20
 #: Windows of a context; longer runs are cut.
 RUN_WINDOWS = 32
 HOT_CHUNKS = 256
+#: Bytes of contexts that one merge takes (whole keys; it needs about 100 times as much memory).
+MERGE_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 #: zstd level of texts in written tables and shuffles.
 LEVEL = 9
@@ -341,7 +345,7 @@ def _send_contexts(buckets: int, span: int, gram: int):
 
         shared, hot = (of_runs(1), of_runs(2)) if len(head) else (np.zeros(0, bool),) * 2
         index: dict[bytes, int] = {}
-        of_key, least, spots = [], [], []
+        of_key, least, spots = array("Q"), array("q"), array("q")
         for i in np.flatnonzero(shared).tolist():
             s, m, k, d = int(start[i]), int(n[i]), int(key[i]), int(ids[i])
             for a, w in ([(s + j, 1) for j in range(m)] if hot[i] else [(s, m)]):
@@ -352,8 +356,8 @@ def _send_contexts(buckets: int, span: int, gram: int):
                     least.append(d)
                 elif d < least[at]:
                     least[at] = d
-                spots.append((a, w, at, d))
-        of_key, least = np.array(of_key, np.uint64), np.array(least, np.int64)
+                spots.extend((a, w, at, d))
+        of_key, least = np.frombuffer(of_key, np.uint64), np.frombuffer(least, np.int64)
         sort = np.argsort(of_key, kind="stable")
         texts = list(index)
         cut = np.searchsorted(buckets_of(of_key[sort], buckets), np.arange(buckets + 1))
@@ -366,19 +370,32 @@ def _send_contexts(buckets: int, span: int, gram: int):
                                               np.fromiter(map(len, part), np.uint8, len(part)), b"".join(part))))
         place = np.empty(len(sort), np.int64)
         place[sort] = np.arange(len(sort))
-        a, w, at, d = np.array(spots, np.int64).reshape(-1, 4).T
+        a, w, at, d = np.frombuffer(spots, np.int64).reshape(-1, 4).T
         rows.append((-1, c.chunk, pack(_gaps(a), w.astype(np.uint8), place[at].astype(np.int32), d > least[at] if len(at) else np.zeros(0, bool))))
         return pa.Table.from_batches([_messages(rows)])
 
     return run
 
 
-def _answer_contexts(span: int):
+def _merges(key: np.ndarray, size: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Indices in groups of whole keys, each of at most ``most`` bytes (or one key): equal windows have equal keys."""
+    order = np.argsort(key, kind="stable")
+    head = _heads(key[order])
+    ends = np.cumsum(size[order])[np.append(head[1:], len(order)) - 1] if len(head) else head
+    done = 0
+    while done < len(head):
+        before = int(ends[done - 1]) if done else 0
+        to = max(done + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield np.sort(order[head[done]:head[to] if to < len(head) else None])
+        done = to
+
+
+def _answer_contexts(span: int, merge_bytes: int):
     """For each chunk's contexts: which of their windows start in a document with a smaller id than the chunk's smallest."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sent = sorted(zip(table.column("chunk").to_pylist(), table.column("payload").to_pylist()))
         index: dict[bytes, int] = {}
-        at, ids, keys, shard = [], [], [], []
+        at, ids, keys, shard = array("q"), [], array("q"), array("q")
         for k, (_, payload) in enumerate(sent):
             short, least, lens, joined = unpack(payload)
             ends = np.cumsum(lens, dtype=np.int64).tolist()
@@ -386,11 +403,12 @@ def _answer_contexts(span: int):
                 text = joined[e - int(lens[i]):e]
                 j = index.setdefault(text, len(keys))
                 if j == len(keys):
-                    keys.append(short[i])
+                    keys.append(int(short[i]))
                     shard.append(k)
                 at.append(j)
             ids.append(least)
-        at, sent_ids, keys, shard = np.array(at), np.concatenate(ids), np.array(keys), np.array(shard)
+        at, keys, shard = (np.frombuffer(x, np.int64) for x in (at, keys, shard))
+        sent_ids = np.concatenate(ids)
         least = np.full(len(keys), np.iinfo(np.int64).max)
         np.minimum.at(least, at, sent_ids)
         texts = list(index)
@@ -398,12 +416,16 @@ def _answer_contexts(span: int):
         _, group, n = np.unique(keys, return_inverse=True, return_counts=True)
         first = np.repeat(least[:, None], RUN_WINDOWS, axis=1)
         several = np.flatnonzero(n[group] > 1)
-        if len(several):
-            first[several] = window_ids([texts[i] for i in several.tolist()], shard[several], least[several], span)
-        smaller = (first[at] < sent_ids[:, None]) & (np.arange(RUN_WINDOWS)[None, :] < windows[at][:, None])
-        bits = np.packbits(smaller, axis=1, bitorder="little").view("<u4").ravel()
+        for part in _merges(keys[several], windows[several] + span - 1, merge_bytes):
+            part = several[part]
+            first[part] = window_ids([texts[i] for i in part.tolist()], shard[part], least[part], span)
+
+        def bits(a, b):  # of the contexts of one chunk
+            smaller = (first[at[a:b]] < sent_ids[a:b, None]) & (np.arange(RUN_WINDOWS)[None, :] < windows[at[a:b]][:, None])
+            return np.packbits(smaller, axis=1, bitorder="little").view("<u4").ravel()
+
         cut = np.cumsum([0, *map(len, ids)])
-        return pa.Table.from_batches([_messages([(key[0].as_py(), c, pack(bits[a:b])) for (c, _), a, b in zip(sent, cut, cut[1:])])])
+        return pa.Table.from_batches([_messages([(key[0].as_py(), c, pack(bits(a, b))) for (c, _), a, b in zip(sent, cut, cut[1:])])])
 
     return run
 
@@ -424,8 +446,9 @@ def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
         own = np.unpackbits(bits[at[~larger]].view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
         r, w = np.nonzero(own)
         one = start[~larger][r] + w
-        steps = np.bincount(np.concatenate((whole_a, one)), minlength=size + 1) - np.bincount(np.concatenate((whole_b, one + span)), minlength=size + 1)
-        gone = np.cumsum(steps)[:size] > 0
+        steps = np.bincount(np.concatenate((whole_a, one)), minlength=size + 1)
+        steps -= np.bincount(np.concatenate((whole_b, one + span)), minlength=size + 1)
+        gone = np.cumsum(steps, out=steps)[:size] > 0
         out = {f.name: [] for f in schema}
         begin = 0
         for i, end in enumerate(c.ends.tolist()):
@@ -446,7 +469,7 @@ def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), span: int = SPAN,
-                   gram: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS, buckets: int | None = None,
+                   gram: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS, buckets: int | None = None, merge_bytes: int = MERGE_BYTES,
                    with_text: bool = False, whole_characters: bool = False) -> DataFrame:
     """One row for each input row: the kept columns (``k0``, ``k1``, ...), ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``
     and, ``with_text``, ``kept`` (binary; with ``whole_characters``, UTF-8 characters cut in half go from it, while
@@ -458,7 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     asked = light.mapInArrow(_send_keys(n, span, gram), MESSAGE)
     known = asked.groupBy("bucket").applyInArrow(_answer_keys(hot_chunks), MESSAGE)
     sent = written(light.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_send_contexts(n, span, gram), MESSAGE), "contexts")
-    answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer_contexts(span), MESSAGE)
+    answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer_contexts(span, merge_bytes), MESSAGE)
     rest = chunks.schema["rest"].dataType.elementType
     struct = T.StructType([*[T.StructField(f"k{i}", rest[f"c{i}"].dataType) for i in range(len(keep))],
                            T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),

@@ -203,6 +203,23 @@ def test_suffix_dedup(docs, span, gram, chunk_bytes, hot_chunks, buckets):
     assert _sorted(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == _cut(ROWS, span)
 
 
+@pytest.mark.parametrize("merge_bytes", [1, 500, 20_000])
+def test_suffix_dedup_merges_in_parts(docs, merge_bytes):
+    got = suffix_dedup.remove_repeats(docs, span=20, gram=7, chunk_bytes=800, buckets=3, merge_bytes=merge_bytes)
+    assert _sorted(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == _cut(ROWS, 20)
+
+
+def test_merges_take_whole_keys():
+    r = np.random.default_rng(2)
+    key, size = r.integers(0, 9, 60), r.integers(50, 90, 60)
+    for most in (1, 300, 1 << 20):
+        parts = list(suffix_dedup._merges(key, size, most))
+        assert sorted(np.concatenate(parts).tolist()) == list(range(60))
+        assert sum(len(set(key[p].tolist())) for p in parts) == len(set(key.tolist()))
+        assert all(size[p].sum() <= most or len(set(key[p].tolist())) == 1 for p in parts)
+    assert list(suffix_dedup._merges(key[:0], size[:0], 10)) == []
+
+
 def test_suffix_dedup_keeps_columns(docs):
     got = suffix_dedup.remove_repeats(docs, keep=tuple(docs.columns), with_text=True).collect()
     assert sorted(((r.k1, r.k0, r.k2, r.k3, r.k4) for r in got), key=_key) == sorted(((i, t, "x", 1, 2) for i, t in ROWS), key=_key)
