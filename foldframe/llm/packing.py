@@ -18,6 +18,8 @@ other; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -135,41 +137,41 @@ def filling(left: np.ndarray, space: int, nodes: int) -> list[int]:
     The first path down is best fit (the largest piece that fits, again and again): the incumbent. One piece, or two
     that fill the space exactly, are found from the counts at once."""
     best: list[int] = []
-    waste = space
-    budget = [nodes]
-
-    def go(space_: int, top: int, taken: list[int]) -> bool:
-        nonlocal best, waste
-        if space_ < waste:
-            best, waste = list(taken), space_
-        if not waste or not space_:
-            return not waste
-        budget[0] -= 1
-        top = min(top, space_)
-        if left[space_] > taken.count(space_) and space_ <= top:
-            best, waste = [*taken, space_], 0
-            return True
+    taken: list[int] = []  # the path; a list of its own for what is untried at each depth, as paths of tiny pieces are long
+    held: Counter[int] = Counter()
+    untried: list[Iterator[int]] = []
+    waste = room = top = space
+    while True:
+        if room < waste:
+            best, waste = list(taken), room
+        if not waste:
+            return best
+        nodes -= 1
+        top = min(top, room)
+        if room <= top and left[room] > held[room]:
+            return [*taken, room]
         have = np.flatnonzero(left[:top + 1])
-        if not len(have):
-            return False
-        other = space_ - have
-        pair = have[(left[other] > 0) & (other <= have) & ((other != have) | (left[have] > 1))]
-        for x in pair[::-1][:8]:
-            y = space_ - int(x)
-            if left[x] - taken.count(int(x)) >= 1 + (x == y) and left[y] - taken.count(y) >= 1:
-                best, waste = [*taken, int(x), y], 0
-                return True
-        for x in have[::-1].tolist():
-            if left[x] <= taken.count(x):
-                continue
-            if go(space_ - x, x, [*taken, x]):
-                return True
-            if budget[0] <= 0:
-                return False
-        return False
-
-    go(space, space, [])
-    return best
+        if len(have):
+            other = room - have
+            pair = have[(left[other] > 0) & (other <= have) & ((other != have) | (left[have] > 1))]
+            for x in pair[::-1][:8].tolist():
+                y = room - x
+                if left[x] - held[x] >= 1 + (x == y) and left[y] - held[y] >= 1:
+                    return [*taken, x, y]
+        untried.append(iter(have[::-1].tolist()))
+        while True:
+            x = next((x for x in untried[-1] if left[x] > held[x]), None)
+            if x is not None:
+                break
+            untried.pop()
+            if not taken or nodes <= 0:
+                return best
+            x = taken.pop()
+            held[x] -= 1
+            room += x
+        taken.append(x)
+        held[x] += 1
+        room, top = room - x, x
 
 
 def plan_patterns(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES[0]) -> list[tuple[int, list[int]]]:

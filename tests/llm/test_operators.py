@@ -245,6 +245,18 @@ def test_suffix_dedup_empty(empty):
 
 # ---- packing
 
+def test_plan_of_very_many_tiny_pieces():
+    counts = np.zeros(4097, np.int64)
+    counts[1:4] = 3, 9000, 700
+    plan = packing.best_plan(counts)
+    assert sum(times for times, _ in plan) == packing.lower_bound(counts, 4096)
+    used = np.zeros(4097, np.int64)
+    for times, lengths in plan:
+        assert sum(lengths) <= 4096
+        np.add.at(used, lengths, times)
+    assert (used == counts).all()
+
+
 def test_packing(docs):
     tok = Tokenizer.from_file(WORD_BPE)
     expect = []
