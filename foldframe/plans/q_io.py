@@ -331,13 +331,15 @@ SELECT f.file_id, f.organism,
 FROM files_v f JOIN st2 s ON f.organism = s.organism""")
 def q_sink_compact(spark, sf):
     """Bundle small files: bucket by name order, one output file per bucket (content + newline)."""
-    f = VW.files_v(spark, sf).select("file_id", "path", "organism", "size", "content")
+    files = VW.files_v(spark, sf)
+    f = files.select("file_id", "path", "organism", "size")  # the contents are joined once, for writing
     plan = SK.compaction_plan(f, COMPACT_MB, group_cols=("organism",))
     f = IX.dense_index(f, ["path"], ["organism"]).join(plan.select("organism", "files_per_partition"), "organism")
     f = f.withColumn("bucket", F.floor((F.col("rn") - 1) / F.col("files_per_partition")).cast("long"))
     path = scratch_path(spark, "compact")
     # a bucket is one file: its rows go to one partition, in order
-    (f.repartition("organism", "bucket").sortWithinPartitions("organism", "bucket", "rn")
+    (f.join(files.select("file_id", "content"), "file_id")
+      .repartition("organism", "bucket").sortWithinPartitions("organism", "bucket", "rn")
       .select("organism", "bucket", F.concat("content", F.lit("\n")).alias("value"))
       .write.mode("overwrite").partitionBy("organism", "bucket").text(path))
     return f.select("file_id", "organism", "bucket")

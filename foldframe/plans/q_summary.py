@@ -76,30 +76,29 @@ def q_src_report_header(spark, sf):
 SELECT s.organism, c.cath_id, CAST(sum(c.count) AS BIGINT) AS count
 FROM counts c JOIN structs s ON c.structure = s.structure GROUP BY s.organism, c.cath_id""")
 def q_agg_class_totals(spark, sf):
-    counts = RP.read_report_counts(spark, written_reports(spark, sf)).withColumn(
-        "cath_id", F.when(F.col("cath_id") == "", None).otherwise(F.col("cath_id")))
-    counts = counts.join(structures(spark, sf), "structure")
-    return SU.class_totals(counts, ("organism",))
+    _, counts = report_tables(spark, sf)
+    return SU.class_totals(counts.join(structures(spark, sf), "structure"), ("organism",))
 
 
 @register("agg_organism_stats", SQL_REPORT_BASE + """
 SELECT organism, avg(mean_plddt) AS mean_plddt, stddev_samp(mean_plddt) AS stddev_plddt FROM means GROUP BY organism""")
 def q_agg_organism_stats(spark, sf):
-    heads = RP.read_report_headers(spark, written_reports(spark, sf)).join(structures(spark, sf), "structure")
-    return SU.organism_stats(heads)
+    means, _ = report_tables(spark, sf)
+    return SU.organism_stats(means.join(structures(spark, sf), "structure"))
 
 
 @register("sink_summary", SQL_REPORT_BASE + """
 SELECT organism, avg(mean_plddt) AS mean_plddt, stddev_samp(mean_plddt) AS stddev_plddt FROM means GROUP BY organism""")
 def q_sink_summary(spark, sf):
-    """Both summary tables as single CSV files in two separate folders; the stats file is read back."""
+    """Both summary tables as CSV in two separate folders; the stats table (a row for each organism) is one file and is
+    read back. The file is cut after the aggregate, which keeps its own tasks."""
     means, counts = report_tables(spark, sf)
     means = means.join(structures(spark, sf), "structure")
     stats = SU.organism_stats(means)
     totals = SU.class_totals(counts.join(structures(spark, sf), "structure"), ("organism",))
     base = scratch_path(spark, "summary")
-    stats.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/stats")
-    totals.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/class_totals")
+    stats.repartition(1).write.mode("overwrite").option("header", True).csv(f"{base}/stats")
+    totals.write.mode("overwrite").option("header", True).csv(f"{base}/class_totals")
     return spark.read.schema(stats.schema).option("header", True).csv(f"{base}/stats")
 
 
