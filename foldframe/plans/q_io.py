@@ -311,10 +311,11 @@ def q_udf_error_rows(spark, sf):
 SELECT file_id, organism, CAST((row_number() OVER (PARTITION BY organism ORDER BY path) - 1) // {STAGE_BATCH} AS BIGINT) AS batch
 FROM files_v""")
 def q_sink_batch_stage(spark, sf):
-    f = VW.files_v(spark, sf).select("file_id", "path", "organism", "content")
-    f = IX.dense_index(f, ["path"], ["organism"]).withColumn("batch", F.floor((F.col("rn") - 1) / STAGE_BATCH).cast("long"))
+    files = VW.files_v(spark, sf)
+    f = IX.dense_index(files.select("file_id", "path", "organism"), ["path"], ["organism"])
+    f = f.withColumn("batch", F.floor((F.col("rn") - 1) / STAGE_BATCH).cast("long")).drop("rn")
     path = scratch_path(spark, "staged")
-    SK.write_partitioned(f.drop("rn"), path, ["organism", "batch"])
+    SK.write_partitioned(f.join(files.select("file_id", "content"), "file_id"), path, ["organism", "batch"])
     return spark.read.parquet(path).select("file_id", "organism", F.col("batch").cast("long").alias("batch"))
 
 
