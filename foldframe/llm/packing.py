@@ -2,12 +2,14 @@
 
 Every document is tokenised and closed with an end id; only longer ones are cut, into full sequences and a rest. What is
 left to pack is a multiset of lengths below the capacity, so the plan needs ``capacity`` counts and nothing else, however
-many documents there are. Bin completion takes the largest length left, enumerates the fillings of the space beside it
-(largest parts first; a filling whose part could be exchanged for one larger piece is dominated and never tried), stops
-at a filling without waste and otherwise keeps the one that wastes least; the best-fit filling is the first incumbent.
-A filling is used as often as its lengths last, so a plan has at most one line for each length and part. If the number
-of sequences reaches the lower bound (all lengths over the capacity, or the pieces that cannot share) it is the fewest
-possible; if not, the search is repeated with more nodes for each filling, and the better plan stays.
+many documents there are. The first incumbent is greedy: the largest length left takes the filling of the space beside it
+that wastes least, as often as its lengths last. If the number of sequences is above the lower bound (all lengths over the
+capacity, or the pieces that cannot share), the greedy plan is repeated with more nodes for a filling, and then bin
+completion branches: a node is a histogram of what is left, a branch a filling of its largest length with its
+multiplicity. Dominated fillings (a piece left over could take the place of smaller parts, or of the waste) are no
+branches; a branch is cut when what it wasted, with the lower bound of the rest, cannot beat the incumbent, and when its
+histogram was met before with as few sequences. The search ends at the lower bound, or when all is searched (the plan is
+then the best possible), or after ``SEARCH_STEPS``, which is logged.
 
 A piece finds its place by its rank among the pieces of its length (ranked without one task for a length that a third of
 all documents share).
@@ -17,10 +19,14 @@ other; an empty table gives an empty table; other columns are ignored.
 """
 from __future__ import annotations
 
+import hashlib
+import logging
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,6 +39,8 @@ CAPACITY, END_ID = 4096, 1
 MEMORY_WORDS = 1_000_000
 #: Nodes of the search for one filling: first try, and the repeats if the bound is not reached.
 NODES = (64, 1024, 8192)
+#: Steps of the branch-and-bound search (a step of an enumeration is one, a node ``NODE_STEPS``).
+SEARCH_STEPS, NODE_STEPS = 400_000, 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -122,13 +130,12 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     sizes = np.arange(len(counts))
     n = np.concatenate((np.cumsum(counts[::-1])[::-1], [0]))
     w = np.concatenate((np.cumsum((counts * sizes)[::-1])[::-1], [0]))
-    best = -(-int(w[0]) // capacity)
     half = capacity // 2
-    for k in range(1, half + 1):
-        alone, big = int(n[capacity - k + 1]), int(n[half + 1] - n[capacity - k + 1])
-        space = big * capacity - int(w[half + 1] - w[capacity - k + 1])
-        best = max(best, alone + big + max(0, -(-(int(w[k] - w[half + 1]) - space) // capacity)))
-    return best
+    k = np.arange(1, half + 1)
+    alone, big = n[capacity - k + 1], n[half + 1] - n[capacity - k + 1]
+    space = big * capacity - (w[half + 1] - w[capacity - k + 1])
+    more = np.maximum(0, -(-(w[k] - w[half + 1] - space) // capacity))
+    return max(-(-int(w[0]) // capacity), int((alone + big + more).max(initial=0)))
 
 
 def filling(left: np.ndarray, space: int, nodes: int) -> list[int]:
@@ -191,15 +198,169 @@ def plan_patterns(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NOD
     return plan
 
 
+class _Steps:
+    """Steps that are left of a search."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def spend(self, n: int = 1) -> bool:
+        self.left -= n
+        return self.left >= 0
+
+
+def _bits(lengths) -> int:
+    """Lengths as a set of bits."""
+    flags = np.zeros(max(lengths, default=0) + 1, np.uint8)
+    flags[list(lengths)] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
+def _sums(parts: list[int]) -> int:
+    """Sums of all choices of ``parts``, the empty one too, as bits."""
+    sums = 1
+    for x in parts:
+        sums |= sums << x
+    return sums
+
+
+def dominated(parts: list[int], waste: int, spare: int, spare_too: list[int]) -> bool:
+    """Could a piece left over take the place of some (or no) parts, smaller than it or several of its size?
+
+    ``spare``: lengths left over that no part has, as bits; ``spare_too``: lengths left over that a part has."""
+    reach, width = _sums(parts), 1  # sums, and up to ``waste`` more
+    while width <= waste:
+        step = min(width, waste + 1 - width)
+        reach |= reach << step
+        width += step
+    if reach & spare:
+        return True
+    if not spare_too:
+        return False
+    more, width = _sums(parts) << 1 if waste else 0, 1
+    while width < waste:
+        step = min(width, waste - width)
+        more |= more << step
+        width += step
+    return any((more | _sums([y for y in parts if y != x])) >> x & 1 for x in spare_too)
+
+
+def undominated(left: np.ndarray, space: int, slack: int, steps: _Steps) -> Iterator[list[int]]:
+    """Fillings of ``space`` from counts ``left`` that waste at most ``slack`` and are not dominated, largest parts first."""
+    sizes = np.flatnonzero(left[:space + 1])[::-1].tolist()
+    have = left[sizes].tolist()
+    falling = [-x for x in sizes]
+    after = np.concatenate((np.cumsum((np.array(sizes, np.int64) * np.array(have, np.int64))[::-1])[::-1], [0])).tolist()
+    all_ = _bits(sizes)
+    path: list[list[int]] = []  # [index of the size, how many], without zeros
+    i, room = 0, space
+    while steps.spend():
+        i = max(i, bisect_left(falling, -room))
+        if i < len(sizes) and room - after[i] <= slack:
+            path.append([i, min(have[i], room // sizes[i])])
+            room -= sizes[i] * path[-1][1]
+            i += 1
+            continue
+        if i == len(sizes) and room <= slack:
+            parts = [sizes[k] for k, n in path for _ in range(n)]
+            spare = all_
+            for k, _ in path:
+                spare &= ~(1 << sizes[k])
+            if not dominated(parts, room, spare, [sizes[k] for k, n in path if have[k] > n]):
+                yield parts
+        if not path:
+            return
+        i = path[-1][0] + 1
+        path[-1][1] -= 1
+        room += sizes[i - 1]
+        if not path[-1][1]:
+            path.pop()
+
+
+def _branches(left: np.ndarray, capacity: int, slack: int, steps: _Steps, all_times: bool) -> Iterator[tuple[int, list[int]]]:
+    """(times, lengths largest first): the fillings of the largest length, least waste first in blocks of them; each as often as
+    possible, and with ``all_times`` later also half as often, and so on to once: so every number of times can be reached."""
+    top = int(np.flatnonzero(left)[-1])
+    rest = left.copy()
+    rest[top] -= 1
+    found = undominated(rest, capacity - top, slack, steps)
+    fewer = []
+    while block := [[top, *f] for f in islice(found, 64)]:
+        block.sort(key=sum, reverse=True)
+        for lengths in block:
+            times = min(int(left[x]) // n for x, n in Counter(lengths).items())
+            yield times, lengths
+            # alone since nothing fits, or filled by one piece: no other filling is as good while it lasts
+            if all_times and (len(lengths) > 2 or len(lengths) == 2 and sum(lengths) < capacity):
+                fewer.append((times // 2, lengths))
+    for times, lengths in fewer:
+        while times:
+            yield times, lengths
+            times //= 2
+
+
+def searched_plan(counts: np.ndarray, incumbent: list[tuple[int, list[int]]], capacity: int = CAPACITY,
+                  budget: int = SEARCH_STEPS) -> tuple[list[tuple[int, list[int]]], bool]:
+    """Branch and bound from the plan ``incumbent``: (plan, is it known to be the best possible). First with each filling as
+    often as possible only, as a small tree has the plans of large counts, then with all numbers of times."""
+    best, _ = _search(counts, incumbent, capacity, _Steps(budget // 2), False)
+    return _search(counts, best, capacity, _Steps(budget // 2), True)
+
+
+def _search(counts: np.ndarray, incumbent: list[tuple[int, list[int]]], capacity: int, steps: _Steps,
+            all_times: bool) -> tuple[list[tuple[int, list[int]]], bool]:
+    left = counts.astype(np.int64).copy()
+    left[0] = 0
+    bound = lower_bound(left, capacity)
+    best, fewest = incumbent, sum(t for t, _ in incumbent)
+    path: list[tuple[int, list[int]]] = []
+    open_: list[Iterator[tuple[int, list[int]]]] = []
+    met: dict[bytes, int] = {}
+    used = 0
+    while fewest > bound:
+        if not steps.spend(NODE_STEPS):
+            return best, False
+        least = lower_bound(left, capacity)
+        state = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+        if not least and used < fewest:
+            best, fewest = list(path), used
+            branches = iter(())
+        elif used + least >= fewest or met.get(state, fewest) <= used:
+            branches = iter(())
+        else:
+            met[state] = used
+            slack = (fewest - 1 - used) * capacity - int(left @ np.arange(len(left)))
+            branches = _branches(left, capacity, slack, steps, all_times)
+        open_.append(branches)
+        while open_ and (branch := next(open_[-1], None)) is None:
+            open_.pop()
+            if path:
+                times, lengths = path.pop()
+                used -= times
+                np.add.at(left, lengths, times)
+        if not open_:
+            return best, steps.left >= 0
+        times, lengths = branch
+        path.append(branch)
+        used += times
+        np.subtract.at(left, lengths, times)
+    return best, True
+
+
 def best_plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
-    """The plan with the fewest sequences over ever wider searches; ends early where the lower bound is reached."""
+    """The plan with the fewest sequences: greedy over ever wider searches, then branch and bound; ends early where the
+    lower bound is reached."""
     bound, best = lower_bound(counts, capacity), None
     for nodes in NODES:
         plan = plan_patterns(counts, capacity, nodes)
         if best is None or sum(t for t, _ in plan) < sum(t for t, _ in best):
             best = plan
         if sum(t for t, _ in best) <= bound:
-            break
+            return best
+    best, known = searched_plan(counts, best, capacity)
+    if not known:
+        logging.getLogger(__name__).warning("packing: the search ended after its steps at %d sequences, lower bound %d",
+                                            sum(t for t, _ in best), bound)
     return best
 
 

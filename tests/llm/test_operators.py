@@ -298,6 +298,31 @@ def test_bin_completion_against_exhaustive_search():
         assert packing.lower_bound(np.bincount(items, minlength=cap + 1), cap) <= best <= sum(n for n, _ in plan) <= best + 1
 
 
+def test_search_branches_over_fillings():
+    counts = np.bincount([2096, 1896, 1696, 1600, 1200, 1040, 1000, 960, 800], minlength=4097)
+    assert sum(n for n, _ in packing.best_plan(counts)) == 3
+    assert sum(n for n, _ in packing.best_plan(1000 * counts)) == 3000  # a filling with its multiplicity is one branch
+
+
+def test_search_finds_the_fewest_sequences():
+    r = random.Random(9)
+    for _ in range(150):
+        cap = r.randint(12, 40)
+        items = [r.randint(2, cap * 2 // 3) for _ in range(r.randint(6, 11))]
+
+        def fits(rest, bins):
+            if not rest:
+                return True
+            return any(fits(rest[1:], [*bins[:k], b - rest[0], *bins[k + 1:]])
+                       for k, b in enumerate(bins) if b >= rest[0] and b not in bins[:k])
+
+        items.sort(reverse=True)
+        plan = packing.best_plan(np.bincount(items, minlength=cap + 1), cap)
+        used = sum(n for n, _ in plan)
+        assert sorted((x for n, p in plan for x in p * n), reverse=True) == items and all(sum(p) <= cap for _, p in plan)
+        assert not fits(items, [cap] * (used - 1))
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty, WORD_BPE).collect() == []
 
