@@ -61,8 +61,9 @@ def _memory(path: str) -> dict:
 
 def _learn(tok, memory: dict[str, bytes], new: set[str]) -> None:
     """Ids of runs that are new. Words of letters go through the tokenizer many at a time, one pre-token each; a last
-    comma or full stop after them is a pre-token of its own."""
-    stem = {r: r[:-1] for r in new if r[-1] in ",." and r[:-1].isalpha()}
+    comma or full stop after them is a pre-token of its own if normalising (NFC, lower case) leaves the last letter one
+    letter, as in Latin-1; a combining mark that came of it would join the sign, so other runs are encoded whole."""
+    stem = {r: r[:-1] for r in new if r[-1] in ",." and r[:-1].isalpha() and max(r) <= "\xff"}
     words = sorted((new.difference(stem) | set(stem.values()) | {",", "."}).difference(memory))
     letters, rest = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
     for i in range(0, len(letters), 500):

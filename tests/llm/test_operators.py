@@ -323,6 +323,12 @@ def test_search_finds_the_fewest_sequences():
         assert not fits(items, [cap] * (used - 1))
 
 
+def test_ids_of_letters_that_normalise_to_marks():
+    tok = Tokenizer.from_file(WORD_BPE)
+    for t in ["AYNİ,", "BELEDİYESİ.", "तरफ़,", "AYNİ BELEDİYESİ, İ. yer", "तरफ़ तरफ़. größe, été.", "ΌΣΟΣ, ΣΟΦΟΣ. Å,", "Ｅ́, ǰ. Việt,"]:
+        assert packing.encode_texts([t], WORD_BPE) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty, WORD_BPE).collect() == []
 
