@@ -5,8 +5,9 @@ All suffixes of a large corpus cannot be sorted, so the work is cut where equal
 
 1. Documents are gathered into chunks (rows of a written table). Every ``SPAN``-byte window has a key, the least hash of
    its ``GRAM``-byte pieces: equal windows have equal keys, and neighbouring windows mostly share theirs, so a chunk is
-   some runs of windows with one key. Keys, 32 bits each and one for each chunk, are shuffled by value; those that no
-   other document has are answered "alone" and their windows are done.
+   some runs of windows with one key. Keys, 32 bits each and one for each chunk, are shuffled by value, with the bytes of
+   a key's distinct contexts in the chunk if it has more than ``FEW`` runs there; those that no other document has are
+   answered "alone" and their windows are done.
 2. Each chunk sends the distinct contexts (run of windows and the bytes that they cover) of the other keys to the key's
    bucket, with the smallest id that has the context in the chunk.
 3. In a bucket, the contexts that came from one chunk are a shard. Where a key has one context all over, its windows are
@@ -20,8 +21,9 @@ All suffixes of a large corpus cannot be sorted, so the work is cut where equal
 4. Chunks gather the answers, mark the windows of a larger id, and cut the bytes that they cover.
 
 Chunks, buckets and messages are bounded by ``chunk_bytes``, not by the corpus; a key that very many chunks hold
-(``hot_chunks``) is dealt window by window instead, so no bucket collects the edges of a passage that a third of all
-documents share; a bucket merges whole keys in parts of ``merge_bytes``. Results do not depend on any of these settings.
+(``hot_chunks``), or whose contexts pass ``merge_bytes`` over all chunks, is dealt window by window instead, so no bucket
+collects the edges of a passage that a third of all documents share, and no merge takes more than ``merge_bytes`` (whole
+keys). Results do not depend on any of these settings.
 (Windows are judged on the input; overlaps count.)
 
 Defined results: null text = empty; texts under ``SPAN`` bytes lose nothing; a null id counts as smaller than any other;
@@ -55,6 +57,8 @@ CHUNK_BYTES = 4 << 20
 #: Windows of a context; longer runs are cut.
 RUN_WINDOWS = 32
 HOT_CHUNKS = 256
+#: Runs of a key in a chunk that are not counted: each is taken for a longest context of its own.
+FEW = 3
 #: Bytes of contexts that one merge takes (whole keys; it needs about 100 times as much memory).
 MERGE_BYTES = 1 << 20
 NO_ID = -(1 << 63)
@@ -135,6 +139,26 @@ def _scaled(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys >> np.uint64(32)) * np.uint64(buckets) + ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32))
 
 
+def _keys_message(short: np.ndarray, at: np.ndarray, size: np.ndarray) -> bytes:
+    """Sorted 32-bit keys as gaps, and the bytes ``size`` of the contexts of those in the places ``at``."""
+    gaps = np.diff(short.astype(np.int64), prepend=0).astype("<u4")
+    more = np.concatenate((at, size, [len(at)])).astype("<u4")
+    return zstandard.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + more.tobytes(), 3)
+
+
+def _from_keys_message(blob: bytes, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, bytes of each key's contexts: ``few`` where they were not counted)."""
+    raw = zstandard.decompress(blob)
+    m = int.from_bytes(raw[-4:], "little")
+    end = len(raw) - 4 - 8 * m
+    planes = np.frombuffer(raw[:end], np.uint8).reshape(4, -1)
+    keys = np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
+    size = np.full(len(keys), few, np.int64)
+    at, counted = np.frombuffer(raw[end:-4], "<u4").reshape(2, m)
+    size[at] = counted
+    return keys, size
+
+
 def _gaps(sorted_: np.ndarray) -> bytes:
     """A sorted array of 32-bit numbers as gaps, byte by byte, compressed."""
     gaps = np.diff(sorted_.astype(np.int64), prepend=0).astype("<u4")
@@ -302,26 +326,39 @@ def _send_keys(buckets: int, span: int, gram: int):
         for batch in batches:
             for row in batch.to_pylist():
                 c = _Chunk(row)
-                _, _, key, ids, order, head = c.keys(span, gram)
+                start, n, key, ids, order, head = c.keys(span, gram)
                 if not len(head):
                     continue
+                # bytes of the distinct contexts of keys with more than a few runs
+                runs = np.diff(np.append(head, len(order)))
+                many, size = np.flatnonzero(runs > FEW), np.zeros(len(head), np.int64)
+                for k in many.tolist():
+                    mine = order[head[k]:head[k] + runs[k]]
+                    ends = start[mine] + n[mine] + span - 1
+                    size[k] = sum(map(len, {c.body[a:b] for a, b in zip(start[mine].tolist(), ends.tolist())}))
                 ids, key = ids[order], key[order][head]
                 both = np.minimum.reduceat(ids, head) != np.maximum.reduceat(ids, head)
                 short = _scaled(key, buckets) & np.uint64(0xFFFFFFFE) | both.astype(np.uint64)
                 cut = np.searchsorted(buckets_of(key, buckets), np.arange(buckets + 1))
-                yield _messages([(b, c.chunk, _gaps(np.sort(short[cut[b]:cut[b + 1]]))) for b in range(buckets) if cut[b] < cut[b + 1]])
+                rows = []
+                for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+                    part, bytes_ = np.sort(short[cut[b]:cut[b + 1]]), size[cut[b]:cut[b + 1]]  # in this order but for the last bit
+                    at = np.flatnonzero(bytes_)
+                    rows.append((b, c.chunk, _keys_message(part, at, np.minimum(bytes_[at], 0xFFFFFFFF))))
+                yield _messages(rows)
 
     return run
 
 
-def _answer_keys(hot_chunks: int):
-    """For each chunk's keys, as bits: is it in another document too; do very many chunks have it."""
+def _answer_keys(hot_chunks: int, merge_bytes: int = MERGE_BYTES, span: int = SPAN):
+    """For each chunk's keys, as bits: is it in another document too; is it hot: in very many chunks, or with contexts
+    that one merge cannot take."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        parts = [_from_gaps(p) for p in table.column("payload").to_pylist()]
+        parts, sizes = zip(*(_from_keys_message(p, FEW * (RUN_WINDOWS + span - 1)) for p in table.column("payload").to_pylist()))
         all_ = np.concatenate(parts)
         _, at, n = np.unique(all_ >> 1, return_inverse=True, return_counts=True)
         shared = (n > 1) | (np.bincount(at, all_ & 1) > 0)
-        hot = n >= hot_chunks
+        hot = (n >= hot_chunks) | (np.bincount(at, np.concatenate(sizes)) > merge_bytes)
         cut = np.cumsum([0, *map(len, parts)])
         said = [pack(len(p), np.packbits(shared[at[a:b]]), np.packbits(hot[at[a:b]])) for p, a, b in zip(parts, cut, cut[1:])]
         return pa.Table.from_batches([_messages([(key[0].as_py(), c, s) for c, s in zip(table.column("chunk").to_pylist(), said)])])
@@ -479,7 +516,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = buckets or max(8, 2 * chunks.count())
     light = chunks.select("chunk", "ids", "ends", "body")
     asked = light.mapInArrow(_send_keys(n, span, gram), MESSAGE)
-    known = asked.groupBy("bucket").applyInArrow(_answer_keys(hot_chunks), MESSAGE)
+    known = asked.groupBy("bucket").applyInArrow(_answer_keys(hot_chunks, merge_bytes, span), MESSAGE)
     sent = written(light.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_send_contexts(n, span, gram), MESSAGE), "contexts")
     answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer_contexts(span, merge_bytes), MESSAGE)
     rest = chunks.schema["rest"].dataType.elementType

@@ -220,6 +220,42 @@ def test_merges_take_whole_keys():
     assert list(suffix_dedup._merges(key[:0], size[:0], 10)) == []
 
 
+def _line_rows():
+    r, line = random.Random(8), "a line of more than fifty bytes that very many documents hold, at any place"
+    word = lambda: "".join(r.choices("abcdefghijklmnop", k=7))
+    return [(i, " ".join([word(), word(), *([line] if i % 2 else []), word(), word()])) for i in range(400)]
+
+
+def test_key_with_many_contexts_in_few_chunks_is_dealt(monkeypatch):
+    import pyarrow as pa
+    import zstandard
+
+    rows, most, span, gram, buckets = _line_rows(), 2000, 50, 24, 3
+    merged = []
+    inner = suffix_dedup.window_ids
+    monkeypatch.setattr(suffix_dedup, "window_ids", lambda contexts, *a: merged.append(sum(map(len, contexts))) or inner(contexts, *a))
+    chunks = []
+    for k in range(4):
+        part = rows[100 * k:100 * k + 100]
+        chunks.append({"chunk": k, "ids": [i for i, _ in part], "ends": np.cumsum([len(t) for _, t in part]).tolist(),
+                       "body": zstandard.compress("".join(t for _, t in part).encode())})
+    table = lambda batches: pa.Table.from_batches(list(batches))
+    by = lambda t, column, v: t.filter(pa.compute.equal(t[column], pa.scalar(v, t.schema.field(column).type)))
+    asked = table(suffix_dedup._send_keys(buckets, span, gram)(iter([pa.RecordBatch.from_pylist(chunks)])))
+    known = pa.concat_tables([suffix_dedup._answer_keys(256, most, span)((pa.scalar(b),), by(asked, "bucket", b)) for b in range(buckets)])
+    sent = pa.concat_tables([suffix_dedup._send_contexts(buckets, span, gram)(pa.Table.from_pylist([c]), by(known, "chunk", c["chunk"])) for c in chunks])
+    for b in range(buckets):
+        suffix_dedup._answer_contexts(span, most)((pa.scalar(b),), by(sent, "bucket", b))
+    assert max(merged, default=0) <= most
+
+
+@pytest.mark.parametrize("merge_bytes", [2000, 1 << 20])
+def test_suffix_dedup_of_a_frequent_line(spark, merge_bytes):
+    docs = spark.createDataFrame(_line_rows(), "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(docs, chunk_bytes=9000, merge_bytes=merge_bytes)
+    assert _sorted(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == _cut(_line_rows(), 50)
+
+
 def test_suffix_dedup_keeps_columns(docs):
     got = suffix_dedup.remove_repeats(docs, keep=tuple(docs.columns), with_text=True).collect()
     assert sorted(((r.k1, r.k0, r.k2, r.k3, r.k4) for r in got), key=_key) == sorted(((i, t, "x", 1, 2) for i, t in ROWS), key=_key)
