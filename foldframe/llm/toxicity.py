@@ -7,7 +7,8 @@ sigmoid(w.x - t_k) with t_1 <= t_2 <= ...; x says which words a document holds,
 few words. Scoring a document needs its words that have a weight and nothing else; all documents are scored where they
 lie. The result is the expected severity (sum of P(grade >= k)) and the decision P(grade >= 1) >= ``CUT``.
 
-Fitted on at most ``SAMPLE`` labelled rows (the smallest hashes of the ids), on the driver; this bound is the only one.
+Fitted on at most ``SAMPLE`` labelled rows (the smallest hashes of the ids; one row for each of their texts, and at most
+``SAMPLE`` of these, the smallest digests), on the driver; this bound is the only one.
 
 Defined results: null or wordless text scores the model's intercept; null labels are not used; a document labelled more
 than once takes its largest label; with no toxic or no clean label the severity is 0 for all; repeated rows are scored
@@ -39,20 +40,26 @@ def words(text: bytes) -> list[bytes]:
 
 
 def labelled_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, list[bytes]]]:
-    """(toxic, distinct words) of at most ``sample`` labelled documents, in the order of their ids' hashes."""
+    """(toxic, distinct words) of the distinct texts of at most ``sample`` labelled documents, in the order of the texts'
+    digests; at most ``sample`` rows, the least digests, however many rows or texts the sampled ids have."""
+    return [(int(t > 0), w.split()) for t, w in _sample_rows(docs, labels, sample, id_col, text_col).toPandas().itertuples(index=False)]
+
+
+def _sample_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str) -> DataFrame:
     lab = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("of_id")).agg(F.max("toxic").alias("toxic"))
     lab = written(lab.withColumn("h", F.xxhash64("of_id")).orderBy("h", "of_id").limit(sample), "label-sample")
     d = binary_texts(docs, id_col, text_col).join(F.broadcast(lab), F.col("doc_id") == F.col("of_id"))
 
-    def run(cols):
-        return {"copy": [hashlib.sha256(t).digest() for t in cols["text"]], "toxic": cols["toxic"], "words": [b" ".join(sorted(set(words(t)))) for t in cols["text"]]}
-
-    rows = map_batches(d.select("toxic", "text"), run, "copy binary, toxic int, words binary").toPandas()
     # copies count once, with their largest label: else the words of an often copied document speak too loud
-    found: dict[bytes, tuple[int, bytes]] = {}
-    for copy, toxic, w in sorted(zip(map(bytes, rows["copy"]), rows["toxic"], map(bytes, rows["words"]))):
-        found[copy] = (int(toxic > 0), w)
-    return [(t, w.split()) for t, w in found.values()]
+    def run(cols):
+        found: dict[bytes, int] = {}
+        for toxic, t in zip(cols["toxic"], cols["text"]):
+            found[t] = max(toxic, found.get(t, toxic))
+        return {"copy": [hashlib.sha256(t).digest() for t in found], "toxic": list(found.values()), "words": [b" ".join(sorted(set(words(t)))) for t in found]}
+
+    rows = map_batches(d.select("toxic", "text"), run, "copy binary, toxic int, words binary")
+    one = rows.groupBy("copy").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words"))
+    return one.orderBy("copy").limit(sample).select("toxic", "words")
 
 
 def grade(rows: list[tuple[int, list[bytes]]], grades: int = GRADES) -> np.ndarray:

@@ -561,6 +561,17 @@ def test_cumulative_thresholds_are_ordered(labelled):
     assert thresholds == sorted(thresholds) and len(thresholds) == toxicity.GRADES
 
 
+def test_sample_bounds_the_rows_on_the_driver(spark):
+    rows = [(7, f"text {i % 40} of one id") for i in range(400)] + [(8, "of another"), (8, "text 3 of one id"), (9, "not labelled")]
+    labels = spark.createDataFrame([(7, 0), (8, 1)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert toxicity._sample_rows(docs, labels, 10, "doc_id", "text").count() == 10
+    got = toxicity.labelled_words(docs, labels, 100)
+    texts = sorted({t.encode() for i, t in rows if i != 9}, key=lambda t: hashlib.sha256(t).digest())
+    assert got == [(int(t in (b"of another", b"text 3 of one id")), sorted(set(toxicity.words(t)))) for t in texts]
+    assert toxicity.labelled_words(docs, labels, 10) == got[:10]
+
+
 def test_toxicity_edge_rows(spark, docs, empty):
     labels = spark.createDataFrame([(3, 1), (60, 0), (3, 0)], "doc_id long, toxic int")
     got = toxicity.toxicity(docs, labels)
