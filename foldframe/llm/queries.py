@@ -4,12 +4,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
 from . import sql
 from .byte_bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .hard_negatives import mine
 from .language_model import lm_scores
 from .packing import pack
 from .sharding import shard_rows
@@ -18,6 +20,8 @@ from .sketches import document_fingerprints
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .url_filter import url_filter
+from .whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,11 +68,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_suffix_dedup, op3_simhash_near_dedup, op4_best_fit_packing, op5_lm_scoring, op6_byte_bpe,
-        op7_exact_dedup, op8_sharding, op9_document_fingerprints, op10_toxicity)}
+        op7_exact_dedup, op8_sharding, op9_document_fingerprints, op10_toxicity, op11_url_filter, op12_embedding_whitening,
+        op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": sql.EXACT_DEDUP}
+    return {"op7_exact_dedup": sql.EXACT_DEDUP, "op13_hard_negatives": sql.HARD_NEGATIVES}

@@ -70,7 +70,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in llm.queries()} == {f"op{n}" for n in range(1, 11)} and set(llm.queries()) | {"pipeline"} <= names
+    assert {n.split("_")[0] for n in llm.queries()} == {f"op{n}" for n in range(1, 14)} and set(llm.queries()) | {"pipeline"} <= names
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
