@@ -5,7 +5,8 @@ Each stage takes what its predecessor kept (all of it) and returns a table with
 returns the packed pieces. ``run`` writes each stage's result to the shared checkpoint folder and reads it again.
 
 Defined results: an empty or null text is kept unless another row has the same (empty) text; a document that loses all
-its bytes stays as an empty text; rows that repeat an id go or stay together in the near-copy stage.
+its bytes stays as an empty text; rows that repeat an id go or stay together in the near-copy stage; columns beside those
+of ``documents`` pass through the first four stages unchanged, whatever their names.
 """
 from __future__ import annotations
 
@@ -31,18 +32,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("not toxic").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``docs`` has, whatever their case."""
+    longest = max((len(c) for c in docs.columns), default=0)
+    return [name + "_" * longest for name in names]
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with the same text but for the case of A-Z, the one with the largest id."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    named = docs.withColumn("_norm", F.sha2(lower_az(F.coalesce("text", F.lit(""))).cast("binary"), 256))
-    stay = named.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_norm") == F.col("_sha")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_norm"]).select(*docs.columns)
+    id_, sha, norm = _free(docs, "id", "sha", "norm")
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha)).distinct()
+    named = docs.withColumn(norm, F.sha2(lower_az(F.coalesce("text", F.lit(""))).cast("binary"), 256))
+    stay = named.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(norm) == F.col(sha)), "left_semi")
+    return stay.dropDuplicates(["doc_id", norm]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints, the document with the smallest id."""
-    kept = simhash_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    id_, = _free(docs, "id")
+    kept = simhash_dedup(docs).where("kept").select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +59,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The text travels once, as the bytes that are cut; whether it was null is kept beside the other columns."""
     others = [c for c in docs.columns if c != "text"]
-    null = "_" + "_".join(docs.columns)  # no column has this name
+    null, = _free(docs, "null")
     cut = remove_repeats(docs.withColumn(null, F.col("text").isNull()), keep=(*others, null), with_text=True, whole_characters=True)
     column = {c: F.col(f"k{i}") for i, c in enumerate(others)}
     text = F.col("kept").cast("string")
     column["text"] = F.when(~F.col(f"k{len(others)}"), text)
-    column["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
+    if "n_chars" in column:
+        column["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
     return cut.select(*[column[c].alias(c) for c in docs.columns])
 
 
