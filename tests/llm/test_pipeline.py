@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foldframe.llm import queries as llm
@@ -47,6 +48,23 @@ def test_stages(spark, sf_dir):
     assert {p.doc_id for p in pieces} == set(cut) and all(len(p.ids) == 4 * p.length for p in pieces)
 
 
+def test_clashing_columns_pass_unchanged(spark, sf_dir):
+    """Columns with the names of helper columns keep their values in the stages that return documents."""
+    d, text, _ = sf_dir
+    names = ["_id", "_sha", "_norm", "k0", "kept", "_k0", "id", "text_sha256"]
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    docs = docs.select(*[F.concat(F.lit(n), F.coalesce("doc_id", F.lit(-1))).alias(n) for n in names], "*")
+    columns = docs.columns
+    plain = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs, plain = (spark.createDataFrame((x := stage(spark, t, d)).collect(), x.schema) for t in (docs, plain))
+        assert docs.columns == columns
+        rows = docs.collect()
+        assert all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+        assert sorted(map(str, docs.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert corpus_pipeline.STAGES[4][1](spark, docs, d).columns == corpus_pipeline.STAGES[4][1](spark, plain, d).columns
+
+
 def test_run_equals_its_stages(spark, sf_dir):
     d = sf_dir[0]
     docs = spark.read.parquet(f"{d}/documents.parquet")
