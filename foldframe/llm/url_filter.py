@@ -45,7 +45,9 @@ MIXES = 24
 #: Labelled urls that the fit uses at most.
 SAMPLE = 4000
 BUCKETS, NGRAMS = 1 << 15, (3, 4)
-STEPS, RIDGE = 40, 1e-4
+STEPS, RIDGE = 30, 1e-4
+#: Probability from which the method blocks: above even odds, as the labelled table holds more junk than pages do.
+CUT = 0.6
 _FIXED = float(1 << 40)  # gradients are summed in units of 2^-40
 
 
@@ -101,12 +103,17 @@ def _literal(weights: Sequence[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
 
+def _constant(values: Sequence[float], kind: str) -> Column:
+    """A constant array (one string to parse, folded before execution)."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def margin(features: Column, weights: Sequence[float]) -> Column:
     """Log-odds of "block": the bias (last of ``weights``), and the features' weights over the square root of their number.
 
-    The weights are one constant array (folded before execution) and the bias starts the sum inside the lambda, so the
-    generated code is the same in every step of a fit and is compiled once."""
-    w = F.split(F.lit(",".join(map(repr, weights[:-1]))), ",").cast("array<double>")
+    The weights are one constant array and the bias starts the sum inside the lambda, so the generated code is the same in
+    every step of a fit and is compiled once."""
+    w = _constant(weights[:-1], "double")
     width = F.sqrt(F.greatest(F.size(features), F.lit(1)))
     return F.aggregate(features, width * F.lit(float(weights[-1])), lambda acc, b: acc + F.element_at(w, b.cast("int"))) / width
 
@@ -121,7 +128,7 @@ def seed_urls(spark: SparkSession, mixes: int = MIXES) -> DataFrame:
         d = spark.range(1, numPartitions=1).select(F.explode(F.array(*map(F.lit, words))).alias("word"))
         d = d.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(n))))
         host = F.when(F.col("k") % 3 == 0, F.col("word")).otherwise(F.concat("word", pick(JOINTS, 1), pick(words, 2)))
-        number = F.pmod(F.xxhash64("word", "k"), F.lit(100_000)).cast("string")
+        number = F.pmod(F.xxhash64("word", "k"), F.lit(1000)).cast("string")
         return d.select(F.concat(F.lit("https://"), pick(PREFIXES, 3), host, F.lit("."), pick(ENDS, 4), F.replace(pick(PATHS, 5), F.lit("{n}"), number)).alias("url"),
                         F.lit(blocked).alias("blocked"))
 
@@ -153,36 +160,45 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS, ngram
     rows = labelled_sample(ready(labelled), sample)
     rows = rows.select(F.col("blocked").cast("double").alias("y"), buckets_of(host, path, buckets, ngrams).alias("b"))
     rows = written(rows.withColumn("v", 1 / F.sqrt(F.greatest(F.size("b"), F.lit(1)))).coalesce(4), "url-features")
-    bias = buckets + 1
-
-    def summed(each: Column) -> dict[int, float]:
-        """Sums by bucket over the labelled rows of ``each`` times the feature's value, which is 1 for the bias."""
-        d = rows.select(each.alias("e"), "v", F.concat("b", F.array(F.lit(bias).cast("long"))).alias("b"))
+    n = rows.count()
+    # the buckets that labelled urls have are numbered anew, so that a step's plan holds no more weights than that
+    used = sorted(rows.select(F.explode("b").alias("b")).distinct().agg(F.collect_list("b")).first()[0])
+    place = [0] * buckets
+    for i, bucket in enumerate(used):
+        place[bucket - 1] = i + 1
+    rows = written(rows.withColumn("b", F.transform("b", lambda b: F.element_at(_constant(place, "int"), b.cast("int")))), "url-rows") if n else rows
+    bias = len(used) + 1
+
+    def summed(each: Column) -> list[float]:
+        """Sums by feature over the labelled rows of ``each`` times the feature's value, which is 1 for the bias."""
+        d = rows.select(each.alias("e"), "v", F.concat("b", F.array(F.lit(bias))).alias("b"))
         d = d.select("e", "v", F.explode("b").alias("at"))
         x = F.col("e") * F.when(F.col("at") == bias, F.lit(1.0)).otherwise(F.col("v"))
         sums = d.groupBy("at").agg(F.sum(F.round(x * F.lit(_FIXED)).cast("long")).alias("x"))
-        found = sums.agg(F.collect_list("at"), F.collect_list("x")).first()  # one number for each bucket in use
-        return {at: total / _FIXED for at, total in zip(*found)}
+        out = [0.0] * bias
+        for at, total in zip(*sums.agg(F.collect_list("at"), F.collect_list("x")).first()):  # one number for each bucket in use
+            out[at - 1] = total / _FIXED
+        return out
 
-    curve = summed(F.col("v") * F.size("b") + 1)  # by the sum of a row's values, the bias too
-    n = rows.count()
     w, ahead, since = [0.0] * bias, [0.0] * bias, 1.0
+    decay = [ridge] * len(used) + [0.0]
+    rate = [1 / (c / (4 * n) + d) for c, d in zip(summed(F.col("v") * F.size("b") + 1), decay)] if n else []  # by the sum of a row's values
     for _ in range(steps if n else 0):
         g = summed(1 / (1 + F.exp(-margin(F.col("b"), ahead))) - F.col("y"))
-        new = list(w)
-        for at in curve:  # buckets without a labelled url keep a weight of 0
-            j = at - 1
-            decay = ridge * (at != bias)
-            new[j] = ahead[j] - (g.get(at, 0.0) / n + decay * ahead[j]) / (curve[at] / (4 * n) + decay)
+        new = [a - r * (x / n + d * a) for a, r, x, d in zip(ahead, rate, g, decay)]
         later = (1 + math.sqrt(1 + 4 * since * since)) / 2
         ahead = [b + (since - 1) / later * (b - a) for a, b in zip(w, new)]
         w, since = new, later
-    return w
+    out = [0.0] * (buckets + 1)  # buckets without a labelled url have a weight of 0
+    for i, bucket in enumerate(used):
+        out[bucket - 1] = w[i]
+    out[buckets] = w[-1]
+    return out
 
 
 def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id",
                url_col: str = "url", sample: int = SAMPLE, buckets: int = BUCKETS, ngrams: Sequence[int] = NGRAMS,
-               steps: int = STEPS) -> DataFrame:
+               steps: int = STEPS, cut: float = CUT) -> DataFrame:
     """One row for each input row: ``id_col, host, path, rule, verdict, p_block``.
 
     ``labelled`` is a table ``url, blocked``; without it the small table of ``seed_urls`` is taken."""
@@ -194,5 +210,5 @@ def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: Seque
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     odds = margin(buckets_of(F.col("host"), F.col("path"), buckets, ngrams), weights)
     judged = parts.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("_verdict"), (1 / (1 + F.exp(-odds))).alias("p_block"))
-    method = F.when(F.col("p_block") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
+    method = F.when(F.col("p_block") > cut, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(id_col, "host", "path", "rule", F.coalesce("_verdict", method).alias("verdict"), "p_block")

@@ -50,7 +50,7 @@ def test_url_parts_and_rules(pages):
     for r in got:
         assert (r.host, r.path) == brute_parts(want[r.page_id])
         rule, verdict = brute_rule(r.host, r.path)
-        assert r.rule == rule and r.verdict == (verdict or ("block" if r.p_block > 0.5 else "allow"))
+        assert r.rule == rule and r.verdict == (verdict or ("block" if r.p_block > url_filter.CUT else "allow"))
 
 
 def test_url_model_is_the_minimum_and_does_not_depend_on_partitions(spark):
