@@ -53,6 +53,74 @@ def test_run_starts_across_ranges(spark):
         assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 6, 9: 6, 10: 6, 13: 13}, rr
 
 
+def test_run_bounds_against_a_loop(spark):
+    """Random runs, gaps and null names; ranges and nodes so small that runs cross many of both."""
+    import random
+
+    from foldframe.operators.indexing import run_bounds
+
+    r = random.Random(4)
+    rows, i = [], 0
+    for _ in range(60):
+        name = r.choice(["a", "b", None])
+        for _ in range(r.randint(1, 12)):
+            rows.append((i, name))
+            i += 1
+        i += r.choice([0, 0, 0, 1, 9])
+    want, start = {}, 0
+    for k, (at, name) in enumerate(rows):
+        if k and (rows[k - 1][0] != at - 1 or rows[k - 1][1] != name):
+            want |= {a: (rows[start][0], rows[k - 1][0]) for a, _ in rows[start:k]}
+            start = k
+    want |= {a: (rows[start][0], rows[-1][0]) for a, _ in rows[start:]}
+    t = spark.createDataFrame(rows, "dbindex long, chain string").repartition(3)
+    for rr, fan in ((1, 2), (3, 2), (5, 7), (1 << 16, 1 << 16)):
+        got = {x["dbindex"]: (x["run_start"], x["run_end"]) for x in run_bounds(t, "dbindex", "chain", range_rows=rr, fan=fan).collect()}
+        assert got == want, (rr, fan)
+
+
+def test_paths_against_permutations(spark):
+    """Every assignment, and no prefix that cannot be completed survives a level."""
+    import itertools
+    import random
+
+    r = random.Random(1)
+    rows, want = [], set()
+    for b in range(12):
+        nqd, nhd = r.randint(2, 4), r.randint(4, 6)
+        score = {(q, h): round(r.random(), 3) if r.random() < 0.45 else 0.0 for q in range(1, nqd + 1) for h in range(1, nhd + 1)}
+        rows += [("Q", "H", b, nqd, nhd, q, h, f"q{q}", f"h{h}", s, None) for (q, h), s in score.items()]
+        want |= {(b, p) for p in itertools.permutations(range(1, nhd + 1), nqd) if all(score[q + 1, h] > 0 for q, h in enumerate(p))}
+    sc = _scored(spark, rows)
+    got = [(x["block"], tuple(s["hd_ord"] for s in x["path"])) for x in C.enumerate_paths(sc, C.division(sc)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+
+
+def test_prefixes_without_completion_are_dropped():
+    # three domains for two hit domains; the last two want the same one
+    assert C.has_assignment([[1, 2], [1, 3], [3, 2]], []) and not C.has_assignment([[1, 2], [1, 2], [1, 2]], [])
+    assert not C.has_assignment([[2], [2, 3]], [3]) and C.has_assignment([[2, 4], [2]], [3])
+    import itertools
+    import random
+
+    r = random.Random(2)
+    for _ in range(300):
+        options = [[h for h in range(5) if r.random() < 0.4] for _ in range(r.randint(0, 4))]
+        used = [h for h in range(5) if r.random() < 0.2]
+        brute = any(len(set(p)) == len(p) and not set(p) & set(used) for p in itertools.product(*options))
+        assert C.has_assignment(options, used) == brute
+
+
+def test_store_joins_without_an_exchange(spark):
+    """Joins on the index read the store's buckets; no step gathers the table in one partition."""
+    t = spark.createDataFrame([(i, f"c{i // 4}") for i in range(40)], "dbindex long, chain string")
+    store = C.chain_store(t)
+    assert {(r["dbindex"], r["block"], r["nhd"], r["hd_ord"]) for r in store.collect()} == {(i, i // 4 * 4, 4, i % 4 + 1) for i in range(40)}
+    hits = spark.createDataFrame([(q, q * 3 % 40) for q in range(40)], "qid long, dbindex long").hint("merge")
+    plan = hits.join(store, "dbindex")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
+
+
 def test_dense_index_without_one_task_window(spark):
     from foldframe.operators.indexing import dense_index
 
