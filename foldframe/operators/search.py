@@ -1,14 +1,20 @@
 """Exact cosine search of query domains against a target database: one plan, one ranking rule.
 
-Queries are hashed into ``nq`` blocks and targets into ``nt`` blocks of bounded size; a query row is sent to every target
-block and a target row to every query block, and ``cogroup(qb, tb).applyInArrow`` scores a block pair with numpy
-(Arrow vectors are reshaped to matrices, never boxed). A block pair sends on at most ``k`` rows a query, and nothing
-below the minimum score; the final top-k has a partial ``WindowGroupLimit`` before its shuffle. Nothing passes through
-the driver but two row counts, and there is no second path for small query sets.
+Both sides are dealt to pivots (directions chosen from a bounded sample of the targets): every vector belongs to the
+pivot nearest to it, and a pivot's radius is the angle of its farthest member. Two vectors of pivots whose centres are
+``a`` apart cannot be nearer than ``a`` less both radii, so a pair of pivots whose bound lies under what is asked for (the
+minimum score, or the k-th best score that the queries of a pivot already have from their own pivot) is never joined. Only
+counts and radii of the pivots, at most ``MAX_PIVOTS`` of them, pass through the driver.
+
+What is left is streamed: the queries of a pivot form blocks of bounded size, each is sent every target it has to see,
+and a sort inside the partitions puts the queries of a block before its targets. A task holds one block of queries and
+one Arrow batch of targets, scores them with numpy and keeps ``k`` rows a query, so a block sends on ``k`` rows a query
+once, whatever the number of targets; only while there are fewer blocks than partitions are a block's targets spread over
+several groups, whose results a last top-k merges.
 
 Ranking rule: the kernel makes the integer ``score_key`` (score x 10,000, halves away from zero) and everything ranks,
-filters and thresholds on that column, then on ``dbindex``. Results therefore do not depend on block sizes, chunk sizes
-or partition counts.
+filters and thresholds on that column, then on ``dbindex``. Results therefore do not depend on pivots, block sizes, chunk
+sizes or partition counts.
 """
 from __future__ import annotations
 
@@ -18,14 +24,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..constants import EMPTY_METADATA
+from ..session import ensure_checkpoint_dir
+from ..sources.store import written
 
 SCORE_SCHEMA = "qid long, dbindex long, score double, score_key long, q_len int, t_len int"
 _NAMES = ["qid", "dbindex", "score", "score_key", "q_len", "t_len"]
 RANK_SCALE = 10_000             # score_key = score x RANK_SCALE, rounded
 QUERY_BLOCK_ROWS = 16_384       # x 128 floats = 8 MiB
-TARGET_BLOCK_ROWS = 65_536
+TARGET_BLOCK_ROWS = 65_536      # targets of one pivot, on average
+MAX_PIVOTS = 512                # at most so many pivots, whatever the number of targets
+SAMPLE_ROWS = 4 * MAX_PIVOTS    # targets from which they are chosen, at most
+SLACK = 1e-6                    # for rounding in the bounds of pairs of pivots
 WORK_ELEMENTS = 1 << 21         # query rows x target rows scored at once in one task: 16 MiB an array
 _DROP = -(2 ** 62)              # key of pairs that may not be returned (self pairs, below the minimum)
 _ID_BITS = 48                   # dbindex < 2^48; order key = score_key << 48 - dbindex
@@ -88,8 +101,10 @@ class _Scorer:
         return np.argpartition(-order, self.k - 1, axis=1)[:, :self.k]
 
     def result(self) -> pa.Table:
+        """Top-k mode: the best rows of all that was fed. Threshold mode: the pairs found since the last call."""
         if self.k is None:
             cols = [np.concatenate(c) for c in zip(*self.pairs)] if self.pairs else [np.zeros(0)] * 6
+            self.pairs = []
         else:
             order, score, tlen = self.best
             r, c = np.nonzero(order > _DROP)
@@ -116,37 +131,175 @@ def _arrow_vectors(col) -> np.ndarray:
     return flat.reshape(n, dim).astype(np.float64)
 
 
-def _blocks(n: int, rows_per_block: int) -> int:
-    return max(1, math.ceil(n / max(1, rows_per_block)))
+def _units(v: np.ndarray) -> np.ndarray:
+    """Vectors at unit length; a zero vector stays zero."""
+    n = np.linalg.norm(v, axis=1, keepdims=True)
+    return np.divide(v, n, out=np.zeros_like(v), where=n > 0)
+
+
+def choose_pivots(targets: DataFrame, n_targets: int, target_block_rows: int = TARGET_BLOCK_ROWS) -> np.ndarray:
+    """Unit vectors far from each other, one for each ``target_block_rows`` targets (``MAX_PIVOTS`` at most).
+
+    They are chosen from the ``SAMPLE_ROWS`` targets, at most, with the smallest hashes of ``dbindex``: each next pivot is
+    the sampled vector farthest from those chosen. The choice affects how much is skipped, never a result."""
+    many = min(MAX_PIVOTS, max(1, math.ceil(n_targets / max(1, target_block_rows))))
+    if many == 1:
+        return np.zeros((1, 0))
+    order = F.pmod(F.xxhash64("dbindex"), F.lit(1 << 52))
+    share = min(1.0, 2.0 * SAMPLE_ROWS / n_targets)  # cut by the hash first, so that the sort is over few rows
+    few = targets.where(order < share * float(1 << 52)).select("embedding", order.alias("_o")).orderBy("_o").limit(SAMPLE_ROWS)
+    sample = _units(np.array([r["embedding"] for r in few.select("embedding").collect()], np.float64))
+    sample = sample[sample.any(axis=1)]
+    if not len(sample):
+        return np.zeros((1, 0))
+    chosen, nearest = [0], sample @ sample[0]
+    while len(chosen) < min(many, len(sample)):
+        nxt = int(np.argmin(nearest))
+        chosen.append(nxt)
+        nearest = np.maximum(nearest, sample @ sample[nxt])
+    return sample[chosen]
+
+
+def with_pivots(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``pivot int, near double`` (the nearest pivot and the cosine to it) beside ``id, vec, len``.
+
+    A zero vector scores 0 with everything, which no bound excludes, so it does not widen its pivot (``near`` 1)."""
+    if len(pivots) == 1:
+        return rows.withColumn("pivot", F.lit(0)).withColumn("near", F.lit(-1.0))
+    schema = to_arrow_schema(T.StructType([*rows.schema.fields, *T.StructType.fromDDL("pivot int, near double").fields]))
+
+    def run(batches):
+        for b in batches:
+            v = _units(_arrow_vectors(b.column(b.schema.get_field_index("vec")))) if b.num_rows else np.zeros((0, pivots.shape[1]))
+            cos = v @ pivots.T
+            at = cos.argmax(axis=1)
+            near = np.where(v.any(axis=1), cos[np.arange(len(at)), at], 1.0)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32)), pa.array(near)], schema=schema)
+
+    out = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("pivot int, near double").fields])
+    return written(rows.mapInArrow(run, out), "with-pivots")
+
+
+def pivot_sizes(rows: DataFrame, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """(members, radius) of each pivot: the angle of the farthest member."""
+    n, near = np.zeros(many, np.int64), np.ones(many)
+    for r in rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("near")).collect():  # a row a pivot
+        n[r["pivot"]], near[r["pivot"]] = r["n"], r["near"]
+    return n, np.arccos(np.clip(near, -1, 1))
+
+
+def pair_bounds(pivots: np.ndarray, q_radius: np.ndarray, t_radius: np.ndarray) -> np.ndarray:
+    """Largest score that a query of one pivot (row) and a target of another (column) can have.
+
+    At least 0: a masked pair and a zero vector score 0."""
+    if len(pivots) == 1:
+        return np.ones((1, 1))
+    apart = np.arccos(np.clip(pivots @ pivots.T, -1, 1)) - q_radius[:, None] - t_radius[None, :]
+    return np.maximum(np.cos(np.clip(apart, 0, np.pi)), 0) + SLACK
+
+
+class BlockSearch:
+    """Queries and targets dealt to pivots, and the pairs of pivots that have been joined so far.
+
+    ``skipped`` counts, after a search, the (query, target) pairs that were never scored; ``pairs`` counts all."""
+
+    def __init__(self, queries: DataFrame, targets: DataFrame, query_block_rows: int = QUERY_BLOCK_ROWS,
+                 target_block_rows: int = TARGET_BLOCK_ROWS, work_elements: int = WORK_ELEMENTS):
+        ensure_checkpoint_dir(queries.sparkSession)
+        t = targets.select(F.col("dbindex").cast("long").alias("id"), F.col("embedding").alias("vec"), F.col("length").cast("long").alias("len"))
+        q = queries.select(F.col("qid").cast("long").alias("id"), F.col("q_embedding").alias("vec"), F.col("q_len").cast("long").alias("len"))
+        self.work = work_elements
+        self.pivots = choose_pivots(targets.select("dbindex", "embedding"), targets.select("dbindex").count(), target_block_rows)
+        many = len(self.pivots)
+        self.q, self.t = with_pivots(q, self.pivots), with_pivots(t, self.pivots)
+        self.nq, q_radius = pivot_sizes(self.q, many)
+        self.nt, t_radius = pivot_sizes(self.t, many)
+        self.bound = pair_bounds(self.pivots, q_radius, t_radius)
+        self.blocks = -(-self.nq // max(1, query_block_rows))  # blocks of queries of each pivot
+        self.first = np.concatenate(([0], np.cumsum(self.blocks)))[:-1]
+        self.pairs, self.skipped = int(self.nq.sum()) * int(self.nt.sum()), 0
+        spark = queries.sparkSession
+        tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.groups = max(1, tasks // max(1, int(self.blocks.sum())))
+
+    def score(self, wanted: np.ndarray, k: int | None, min_score: float | None, mincov: float | None, exclude_self: bool) -> DataFrame:
+        """The rows that the wanted pairs of pivots (query pivot x target pivot) send on."""
+        spark = self.q.sparkSession
+        blocks, first = self.blocks, self.first
+        # one row for each wanted pair of pivots: at most MAX_PIVOTS squared, whatever the tables' size
+        rows = [(int(t), int(first[q]), int(first[q] + blocks[q] - 1)) for q, t in zip(*np.nonzero(wanted)) if blocks[q] and self.nt[t]]
+        seen = spark.createDataFrame(rows, "pivot int, first long, last long")
+        own = spark.createDataFrame([(p, int(first[p]), int(blocks[p])) for p in range(len(blocks)) if blocks[p]], "pivot int, first long, blocks long")
+        group = F.explode(F.sequence(F.lit(0), F.lit(self.groups - 1)))
+        q = self.q.join(F.broadcast(own), "pivot").select("id", "vec", "len", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("block"), F.lit(0).alias("side"), group.alias("grp"))
+        t = self.t.join(F.broadcast(seen), "pivot").select("id", "vec", "len", F.explode(F.sequence("first", "last")).alias("block"), F.lit(1).alias("side"),
+                                                           F.pmod(F.xxhash64("id"), F.lit(self.groups)).cast("int").alias("grp"))
+        both = q.unionByName(t).repartition("block", "grp").sortWithinPartitions("block", "grp", "side")
+        work, schema = self.work, to_arrow_schema(T.StructType.fromDDL(SCORE_SCHEMA))
+
+        def run(batches):
+            key, held, scorer = None, [], None
+
+            def ready():
+                ids, vecs, lens = map(np.concatenate, zip(*held))
+                return _Scorer(ids, vecs, lens, k, min_score, mincov, exclude_self, work)
+
+            for b in batches:
+                col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+                marks = [col[n].to_numpy() for n in ("block", "grp", "side")]
+                cut = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1 if b.num_rows else np.zeros(0, int)
+                for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows]):
+                    if lo == hi:
+                        continue
+                    part = [col["id"].to_numpy()[lo:hi].astype(np.int64), _arrow_vectors(col["vec"].slice(lo, hi - lo)), col["len"].to_numpy()[lo:hi].astype(np.int64)]
+                    if (marks[0][lo], marks[1][lo]) != key:
+                        if scorer is not None:
+                            yield from scorer.result().cast(schema).to_batches()
+                        key, held, scorer = (marks[0][lo], marks[1][lo]), [], None
+                    if marks[2][lo] == 0:
+                        held.append(part)
+                    elif held:  # a block of a few queries may have got none
+                        scorer = scorer or ready()
+                        scorer.feed(*part)
+                        if k is None:
+                            yield from scorer.result().cast(schema).to_batches()
+            if scorer is not None:
+                yield from scorer.result().cast(schema).to_batches()
+
+        return both.mapInArrow(run, SCORE_SCHEMA)
+
+    def search(self, k: int | None = None, min_score: float | None = None, mincov: float | None = None, exclude_self: bool = False) -> DataFrame:
+        """``k`` set: the best rows of each query, to be finished with ``topk``. Unset: all pairs that reach ``min_score``."""
+        least = -np.inf if min_score is None else (least_key(min_score) - 0.5) / RANK_SCALE
+        possible = (self.bound >= least) & (self.nq > 0)[:, None] & (self.nt > 0)[None, :]
+        found = None
+        if k is not None and len(self.pivots) > 1:
+            # what queries get from their own pivot tells what others have to beat
+            near = np.eye(len(self.pivots), dtype=bool) & possible
+            found = written(topk(self.score(near, k, min_score, mincov, exclude_self), k), "own-pivot").drop("emb_rank")
+            full = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score_key").alias("kth")).where(F.col("n") >= k)
+            beat = np.full(len(self.pivots), -np.inf)
+            for r in full.join(self.q.select(F.col("id").alias("qid"), "pivot"), "qid").groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.min("kth").alias("kth")).collect():
+                if r["n"] == self.nq[r["pivot"]]:  # every query of the pivot has k rows
+                    beat[r["pivot"]] = (r["kth"] - 0.5) / RANK_SCALE
+            possible = possible & (self.bound >= beat[:, None]) & ~near
+            scored = near | possible
+        else:
+            scored = possible
+        self.skipped = self.pairs - int(self.nq @ scored @ self.nt)
+        rest = self.score(possible, k, min_score, mincov, exclude_self)
+        return rest if found is None else found.select(*_NAMES).unionByName(rest)
 
 
 def score_blocks(queries: DataFrame, targets: DataFrame, k: int | None = None, min_score: float | None = None,
-                 mincov: float | None = None, exclude_self: bool = False, query_block_rows: int = QUERY_BLOCK_ROWS,
-                 target_block_rows: int = TARGET_BLOCK_ROWS, work_elements: int = WORK_ELEMENTS) -> DataFrame:
+                 mincov: float | None = None, exclude_self: bool = False, **block_opts) -> DataFrame:
     """Score queries ``(qid, q_embedding, q_len)`` against targets ``(dbindex, embedding, length)``.
 
-    ``k`` set: top-k per query and block pair, of the pairs that reach ``min_score`` if that is set; finish with ``topk``.
+    ``k`` set: top-k per query, of the pairs that reach ``min_score`` if that is set; finish with ``topk``.
     ``k`` unset: all pairs whose rounded score is ``>= min_score`` (threshold join)."""
     if k is None and min_score is None:
         raise ValueError("score_blocks needs k or min_score: all pairs are never emitted")
-    nq, nt = _blocks(queries.select("qid").count(), query_block_rows), _blocks(targets.select("dbindex").count(), target_block_rows)
-    q = queries.select(
-        F.col("qid").cast("long").alias("qid"), F.col("q_embedding").alias("vec"), F.col("q_len").cast("long").alias("q_len"),
-        F.pmod(F.xxhash64("qid"), F.lit(nq)).alias("qb"),
-    ).withColumn("tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nt - 1).cast("long"))))
-    t = targets.select(
-        F.col("dbindex").cast("long").alias("dbindex"), F.col("embedding").alias("vec"), F.col("length").cast("long").alias("t_len"),
-        F.pmod(F.xxhash64("dbindex"), F.lit(nt)).alias("tb"),
-    ).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))))
-
-    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
-        long = lambda table, name: table.column(name).to_numpy().astype(np.int64)
-        scorer = _Scorer(long(left, "qid"), _arrow_vectors(left.column("vec")), long(left, "q_len"), k, min_score, mincov, exclude_self, work_elements)
-        if left.num_rows and right.num_rows:
-            scorer.feed(long(right, "dbindex"), _arrow_vectors(right.column("vec")), long(right, "t_len"))
-        return scorer.result()
-
-    return q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInArrow(fn, SCORE_SCHEMA)
+    return BlockSearch(queries, targets, **block_opts).search(k, min_score, mincov, exclude_self)
 
 
 def rank_key():

@@ -92,8 +92,8 @@ def q_win_topk(spark, sf):
 
 @register("limit_blocked_topk", SQL_TOPK_RAW)
 def q_limit_blocked_topk(spark, sf):
-    # the blocks of production; tests compare them with tiny ones
-    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, exclude_self=True)
+    # blocks of 128: many pivots and many blocks of queries, whose best rows are merged
+    hits = S.vector_search(_queries(spark, sf), _targets(spark, sf), K, exclude_self=True, query_block_rows=128, target_block_rows=128)
     return hits.select("qid", "dbindex", "emb_rank", _r("score").alias("emb_score"))
 
 

@@ -91,3 +91,45 @@ def test_rank_does_not_depend_on_partitions_or_blocks(spark):
             joined = S.threshold_join(q, t, 0.0313, target_block_rows=block)
             pushed = S.vector_search(q, t, 5, min_score=0.0313, target_block_rows=block)
             assert {r["dbindex"] for r in kept.collect()} == {r["dbindex"] for r in joined.collect()} == {r["dbindex"] for r in pushed.collect()} == {0, 1}
+
+
+def _clusters(spark, n=240, dim=6, groups=8, seed=2):
+    """Tight clusters far apart, a zero vector and a lone one."""
+    rng = np.random.default_rng(seed)
+    centre = np.eye(dim).repeat(2, axis=0)[:groups] * np.tile([1, -1], groups)[:groups, None]
+    v = (centre[rng.integers(0, groups, n)] + rng.normal(scale=0.02, size=(n, dim))).astype(np.float32)
+    v[5], v[6] = 0, rng.normal(size=dim)
+    lens = rng.integers(50, 400, size=n)
+    q = spark.createDataFrame([(i, v[i].tolist(), int(lens[i])) for i in range(n)], "qid long, q_embedding array<float>, q_len int")
+    t = spark.createDataFrame([(i, v[i].tolist(), int(lens[i])) for i in range(n)], "dbindex long, embedding array<float>, length int")
+    return q, t
+
+
+def test_pairs_of_far_pivots_are_skipped_and_nothing_is_lost(spark):
+    q, t = _clusters(spark)
+    for k, least, cov in ((4, None, None), (4, 0.5, None), (None, 0.9, None), (3, None, 0.7), (300, None, None)):
+        whole = S.BlockSearch(q, t)
+        many = S.BlockSearch(q, t, query_block_rows=16, target_block_rows=20)
+        a, b = (x.search(k, least, cov, exclude_self=True) for x in (whole, many))
+        if k is not None:
+            a, b = S.topk(a, k), S.topk(b, k)
+        want, got = (sorted((r["qid"], r["dbindex"], r["score_key"]) for r in x.collect()) for x in (a, b))
+        assert got == want and want
+        assert whole.skipped == 0 and len(many.pivots) == 12
+        if (k, cov) != (300, None):
+            assert many.skipped > 0.3 * many.pairs, (k, least, cov, many.skipped, many.pairs)
+
+
+def test_search_of_empty_tables(spark):
+    q, t = _clusters(spark, 20)
+    for a, b in ((q.where("false"), t), (q, t.where("false")), (q.where("false"), t.where("false"))):
+        assert S.vector_search(a, b, 3).collect() == [] and S.threshold_join(a, b, 0.1).collect() == []
+
+
+def test_no_shuffle_of_rows_per_block(spark):
+    """Once there are as many blocks of queries as partitions, a block sends each query's best rows on once."""
+    q, t = _clusters(spark)
+    s = S.BlockSearch(q, t, query_block_rows=4, target_block_rows=20)
+    assert s.groups == 1
+    near = np.ones((len(s.pivots), len(s.pivots)), dtype=bool)
+    assert s.score(near, 3, None, None, True).count() == 3 * 240
