@@ -158,3 +158,23 @@ def truncate_residues(seq, n: int = MAX_TARGET_RESIDUES) -> Column:
     """First ``n`` residues of a sequence (the target database keeps 2000)."""
     c = F.col(seq) if isinstance(seq, str) else seq
     return F.substring(c, 1, n)
+
+
+def encode_sequence(seq) -> Column:
+    """Integer code of each position, as ``array<tinyint>``: letters by their place in the fixed order, rare letters 20,
+    gaps 21; null for any other character.
+
+    The letters are first translated to one run of characters, so that a code is a character's distance from ``A``."""
+    c = F.col(seq) if isinstance(seq, str) else seq
+    known = RESIDUE_CODE_ORDER + RESIDUE_CODE_RARE + RESIDUE_CODE_GAP
+    place = [*range(len(RESIDUE_CODE_ORDER)), *[len(RESIDUE_CODE_ORDER)] * len(RESIDUE_CODE_RARE), *[len(RESIDUE_CODE_ORDER) + 1] * len(RESIDUE_CODE_GAP)]
+    shifted = F.translate(F.regexp_replace(c, "[^" + known.replace("-", "\\-") + "]", "~"), known, "".join(chr(ord("A") + i) for i in place))
+    letters = F.filter(F.split(shifted, ""), lambda x: x != "")
+    return F.transform(letters, lambda x: F.when(x != "~", (F.ascii(x) - ord("A")).cast("tinyint")))
+
+
+def one_hot(codes) -> Column:
+    """Packed one-hot vectors of width 20, one ``int`` a position: bit k is set for code k; no bit for codes that are no
+    standard residue."""
+    c = F.col(codes) if isinstance(codes, str) else codes
+    return F.transform(c, lambda x: F.when(x < len(RESIDUE_CODE_ORDER), F.call_function("shiftleft", F.lit(1), x.cast("int"))).otherwise(F.lit(0)))

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import ensure_checkpoint_dir
+from ..sources.store import written
 
 _OFFSETS = [list(o) for o in itertools.product((-1, 0, 1), repeat=3)]
 
@@ -83,26 +87,86 @@ def same_label_edges(edges: DataFrame, labels: DataFrame, keys, node: str = "res
     return e.where((F.col("_li") == F.col("_lj")) & (F.col("_li") != 0)).drop("_li", "_lj")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, keys, node: str = "node") -> DataFrame:
-    """Component of every node = smallest node id reachable through ``edges`` (``i``, ``j``).
+#: Edges (both directions) of a structure that is solved in one group; larger ones are contracted by joins.
+GROUP_EDGES = 1 << 22
+
+
+def smallest_reachable(nodes: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """For each node (sorted, distinct) the smallest node its edges lead to: union-find on arrays.
+
+    Every root takes the smallest root next to it, then paths are halved until each node points at its root."""
+    a, b = np.searchsorted(nodes, src), np.searchsorted(nodes, dst)
+    root = np.arange(len(nodes))
+    while len(a):
+        ra, rb = root[a], root[b]
+        open_ = ra != rb
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while not np.array_equal(root, up := root[root]):
+            root = up
+    return nodes[root]
+
+
+def _grouped_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, node, component`` by one union-find a structure; ends of edges that are no nodes are left out."""
+    struct = T.StructType([*[nodes.schema[k] for k in keys], T.StructField("node", nodes.schema["node"].dataType), T.StructField("component", nodes.schema["node"].dataType)])
+    schema = to_arrow_schema(struct)
 
-    Min-label propagation with pointer jumping: each round every node takes the smallest label among itself and its
-    neighbours, then the label of its label, until no label changes. Both steps of a round are checkpointed into the
-    session's checkpoint folder (one row per node), so each is evaluated once. Nodes are never collected to the driver."""
-    ensure_checkpoint_dir(nodes.sparkSession)
-    und = edges.select(*keys, F.col("i").alias("src"), F.col("j").alias("dst")).unionByName(
-        edges.select(*keys, F.col("j").alias("src"), F.col("i").alias("dst"))).distinct().checkpoint()
-    lab = nodes.select(*keys, F.col(node).alias("v"), F.col(node).alias("c")).checkpoint()
+    def run(n: pa.Table, e: pa.Table) -> pa.Table:
+        ids = np.unique(n.column("node").to_numpy())
+        src, dst = e.column("i").to_numpy(), e.column("j").to_numpy()
+        known = np.isin(src, ids) & np.isin(dst, ids)
+        comp = smallest_reachable(ids, src[known], dst[known])
+        first = [pa.chunked_array([n.column(k).take(pa.array([0] * len(ids), pa.int64())).combine_chunks()]) for k in keys] if len(ids) else [n.column(k) for k in keys]
+        return pa.Table.from_arrays([*first, pa.array(ids), pa.array(comp)], names=schema.names).cast(schema)
+
+    return nodes.groupBy(*keys).cogroup(edges.groupBy(*keys)).applyInArrow(run, struct)
+
+
+def _contracted_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for structures of any size, by star contraction.
+
+    A round connects, for each node, its larger neighbours to its smallest one (large star), then its smaller ones and
+    itself to the smallest (small star); components keep being connected and become stars around their smallest node in
+    about log(n) rounds. Each round is written to the checkpoint folder; the driver reads one row a round."""
+    k = [F.col(c) for c in keys]
+    ends = nodes.select(*keys, F.col("node").alias("v"))
+    cur = edges.join(ends.withColumnRenamed("v", "i"), [*keys, "i"], "left_semi").join(ends.withColumnRenamed("v", "j"), [*keys, "j"], "left_semi")
+    cur = written(cur.where("i <> j").select(*keys, F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).distinct(), "stars")
+    before = None
     while True:
-        nb = und.join(lab.select(*keys, F.col("v").alias("src"), F.col("c").alias("cs")), [*keys, "src"]).groupBy(
-            *keys, F.col("dst").alias("v")).agg(F.min("cs").alias("cn"))
-        near = lab.join(nb, [*keys, "v"], "left").select(
-            *keys, "v", F.col("c").alias("c_old"), F.least("c", F.coalesce("cn", "c")).alias("c")).checkpoint()
-        jump = near.select(*keys, F.col("v").alias("c"), F.col("c").alias("cc"))
-        new = near.join(jump, [*keys, "c"], "left").select(*keys, "v", "c_old", F.least("c", F.coalesce("cc", "c")).alias("c")).checkpoint()
-        lab = new.select(*keys, "v", "c")
-        if new.where(F.col("c") != F.col("c_old")).limit(1).count() == 0:
-            return lab.select(*keys, F.col("v").alias(node), F.col("c").alias("component"))
+        both = cur.unionByName(cur.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
+        small = large.join(low, [*keys, "u"])
+        small = small.where("v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(*keys, "u", F.col("m").alias("v")))
+        cur = written(small.where("u <> v").distinct(), "stars")
+        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*k, "u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+    found = cur.select(*keys, F.col("u").alias("node"), F.col("v").alias("_root"))
+    return nodes.join(found, [*keys, "node"], "left").select(*keys, "node", F.coalesce("_root", "node").alias("component"))
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, keys, node: str = "node", group_edges: int = GROUP_EDGES) -> DataFrame:
+    """Component of every node = smallest node id reachable through ``edges`` (``i``, ``j``).
+
+    Structures are solved side by side, each by one union-find over its edges, without a loop on the driver; only those
+    with more than ``group_edges`` edges (or nodes), which would not fit a group, are contracted by joins. Both give the
+    same components; nodes are never collected to the driver. Both inputs are read twice: pass written tables."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    nodes = nodes.select(*keys, F.col(node).alias("node")).distinct()
+    edges = edges.select(*keys, "i", "j")
+    sizes = nodes.select(*keys, F.lit(1).alias("_n")).unionByName(edges.select(*keys, F.lit(1).alias("_n"))).groupBy(*keys).agg(F.sum("_n").alias("_n"))
+    huge = written(sizes.where(F.col("_n") > group_edges).select(*keys), "huge-structures")
+    if huge.limit(1).count() == 0:
+        out = _grouped_components(nodes, edges, keys)
+    else:
+        part = [t.join(huge, keys, how) for how in ("left_anti", "left_semi") for t in (nodes, edges)]
+        out = _grouped_components(*part[:2], keys).unionByName(_contracted_components(*part[2:], keys))
+    return out.withColumnRenamed("node", node)
 
 
 def number_components(comp: DataFrame, keys) -> DataFrame:

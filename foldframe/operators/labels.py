@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import written
+
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
 
@@ -244,36 +246,60 @@ def argmax_label(scores: DataFrame, keys, cls: str = "class", score: str = "scor
 
 
 def halving_segmenter(df: DataFrame, keys, label: str = "domain_id", pos: str = "pos") -> DataFrame:
-    """Stand-in segmenter for tests: splits a domain into its first and second half by position.
-    Returns ``sub`` (0/1) per residue; a one-residue domain does not split."""
-    w = Window.partitionBy(*keys, label).orderBy(pos)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
-    return df.withColumn("sub", F.when(F.row_number().over(w) > F.floor(n / 2), 1).otherwise(0))
+    """Stand-in segmenter for tests: a domain's first half is part 1, its second half part 2, and the residue between
+    them is in no domain (0) where the domain has four residues at least; a domain that starts at a position divisible by
+    5 stays whole (1). ``conf`` is the size of the part over 64 (0 for the residue between)."""
+    domain = Window.partitionBy(*keys, label)
+    n, k = F.count(F.lit(1)).over(domain), F.row_number().over(domain.orderBy(pos))
+    half = F.floor(n / 2)
+    part = (F.when(F.min(pos).over(domain) % 5 == 0, 1).when(k <= half, 1).when((k == half + 1) & (n >= 4), 0).otherwise(2))
+    d = df.withColumn("sub", part)
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, label, "sub"))
+    return d.withColumn("conf", F.when(F.col("sub") == 0, F.lit(0.0)).otherwise(size / 64.0))
 
 
 def iterate_resegment(df: DataFrame, keys, segmenter, average_size: int, max_rounds: int = 3,
-                      label: str = "domain_id", pos: str = "pos", checkpoint: bool = True) -> DataFrame:
-    """Domains larger than ``average_size`` are sent to ``segmenter`` again, round after round,
-    until none is left or ``max_rounds`` are done; only chains longer than ``2 * average_size``.
-
-    ``segmenter(df_of_selected_residues, keys)`` returns the rows with a ``sub`` column (its own
-    split of each selected domain). New ids are ``dense_rank`` over (old id, sub) per chain, so
-    they cannot collide; a domain whose split gives one part is never sent again."""
-    d = df.withColumn("_done", F.lit(False))
+                      label: str = "domain_id", pos: str = "pos", conf: str = "conf") -> DataFrame:
+    """Domains larger than ``average_size`` are sent to ``segmenter`` again, round after round, until none is left or
+    ``max_rounds`` are done; only chains longer than ``2 * average_size``.
+
+    ``segmenter(residues, keys)`` gets the residues of the selected domains (a domain is a value of ``label``, a string)
+    and returns ``keys, pos, sub`` and, if it has them, new confidences ``conf``: ``sub`` 0 (or a residue that does not come
+    back) means no domain, other values are the parts. A domain that comes back as one part is left as it is and never
+    sent again; all others take the new parts and confidences, and their residues without a part get label 0.
+
+    Only what a round changed goes on: a round reads the parts that the last one made, and writes those it makes. What is
+    settled is not read again. A domain's name is the list of its label and its parts so far, so names cannot collide;
+    at the end they are numbered per chain."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    columns = df.columns
+    name = F.array(F.col(label).cast("int"))
+    start = df.withColumn("_name", F.when(F.col(label) != 0, name)).withColumn("_long", F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 2 * average_size)
+    start = written(start, "labels")
+    settled = [start.where(~F.col("_long") | F.col("_name").isNull()).drop("_long")]
+    active = start.where(F.col("_long") & F.col("_name").isNotNull()).drop("_long")
     for _ in range(max_rounds):
-        size = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
-        chain_len = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        d = d.withColumn("_sel", (F.col(label) != 0) & (size > average_size) & (chain_len > 2 * average_size) & ~F.col("_done"))
-        if checkpoint and d.sparkSession.sparkContext.getCheckpointDir():
-            d = d.checkpoint()
-        if d.where("_sel").limit(1).count() == 0:
+        sized = active.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_name")))
+        small, large = (sized.where(c).drop("_n") for c in (F.col("_n") <= average_size, F.col("_n") > average_size))
+        settled.append(small)
+        sent = large.withColumn(label, F.array_join("_name", "/"))
+        back = segmenter(sent.drop("_name"), keys)
+        new_conf = [F.col(conf).alias("_conf")] if conf in back.columns and conf in columns else []
+        back = back.select(*keys, pos, F.col("sub").alias("_sub"), *new_conf)
+        parts = large.join(back, [*keys, pos], "left").withColumn("_sub", F.coalesce("_sub", F.lit(0)).cast("int"))
+        domain = Window.partitionBy(*keys, "_name")
+        part = F.when(F.col("_sub") != 0, F.col("_sub"))
+        parts = parts.withColumn("_one", F.coalesce(F.min(part).over(domain) == F.max(part).over(domain), F.lit(False)))
+        if new_conf:
+            parts = parts.withColumn(conf, F.when(F.col("_one"), F.col(conf)).otherwise(F.coalesce("_conf", conf)))
+        split = F.when(F.col("_sub") != 0, F.concat("_name", F.array("_sub")))
+        parts = parts.withColumn("_name", F.when(F.col("_one"), F.col("_name")).otherwise(split))
+        parts = written(parts.select(*columns, "_name", "_one"), "parts")
+        settled.append(parts.where(F.col("_one") | F.col("_name").isNull()).drop("_one"))
+        active = parts.where(~F.col("_one") & F.col("_name").isNotNull()).drop("_one")
+        if active.limit(1).count() == 0:
             break
-        seg = segmenter(d.where("_sel"), keys).select(*keys, pos, "sub")
-        d = d.join(seg, [*keys, pos], "left").withColumn("sub", F.coalesce("sub", F.lit(0)))
-        domain = Window.partitionBy(*keys, label)
-        one_part = F.min("sub").over(domain) == F.max("sub").over(domain)
-        d = d.withColumn("_done", F.col("_done") | (F.col("_sel") & one_part))
-        new = F.dense_rank().over(Window.partitionBy(*keys).orderBy(label, "sub"))
-        d = d.withColumn(label, F.when(F.col(label) == 0, F.lit(0)).otherwise(new).cast("int")).drop("sub", "_sel")
-        # ids were renumbered: a domain marked done keeps its flag through the renumbering
-    return d.drop("_done", "_sel") if "_sel" in d.columns else d.drop("_done")
+    for part in settled:
+        active = active.unionByName(part)
+    number = F.dense_rank().over(Window.partitionBy(*keys).orderBy("_name"))
+    return active.withColumn(label, F.when(F.col("_name").isNull(), F.lit(0)).otherwise(number).cast("int")).select(*columns)

@@ -58,30 +58,31 @@ def pair_scores(pairs: DataFrame, scorer_factory: Callable, schema: str | Struct
     return batch_model(spread, scorer_factory, schema, arrow=arrow)
 
 
-def error_rows(df: DataFrame, fn: Callable[[pd.Series], object], in_col: str, out_type: str,
+def error_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], in_col: str, out_type: str,
                policy: str = "collect") -> DataFrame:
-    """Run ``fn`` per value with per-row error capture: columns ``result``, ``status``, ``error``.
+    """Run ``fn`` on whole batches of values, with the error of each row that fails: columns ``result``, ``status``, ``error``.
 
-    ``policy='fail'`` re-raises the first error (the original's behaviour); ``'collect'`` keeps
-    going and records the error text, so failed rows can be written to a quarantine table."""
+    A batch that fails is halved until the rows that make it fail stand alone: a batch without a bad row is one call, and
+    each bad row costs some calls more. ``policy='fail'`` re-raises the first error (the original's behaviour);
+    ``'collect'`` keeps going, so failed rows can be written to a quarantine table."""
     schema = df.schema.simpleString()[len("struct<"):-1]
     out_schema = f"{schema},result {out_type},status string,error string"
 
+    def attempt(values: pd.Series) -> list[tuple]:
+        try:
+            return [(r, "ok", None) for r in fn(values)]
+        except Exception as e:  # noqa: BLE001 - the slot records any failure
+            if policy == "fail":
+                raise
+            if len(values) == 1:
+                return [(None, "error", f"{type(e).__name__}: {e}".strip() or traceback.format_exc(limit=1))]
+            half = len(values) // 2
+            return attempt(values.iloc[:half]) + attempt(values.iloc[half:])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            res, status, err = [], [], []
-            for v in pdf[in_col]:
-                try:
-                    res.append(fn(v))
-                    status.append("ok")
-                    err.append(None)
-                except Exception as e:  # noqa: BLE001 - the slot records any failure
-                    if policy == "fail":
-                        raise
-                    res.append(None)
-                    status.append("error")
-                    err.append(f"{type(e).__name__}: {e}".strip() or traceback.format_exc(limit=1))
-            yield pdf.assign(result=res, status=status, error=err)
+            rows = attempt(pdf[in_col]) if len(pdf) else []
+            yield pdf.assign(**{c: [r[i] for r in rows] for i, c in enumerate(("result", "status", "error"))})
 
     return df.mapInPandas(run, out_schema)
 
@@ -112,40 +113,9 @@ def composition_model(seq_col: str = "seq", out_col: str = "embedding", alphabet
     return factory
 
 
-def cosine_scorer(q_col: str = "q_embedding", t_col: str = "t_embedding", decimals: int = 4, keep=()):
-    """Factory of a stand-in pair scorer: cosine of the two vectors as both TM-scores (4 decimals,
-    as an aligner prints them), aligned length = shorter length, rmsd 0, identity 1."""
-
-    def factory():
-        def scorer(pdf: pd.DataFrame) -> pd.DataFrame:
-            if len(pdf) == 0:
-                out = pdf[list(keep)].copy()
-                for c, t in (("len_ali", "int32"), ("rmsd", "float64"), ("seq_id", "float64"), ("qtm", "float64"), ("ttm", "float64")):
-                    out[c] = pd.Series([], dtype=t)
-                return out
-            q = np.stack(pdf[q_col].to_numpy()).astype(np.float64)
-            t = np.stack(pdf[t_col].to_numpy()).astype(np.float64)
-            cos = np.einsum("ij,ij->i", q, t) / (np.linalg.norm(q, axis=1) * np.linalg.norm(t, axis=1))
-            cos = np.round(np.nan_to_num(cos, nan=0.0), decimals)
-            out = pdf[list(keep)].copy()
-            if "q_len" in pdf and "t_len" in pdf:
-                shorter = np.minimum(pdf["q_len"].to_numpy(np.float64), pdf["t_len"].to_numpy(np.float64))
-                out["len_ali"] = np.floor(shorter * cos * 2).astype("int32")
-            else:
-                out["len_ali"] = 0
-            out["rmsd"] = 0.0
-            out["seq_id"] = 1.0
-            out["qtm"] = cos
-            out["ttm"] = cos
-            return out
-
-        return scorer
-
-    return factory
-
-
 def cosine_scorer_arrow(q_col: str = "q_embedding", t_col: str = "t_embedding", decimals: int = 4, keep=()):
-    """The cosine stand-in scorer on Arrow batches (same output as ``cosine_scorer``)."""
+    """Factory of a stand-in pair scorer on Arrow batches: cosine of the two vectors as both TM-scores (4 decimals, as an
+    aligner prints them), aligned length from the shorter length, rmsd 0, identity 1."""
 
     def factory():
         import pyarrow as pa

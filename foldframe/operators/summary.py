@@ -36,11 +36,28 @@ def organism_stats(reports: DataFrame, group_col: str = "organism", value_col: s
         F.avg(value_col).alias("mean_plddt"), F.stddev_samp(value_col).alias("stddev_plddt"))
 
 
-def mean_pool(df: DataFrame, group_cols, vector_col: str) -> DataFrame:
-    """Mean vector per group, one row per (group, dimension): ``posexplode`` then a grouped average
-    (partial aggregation, so a large group never sits in one task)."""
+#: Components are added as whole numbers of this fraction, so that a sum is the same in any order.
+POOL_UNIT = 2.0 ** -40
+
+
+def vector_sums(df: DataFrame, group_cols, vector_col: str) -> DataFrame:
+    """``group_cols, n, sums``: rows and the component sums (in units of ``POOL_UNIT``, ``array<decimal>``) of each group.
+
+    Partial sums per (group, dimension) are formed where the rows are read, so a large group never sits in one task; a
+    group's sums are put together in the order of the dimensions afterwards. Null vectors are not counted; a null
+    component counts as 0."""
+    fixed = F.round(F.coalesce(F.col("_v").cast("double"), F.lit(0.0)) / F.lit(POOL_UNIT)).cast("decimal(28,0)")
     e = df.select(*group_cols, F.posexplode(vector_col).alias("dim", "_v"))
-    return e.groupBy(*group_cols, "dim").agg(F.avg(F.col("_v").cast("double")).alias("mean"))
+    per = e.groupBy(*group_cols, "dim").agg(F.sum(fixed).cast("decimal(38,0)").alias("s"), F.count(F.lit(1)).alias("n"))
+    one = per.groupBy(*group_cols).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("dim", "s"))).alias("_d"))
+    return one.select(*group_cols, "n", F.transform("_d", lambda x: x["s"]).alias("sums"))
+
+
+def mean_pool(df: DataFrame, group_cols, vector_col: str) -> DataFrame:
+    """The mean vector of each group, as one ``array<double>`` (``pooled``)."""
+    n = F.col("n").cast("double")
+    return vector_sums(df, group_cols, vector_col).select(
+        *group_cols, "n", F.transform("sums", lambda s: s.cast("double") * F.lit(POOL_UNIT) / n).alias("pooled"))
 
 
 def metadata_value(metadata, key: str):

@@ -3,9 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import EXCLUDED_RESIDUES, RESIDUE_LETTERS, SPECIAL_RESIDUES
+from ..constants import EXCLUDED_RESIDUES, RESIDUE_CODE_ORDER, RESIDUE_CODE_RARE, RESIDUE_LETTERS, SPECIAL_RESIDUES
 from ..operators import atoms as A
+from ..session import scratch_path
+from ..sources import bundles as BN
 from ..sources import structures as ST
+from ..sources.store import written
 from . import views as VW
 from .registry import register
 
@@ -58,18 +61,12 @@ def q_src_atoms(spark, sf):
 
 
 def structure_files(spark, sf):
-    """The atom view written as one structure file per ``sid`` (records in serial order), then read
-    back whole: the input form of the original (one text file per structure)."""
-    from ..session import scratch_path
-
+    """The atom view as structure files (records in serial order), written to a bundled store and read back whole."""
     a = VW.atoms_v(spark, sf)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "structures")
-    (a.select("sid", "serial", "aux", ST.render_records(a).alias("value")).repartition(n, "sid")
-      .sortWithinPartitions("sid", "serial", "aux").select("sid", "value")
-      .write.mode("overwrite").partitionBy("sid").text(path))
-    files = ST.read_structures(spark, path)
-    return files.select(F.regexp_extract("path", r"sid=(\d+)/", 1).cast("long").alias("sid"), "content")
+    lines = written(a.select("sid", "serial", "aux", ST.render_records(a).alias("line")), "structure-lines")
+    BN.write_bundles(lines, path, "sid", ["serial", "aux"])
+    return BN.read_bundles(spark, path, "sid").select("sid", F.array_join("lines", "\n").alias("content"))
 
 
 @register("filter_residues", VW.with_ctes(VW.SQL_ATOMS_V) + f"""
@@ -165,27 +162,22 @@ def q_fn_residue_letter(spark, sf):
     return a.groupBy("resn").agg(F.count(F.lit(1)).alias("n")).select("resn", A.residue_letter("resn").alias("letter"), "n")
 
 
-_CODES = "ARNDCQEGHILKMFPSTWYV"
-
-
-def _count_of(ch, spark_side=True):
-    if spark_side:
-        return F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit(ch), F.lit("")))
-    return f"(strlen(text) - strlen(replace(text, '{ch}', '')))"
+_ENCODED = "[^" + RESIDUE_CODE_ORDER + RESIDUE_CODE_RARE + ".-]"
 
 
-@register("fn_encode_sequence", "SELECT doc_id, " + " || ',' || ".join(
-    f"CAST({_count_of(c, False)} AS VARCHAR)" for c in _CODES) + " AS composition, CAST(" + " + ".join(
-    f"{i} * {_count_of(c, False)}" for i, c in enumerate(_CODES)) + " + 20 * (" + " + ".join(
-    _count_of(c, False) for c in "BJOUXZ") + ") + 21 * (" + " + ".join(_count_of(c, False) for c in "-.") +
-    ") AS BIGINT) AS code_sum FROM documents")
+@register("fn_encode_sequence", f"""
+WITH s AS (SELECT doc_id, regexp_replace(text, '{_ENCODED}', '', 'g') AS seq FROM documents),
+c AS (SELECT doc_id, [CASE WHEN instr('{RESIDUE_CODE_ORDER}', x) > 0 THEN instr('{RESIDUE_CODE_ORDER}', x) - 1
+                           WHEN instr('{RESIDUE_CODE_RARE}', x) > 0 THEN 20 ELSE 21 END FOR x IN string_split(seq, '') IF x <> ''] AS codes FROM s)
+SELECT doc_id, CAST(len(codes) AS INTEGER) AS n, md5(array_to_string(codes, ',')) AS codes_md5,
+       md5(array_to_string([CASE WHEN k < 20 THEN CAST(1 << k AS BIGINT) ELSE 0 END FOR k IN codes], ',')) AS one_hot_md5,
+       CAST(coalesce(list_sum(codes), 0) AS BIGINT) AS code_sum FROM c""")
 def q_fn_encode_sequence(spark, sf):
-    """Integer codes and the width-20 one-hot sum (composition) per document, from letter counts."""
-    d = VW.table(spark, sf, "documents")
-    counts = {c: _count_of(c) for c in _CODES + "BJOUXZ-."}
-    comp = F.concat_ws(",", *[counts[c].cast("string") for c in _CODES])
-    code_sum = sum(A.residue_code(F.lit(c)) * counts[c] for c in _CODES + "BJOUXZ-.")
-    return d.select("doc_id", comp.alias("composition"), code_sum.cast("long").alias("code_sum"))
+    """Codes and packed one-hot vectors of each position of each document's letters, compared by digest."""
+    d = VW.table(spark, sf, "documents").select("doc_id", A.encode_sequence(F.regexp_replace("text", _ENCODED, "")).alias("codes"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return d.select("doc_id", F.size("codes").alias("n"), F.md5(text(F.col("codes"))).alias("codes_md5"), F.md5(text(A.one_hot("codes"))).alias("one_hot_md5"),
+                    F.aggregate("codes", F.lit(0).cast("long"), lambda a, x: a + x).alias("code_sum"))
 
 
 @register("truncate_residues", """

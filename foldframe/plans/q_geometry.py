@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import geometry as G
+from ..sources.store import written
 from . import q_atoms as QA
 from . import views as VW
 from .registry import register
@@ -17,10 +18,11 @@ def ca(spark, sf):
 
 
 def residue_labels(spark, sf):
-    """Clean CA residues with the label of the same (structure, residue number) from the label view."""
+    """All clean CA residues with the label of the same (structure, residue number) from the label view; 0 without one."""
     lab = VW.labels_v(spark, sf).select("sid", "resi", "domain_id", "conf")
-    # read twice downstream (node list and edge labels): materialised once in the checkpoint folder
-    return ca(spark, sf).join(lab, ["sid", "resi"]).checkpoint()
+    labelled = ca(spark, sf).join(lab, ["sid", "resi"], "left").withColumn("domain_id", F.coalesce("domain_id", F.lit(0)))
+    # read several times downstream (node list, contacts, edge labels): materialised once in the checkpoint folder
+    return written(labelled, "residue-labels")
 
 
 SQL_CA = QA.SQL_CLEAN + """,
@@ -31,7 +33,7 @@ cont AS (
   FROM ca a JOIN ca b ON a.sid = b.sid AND a.chain = b.chain AND a.resi < b.resi)"""
 
 SQL_LAB = SQL_CA + ",\n" + VW.SQL_LABELS_V + """,
-rl AS (SELECT c.*, l.domain_id, l.conf FROM ca c JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi),
+rl AS (SELECT c.*, coalesce(l.domain_id, 0) AS domain_id, l.conf FROM ca c LEFT JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi),
 sedges AS (
   SELECT e.sid, e.chain, e.i, e.j FROM cont e
   JOIN rl li ON li.sid = e.sid AND li.chain = e.chain AND li.resi = e.i
@@ -75,13 +77,16 @@ def q_join_labels_to_atoms(spark, sf):
     return j.withColumn("domain_id", F.coalesce("domain_id", F.lit(0)))
 
 
+def domain_edges(res):
+    """Contacts within a domain; only labelled residues can end up on such an edge, so contacts among them suffice."""
+    labelled = res.where(F.col("domain_id") != 0)
+    return G.same_label_edges(G.contacts(labelled.select(*KEYS, "resi", "x", "y", "z"), KEYS, CUT), labelled, KEYS)
+
+
 @register("set_intersect_edges", SQL_LAB + """
 SELECT sid, chain, i, j FROM sedges""")
 def q_set_intersect_edges(spark, sf):
-    res = residue_labels(spark, sf)
-    # only labelled residues can end up on a same-domain edge: contacts among them suffice
-    edges = G.contacts(res.select(*KEYS, "resi", "x", "y", "z"), KEYS, CUT)
-    return G.same_label_edges(edges, res, KEYS).select(*KEYS, "i", "j")
+    return domain_edges(residue_labels(spark, sf)).select(*KEYS, "i", "j")
 
 
 @register("graph_components", SQL_LAB + """,
@@ -98,5 +103,4 @@ SELECT l.sid, l.chain, l.resi, CAST(coalesce(n.new_id, 0) AS INTEGER) AS domain_
 FROM rl l LEFT JOIN num n ON l.sid = n.sid AND l.chain = n.chain AND l.resi = n.node""")
 def q_graph_components(spark, sf):
     res = residue_labels(spark, sf)
-    edges = G.same_label_edges(G.contacts(res.select(*KEYS, "resi", "x", "y", "z"), KEYS, CUT), res, KEYS)
-    return G.split_domains(res, edges, KEYS).select(*KEYS, "resi", "domain_id")
+    return G.split_domains(res, written(domain_edges(res), "domain-edges"), KEYS).select(*KEYS, "resi", "domain_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import HIT_FIELDS
+from ..constants import EMPTY_METADATA, HIT_FIELDS
 from ..functions import formats as FM
 from ..functions import names as N
 from ..functions import text as TX
@@ -14,9 +14,12 @@ from ..operators import labels as L
 from ..operators import search as S
 from ..operators import sinks as SK
 from ..operators import slots as SL
+from ..operators import staging as SG
 from ..session import scratch_path
+from ..sources import bundles as BN
 from ..sources import reports as RP
 from ..sources import structures as ST
+from ..sources.store import written
 from . import q_atoms as QA
 from . import q_chains as QC
 from . import q_labels as QL
@@ -25,6 +28,7 @@ from . import views as VW
 from .registry import register
 
 ALPHABET = "ACDEFGHIKLMNPQRSTVWY"
+STAGE_BAD = 97          # every file whose number leaves 13 cannot be read at the first attempt
 STAGE_BATCH = 16        # view-sized batches (the original's default is 500, see constants)
 COMPACT_MB = 0.05       # view-sized bundles (the original's default is 128 MB)
 FILE_STATS_MB = 0.5
@@ -92,7 +96,7 @@ def aligned_hits(spark, sf):
     schema = ("qid long, dbindex long, emb_rank long, score double, q_len int, t_len int, query string, dom_str string, "
               "dom_conf double, dom_plddt double, target string, metadata string, " + SL.ALIGNMENT_SCHEMA)
     scored = SL.pair_scores(pairs, SL.cosine_scorer_arrow(keep=keep), schema, arrow=True)
-    return S.join_metadata(scored.drop("metadata"), VW.targets_v(spark, sf))
+    return scored.withColumn("metadata", F.coalesce("metadata", F.lit(EMPTY_METADATA)))
 
 
 SQL_ALIGNED = QS.SQL_MASKED_HITS + """,
@@ -161,7 +165,9 @@ SELECT f.qid, f.dbindex, f.max_tm, f.significant, CAST(i.insig_no AS DOUBLE) AS
 FROM fl f LEFT JOIN ins i ON f.qid = i.qid AND f.dbindex = i.dbindex""")
 def q_split_significant(spark, sf):
     """Significant / insignificant routing, with the batch path's global counter of insignificant hits."""
-    flagged = S.number_insignificant(S.split_significant(aligned_hits(spark, sf), SIG_MINTM))
+    # the flagged hits are read twice (to number the insignificant ones, and to join the numbers): written once
+    hits = S.split_significant(aligned_hits(spark, sf), SIG_MINTM).select("qid", "dbindex", "emb_rank", "max_tm", "significant")
+    flagged = S.number_insignificant(written(hits, "flagged-hits"))
     return flagged.select("qid", "dbindex", "max_tm", "significant", F.col("insig_no").cast("double").alias("insig_no"))
 
 
@@ -197,19 +203,37 @@ def q_sink_chain_match_tsv(spark, sf):
 SELECT CAST(json(t.metadata) AS VARCHAR) AS line FROM hits h JOIN targets_v t ON h.dbindex = t.dbindex
 WHERE t.metadata IS NOT NULL AND t.metadata <> '{ }'""")
 def q_sink_metadata_json(spark, sf):
-    hits = S.join_metadata(QS.masked_hits(spark, sf), VW.targets_v(spark, sf))
-    return SK.roundtrip_text(spark, SK.metadata_json_lines(hits), "hit_metadata")
-
-
-@register("sink_atom_records", QA.SQL_CLEAN + ",\n" + VW.SQL_LABELS_V + """
-SELECT printf('ATOM  %5d  %-4s%s %-1s%4d    %8.3f%8.3f%8.3f%6.2f%6d', c.serial, c.atom, c.resn, c.chain, c.resi,
-              c.x, c.y, c.z, CAST(coalesce(l.domain_id, 0) AS DOUBLE), CAST(trunc(c.b) AS BIGINT)) AS line
-FROM clean c LEFT JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi""")
+    """The metadata of all hits that have some, as one JSON array in the order of the hits, read back value by value."""
+    hits = SK.with_metadata(S.join_metadata(QS.masked_hits(spark, sf), VW.targets_v(spark, sf)))
+    path = scratch_path(spark, "hit-metadata")
+    SK.write_json_array(hits.select("qid", "emb_rank", SK.metadata_json("metadata").alias("line")), path, ["qid", "emb_rank"])
+    return SK.read_json_array(spark, path)
+
+
+@register("sink_atom_records", QA.SQL_CLEAN + ",\n" + VW.SQL_LABELS_V + """,
+recs AS (
+  SELECT 'S' || lpad(CAST(c.sid AS VARCHAR), 6, '0') AS name, row_number() OVER (PARTITION BY c.sid ORDER BY c.chain, c.resi, c.serial) AS ord,
+         printf('ATOM  %5d  %-4s%s %-1s%4d    %8.3f%8.3f%8.3f%6.2f%6d', c.serial, c.atom, c.resn, c.chain, c.resi,
+                c.x, c.y, c.z, CAST(coalesce(l.domain_id, 0) AS DOUBLE), CAST(trunc(c.b) AS BIGINT)) AS line
+  FROM clean c LEFT JOIN labels_v l ON c.sid = l.sid AND c.resi = l.resi
+  UNION ALL
+  SELECT 'S' || lpad(CAST(sid AS VARCHAR), 6, '0') || '_' || chain, n,
+         printf('ATOM  %5d  CA  %3s A%4d    %8.3f%8.3f%8.3f  1.00  0.00', n, resn, n, x, y, z)
+  FROM (SELECT *, row_number() OVER (PARTITION BY sid, chain ORDER BY resi) AS n FROM clean WHERE atom = 'CA'))
+SELECT name, CAST(ord AS INTEGER) AS ord, line FROM recs UNION ALL SELECT name, CAST(max(ord) + 1 AS INTEGER), 'END' FROM recs GROUP BY name""")
 def q_sink_atom_records(spark, sf):
-    """Atoms with the residue's domain id in the occupancy column and a truncated integer b-factor."""
+    """Each structure's atoms with the residue's domain id in the occupancy column and a truncated integer b-factor, and
+    each chain's CA-only form, in a bundled store; read back structure by structure, in record order."""
     lab = VW.labels_v(spark, sf).select("sid", "resi", "domain_id")
     a = QA.clean_atoms(spark, sf).join(lab, ["sid", "resi"], "left").withColumn("domain_id", F.coalesce("domain_id", F.lit(0)))
-    return SK.roundtrip_text(spark, a.select(SK.atom_record(a, occ_col="domain_id").alias("line")), "atom_records")
+    a = written(a, "labelled-atoms")  # read by both forms
+    name = F.concat(F.lit("S"), F.lpad(F.col("sid").cast("string"), 6, "0"))
+    full = SK.atom_lines(a, ["sid"], ["chain", "resi", "serial"], occ_col="domain_id").select(name.alias("name"), "ord", "line")
+    ca = SK.ca_lines(a.where(F.col("atom") == "CA"), QA.KEYS).select(F.concat_ws("_", name, "chain").alias("name"), "ord", "line")
+    path = scratch_path(spark, "atom-records")
+    BN.write_bundles(written(full.unionByName(ca), "atom-lines"), path, "name", ["ord"])
+    back = BN.read_bundles(spark, path, "name")
+    return back.select("name", F.posexplode("lines").alias("ord", "line")).withColumn("ord", F.col("ord") + 1)
 
 
 @register("sink_fasta", QA.SQL_CLEAN + f""",
@@ -289,11 +313,12 @@ def q_udf_batch_model(spark, sf):
     return emb.select("doc_id", "length", _counts_from_embedding().alias("composition"))
 
 
-def _residue_count(text):
-    n = sum(1 for ch in (text or "") if ch in ALPHABET)
-    if n == 0:
+def _residue_count(texts):
+    """Residue letters of each text of a batch; a text without any is an error."""
+    n = texts.fillna("").str.count(f"[{ALPHABET}]")
+    if (n == 0).any():
         raise ValueError("no residues")
-    return n
+    return n.astype(float)
 
 
 @register("udf_error_rows", f"""
@@ -308,15 +333,22 @@ def q_udf_error_rows(spark, sf):
 
 
 @register("sink_batch_stage", VW.with_ctes(VW.SQL_FILES_V) + f"""
-SELECT file_id, organism, CAST((row_number() OVER (PARTITION BY organism ORDER BY path) - 1) // {STAGE_BATCH} AS BIGINT) AS batch
-FROM files_v""")
+, b AS (SELECT file_id, organism, CAST((row_number() OVER (PARTITION BY organism ORDER BY path) - 1) // {STAGE_BATCH} AS BIGINT) AS batch
+        FROM files_v)
+SELECT file_id, organism, batch,
+       CAST(1 + max(CASE WHEN file_id % {STAGE_BAD} = 13 THEN 1 ELSE 0 END) OVER (PARTITION BY organism, batch) AS INTEGER) AS attempt
+FROM b""")
 def q_sink_batch_stage(spark, sf):
+    """Files staged in batches per organism. Some files cannot be read at the first attempt: their batches are recorded as
+    failed and the others are staged; the second attempt, with those files repaired, stages what the first left out."""
     files = VW.files_v(spark, sf)
     f = IX.dense_index(files.select("file_id", "path", "organism"), ["path"], ["organism"])
-    f = f.withColumn("batch", F.floor((F.col("rn") - 1) / STAGE_BATCH).cast("long")).drop("rn")
+    f = f.withColumn("batch", F.floor((F.col("rn") - 1) / STAGE_BATCH).cast("long")).select("file_id", "organism", "batch")
+    f = written(f.join(files.select("file_id", "content"), "file_id"), "batched-files")
     path = scratch_path(spark, "staged")
-    SK.write_partitioned(f.join(files.select("file_id", "content"), "file_id"), path, ["organism", "batch"])
-    return spark.read.parquet(path).select("file_id", "organism", F.col("batch").cast("long").alias("batch"))
+    SG.stage_batches(f, path, F.when(F.col("file_id") % STAGE_BAD == 13, F.lit("file cannot be read")))
+    SG.stage_batches(f, path, F.lit(None).cast("string"))
+    return SG.read_staged(spark, path).select("file_id", "organism", "batch", "attempt")
 
 
 SQL_COMPACT = VW.with_ctes(VW.SQL_FILES_V) + f""",
@@ -327,23 +359,31 @@ st2 AS (SELECT *, CAST(ceil(n_files / partitions) AS BIGINT) AS files_per_partit
 
 
 @register("sink_compact", SQL_COMPACT + """
-SELECT f.file_id, f.organism,
-       CAST((row_number() OVER (PARTITION BY f.organism ORDER BY f.path) - 1) // s.files_per_partition AS BIGINT) AS bucket
-FROM files_v f JOIN st2 s ON f.organism = s.organism""")
+, pl AS (SELECT f.file_id, f.organism, f.path, coalesce(f.content, '') AS content,
+                CAST((row_number() OVER (PARTITION BY f.organism ORDER BY f.path) - 1) // s.files_per_partition AS BIGINT) AS bucket
+         FROM files_v f JOIN st2 s ON f.organism = s.organism)
+SELECT file_id, organism, bucket, md5(string_agg(content || chr(10), '' ORDER BY path) OVER (PARTITION BY organism, bucket
+       ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS bundle_md5 FROM pl""")
 def q_sink_compact(spark, sf):
-    """Bundle small files: bucket by name order, one output file per bucket (content + newline)."""
+    """Bundle small files: bucket by name order, one output file per bucket (each content and a newline); the bundles are
+    read back, and each file comes with the digest of the bundle it went into."""
     files = VW.files_v(spark, sf)
     f = files.select("file_id", "path", "organism", "size")  # the contents are joined once, for writing
     plan = SK.compaction_plan(f, COMPACT_MB, group_cols=("organism",))
     f = IX.dense_index(f, ["path"], ["organism"]).join(plan.select("organism", "files_per_partition"), "organism")
     f = f.withColumn("bucket", F.floor((F.col("rn") - 1) / F.col("files_per_partition")).cast("long"))
+    f = written(f.select("file_id", "organism", "bucket", "rn"), "bundle-plan")
     path = scratch_path(spark, "compact")
-    # a bucket is one file: its rows go to one partition, in order
+    # a bucket is one file: its rows go to one partition, in order; the writer ends each with a newline
     (f.join(files.select("file_id", "content"), "file_id")
       .repartition("organism", "bucket").sortWithinPartitions("organism", "bucket", "rn")
-      .select("organism", "bucket", F.concat("content", F.lit("\n")).alias("value"))
+      .select("organism", "bucket", F.coalesce("content", F.lit("")).alias("value"))
       .write.mode("overwrite").partitionBy("organism", "bucket").text(path))
-    return f.select("file_id", "organism", "bucket")
+    back = spark.read.text(path, wholetext=True)
+    if "bucket" not in back.columns:  # nothing was written
+        back = back.withColumns({"organism": F.lit(None), "bucket": F.lit(None)})
+    return f.select("file_id", "organism", "bucket").join(
+        back.select(F.col("organism").cast("string").alias("organism"), F.col("bucket").cast("long").alias("bucket"), F.md5(F.col("value").cast("binary")).alias("bundle_md5")), ["organism", "bucket"])
 
 
 @register("agg_file_stats", VW.with_ctes(VW.SQL_PAGES_V) + f"""
@@ -406,51 +446,92 @@ def q_fn_parse_boundary(spark, sf):
     return r.select("p_partkey", "range", p["first"].alias("first"), p["last"].alias("last"))
 
 
-@register("src_boundaries_csv", SQL_RANGES + """,
-doms AS (SELECT p_partkey // 3 AS target, string_agg(range || ':' || CAST(p_partkey AS VARCHAR), '|' ORDER BY p_partkey) AS ranges
-         FROM r GROUP BY 1),
-ex AS (SELECT target, unnest(range(1, len(string_split(ranges, '|')) + 1)) AS dom, string_split(ranges, '|') AS parts FROM doms),
-ex2 AS (SELECT target, CAST(dom AS INTEGER) AS dom, string_split(parts[dom], ':')[1] AS range,
-               string_split(parts[dom], ':')[2] AS label FROM ex)
-SELECT target, dom, range, label,
+SQL_BOUNDARY_LISTS = SQL_RANGES + """,
+d AS (SELECT p_partkey, p_partkey // 3 AS grp, p_size,
+             range || CASE WHEN p_partkey % 5 = 0 THEN '_' || CAST(p_size + 100 AS VARCHAR) || '-' || CAST(p_size + 110 AS VARCHAR) ELSE '' END AS rng,
+             CASE WHEN p_partkey % 7 = 0 THEN '999_999' ELSE CAST(p_partkey AS VARCHAR) || '_' || CAST(p_partkey % 10 AS VARCHAR) END AS label
+      FROM r JOIN part USING (p_partkey)),
+t AS (SELECT grp, 'T' || CAST(grp AS VARCHAR) || 'A' AS target, count(*) AS n_domains, count(DISTINCT p_partkey % 10) AS n_superfamilies,
+             sum(p_size) AS n_residues FROM d GROUP BY grp),
+n AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY p_partkey) AS dom FROM d),
+x AS (SELECT n.*, unnest(range(1, len(string_split(rng, '_')) + 1)) AS seg FROM n),
+y AS (SELECT grp, dom, seg, label, string_split(rng, '_')[seg] AS range FROM x)"""
+
+
+def boundary_lists(spark, sf):
+    """Domains of three parts each as one target: ranges (some discontinuous), labels (some masked), counts."""
+    k = F.col("p_partkey")
+    r = part_ranges(spark, sf).join(VW.table(spark, sf, "part").select("p_partkey", "p_size"), "p_partkey")
+    two = F.when(k % 5 == 0, F.concat(F.lit("_"), (F.col("p_size") + 100).cast("string"), F.lit("-"), (F.col("p_size") + 110).cast("string"))).otherwise(F.lit(""))
+    label = F.when(k % 7 == 0, F.lit(RP.MASKED_LABEL)).otherwise(F.concat(k.cast("string"), F.lit("_"), (k % 10).cast("string")))
+    d = r.select(F.floor(k / 3).cast("long").alias("grp"), "p_partkey", "p_size", F.concat("range", two, F.lit(":"), label).alias("d"))
+    t = d.groupBy("grp").agg(F.count(F.lit(1)).alias("n_domains"), F.count_distinct(F.col("p_partkey") % 10).alias("n_superfamilies"),
+                             F.sum("p_size").alias("n_residues"), F.array_sort(F.collect_list(F.struct("p_partkey", "d"))).alias("_d"))
+    code = F.concat(F.lit("T"), F.col("grp").cast("string"))
+    return t.select(F.lower(code).alias("pdb"), F.concat(code, F.lit("A")).alias("target"), F.lit("A").alias("chain"), "n_domains", "n_superfamilies",
+                    "n_residues", F.array_join(F.transform("_d", lambda x: x["d"]), "|").alias("ranges"))
+
+
+@register("src_boundaries_csv", SQL_BOUNDARY_LISTS + """
+SELECT t.target, CAST(t.n_domains AS BIGINT) AS n_domains, CAST(t.n_superfamilies AS BIGINT) AS n_superfamilies,
+       CAST(t.n_residues AS BIGINT) AS n_residues, CAST(t.n_residues AS BIGINT) AS nres, CAST(y.dom AS INTEGER) AS dom, CAST(y.seg AS INTEGER) AS seg,
+       y.range, y.label, y.label = '999_999' AS masked,
        CAST(regexp_extract(regexp_replace(regexp_replace(range, '[A-Z]', '', 'g'), '[()]', '', 'g'), '^(-?\\d+)-(-?\\d+)$', 1) AS INTEGER) AS first,
        CAST(regexp_extract(regexp_replace(regexp_replace(range, '[A-Z]', '', 'g'), '[()]', '', 'g'), '^(-?\\d+)-(-?\\d+)$', 2) AS INTEGER) AS last
-FROM ex2""")
+FROM y JOIN t USING (grp)""")
 def q_src_boundaries_csv(spark, sf):
-    """A boundary list written as CSV (``target,ranges`` with ``|`` between domains and ``:label``),
-    read back and exploded to one row per domain range."""
-    r = part_ranges(spark, sf)
-    doms = r.groupBy(F.floor(F.col("p_partkey") / 3).alias("target")).agg(
-        F.array_sort(F.collect_list(F.struct("p_partkey", F.concat_ws(":", "range", F.col("p_partkey").cast("string")).alias("d")))).alias("_d"))
-    doms = doms.select(F.col("target").cast("long").alias("target"), F.array_join(F.transform("_d", lambda x: x["d"]), "|").alias("ranges"))
-    back = SK.roundtrip_csv(spark, doms, "boundaries", sep=",")
-    ex = BD.explode_ranges(back, "ranges", ["target"], domain_sep=r"\|")
-    return ex.select("target", "dom", "range", "label", "first", "last")
+    """Domain lists in both layouts, written as CSV and read back: the seven documented columns, exploded to one row per
+    range of each domain, with the residue count of the short ``target,nres`` list."""
+    lists = boundary_lists(spark, sf)
+    long_, short = scratch_path(spark, "boundaries"), scratch_path(spark, "target-sizes")
+    lists = written(lists, "boundary-lists")
+    lists.select(*RP.BOUNDARY_COLUMNS).write.option("quote", "").csv(long_)
+    lists.select("target", F.col("n_residues").alias("nres")).write.option("header", True).csv(short)
+    r = RP.read_boundaries(spark, long_).join(RP.read_target_sizes(spark, short), "target")
+    return r.select("target", "n_domains", "n_superfamilies", "n_residues", "nres", "dom", "seg", "range", "label", "masked", "first", "last")
 
 
 @register("fn_expand_boundaries", QA.SQL_CLEAN + """,
-res AS (SELECT DISTINCT sid, resi FROM clean WHERE atom = 'CA' AND chain = 'O'),
-rg AS (SELECT s_suppkey AS sid, 1 AS dom, s_suppkey % 7 + 1 AS first, 20 + s_suppkey % 11 AS last FROM supplier
-       UNION ALL SELECT s_suppkey, 2, 25 + s_suppkey % 5, 48 + s_suppkey % 4 FROM supplier),
-lo AS (SELECT rg.sid, rg.dom, min(res.resi) AS first_adj FROM rg JOIN res ON res.sid = rg.sid
-       AND res.resi BETWEEN rg.first AND rg.first + 3 GROUP BY rg.sid, rg.dom),
-hi AS (SELECT rg.sid, rg.dom, max(res.resi) AS last_adj FROM rg JOIN res ON res.sid = rg.sid
-       AND res.resi BETWEEN rg.last - 3 AND rg.last GROUP BY rg.sid, rg.dom)
-SELECT rg.sid, rg.dom, CAST(lo.first_adj AS DOUBLE) AS first_adj, CAST(hi.last_adj AS DOUBLE) AS last_adj,
-       CASE WHEN rg.first >= rg.last THEN 'first_not_below_last' WHEN lo.first_adj IS NULL THEN 'start_not_found'
-            WHEN hi.last_adj IS NULL THEN 'end_not_found' ELSE 'ok' END AS status
-FROM rg LEFT JOIN lo ON rg.sid = lo.sid AND rg.dom = lo.dom LEFT JOIN hi ON rg.sid = hi.sid AND rg.dom = hi.dom""")
+res AS (SELECT DISTINCT sid, chain, resi FROM clean WHERE atom = 'CA'),
+idx AS (SELECT *, row_number() OVER (PARTITION BY sid, chain ORDER BY resi) - 1 AS i FROM res),
+rs AS (SELECT s_suppkey AS sid, 1 AS dom, 1 AS seg, s_suppkey % 7 + 1 AS first, 20 + s_suppkey % 11 AS last FROM supplier
+       UNION ALL SELECT s_suppkey, 2, 1, 25 + s_suppkey % 5, 33 + s_suppkey % 4 FROM supplier
+       UNION ALL SELECT s_suppkey, 2, 2, 38 + s_suppkey % 5, 48 + s_suppkey % 4 FROM supplier
+       UNION ALL SELECT s_suppkey, 3, 1, 10 + s_suppkey % 9, 15 FROM supplier),
+rg AS (SELECT c.chain, rs.* FROM rs JOIN (SELECT DISTINCT sid, chain FROM res) c ON c.sid = rs.sid),
+lo AS (SELECT rg.sid, rg.chain, rg.dom, rg.seg, min(res.resi) AS a FROM rg JOIN res ON res.sid = rg.sid AND res.chain = rg.chain
+       AND res.resi BETWEEN rg.first AND rg.first + 3 GROUP BY ALL),
+hi AS (SELECT rg.sid, rg.chain, rg.dom, rg.seg, max(res.resi) AS b FROM rg JOIN res ON res.sid = rg.sid AND res.chain = rg.chain
+       AND res.resi BETWEEN rg.last - 3 AND rg.last GROUP BY ALL),
+pl AS (SELECT rg.*, lo.a, hi.b,
+              CASE WHEN rg.first >= rg.last THEN 'first_not_below_last' WHEN lo.a IS NULL THEN 'start_not_found'
+                   WHEN hi.b IS NULL THEN 'end_not_found' ELSE 'ok' END AS status
+       FROM rg LEFT JOIN lo USING (sid, chain, dom, seg) LEFT JOIN hi USING (sid, chain, dom, seg)),
+dm AS (SELECT sid, chain, dom, coalesce(min_by(status, seg) FILTER (WHERE status <> 'ok'), 'ok') AS status,
+              CASE WHEN count(*) FILTER (WHERE status <> 'ok') = 0 THEN least(min(a), min(b)) END AS first,
+              CASE WHEN count(*) FILTER (WHERE status <> 'ok') = 0 THEN greatest(max(a), max(b)) END AS last
+       FROM pl GROUP BY sid, chain, dom),
+pt AS (SELECT sid, chain, dom, seg, unnest(range(a, b + 1)) AS resi FROM pl),
+ls AS (SELECT pt.sid, pt.chain, pt.dom, string_agg(CAST(pt.resi AS VARCHAR), ',' ORDER BY pt.seg, pt.resi) AS residues, count(res.resi) AS n_present
+       FROM pt LEFT JOIN res ON res.sid = pt.sid AND res.chain = pt.chain AND res.resi = pt.resi GROUP BY ALL)
+SELECT dm.sid, dm.chain, CAST(dm.dom AS INTEGER) AS dom, dm.status, CASE WHEN dm.status = 'ok' THEN coalesce(ls.residues, '') END AS residues,
+       CAST(CASE WHEN dm.status = 'ok' THEN coalesce(ls.n_present, 0) END AS DOUBLE) AS n_present, CAST(dm.first AS DOUBLE) AS first,
+       CAST(dm.last AS DOUBLE) AS last, CAST(f.i AS DOUBLE) AS first_idx, CAST(l.i AS DOUBLE) AS last_idx
+FROM dm LEFT JOIN ls USING (sid, chain, dom)
+LEFT JOIN idx f ON f.sid = dm.sid AND f.chain = dm.chain AND f.resi = dm.first
+LEFT JOIN idx l ON l.sid = dm.sid AND l.chain = dm.chain AND l.resi = dm.last""")
 def q_fn_expand_boundaries(spark, sf):
-    """Domain ranges of each structure (two per supplier) moved onto residues present in chain O."""
-    s = VW.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sid"))
-    rg = s.select("sid", F.lit(1).alias("dom"), F.lit(1).alias("seg"), (F.col("sid") % 7 + 1).cast("int").alias("first"),
-                  (F.col("sid") % 11 + 20).cast("int").alias("last")).unionByName(
-        s.select("sid", F.lit(2).alias("dom"), F.lit(1).alias("seg"), (F.col("sid") % 5 + 25).cast("int").alias("first"),
-                 (F.col("sid") % 4 + 48).cast("int").alias("last")))
-    res = QA.clean_atoms(spark, sf).where((F.col("atom") == "CA") & (F.col("chain") == "O")).select("sid", "resi")
-    out = BD.expand_to_residues(rg, res, ["sid"])
-    return out.select("sid", "dom", F.col("first_adj").cast("double").alias("first_adj"),
-                      F.col("last_adj").cast("double").alias("last_adj"), "status")
+    """Three domains of each structure (the second in two ranges, the third often the wrong way round), moved onto the
+    residues of every chain and expanded to residue lists."""
+    sid = F.col("s_suppkey")
+    spans = [(1, 1, sid % 7 + 1, sid % 11 + 20), (2, 1, sid % 5 + 25, sid % 4 + 33), (2, 2, sid % 5 + 38, sid % 4 + 48), (3, 1, sid % 9 + 10, F.lit(15))]
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dom"), F.lit(g).alias("seg"), a.cast("int").alias("first"), b.cast("int").alias("last")) for d, g, a, b in spans]))
+    s = VW.table(spark, sf, "supplier").select(sid.alias("sid"), each.alias("r")).select("sid", "r.*")
+    res = written(QA.clean_atoms(spark, sf).where(F.col("atom") == "CA").select("sid", "chain", "resi"), "residues")
+    rg = s.join(res.select("sid", "chain").distinct(), "sid")
+    out = BD.expand_domains(rg, res, ["sid", "chain"])
+    return out.select("sid", "chain", "dom", "status", F.array_join(F.transform("residues", lambda x: x.cast("string")), ",").alias("residues"),
+                      *[F.col(c).cast("double").alias(c) for c in ("n_present", "first", "last", "first_idx", "last_idx")])
 
 
 SQL_ALIGNER_TEXT = """
@@ -459,7 +540,9 @@ WITH t AS (
          CASE WHEN l_linenumber = 7 THEN '' ELSE printf('Aligned length= %4d, RMSD= %6.2f, Seq_ID=n_identical/n_aligned= %5.3f',
               CAST(l_quantity AS INTEGER), l_discount * 10, l_tax * 10) || chr(10) END
          || printf('TM-score= %.4f (if normalized by length of Chain_1)', (l_partkey % 10000) / 10000.0) || chr(10)
-         || printf('TM-score= %.4f (if normalized by length of Chain_2)', (l_suppkey % 10000) / 10000.0) || chr(10) AS report
+         || printf('TM-score= %.4f (if normalized by length of Chain_2)', (l_suppkey % 10000) / 10000.0) || chr(10)
+         || CASE WHEN l_linenumber = 6 THEN '' ELSE '(":" denotes residue pairs of d <  5.0 Angstrom)' || chr(10) || l_returnflag || 'CD-E' || chr(10)
+              || ': . ' || l_linestatus || chr(10) || l_returnflag || '--' || chr(10) || 'end' || chr(10) END AS report
   FROM lineitem),
 p AS (
   SELECT l_orderkey, l_linenumber, l_partkey,
@@ -467,7 +550,9 @@ p AS (
          TRY_CAST(split_part(split_part(report, 'RMSD=', 2), ',', 1) AS DOUBLE) AS rmsd,
          TRY_CAST(split_part(split_part(report, 'n_identical/n_aligned=', 2), chr(10), 1) AS DOUBLE) AS seq_id,
          TRY_CAST(split_part(split_part(report, 'TM-score=', 2), '(', 1) AS DOUBLE) AS qtm,
-         TRY_CAST(split_part(split_part(report, 'TM-score=', 3), '(', 1) AS DOUBLE) AS ttm
+         TRY_CAST(split_part(split_part(report, 'TM-score=', 3), '(', 1) AS DOUBLE) AS ttm,
+         CASE WHEN contains(report, '(":" denotes residue pairs')
+              THEN array_to_string(string_split(split_part(report, '(":" denotes residue pairs', 2), chr(10))[2:4], chr(10)) END AS alignment
   FROM t)"""
 
 
@@ -477,14 +562,17 @@ def aligner_reports(spark, sf):
                               F.col("l_quantity").cast("int"), F.col("l_discount") * 10, F.col("l_tax") * 10)
     tm = F.concat(F.format_string("TM-score= %.4f (if normalized by length of Chain_1)\n", (F.col("l_partkey") % 10000) / 10000.0),
                   F.format_string("TM-score= %.4f (if normalized by length of Chain_2)\n", (F.col("l_suppkey") % 10000) / 10000.0))
-    rep = F.concat(F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(aligned), tm)
+    lines = F.concat(F.lit('(":" denotes residue pairs of d <  5.0 Angstrom)\n'), "l_returnflag", F.lit("CD-E\n: . "), "l_linestatus", F.lit("\n"),
+                     "l_returnflag", F.lit("--\nend\n"))
+    rep = F.concat(F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(aligned), tm, F.when(F.col("l_linenumber") == 6, F.lit("")).otherwise(lines))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", rep.alias("report"))
 
 
 @register("fn_parse_aligner_report", SQL_ALIGNER_TEXT + """
 SELECT * REPLACE (CAST(len_ali AS DOUBLE) AS len_ali) FROM p""")
 def q_fn_parse_aligner_report(spark, sf):
-    r = aligner_reports(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", *TX.aligner_fields("report"))
+    r = aligner_reports(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", *TX.aligner_fields("report"),
+                                          TX.alignment_lines("report").alias("alignment"))
     return r.withColumn("len_ali", F.col("len_ali").cast("double"))
 
 
@@ -537,29 +625,41 @@ def q_sort_natural(spark, sf):
 
 
 @register("agg_mean_pool", """
-WITH e AS (SELECT label, unnest(range(1, 65)) AS dim, embedding FROM embeddings)
-SELECT label, CAST(dim - 1 AS INTEGER) AS dim, avg(CAST(embedding[dim] AS DOUBLE)) AS mean FROM e GROUP BY label, dim""")
+WITH e AS (SELECT label, unnest(range(1, 65)) AS dim, embedding FROM embeddings),
+d AS (SELECT label, dim, count(*) AS n, sum(CAST(round(CAST(embedding[dim] AS DOUBLE) * 1099511627776) AS HUGEINT)) AS s FROM e GROUP BY label, dim)
+SELECT label, CAST(max(n) AS BIGINT) AS n, CAST(count(*) AS INTEGER) AS width, md5(string_agg(CAST(s AS VARCHAR), ',' ORDER BY dim)) AS sums_md5,
+       max(s * 1.0 / 1099511627776 / n) AS largest, min(s * 1.0 / 1099511627776 / n) AS least FROM d GROUP BY label""")
 def q_agg_mean_pool(spark, sf):
-    """Mean over the vectors of a group (here: embeddings by label), one value per dimension."""
+    """One mean vector per group (here: embeddings by label); its exact component sums as a digest, its extremes as values."""
     from ..operators import summary as SU
 
-    return SU.mean_pool(VW.table(spark, sf, "embeddings"), ["label"], "embedding")
+    e = VW.table(spark, sf, "embeddings").select("label", "embedding")
+    sums = SU.vector_sums(e, ["label"], "embedding").select("label", F.md5(F.array_join(F.transform("sums", lambda x: x.cast("string")), ",")).alias("sums_md5"))
+    return SU.mean_pool(e, ["label"], "embedding").join(sums, "label").select(
+        "label", "n", F.size("pooled").alias("width"), "sums_md5", F.array_max("pooled").alias("largest"), F.array_min("pooled").alias("least"))
 
 
 # ------------------------------------------------------------------ iteration
 def _sql_reseg_round(src: str, p: str) -> str:
-    return f"""{p}a AS (SELECT *, count(*) OVER (PARTITION BY sid, domain_id) AS sz, count(*) OVER (PARTITION BY sid) AS cl FROM {src}),
-{p}b AS (SELECT *, domain_id <> 0 AND sz > {RESEG_AVG} AND cl > {2 * RESEG_AVG} AS sel,
-                row_number() OVER (PARTITION BY sid, domain_id ORDER BY pos) AS rn FROM {p}a),
-{p}c AS (SELECT *, CASE WHEN sel AND rn > sz // 2 THEN 1 ELSE 0 END AS sub FROM {p}b),
-{p}r AS (SELECT sid, pos, resi, CAST(CASE WHEN domain_id = 0 THEN 0
-                  ELSE dense_rank() OVER (PARTITION BY sid ORDER BY domain_id, sub) END AS INTEGER) AS domain_id FROM {p}c)"""
-
-
-@register("iterate_resegment", QL.PIPE + ",\n" + _sql_reseg_round("f_rn", "i1") + ",\n" + _sql_reseg_round("i1r", "i2") + ",\n"
-          + _sql_reseg_round("i2r", "i3") + ",\n" + QL.sql_renumber("i3r", "z_") + """
-SELECT sid, pos, domain_id FROM z_rn""")
+    """One round: ``did`` names a domain ('0': none), ``act`` marks the parts that the last round made."""
+    return f"""{p}a AS (SELECT *, count(*) OVER (PARTITION BY sid, did) AS sz, min(pos) OVER (PARTITION BY sid, did) AS p0,
+                row_number() OVER (PARTITION BY sid, did ORDER BY pos) AS rn FROM {src}),
+{p}b AS (SELECT *, act AND sz > {RESEG_AVG} AS sel,
+                CASE WHEN p0 % 5 = 0 OR rn <= sz // 2 THEN 1 WHEN rn = sz // 2 + 1 AND sz >= 4 THEN 0 ELSE 2 END AS sub FROM {p}a),
+{p}c AS (SELECT *, count(*) OVER (PARTITION BY sid, did, sub) AS psz, sel AND p0 % 5 <> 0 AS cut FROM {p}b),
+{p}r AS (SELECT sid, pos, resi, CASE WHEN cut THEN CASE WHEN sub = 0 THEN '0' ELSE did || '/' || CAST(sub AS VARCHAR) END ELSE did END AS did,
+                CASE WHEN cut THEN CASE WHEN sub = 0 THEN 0.0 ELSE psz / 64.0 END ELSE conf END AS conf, cut AND sub <> 0 AS act FROM {p}c)"""
+
+
+@register("iterate_resegment", QL.PIPE + f""",
+i0 AS (SELECT sid, pos, resi, CAST(domain_id AS VARCHAR) AS did, conf,
+              domain_id <> 0 AND count(*) OVER (PARTITION BY sid) > {2 * RESEG_AVG} AS act FROM f_rn),
+""" + _sql_reseg_round("i0", "i1") + ",\n" + _sql_reseg_round("i1r", "i2") + ",\n" + _sql_reseg_round("i2r", "i3") + """,
+i4 AS (SELECT sid, pos, resi, conf, CAST(CASE WHEN did = '0' THEN 0 ELSE dense_rank() OVER (PARTITION BY sid ORDER BY did) END AS INTEGER) AS domain_id
+       FROM i3r),
+""" + QL.sql_renumber("i4", "z_") + """
+SELECT sid, pos, domain_id, conf FROM z_rn""")
 def q_iterate_resegment(spark, sf):
-    d = QL.segmented(spark, sf).select("sid", "pos", "resi", "domain_id")
+    d = QL.segmented(spark, sf).select("sid", "pos", "resi", "domain_id", "conf")
     d = L.iterate_resegment(d, QL.KEYS, L.halving_segmenter, RESEG_AVG)
-    return L.renumber_first_seen(d, QL.KEYS).select("sid", "pos", "domain_id")
+    return L.renumber_first_seen(d, QL.KEYS).select("sid", "pos", "domain_id", "conf")

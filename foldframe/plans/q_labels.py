@@ -230,11 +230,11 @@ def q_fn_domain_name(spark, sf):
 SELECT 'S' || lpad(CAST(sid AS VARCHAR), 6, '0') || chr(9) || CAST(domain_no AS VARCHAR) || chr(9)
        || CAST(nres AS VARCHAR) || chr(9) || printf('%.3f', dom_conf) || chr(9) || printf('%.3f', dom_plddt) || chr(9)
        || CAST(domain_id AS VARCHAR) || chr(9) || dom_str AS line
-FROM dst""")
+FROM dst WHERE dom_conf >= """ + f"{CONF_MIN} AND dom_plddt >= {PLDDT_MIN}")
 def q_sink_domain_lines(spark, sf):
     from ..operators import sinks as SK
 
-    d = domain_table(spark, sf).withColumn("name", F.concat(F.lit("S"), F.lpad(F.col("sid").cast("string"), 6, "0")))
+    d = L.quality_filter(domain_table(spark, sf), CONF_MIN, PLDDT_MIN).withColumn("name", F.concat(F.lit("S"), F.lpad(F.col("sid").cast("string"), 6, "0")))
     return SK.roundtrip_text(spark, d.select(SK.domain_line(d).alias("line")), "domain_lines")
 
 
@@ -259,11 +259,14 @@ def q_agg_pair_confidence(spark, sf):
 
 
 @register("agg_argmax_label", """
-WITH s AS (SELECT l_orderkey AS rid, l_linenumber - 1 AS cls, max(l_quantity) AS score FROM lineitem GROUP BY 1, 2),
-b AS (SELECT rid, arg_max(cls, score * 1000 - cls) AS best FROM s GROUP BY rid)
-SELECT rid, CAST(best AS INTEGER) AS label FROM b""")
+WITH s AS (SELECT l_orderkey AS rid, l_linenumber - 1 AS cls, max(l_quantity) AS score,
+                  max(CASE WHEN l_linenumber = 1 AND l_returnflag = 'A' THEN 1 ELSE 0 END) AS bg FROM lineitem GROUP BY 1, 2),
+b AS (SELECT rid, arg_max(cls, score * 1000 - cls) AS best, max(bg) AS bg FROM s GROUP BY rid)
+SELECT rid, CAST(CASE WHEN bg = 1 THEN 0 ELSE best END AS INTEGER) AS label FROM b""")
 def q_agg_argmax_label(spark, sf):
-    """Class with the highest score per residue (ties: smaller class); class 0 is the background."""
+    """Class with the highest score per residue (ties: smaller class); 0 where the background score, a flag on a row of the
+    residue, says so."""
     li = VW.table(spark, sf, "lineitem")
-    s = li.select(F.col("l_orderkey").alias("rid"), (F.col("l_linenumber") - 1).alias("class"), F.col("l_quantity").alias("score"))
-    return L.argmax_label(s, ["rid"], background=None).select("rid", F.col("label").cast("int").alias("label"))
+    s = li.select(F.col("l_orderkey").alias("rid"), (F.col("l_linenumber") - 1).alias("class"), F.col("l_quantity").alias("score"),
+                  ((F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "A")).alias("background"))
+    return L.argmax_label(s, ["rid"]).select("rid", F.col("label").cast("int").alias("label"))

@@ -41,7 +41,7 @@ def report_tables(spark, sf):
 
 
 def written_reports(spark, sf):
-    """Write one report per structure to a fresh folder; return the folder."""
+    """Write the report of every structure to a fresh bundled store; return its folder."""
     means, counts = report_tables(spark, sf)
     path = scratch_path(spark, "reports")
     RP.write_reports(RP.report_lines(means, counts), path)
@@ -54,14 +54,13 @@ SELECT '#' || structure || '_search.tsv Results. mean plddt: '
 UNION ALL SELECT 'cath_id,count' FROM means
 UNION ALL SELECT coalesce(cath_id, '') || ',' || CAST(count AS VARCHAR) FROM counts""")
 def q_sink_report(spark, sf):
-    path = written_reports(spark, sf)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    return RP.read_reports(spark, written_reports(spark, sf)).select(F.explode("lines").alias("line"))
 
 
 @register("src_report_counts", SQL_REPORT_BASE + """
 SELECT structure, cath_id, CAST(count AS BIGINT) AS count FROM counts""")
 def q_src_report_counts(spark, sf):
-    df = RP.read_report_counts(spark, written_reports(spark, sf))
+    df = RP.report_counts(RP.read_reports(spark, written_reports(spark, sf)))
     # an empty class name was written for hits without one; read it back as null
     return df.select("structure", F.when(F.col("cath_id") == "", None).otherwise(F.col("cath_id")).alias("cath_id"), "count")
 
@@ -69,7 +68,7 @@ def q_src_report_counts(spark, sf):
 @register("src_report_header", SQL_REPORT_BASE + """
 SELECT structure, mean_plddt FROM means""")
 def q_src_report_header(spark, sf):
-    return RP.read_report_headers(spark, written_reports(spark, sf))
+    return RP.report_headers(RP.read_reports(spark, written_reports(spark, sf)))
 
 
 @register("agg_class_totals", SQL_REPORT_BASE + """
@@ -88,10 +87,14 @@ def q_agg_organism_stats(spark, sf):
 
 
 @register("sink_summary", SQL_REPORT_BASE + """
-SELECT organism, avg(mean_plddt) AS mean_plddt, stddev_samp(mean_plddt) AS stddev_plddt FROM means GROUP BY organism""")
+SELECT 'stats' AS summary, organism, CAST(NULL AS VARCHAR) AS cath_id, CAST(NULL AS DOUBLE) AS count, avg(mean_plddt) AS mean_plddt,
+       stddev_samp(mean_plddt) AS stddev_plddt FROM means GROUP BY organism
+UNION ALL
+SELECT 'class_totals', s.organism, c.cath_id, CAST(sum(c.count) AS DOUBLE), NULL, NULL
+FROM counts c JOIN structs s ON c.structure = s.structure GROUP BY s.organism, c.cath_id""")
 def q_sink_summary(spark, sf):
-    """Both summary tables as CSV in two separate folders; the stats table (a row for each organism) is one file and is
-    read back. The file is cut after the aggregate, which keeps its own tasks."""
+    """Both summary tables as CSV in two separate folders, read back as one table; the stats table (a row for each organism)
+    is one file, cut after the aggregate, which keeps its own tasks."""
     means, counts = report_tables(spark, sf)
     means = means.join(structures(spark, sf), "structure")
     stats = SU.organism_stats(means)
@@ -99,7 +102,13 @@ def q_sink_summary(spark, sf):
     base = scratch_path(spark, "summary")
     stats.repartition(1).write.mode("overwrite").option("header", True).csv(f"{base}/stats")
     totals.write.mode("overwrite").option("header", True).csv(f"{base}/class_totals")
-    return spark.read.schema(stats.schema).option("header", True).csv(f"{base}/stats")
+    back_stats = spark.read.schema(stats.schema).option("header", True).csv(f"{base}/stats")
+    back_totals = spark.read.schema(totals.schema).option("header", True).csv(f"{base}/class_totals")
+    nothing = F.lit(None)
+    return back_stats.select(F.lit("stats").alias("summary"), "organism", nothing.cast("string").alias("cath_id"), nothing.cast("double").alias("count"),
+                             "mean_plddt", "stddev_plddt").unionByName(
+        back_totals.select(F.lit("class_totals").alias("summary"), "organism", "cath_id", F.col("count").cast("double").alias("count"),
+                           nothing.cast("double").alias("mean_plddt"), nothing.cast("double").alias("stddev_plddt")))
 
 
 @register("filter_has_hits", """

@@ -61,8 +61,10 @@ def test_components_equal_union_find(spark):
         rows_e += [(sid, a, b) for a, b in edges]
     n = spark.createDataFrame(rows_n, "sid long, node int")
     e = spark.createDataFrame(rows_e, "sid long, i int, j int")
-    got = {(r["sid"], r["node"]): r["component"] for r in G.connected_components(n, e, ["sid"], "node").collect()}
-    assert got == {(s, k): v for s in exp for k, v in exp[s].items()}
+    e = e.unionByName(spark.createDataFrame([(0, 3, 99), (9, 1, 2)], e.schema))  # ends that are no nodes
+    for limit in (G.GROUP_EDGES, 71, 1):  # all in groups, some and all contracted by joins
+        got = {(r["sid"], r["node"]): r["component"] for r in G.connected_components(n, e, ["sid"], "node", group_edges=limit).collect()}
+        assert got == {(s, k): v for s in exp for k, v in exp[s].items()}, limit
 
 
 def test_split_domains_zero_and_singletons(spark):

@@ -177,9 +177,78 @@ def test_quality_filter_four_cases(spark):
 
 
 def test_iterate_resegment_halves_large_domains(spark):
-    lab = [1] * 24 + [2] * 6
+    lab = [0] + [1] * 24 + [2] * 6
     df = chains_df(spark, [lab])
     out = L.renumber_first_seen(L.iterate_resegment(df, ["sid"], L.halving_segmenter, 5), ["sid"])
     got = collect_chains(out, 1)[0]
-    # 24 -> 12 + 12 -> 6 x 4 (round 2) -> stop (6 > 5 again: 3 + 3 in round 3); the 6-residue domain splits too
-    assert len(set(got)) == 8 + 2
+    # 1 (from position 1): 12 | 0 | 11; 12 (from 1): 6 | 0 | 5; 11 (from 14): 5 | 0 | 5; 6 (from 1): 3 | 0 | 2; 2 starts at 25: whole
+    assert got == [0, *[1] * 3, 0, *[2] * 2, 0, *[3] * 5, 0, *[4] * 5, 0, *[5] * 5, *[6] * 6]
+
+
+def _parts(spark, table, **kw):
+    """A segmenter that looks its answers up, and a count of its calls."""
+    calls = []
+
+    def segmenter(df, keys):
+        calls.append(sorted({r["domain_id"] for r in df.select("domain_id").collect()}))
+        answer = spark.createDataFrame([(k, *v) for k, v in table.items()], "key string, sub int, conf double")
+        d = df.withColumn("key", F.concat_ws("@", "domain_id", F.col("pos").cast("string")))
+        return d.drop("conf").join(answer, "key", "left").select(*keys, "pos", "sub", "conf")
+
+    return segmenter, calls
+
+
+def test_resegment_without_domain_and_with_new_confidences(spark):
+    """Half of a domain comes back without a part: it gets label 0 and the new confidence; a domain that comes back whole
+    keeps label and confidence and is never asked again; only parts of the last round are sent on."""
+    rows = [(0, p, p, 1 if p < 8 else 2, 0.5) for p in range(16)]
+    df = spark.createDataFrame(rows, "sid int, pos int, resi int, domain_id int, conf double")
+    table = {f"1@{p}": (0 if p < 2 else 1 if p < 3 else 2, 0.25 * (p >= 2)) for p in range(8)} | {f"2@{p}": (5, 0.9) for p in range(8, 16)}
+    table |= {f"1/2@{p}": (0, 0.0) for p in range(3, 8)}
+    segmenter, calls = _parts(spark, table)
+    got = {r["pos"]: (r["domain_id"], r["conf"]) for r in L.iterate_resegment(df, ["sid"], segmenter, 4).collect()}
+    assert calls == [["1", "2"], ["1/2"]]  # round 3 has nothing to do
+    assert {p for p, v in got.items() if v[0] == 0} == {0, 1, 3, 4, 5, 6, 7} and got[0] == (0, 0.0) and got[2][1] == 0.25
+    assert len({v[0] for v in got.values()} - {0}) == 2 and {got[p][1] for p in range(8, 16)} == {0.5}
+    short = df.where("pos < 8")
+    assert L.iterate_resegment(short, ["sid"], segmenter, 4).where("domain_id = 0").count() == 0  # chain not longer than twice the average
+
+
+def test_sequence_codes_and_one_hot(spark):
+    from foldframe.operators import atoms as A
+
+    df = spark.createDataFrame([("ARNV",), ("XB-.",), ("",), ("A?~V",), (None,)], "s string").coalesce(1)
+    got = [r["c"] for r in df.select(A.encode_sequence("s").alias("c")).collect()]
+    assert got == [[0, 1, 2, 19], [20, 20, 21, 21], [], [0, None, None, 19], None]
+    hot = [r["h"] for r in df.select(A.one_hot(A.encode_sequence("s")).alias("h")).collect()]
+    assert hot[:2] == [[1, 2, 4, 1 << 19], [0, 0, 0, 0]]
+
+
+def test_mean_pool_is_one_vector_a_group(spark):
+    from foldframe.operators import summary as SU
+
+    rows = [("a", [1.0, 2.0, 3.0]), ("a", [2.0, 4.0, 0.5]), ("b", [0.1, 0.2, 0.3]), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v array<double>")
+    got = {r["g"]: (r["n"], r["pooled"]) for r in SU.mean_pool(df.repartition(3), ["g"], "v").collect()}
+    assert got["a"] == (2, [1.5, 3.0, 1.75]) and got["b"][0] == 1 and all(abs(x - y) < 1e-11 for x, y in zip(got["b"][1], [0.1, 0.2, 0.3]))
+
+
+def test_background_sets_the_label_to_zero(spark):
+    df = spark.createDataFrame([(1, 2, 0.9, False), (1, 3, 0.1, True), (2, 2, 0.5, False), (2, 1, 0.5, False)], "r int, class int, score double, background boolean")
+    assert {r["r"]: r["label"] for r in L.argmax_label(df, ["r"]).collect()} == {1: 0, 2: 1}
+    assert {r["r"]: r["label"] for r in L.argmax_label(df, ["r"], background=None).collect()} == {1: 2, 2: 1}
+
+
+def test_domains_expand_to_residue_lists(spark):
+    from foldframe.operators import boundaries as BD
+
+    have = [("x", i) for i in (1, 2, 4, 5, 6, 9, 10, 20)] + [("y", 3)]
+    res = spark.createDataFrame(have, "sid string, resi int")
+    ranges = spark.createDataFrame([("x", 1, 1, 3, 7), ("x", 1, 2, 9, 10), ("x", 2, 1, 7, 3), ("x", 3, 1, 12, 15), ("x", 4, 1, 1, 2), ("x", 4, 2, 9, 30), ("y", 1, 1, 1, 5)],
+                                   "sid string, dom int, seg int, first int, last int")
+    got = {(r["sid"], r["dom"]): tuple(r)[2:] for r in BD.expand_domains(ranges, res, ["sid"]).select(
+        "sid", "dom", "status", "residues", "n_present", "first", "last", "first_idx", "last_idx").collect()}
+    assert got["x", 1] == ("ok", [4, 5, 6, 9, 10], 5, 4, 10, 2, 6)
+    assert got["x", 2] == ("first_not_below_last", None, None, None, None, None, None)
+    assert got["x", 3][0] == "start_not_found" and got["x", 4][0] == "end_not_found"
+    assert got["y", 1] == ("ok", [3], 1, 3, 3, 0, 0)

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from foldframe.functions import text as TX
 from foldframe.operators import geometry as G
-from foldframe.sources import reports as R
 from foldframe.sources import structures as ST
 
 
@@ -53,14 +52,27 @@ def test_input_chains_mismatch(ansi):
     assert [x[2:] for x in got] == [("A", "length_mismatch"), ("B", "length_mismatch"), (None, "length_mismatch"), ("C", "ok"), ("C", "ok")]
 
 
-def test_target_without_vector_fails(spark, tmp_path):
-    p = str(tmp_path / "t")
-    spark.createDataFrame([(0, "a", [1.0], "AC"), (1, "b", None, "AC")], "dbindex long, name string, embedding array<double>, seq string").write.parquet(p)
-    with pytest.raises(Exception, match="without a vector"):
-        R.read_targets(spark, p).collect()
+def test_error_rows_isolates_the_bad_rows_of_a_batch(spark):
+    from foldframe.operators import slots as SL
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(values):
+        calls.add(1)
+        if values.isin(["x"]).any():
+            raise ValueError("bad value")
+        return values.str.len().astype(float)
+
+    df = spark.createDataFrame([(i, "x" if i in (3, 40) else "a" * (i % 5)) for i in range(64)], "i int, t string").coalesce(1)
+    got = {r["i"]: (r["result"], r["status"], r["error"]) for r in SL.error_rows(df, fn, "t", "double").collect()}
+    assert got == {i: (None, "error", "ValueError: bad value") if i in (3, 40) else (float(i % 5), "ok", None) for i in range(64)}
+    assert calls.value < 30  # not one call a row
+    with pytest.raises(Exception, match="bad value"):
+        SL.error_rows(df, fn, "t", "double", policy="fail").collect()
 
 
 def test_components_of_a_long_path(spark):
     nodes = spark.range(64).select(F.lit(1).alias("k"), F.col("id").alias("node"))
     edges = spark.range(63).select(F.lit(1).alias("k"), F.col("id").alias("i"), (F.col("id") + 1).alias("j"))
-    assert {r["component"] for r in G.connected_components(nodes, edges, ["k"]).collect()} == {0}
+    for limit in (G.GROUP_EDGES, 3):  # in one group, and contracted by joins
+        assert {r["component"] for r in G.connected_components(nodes, edges, ["k"], group_edges=limit).collect()} == {0}
