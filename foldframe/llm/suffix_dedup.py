@@ -134,6 +134,13 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (_scaled(keys, buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def present(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, start, end) of the buckets that sorted ``keys`` have: work follows the keys, not the number of buckets."""
+    of = buckets_of(keys, buckets)
+    head = _heads(of)
+    return zip(of[head].tolist(), head.tolist(), [*head[1:].tolist(), len(of)])
+
+
 def _scaled(keys: np.ndarray, buckets: int) -> np.ndarray:
     """keys * buckets / 2 ** 32: the bucket, and 32 bits of the place in it."""
     return (keys >> np.uint64(32)) * np.uint64(buckets) + ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32))
@@ -339,10 +346,9 @@ def _send_keys(buckets: int, span: int, gram: int):
                 ids, key = ids[order], key[order][head]
                 both = np.minimum.reduceat(ids, head) != np.maximum.reduceat(ids, head)
                 short = _scaled(key, buckets) & np.uint64(0xFFFFFFFE) | both.astype(np.uint64)
-                cut = np.searchsorted(buckets_of(key, buckets), np.arange(buckets + 1))
                 rows = []
-                for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                    part, bytes_ = np.sort(short[cut[b]:cut[b + 1]]), size[cut[b]:cut[b + 1]]  # in this order but for the last bit
+                for b, i, j in present(key, buckets):
+                    part, bytes_ = np.sort(short[i:j]), size[i:j]  # in this order but for the last bit
                     at = np.flatnonzero(bytes_)
                     rows.append((b, c.chunk, _keys_message(part, at, np.minimum(bytes_[at], 0xFFFFFFFF))))
                 yield _messages(rows)
@@ -397,14 +403,12 @@ def _send_contexts(buckets: int, span: int, gram: int):
         of_key, least = np.frombuffer(of_key, np.uint64), np.frombuffer(least, np.int64)
         sort = np.argsort(of_key, kind="stable")
         texts = list(index)
-        cut = np.searchsorted(buckets_of(of_key[sort], buckets), np.arange(buckets + 1))
         rows = []
-        for b in range(buckets):
-            mine = sort[cut[b]:cut[b + 1]]
-            if len(mine):
-                part = [texts[i] for i in mine.tolist()]
-                rows.append((b, c.chunk, pack((of_key[mine] & np.uint64(0xFFFFFFFF)).astype(np.uint32), least[mine],
-                                              np.fromiter(map(len, part), np.uint8, len(part)), b"".join(part))))
+        for b, i, j in present(of_key[sort], buckets):
+            mine = sort[i:j]
+            part = [texts[k] for k in mine.tolist()]
+            rows.append((b, c.chunk, pack((of_key[mine] & np.uint64(0xFFFFFFFF)).astype(np.uint32), least[mine],
+                                          np.fromiter(map(len, part), np.uint8, len(part)), b"".join(part))))
         place = np.empty(len(sort), np.int64)
         place[sort] = np.arange(len(sort))
         a, w, at, d = np.frombuffer(spots, np.int64).reshape(-1, 4).T
