@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import binary_texts, written
 from .elias_fano import NgramTrie, restored
 from .simhash import words_of
-from .suffix_dedup import MESSAGE, _messages, buckets_of, mixed, pack, unpack
+from .suffix_dedup import MESSAGE, _heads, _messages, mixed, pack, present, unpack
 
 CHUNK_TOKENS = 1 << 20
 #: Occurrences of a context for each bucket that its pairs are dealt to.
@@ -103,9 +103,7 @@ def _send_words(buckets: int):
             for r in batch.to_pylist():
                 words, (counts,) = zstandard.decompress(r["words"]).split(b" "), unpack(r["counts"])
                 key = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-                cut = np.searchsorted(buckets_of(key, buckets), np.arange(buckets + 1))
-                yield _messages([(b, r["chunk"], pack(b" ".join(words[cut[b]:cut[b + 1]]), counts[cut[b]:cut[b + 1]]))
-                                 for b in range(buckets) if cut[b] < cut[b + 1]])
+                yield _messages([(b, r["chunk"], pack(b" ".join(words[i:j]), counts[i:j])) for b, i, j in present(key, buckets)])
 
     return run
 
@@ -158,15 +156,14 @@ def _send_pairs(buckets: int, split: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         c = _Chunk(left.to_pylist()[0], list(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist())), buckets, split)
         trained = np.bincount(c.pair[np.repeat(~c.held, c.n)], minlength=len(c.h)).astype(np.uint32)
-        cut = np.searchsorted(c.bucket, np.arange(buckets + 1))
+        starts = _heads(c.bucket)  # of the buckets that the chunk has pairs for
         rows = []
-        for b in range(buckets):
-            mine = c.sent[cut[b]:cut[b + 1]]
-            if len(mine):
-                h = c.h[mine]
-                head = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-                rows.append((b, c.chunk, pack(c.ids[h[head]], c.counts[h[head]], np.diff(np.append(head, len(h))).astype(np.uint32),
-                                              _narrow(c.ids[c.w[mine]]), trained[mine])))
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(c.bucket)]):
+            mine = c.sent[i:j]
+            h = c.h[mine]
+            head = _heads(h)
+            rows.append((int(c.bucket[i]), c.chunk, pack(c.ids[h[head]], c.counts[h[head]], np.diff(np.append(head, len(h))).astype(np.uint32),
+                                                         _narrow(c.ids[c.w[mine]]), trained[mine])))
         return pa.Table.from_batches([_messages(rows)])
 
     return run
