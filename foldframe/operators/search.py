@@ -347,8 +347,9 @@ def join_metadata(hits: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def join_payload(hits: DataFrame, payload: DataFrame) -> DataFrame:
-    """Fetch name/sequence/length/coordinates for hit targets only (after top-k, so columns stay pruned)."""
-    return hits.join(payload, "dbindex", "inner")
+    """Fetch name/sequence/length/coordinates for hit targets only (after top-k, so columns stay pruned); a hit whose
+    target has no payload keeps nulls."""
+    return hits.join(payload, "dbindex", "left")
 
 
 def aligned_coverage(hits: DataFrame, mincov: float) -> DataFrame:

@@ -257,12 +257,19 @@ def q_sink_residue_index(spark, sf):
 
 
 @register("sink_object_store", """
-SELECT page_id, lower(replace(regexp_extract(url, '^[a-z]+://(.*)/[^/]*$', 1), '/', '-')) AS bucket,
-       'data/' || string_split(url, '/')[-1] AS object_key FROM pages""")
+WITH o AS (SELECT page_id, lower(replace(regexp_extract(url, '^[a-z]+://(.*)/[^/]*$', 1), '/', '-')) AS bucket,
+                  'data/' || string_split(url, '/')[-1] AS object_key, html FROM pages)
+SELECT bucket, object_key, CAST(length(arg_max(coalesce(html, ''), page_id)) AS BIGINT) AS n_chars, md5(arg_max(coalesce(html, ''), page_id)) AS content_md5
+FROM o GROUP BY bucket, object_key""")
 def q_sink_object_store(spark, sf):
+    """Pages copied to a store by the name rules (a page with the name of an earlier one replaces it) and read back; the
+    store's path is the setting ``foldframe.object.store``, a scratch folder where it is unset."""
     p = VW.table(spark, sf, "pages")
     folder = F.regexp_extract("url", r"^[a-z]+://(.*)/[^/]*$", 1)
-    return p.select("page_id", N.bucket_name(folder).alias("bucket"), F.concat(F.lit("data/"), N.file_name("url")).alias("object_key"))
+    objects = p.select("page_id", N.bucket_name(folder).alias("bucket"), F.concat(F.lit("data/"), N.file_name("url")).alias("object_key"), F.col("html").alias("content"))
+    base = spark.conf.get("foldframe.object.store", None) or scratch_path(spark, "object-store")
+    SK.copy_to_store(objects, base, "page_id")
+    return SK.read_store(spark, base).select("bucket", "object_key", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("content_md5"))
 
 
 SQL_TARGET_BUILD = VW.with_ctes(VW.SQL_FILES_V) + f""",

@@ -130,20 +130,20 @@ def q_join_metadata(spark, sf):
 
 SQL_PAYLOAD = """payload AS (
   SELECT t.dbindex, t.name, regexp_replace(d.text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g') AS seq
-  FROM targets_v t JOIN documents d ON t.dbindex = d.doc_id)"""
+  FROM targets_v t LEFT JOIN documents d ON t.dbindex = d.doc_id)"""
 
 
 @register("join_target_payload", SQL_MASKED_HITS + ", " + SQL_PAYLOAD + """
 SELECT h.qid, h.dbindex, replace(p.name, '.pdb', '') AS target,
-       CAST(length(p.seq) AS BIGINT) AS t_seq_len, md5(p.seq) AS t_seq_md5
-FROM hits h JOIN payload p ON h.dbindex = p.dbindex""")
+       CAST(length(p.seq) AS DOUBLE) AS t_seq_len, md5(p.seq) AS t_seq_md5
+FROM hits h LEFT JOIN payload p ON h.dbindex = p.dbindex""")
 def q_join_target_payload(spark, sf):
     docs = VW.table(spark, sf, "documents").select(F.col("doc_id").alias("dbindex"), "text")
-    payload = _targets(spark, sf).select("dbindex", "name").join(docs, "dbindex").select(
+    payload = _targets(spark, sf).select("dbindex", "name").join(docs, "dbindex", "left").select(
         "dbindex", "name", F.regexp_replace("text", "[^ACDEFGHIKLMNPQRSTVWY]", "").alias("seq"))
     hits = S.join_payload(masked_hits(spark, sf).select("qid", "dbindex"), payload)
     return hits.select("qid", "dbindex", N.base_name("name").alias("target"),
-                       F.length("seq").cast("long").alias("t_seq_len"), F.md5("seq").alias("t_seq_md5"))
+                       F.length("seq").cast("double").alias("t_seq_len"), F.md5("seq").alias("t_seq_md5"))
 
 
 @register("agg_class_counts", SQL_MASKED_HITS + f"""

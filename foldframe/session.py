@@ -60,12 +60,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process made, and say how many. Results that still read them must have been
+    stored before: DataFrames are evaluated late."""
+    gone = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 _SHIPPED: set = set()

@@ -107,3 +107,38 @@ def test_domain_lists_in_both_layouts(spark, tmp_path):
                    ("2xyzB", 9, 1, 1, 3, 9, "4_4", False)]
     (tmp_path / "short.csv").write_text("target,nres\nAF-X,70\nAF-Y,147\n")
     assert sorted(map(tuple, R.read_target_sizes(spark, str(tmp_path / "short.csv")).collect())) == [("AF-X", 70), ("AF-Y", 147)]
+
+
+def test_object_store_keeps_the_latest_object(spark, tmp_path):
+    rows = [(1, "a-b", "data/x.html", "old"), (2, "a-b", "data/x.html", "new\n\nlines\n"), (3, "a-b", "data/y", None), (4, "c", "data/x.html", "é")]
+    SK.copy_to_store(spark.createDataFrame(rows, "page_id long, bucket string, object_key string, content string"), str(tmp_path / "s"), "page_id")
+    got = sorted(map(tuple, SK.read_store(spark, str(tmp_path / "s")).collect()))
+    assert got == [("a-b", "data/x.html", "new\n\nlines\n"), ("a-b", "data/y", ""), ("c", "data/x.html", "é")]
+
+
+def test_structure_files_are_read_whole_and_named(spark, tmp_path):
+    from foldframe.sources import structures as ST
+
+    for org, name, text in (("ecoli", "p1.pdb", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2", "x"), ("human", "q.pdb", "")):
+        (tmp_path / org).mkdir(exist_ok=True)
+        (tmp_path / org / name).write_text(text)
+    got = sorted(tuple(r) for r in ST.read_structures(spark, f"{tmp_path}/*/*").select("organism", "file_name", "structure_id", "content").collect())
+    assert got == [("ecoli", "p1.pdb", "p1", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2.pdb", "p2", "x"), ("human", "q.pdb", "q", "")]
+
+
+def test_payload_of_a_hit_without_one(spark):
+    from foldframe.operators import search as S
+
+    hits = spark.createDataFrame([(0, 1), (0, 2)], "qid long, dbindex long")
+    assert sorted((r["dbindex"], r["seq"]) for r in S.join_payload(hits, spark.createDataFrame([(1, "AC")], "dbindex long, seq string")).collect()) == [(1, "AC"), (2, None)]
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    from foldframe import session
+    from foldframe.sources.store import written
+
+    monkeypatch.setattr(session, "_SCRATCH", [])  # only what this test writes
+    t = written(spark.range(5), "gone")
+    assert t.count() == 5 and session.release_scratch(spark) == 1 and session.release_scratch(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(t.inputFiles()[0]).count()
