@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this folder: input columns, written tables, ranks without a hot window."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,8 +46,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], ddl: str, keep: list[str] | None = None) -> DataFrame:
-    """``fn`` turns the columns of one Arrow batch (lists) into output columns (lists or arrays).
+def give_back() -> None:
+    """Memory that is free in this worker goes back to the system: Spark keeps workers for later tasks, and one that keeps
+    what its largest task took counts against the executor ever after."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], ddl: str, keep: list[str] | None = None,
+                done: Callable[[], None] = give_back) -> DataFrame:
+    """``fn`` turns the columns of one Arrow batch (lists) into output columns (lists or arrays); ``done`` ends a task.
 
     The columns in ``keep`` pass unchanged, before the others, as ``k0``, ``k1``, ... whatever their names are."""
     keep = keep or []
@@ -62,6 +74,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
                 out = fn({n: c.to_pylist() for n, c in col.items() if n not in keep})
                 arrays = [*[col[c].cast(f.type) for c, f in zip(keep, schema)], *[pa.array(out[f.name], type=f.type) for f in list(schema)[len(keep):]]]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                del batch, col, out, arrays
+        done()
 
     return df.mapInArrow(run, struct)
 
