@@ -50,7 +50,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from foldframe.session import scratch_path
 
-from .common import ready, written
+from .common import give_back, ready, written
 
 SPAN, GRAM, STEP = 50, 24, 8
 CHUNK_BYTES = 4 << 20
@@ -307,10 +307,10 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, keep: list[str], ch
         if held:
             yield row()
 
-    return _bucketed(d.mapInArrow(run, struct), "chunks", "chunk")
+    return bucketed(d.mapInArrow(run, struct), "chunks", "chunk")
 
 
-def _bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder in buckets by ``column``, as many as a shuffle has partitions.
 
     Only a catalog table can be read as buckets; its entry is dropped as soon as it is resolved, the files stay."""
@@ -352,6 +352,7 @@ def _send_keys(buckets: int, span: int, gram: int):
                     at = np.flatnonzero(bytes_)
                     rows.append((b, c.chunk, _keys_message(part, at, np.minimum(bytes_[at], 0xFFFFFFFF))))
                 yield _messages(rows)
+        give_back()
 
     return run
 
@@ -466,7 +467,10 @@ def _answer_contexts(span: int, merge_bytes: int):
             return np.packbits(smaller, axis=1, bitorder="little").view("<u4").ravel()
 
         cut = np.cumsum([0, *map(len, ids)])
-        return pa.Table.from_batches([_messages([(key[0].as_py(), c, pack(bits(a, b))) for (c, _), a, b in zip(sent, cut, cut[1:])])])
+        out = pa.Table.from_batches([_messages([(key[0].as_py(), c, pack(bits(a, b))) for (c, _), a, b in zip(sent, cut, cut[1:])])])
+        del index, texts, first, sent
+        give_back()
+        return out
 
     return run
 
@@ -504,7 +508,10 @@ def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
             for f, v in zip(schema, values):
                 out[f.name].append(v)
             begin = end
-        return pa.Table.from_pydict(out, schema=schema)
+        table = pa.Table.from_pydict(out, schema=schema)
+        del out, c, row, gone, steps
+        give_back()
+        return table
 
     return run
 
