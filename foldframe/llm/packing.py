@@ -32,7 +32,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ranked, texts, written
+from .common import give_back, map_batches, ranked, texts, written
+from .suffix_dedup import bucketed
 
 CAPACITY, END_ID = 4096, 1
 #: Words whose ids a worker remembers; beyond it the memory starts anew (ids do not change by that).
@@ -107,8 +108,10 @@ def encode_texts(texts_: list[str], path: str, memory_words: int = MEMORY_WORDS)
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-           with_ids: bool = False, memory_words: int = MEMORY_WORDS) -> DataFrame:
-    """Pieces of each document: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (binary)."""
+           with_ids: bool = False, memory_words: int = MEMORY_WORDS, forget: bool = False) -> DataFrame:
+    """Pieces of each document: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (binary).
+
+    ``forget``: a worker forgets the words at the end of a task."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(cols):
@@ -121,7 +124,12 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     out[n].append(v)
         return out
 
-    return map_batches(texts(docs, id_col, text_col), run, PIECES + ", ids binary" * with_ids)
+    def done():
+        if forget:
+            _memory(path).clear()
+        give_back()
+
+    return map_batches(texts(docs, id_col, text_col), run, PIECES + ", ids binary" * with_ids, done=done)
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -381,9 +389,18 @@ def place_rows(plan: list[tuple[int, list[int]]], capacity: int) -> list[tuple[i
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         with_ids: bool = False, memory_words: int = MEMORY_WORDS) -> DataFrame:
-    """One row for each piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``)."""
-    p = written(pieces(docs, path, id_col, text_col, capacity, with_ids, memory_words), "pieces")
+         with_ids: bool = False, memory_words: int = MEMORY_WORDS, forget: bool = False) -> DataFrame:
+    """One row for each piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
+
+    With ids, the pieces are written in buckets and stay there: only their places move, to be joined by a number of the
+    written row."""
+    p = pieces(docs, path, id_col, text_col, capacity, with_ids, memory_words, forget)
+    columns = p.columns
+    if with_ids:
+        whole = bucketed(p.withColumn("_row", F.monotonically_increasing_id()), "pieces", "_row")
+        p = whole.select("_row", *[c for c in columns if c != "ids"])
+    else:
+        p = written(p, "pieces")
     spark = p.sparkSession
     # at most ``capacity`` rows, whatever the number of documents
     hist = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -396,5 +413,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     r = ranked(p, ["length"], ["doc_id", "piece", "ids_crc32"], spread, int(counts.sum()), "rank")
     r = r.join(F.broadcast(table), (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
     nth = F.col("rank") - F.col("first")
-    return r.select(*p.columns, (F.col("first_sequence") + F.expr("(rank - first) div many")).alias("sequence_id"),
-                    (F.col("at") + nth % F.col("many") * F.col("length")).cast("long").alias("offset"))
+    place = [(F.col("first_sequence") + F.expr("(rank - first) div many")).alias("sequence_id"),
+             (F.col("at") + nth % F.col("many") * F.col("length")).cast("long").alias("offset")]
+    if not with_ids:
+        return r.select(*columns, *place)
+    return whole.join(r.select("_row", *place), "_row").select(*columns, "sequence_id", "offset")
