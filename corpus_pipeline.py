@@ -71,8 +71,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their token ids and their place in sequences of at most 4096 tokens."""
-    # the workers of earlier stages are still there: a small memory of words in each
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, memory_words=120_000)
+    # the workers of earlier stages are still there: a small memory of words in each, and none after a task
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, memory_words=120_000, forget=True)
 
 
 STAGES = [
