@@ -62,7 +62,7 @@ def run_bounds(df: DataFrame, order_col: str, key_col: str, start: str = "run_st
     ``key_col`` values (runs break at a gap in ``order_col`` or a new key).
 
     The rows are exchanged once, into ranges of ``range_rows`` consecutive values; windows run inside a range. What
-    crosses ranges is a table with one row a range (its edges, its last inner start and first inner end), whose
+    crosses ranges is a written table with one row a range (its edges, its last inner start and first inner end), whose
     carries run up a tree (``_carried``) and come back by a join on the range the rows are dealt by already. No step
     is keyed by ``key_col``, so a name that a third of the table has is no hot key."""
     d = df.withColumn("_rng", F.floor(F.col(order_col) / range_rows))
@@ -78,6 +78,7 @@ def run_bounds(df: DataFrame, order_col: str, key_col: str, start: str = "run_st
     d = d.drop("_fresh", "_last")
     edges = d.groupBy("_rng").agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.min_by(key_col, order_col).alias("lk"),
                                   F.max_by(key_col, order_col).alias("hk"), F.max("_s").alias("s"), F.min("_e").alias("e"))
+    edges = written(edges, "range-edges")  # read several times below; a row a range
     prev = edges.select((F.col("_rng") + 1).alias("_rng"), F.col("hi").alias("phi"), F.col("hk").alias("phk"))
     nxt = edges.select((F.col("_rng") - 1).alias("_rng"), F.col("lo").alias("nlo"), F.col("lk").alias("nlk"))
     joined = edges.join(prev, "_rng", "left").join(nxt, "_rng", "left")

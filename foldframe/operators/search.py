@@ -165,7 +165,8 @@ def with_pivots(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     A zero vector scores 0 with everything, which no bound excludes, so it does not widen its pivot (``near`` 1)."""
     if len(pivots) == 1:
-        return rows.withColumn("pivot", F.lit(0)).withColumn("near", F.lit(-1.0))
+        # not a literal: a join on it stays an equi-join
+        return rows.withColumn("pivot", F.pmod("id", F.lit(1)).cast("int")).withColumn("near", F.lit(-1.0))
     schema = to_arrow_schema(T.StructType([*rows.schema.fields, *T.StructType.fromDDL("pivot int, near double").fields]))
 
     def run(batches):
