@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import give_back, map_batches, ranked, texts, written
-from .suffix_dedup import bucketed
 
 CAPACITY, END_ID = 4096, 1
 #: Words whose ids a worker remembers; beyond it the memory starts anew (ids do not change by that).
@@ -107,11 +106,17 @@ def encode_texts(texts_: list[str], path: str, memory_words: int = MEMORY_WORDS)
     return out
 
 
+def _narrow(ids: bytes) -> bytes:
+    wide = np.frombuffer(ids, "<u4")
+    return wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else ids
+
+
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
            with_ids: bool = False, memory_words: int = MEMORY_WORDS, forget: bool = False) -> DataFrame:
     """Pieces of each document: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (binary).
 
-    ``forget``: a worker forgets the words at the end of a task."""
+    The ids of a piece take two bytes each where all of them fit, else four. ``forget``: a worker forgets the words at the
+    end of a task."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(cols):
@@ -120,7 +125,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids += end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
-                for n, v in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)):
+                for n, v in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part), _narrow(part) if with_ids else None)):
                     out[n].append(v)
         return out
 
@@ -388,19 +393,21 @@ def place_rows(plan: list[tuple[int, list[int]]], capacity: int) -> list[tuple[i
     return rows
 
 
+def _widened(packed: DataFrame) -> DataFrame:
+    """``ids`` as unsigned 32-bit integers."""
+    keep = [c for c in packed.columns if c not in ("ids", "length")]
+
+    def run(cols):
+        return {"length": cols["length"], "ids": [b if len(b) == 4 * n else np.frombuffer(b, "<u2").astype("<u4").tobytes() for b, n in zip(cols["ids"], cols["length"])]}
+
+    wide = map_batches(packed, run, "length long, ids binary", keep)
+    return wide.select(*[F.col(f"k{keep.index(c)}").alias(c) if c in keep else F.col(c) for c in packed.columns])
+
+
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
          with_ids: bool = False, memory_words: int = MEMORY_WORDS, forget: bool = False) -> DataFrame:
-    """One row for each piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
-
-    With ids, the pieces are written in buckets and stay there: only their places move, to be joined by a number of the
-    written row."""
-    p = pieces(docs, path, id_col, text_col, capacity, with_ids, memory_words, forget)
-    columns = p.columns
-    if with_ids:
-        whole = bucketed(p.withColumn("_row", F.monotonically_increasing_id()), "pieces", "_row")
-        p = whole.select("_row", *[c for c in columns if c != "ids"])
-    else:
-        p = written(p, "pieces")
+    """One row for each piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``)."""
+    p = written(pieces(docs, path, id_col, text_col, capacity, with_ids, memory_words, forget), "pieces")
     spark = p.sparkSession
     # at most ``capacity`` rows, whatever the number of documents
     hist = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -413,8 +420,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     r = ranked(p, ["length"], ["doc_id", "piece", "ids_crc32"], spread, int(counts.sum()), "rank")
     r = r.join(F.broadcast(table), (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
     nth = F.col("rank") - F.col("first")
-    place = [(F.col("first_sequence") + F.expr("(rank - first) div many")).alias("sequence_id"),
-             (F.col("at") + nth % F.col("many") * F.col("length")).cast("long").alias("offset")]
-    if not with_ids:
-        return r.select(*columns, *place)
-    return whole.join(r.select("_row", *place), "_row").select(*columns, "sequence_id", "offset")
+    packed = r.select(*p.columns, (F.col("first_sequence") + F.expr("(rank - first) div many")).alias("sequence_id"),
+                      (F.col("at") + nth % F.col("many") * F.col("length")).cast("long").alias("offset"))
+    return _widened(packed) if with_ids else packed
