@@ -20,10 +20,11 @@ def read_structures(spark: SparkSession, path_glob: str, organism: str | None =
     """One row per file: ``organism, path, file_name, structure_id, content``.
 
     ``file_name`` gets ``.pdb`` appended when missing; ``structure_id`` is the
-    name without it. ``organism`` defaults to the parent folder name. An empty file is a row
-    with empty content (the text source would leave it out).
+    name without it. ``organism`` defaults to the parent folder name. Spark's file sources leave
+    out files without a byte, so an empty file is no row.
     """
-    df = spark.read.format("binaryFile").load(path_glob).select("path", F.col("content").cast("string").alias("content"))
+    df = spark.read.text(path_glob, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     return name_structures(df, organism)
 
 

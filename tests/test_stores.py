@@ -119,11 +119,11 @@ def test_object_store_keeps_the_latest_object(spark, tmp_path):
 def test_structure_files_are_read_whole_and_named(spark, tmp_path):
     from foldframe.sources import structures as ST
 
-    for org, name, text in (("ecoli", "p1.pdb", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2", "x"), ("human", "q.pdb", "")):
+    for org, name, text in (("ecoli", "p1.pdb", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2", "x"), ("human", "q.pdb", "\n"), ("human", "empty.pdb", "")):
         (tmp_path / org).mkdir(exist_ok=True)
         (tmp_path / org / name).write_text(text)
     got = sorted(tuple(r) for r in ST.read_structures(spark, f"{tmp_path}/*/*").select("organism", "file_name", "structure_id", "content").collect())
-    assert got == [("ecoli", "p1.pdb", "p1", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2.pdb", "p2", "x"), ("human", "q.pdb", "q", "")]
+    assert got == [("ecoli", "p1.pdb", "p1", "ATOM 1\nENDMDL\nATOM 2\n"), ("ecoli", "p2.pdb", "p2", "x"), ("human", "q.pdb", "q", "\n")]  # no row for a file without a byte
 
 
 def test_payload_of_a_hit_without_one(spark):
