@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -31,7 +31,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import texts, written
 from .simhash import shingle_hashes, words_of
 
-SCALE, SHINGLE_WORDS = 8, 5
+#: One hash in ``SCALE`` is kept: a half, as documents of ten or twenty words would often keep none of an eighth.
+SCALE, SHINGLE_WORDS = 2, 5
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
           "near_next double, jaccard_edited double, jaccard_next double")
 
@@ -42,7 +43,7 @@ class Sketch:
     def __init__(self, text: bytes, scale: int = SCALE, size: int = SHINGLE_WORDS):
         h = np.unique(shingle_hashes(words_of(text), size))
         self.count, self.sum = len(h), xxhash.xxh32_intdigest(h.tobytes())
-        self.kept = h[: np.searchsorted(h, np.uint64((1 << 64) // scale))]
+        self.kept = h[: np.searchsorted(h, np.uint64((1 << 64) // scale - 1), side="right")]
 
     def text(self) -> str:
         return f"{self.count}.{self.sum:08x}." + self.kept.astype(">u8").tobytes().hex()
@@ -102,6 +103,17 @@ def _row(held: tuple, following: str, next_sketch: Sketch, scale: int, size: int
                 edited_fingerprint=other.text(), near_edited=near_e, near_next=near_n, jaccard_edited=jac_e, jaccard_next=jac_n)
 
 
+def _part(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are at most ``key``: a binary search in one constant array."""
+    if not cuts:
+        return F.lit(0)
+    n = len(cuts)
+    table = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    fits = lambda at: (at <= n) & (F.element_at(table, F.least(at, F.lit(n))) <= key)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at + step), at + step).otherwise(at))
+
+
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scale: int = SCALE,
                           size: int = SHINGLE_WORDS, parts: int | None = None) -> DataFrame:
     """One row for each input row: its fingerprint, its edited text's, and the likenesses to that and the next row's."""
@@ -111,9 +123,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     cuts = sorted(set(t.select(key.alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n) or []))
     cuts = sorted({int(c) for c in cuts})
-    part = sum((F.when(key >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0)) if len(cuts) < 32 else \
-        F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= key))
-    rows = t.withColumn("part", part.cast("int"))
+    rows = t.withColumn("part", _part(key, cuts))
     # one row for each part: its first id; the part before it needs that row too
     first = written(rows.groupBy("part").agg(F.min(key).alias("first_key")), "part-firsts")
     order = Window.orderBy("part")  # as many rows as parts
