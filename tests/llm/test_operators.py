@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -493,27 +494,50 @@ def test_token_counts_empty(empty):
 
 # ---- sketches
 
-@pytest.mark.parametrize("parts", [2, 5, 40])
-def test_document_fingerprints(docs, parts):
+def _sketched(text, scale):
+    """Distinct five-word shingles (fewer words: the whole), those kept, and the fingerprint; written apart from the operator."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))))
+    grams = [b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+    every = sorted({xxhash.xxh64(g, seed=42).intdigest() for g in grams})
+    kept = [h for h in every if h * scale < 1 << 64]
+    check = xxhash.xxh32(b"".join(h.to_bytes(8, "little") for h in every)).intdigest()
+    return every, set(kept), f"{len(every)}.{check:08x}." + "".join(f"{h:016x}" for h in kept)
+
+
+def _like(a, b):
+    if not a[1] or not b[1]:
+        return float(a[0] == b[0])
+    return len(a[1] & b[1]) / min(len(a[1]), len(b[1]))
+
+
+@pytest.mark.parametrize("parts, scale", [(2, 2), (5, 8), (40, 1)])
+def test_document_fingerprints(docs, parts, scale):
     order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
     expect = []
     for (i, t), (_, following) in zip(order, order[1:] + order[:1]):
         t, following = t or "", following or ""
         m = len(t) // 4
-        new = (t[:len(t) - m] + following[:m]).encode()
-        a, b, c = (sketches.Sketch(x) for x in (t.encode(), new, following.encode()))
-        expect.append((i, len(t), _sha(new), a.text(), b.text(), sketches.likeness(a, b)[0], sketches.likeness(a, c)[0]))
-    got = sketches.document_fingerprints(docs, parts=parts)
+        new = t[:len(t) - m] + following[:m]
+        a, b, c = (_sketched(x, scale) for x in (t, new, following))
+        expect.append((i, len(t), _sha(new.encode()), a[2], b[2], _like(a, b), _like(a, c)))
+    got = sketches.document_fingerprints(docs, parts=parts, scale=scale)
     assert _sorted(got, "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == sorted(expect, key=_key)
 
 
+def test_parts_by_binary_search(spark):
+    for n in (0, 1, 2, 3, 7, 8, 100):
+        cuts = [10 * i - 35 for i in range(n)]
+        got = spark.range(-60, 1000).select("id", sketches._part(F.col("id"), cuts).alias("p")).collect()
+        assert all(r.p == sum(c <= r.id for c in cuts) for r in got)
+
+
 def test_sketch_estimates_containment():
     r = random.Random(1)
     words = [f"w{r.randint(0, 99999)}" for _ in range(8000)]
     whole, part, other = " ".join(words).encode(), " ".join(words[1000:1800]).encode(), " ".join(words[4000:] + words[:10][::-1] * 400).encode()
     a, b, c = map(sketches.Sketch, (whole, part, other))
     assert sketches.likeness(a, b)[0] > 0.97 and sketches.likeness(a, b)[1] < 0.15
-    every = [h for h in simhash.shingle_hashes(simhash.words_of(whole), 5).tolist() if h < 1 << 61]
+    every = [h for h in simhash.shingle_hashes(simhash.words_of(whole), 5).tolist() if h < (1 << 64) // sketches.SCALE]
     assert a.kept.tolist() == sorted(set(every))
     assert set(sketches.merged(a.kept, c.kept).tolist()) == set(a.kept.tolist()) | set(c.kept.tolist())
 
