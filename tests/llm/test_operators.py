@@ -102,6 +102,31 @@ def test_sharding(docs, shards):
     assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
 
 
+@pytest.mark.parametrize("shards", [3, 16])
+def test_sharding_walks_the_ring_row_by_row(spark, docs, shards):
+    """Each row on its own: to its place's node, and from there clockwise to the first shard with room."""
+    place = F.expr(f"pmod(xxhash64(coalesce(cast(doc_id as string), 'null')), {sharding.RING})")
+    many = spark.range(3000).select((F.col("id") % 700).alias("doc_id"), F.lit("t").alias("text")).unionByName(docs.select("doc_id", "text"))
+    rows = sorted(r.p for r in many.select(place.alias("p")).collect())
+    nodes = sharding.ring_nodes(spark, shards)
+    room = {s: len(rows) // shards + (s < len(rows) % shards) for s in range(shards)}
+    want, waiting = Counter(), []
+    for p in rows:
+        at = next((k for k, (q, _) in enumerate(nodes) if q >= p), 0)
+        shard = nodes[at][1]
+        if room[shard]:
+            room[shard] -= 1
+            want[p, shard] += 1
+        else:
+            waiting.append((p, at))
+    for p, at in waiting:
+        shard = next(s for _, s in nodes[at:] + nodes[:at] if room[s])
+        room[shard] -= 1
+        want[p, shard] += 1
+    got = sharding.shard_rows(many, shards).withColumn("p", place).groupBy("p", "shard").count().collect()
+    assert {(r.p, r.shard): r["count"] for r in got} == dict(want) and waiting
+
+
 def test_sharding_moves_little(spark):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     a = {r.doc_id: (r.shard, r.moved) for r in sharding.shard_rows(many, 8).collect()}
@@ -596,6 +621,38 @@ def test_sample_bounds_the_rows_on_the_driver(spark):
     assert toxicity.labelled_words(docs, labels, 10) == got[:10]
 
 
+def test_toxicity_fit_is_a_minimum_and_scores_follow_the_model(spark, labelled):
+    """The objective, written out document by document, is not lower anywhere near the fit; scores are its probabilities."""
+    rows = [(x, sorted(set(toxicity.words(t.encode())))) for _, t, x in labelled]
+    weights, thresholds = toxicity.fit(rows)
+    grades = toxicity.grade(rows)
+
+    def objective(w, t):
+        total = 0.0
+        for (_, ws), g in zip(rows, grades):
+            z = sum(w.get(x, 0.0) for x in ws)
+            for k, cut in enumerate(t, 1):
+                p = 1 / (1 + math.exp(-(z - cut)))
+                total -= math.log(p if g >= k else 1 - p)
+        return total / len(rows) + 2e-4 * sum(map(abs, w.values()))
+
+    best = objective(weights, thresholds)
+    r = random.Random(4)
+    for word in [*sorted(weights, key=lambda x: -abs(weights[x]))[:6], *r.sample(sorted(weights), min(4, len(weights)))]:
+        for step in (-0.2, 0.2):
+            assert objective(weights | {word: weights[word] + step}, thresholds) > best - 1e-6
+    for k in range(len(thresholds)):
+        for step in (-0.1, 0.1):
+            moved = [c + step * (i == k) for i, c in enumerate(thresholds)]
+            if moved == sorted(moved):
+                assert objective(weights, moved) > best - 2e-4
+    docs = spark.createDataFrame([(i, t) for i, t, _ in labelled[:60]], "doc_id long, text string")
+    for r_ in toxicity.score(docs, (weights, thresholds)).collect():
+        z = sum(weights.get(x, 0.0) for x in set(toxicity.words(labelled[r_.doc_id][1].encode())))
+        p = [1 / (1 + math.exp(-(z - c))) for c in thresholds]
+        assert abs(r_.severity - sum(p)) < 1e-9 and abs(r_.p_toxic - p[0]) < 1e-9 and r_.toxic == (p[0] >= toxicity.CUT)
+
+
 def test_toxicity_edge_rows(spark, docs, empty):
     labels = spark.createDataFrame([(3, 1), (60, 0), (3, 0)], "doc_id long, toxic int")
     got = toxicity.toxicity(docs, labels)
