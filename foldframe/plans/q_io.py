@@ -252,7 +252,7 @@ def q_sink_fasta(spark, sf):
 @register("sink_residue_index", QL.PIPE + """
 SELECT string_agg(CAST(resi AS VARCHAR) || ':' || CAST(domain_id AS VARCHAR), ',' ORDER BY pos) AS line FROM f_rn GROUP BY sid""")
 def q_sink_residue_index(spark, sf):
-    idx = SK.residue_index_line(QL.segmented(spark, sf), QL.KEYS)
+    idx = SK.residue_index_line(QL.cleaned(spark, sf), QL.KEYS)
     return SK.roundtrip_text(spark, idx.select("line"), "residue_index")
 
 
@@ -667,6 +667,6 @@ i4 AS (SELECT sid, pos, resi, conf, CAST(CASE WHEN did = '0' THEN 0 ELSE dense_r
 """ + QL.sql_renumber("i4", "z_") + """
 SELECT sid, pos, domain_id, conf FROM z_rn""")
 def q_iterate_resegment(spark, sf):
-    d = QL.segmented(spark, sf).select("sid", "pos", "resi", "domain_id", "conf")
+    d = QL.cleaned(spark, sf).select("sid", "pos", "resi", "domain_id", "conf")
     d = L.iterate_resegment(d, QL.KEYS, L.halving_segmenter, RESEG_AVG)
     return L.renumber_first_seen(d, QL.KEYS).select("sid", "pos", "domain_id", "conf")

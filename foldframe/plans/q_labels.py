@@ -7,6 +7,7 @@ from ..functions import formats as FM
 from ..functions import names as N
 from ..operators import atoms as A
 from ..operators import labels as L
+from ..sources.store import written
 from . import views as VW
 from .registry import register
 
@@ -111,11 +112,14 @@ def labels(spark, sf):
     return VW.labels_v(spark, sf)
 
 
-def segmented(spark, sf):
+def cleaned(spark, sf):
     """Clean then renumber: the labels every segmentation output is made from."""
-    d = L.clean_labels(labels(spark, sf), KEYS, MIN_DOM, MIN_FRAG)
-    # summaries read the cleaned labels more than once: materialise them in the checkpoint folder
-    return L.renumber_first_seen(d, KEYS).checkpoint()
+    return L.renumber_first_seen(L.clean_labels(labels(spark, sf), KEYS, MIN_DOM, MIN_FRAG), KEYS)
+
+
+def segmented(spark, sf):
+    """The same, written once for outputs that read the labels more than once (summaries, statistics)."""
+    return written(cleaned(spark, sf), "segmented")
 
 
 @register("win_runs", BASE + ",\n" + sql_run_len("labels_v", "x_") + """
@@ -252,7 +256,7 @@ SELECT sid, domain_id, CAST(count(*) * count(*) AS BIGINT) AS n_pairs, sum(sqrt(
 FROM f_rn WHERE domain_id <> 0 GROUP BY sid, domain_id""")
 def q_agg_pair_confidence(spark, sf):
     """Sum over same-domain residue pairs of sqrt(conf_i * conf_j) = (sum sqrt conf)^2: an aggregate, no pair table."""
-    d = segmented(spark, sf).where(F.col("domain_id") != 0)
+    d = cleaned(spark, sf).where(F.col("domain_id") != 0)
     g = d.groupBy("sid", "domain_id").agg(F.sum(F.sqrt("conf")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     return g.select("sid", "domain_id", (F.col("_n") * F.col("_n")).cast("long").alias("n_pairs"),
                     (F.col("_s") * F.col("_s")).alias("pair_sum"), (F.col("_s") * F.col("_s") / (F.col("_n") * F.col("_n"))).alias("pair_mean"))
