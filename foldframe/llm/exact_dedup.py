@@ -110,11 +110,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of equal normalised texts the row with the largest id stays; of repeated rows with that id, all say ``kept``."""
     named = written(block_identities(docs, id_col, text_col, block_bytes, hash_bits), "identities")
     keys = ["level", "name"]
-    groups = written(named.groupBy(*keys).agg(F.max("doc_id").alias("keep_id"), F.sum("times").cast("long").alias("group_size")), "groups")
+    groups = named.groupBy(*keys).agg(F.max("doc_id").alias("keep_id"), F.sum("times").cast("long").alias("group_size"))
     # a group with more than its share of the rows would be one task of a shuffled join: there are fewer such groups than
     # partitions, so their rows (one a group) are sent to all tasks, and only the other groups are shuffled
     parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = (groups.agg(F.sum("group_size")).first()[0] or 0) / parts
+    share = (named.agg(F.sum("times")).first()[0] or 0) / parts
     large = F.broadcast(groups.where(F.col("group_size") > share))
     small = named.join(large, keys, "left_anti").join(groups.where(F.col("group_size") <= share), keys)
     out = named.join(large, keys).select(*small.columns).unionByName(small)
