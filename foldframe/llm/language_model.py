@@ -112,17 +112,21 @@ def _answer_words(buckets: int):
     """Word ids (-1: not in training) and training counts; a row of chunk -1 has the bucket's totals."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        sent = [(c, *unpack(p)) for c, p in zip(table.column("chunk").to_pylist(), table.column("payload").to_pylist())]
-        total: dict[bytes, int] = {}
-        for _, words, counts in sent:
-            for w, n in zip(words.split(b" "), counts.tolist()):
-                total[w] = total.get(w, 0) + n
-        ids = {w: i * buckets + bucket for i, w in enumerate(sorted(w for w, n in total.items() if n))}
-        rows = []
-        for c, words, _ in sent:
+        index: defaultdict = defaultdict()
+        index.default_factory = index.__len__
+        places, counts, chunks = [], [], table.column("chunk").to_pylist()
+        for p in table.column("payload").to_pylist():
+            words, n = unpack(p)
             ws = words.split(b" ")
-            rows.append((bucket, c, pack(np.fromiter((ids.get(w, -1) for w in ws), np.int64, len(ws)), np.fromiter(map(total.__getitem__, ws), np.int64, len(ws))), 0, 0))
-        rows.append((bucket, -1, b"", sum(total.values()), len(ids)))
+            places.append(np.fromiter(map(index.__getitem__, ws), np.int64, len(ws)))
+            counts.append(n)
+        total = np.bincount(np.concatenate(places), np.concatenate(counts), len(index)).astype(np.int64)  # whole numbers: exact
+        words = list(index)
+        trained = sorted(np.flatnonzero(total).tolist(), key=words.__getitem__)
+        ids = np.full(len(words), -1, np.int64)
+        ids[trained] = np.arange(len(trained)) * buckets + bucket
+        rows = [(bucket, c, pack(ids[at], total[at]), 0, 0) for c, at in zip(chunks, places)]
+        rows.append((bucket, -1, b"", int(total.sum()), len(trained)))
         b, c, p, n, v = zip(*rows)
         return pa.Table.from_arrays([pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(p, pa.binary()), pa.array(n, pa.int64()), pa.array(v, pa.int64())],
                                     names=["bucket", "chunk", "payload", "n_train", "n_types"])
@@ -181,20 +185,26 @@ def _answer_pairs(prior: float):
         context, times = np.concatenate([s[0] for s in sent]), np.concatenate([s[1] for s in sent])
         of = np.repeat(np.arange(len(context)), np.concatenate([s[2] for s in sent]))
         word, trained = np.concatenate([s[3] for s in sent]).astype(np.int64), np.concatenate([s[4] for s in sent])
-        seen = trained > 0
-        h, w, n, c = context[of][seen], word[seen], trained[seen].astype(np.int64), times[of][seen]
-        o = np.lexsort((w, h))
-        h, w, n, c = h[o], w[o], n[o], c[o]
+        # each pair once, in the order of (context, word): chunks ask for many of the same
+        h = context[of]
+        narrow = not len(h) or max(int(h.max()), int(word.max())) < 1 << 32
+        o = np.argsort(h.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)) if narrow else np.lexsort((word, h))
+        h, w = h[o], word[o]
         head = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])))) if len(h) else np.zeros(0, np.int64)
-        n = np.add.reduceat(n, head) if len(head) else n
-        built = NgramTrie.of(h[head], w[head], n / (c[head] + prior))
+        n = np.add.reduceat(trained[o].astype(np.int64), head) if len(head) else np.zeros(0, np.int64)
+        h, w, c = h[head], w[head], times[of[o[head]]]
+        seen = n > 0
+        built = NgramTrie.of(h[seen], w[seen], n[seen] / (c[seen] + prior))
+        first = _heads(h)
         file, path = tempfile.mkstemp(suffix=".trie")  # this task's own scratch: read back here and removed
         os.close(file)
         try:
             built.save(path)
-            codes = NgramTrie.open(path).look_up(context, of, word)
+            found = NgramTrie.open(path).look_up(h[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(h)))), w)
         finally:
             os.unlink(path)
+        codes = np.empty(len(o), np.uint16)
+        codes[o] = np.repeat(found, np.diff(np.append(head, len(o))))
         cut = np.cumsum([0, *[len(s[3]) for s in sent]])
         return pa.Table.from_batches([_messages([(key[0].as_py(), k, pack(codes[a:b])) for k, a, b in zip(chunks, cut, cut[1:])])])
 
