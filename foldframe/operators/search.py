@@ -4,13 +4,13 @@ Both sides are dealt to pivots (directions chosen from a bounded sample of the t
 pivot nearest to it, and a pivot's radius is the angle of its farthest member. Two vectors of pivots whose centres are
 ``a`` apart cannot be nearer than ``a`` less both radii, so a pair of pivots whose bound lies under what is asked for (the
 minimum score, or the k-th best score that the queries of a pivot already have from their own pivot) is never joined. Only
-counts and radii of the pivots, at most ``MAX_PIVOTS`` of them, pass through the driver.
+the sample (``SAMPLE_ROWS`` vectors) and a few numbers for each of the ``MAX_PIVOTS`` pivots pass through the driver.
 
 What is left is streamed: the queries of a pivot form blocks of bounded size, each is sent every target it has to see,
 and a sort inside the partitions puts the queries of a block before its targets. A task holds one block of queries and
 one Arrow batch of targets, scores them with numpy and keeps ``k`` rows a query, so a block sends on ``k`` rows a query
-once, whatever the number of targets; only while there are fewer blocks than partitions are a block's targets spread over
-several groups, whose results a last top-k merges.
+for each ``TASK_TARGETS`` targets, not for each block of them; while there are fewer blocks than partitions a block's
+targets are spread over several groups too. A last top-k merges the groups.
 
 Ranking rule: the kernel makes the integer ``score_key`` (score x 10,000, halves away from zero) and everything ranks,
 filters and thresholds on that column, then on ``dbindex``. Results therefore do not depend on pivots, block sizes, chunk
@@ -38,6 +38,7 @@ QUERY_BLOCK_ROWS = 16_384       # x 128 floats = 8 MiB
 TARGET_BLOCK_ROWS = 65_536      # targets of one pivot, on average
 MAX_PIVOTS = 512                # at most so many pivots, whatever the number of targets
 SAMPLE_ROWS = 4 * MAX_PIVOTS    # targets from which they are chosen, at most
+TASK_TARGETS = 1 << 26          # targets that one task streams past a block of queries
 SLACK = 1e-6                    # for rounding in the bounds of pairs of pivots
 WORK_ELEMENTS = 1 << 21         # query rows x target rows scored at once in one task: 16 MiB an array
 _DROP = -(2 ** 62)              # key of pairs that may not be returned (self pairs, below the minimum)
@@ -221,7 +222,7 @@ class BlockSearch:
         self.pairs, self.skipped = int(self.nq.sum()) * int(self.nt.sum()), 0
         spark = queries.sparkSession
         tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.groups = max(1, tasks // max(1, int(self.blocks.sum())))
+        self.groups = max(1, tasks // max(1, int(self.blocks.sum())), -(-int(self.nt.sum()) // TASK_TARGETS))
 
     def score(self, wanted: np.ndarray, k: int | None, min_score: float | None, mincov: float | None, exclude_self: bool) -> DataFrame:
         """The rows that the wanted pairs of pivots (query pivot x target pivot) send on."""
