@@ -59,7 +59,7 @@ def test_url_model_is_the_minimum_and_does_not_depend_on_partitions(spark):
     table = spark.createDataFrame(rows, "url string").withColumn("blocked", F.col("url").rlike("bad|awful"))
     settings = dict(sample=400, buckets=256, ridge=1e-2)
     assert url_filter.fit(table.coalesce(1), steps=3, **settings) == url_filter.fit(table.repartition(5), steps=3, **settings)
-    one = url_filter.fit(table, steps=80, **settings)
+    one = url_filter.fit(table, steps=40, **settings)
     host, path = url_filter.url_parts(F.col("url"))
     found = table.distinct().select(url_filter.buckets_of(host, path, 256).alias("b"), "blocked", url_filter.margin(url_filter.buckets_of(host, path, 256), one).alias("m")).collect()
     x = np.zeros((len(found), 257))
