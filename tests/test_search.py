@@ -133,3 +133,44 @@ def test_no_shuffle_of_rows_per_block(spark):
     assert s.groups == 1
     near = np.ones((len(s.pivots), len(s.pivots)), dtype=bool)
     assert s.score(near, 3, None, None, True).count() == 3 * 240
+
+
+def test_small_blocks_share_what_they_are_sent(spark, monkeypatch):
+    """A target goes once to each unit of blocks, not to each block; units are no more than the budget for copies allows."""
+    q, t = _clusters(spark)
+    want = sorted((r["qid"], r["dbindex"]) for r in S.vector_search(q, t, 3, exclude_self=True).collect())
+    for rows, units in ((1, 1), (5 * 240, 5)):
+        monkeypatch.setattr(S, "SENT_ROWS", rows)
+        s = S.BlockSearch(q, t, query_block_rows=4, target_block_rows=20)
+        everything = np.ones((len(s.pivots), len(s.pivots)), dtype=bool)
+        sent = {p: (a, b) for p, a, b in s._units_seen(everything)}
+        assert int(s.blocks.sum()) > 50 and s.units == units and set(sent.values()) == {(0, units - 1)}
+        got = s.search(3, exclude_self=True)
+        assert sorted((r["qid"], r["dbindex"]) for r in S.topk(got, 3).collect()) == want
+
+
+def test_found_pairs_leave_the_task_in_pieces(monkeypatch):
+    """Threshold mode never holds the pairs of a batch of targets: all 600 x 900 reach the minimum here."""
+    monkeypatch.setattr(S, "PIECE_PAIRS", 1_000)
+    v = np.ones((900, 4))
+    ids, lens = np.arange(900), np.full(900, 10)
+    scorer = S._Scorer(ids[:600], v[:600], lens[:600], None, 0.5, None, True, work=6_000)
+    sizes = [b.num_rows for b in scorer.feed(ids, v, lens)]
+    assert sum(sizes) + scorer.result().num_rows == 600 * 899 and max(sizes) <= 2_000
+
+
+def test_single_precision_drops_no_pair():
+    """Scores just around the k-th best and the minimum, masks, vectors without a length: the same as scoring all pairs."""
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.normal(size=(1, 16)) + 1e-5 * rng.normal(size=(150, 16)), rng.normal(size=(150, 16)), np.zeros((3, 16)), np.full((1, 16), np.inf)])
+    ids, lens = np.arange(len(v)), rng.integers(1, 400, len(v))
+    with np.errstate(all="ignore"):
+        s = np.nan_to_num(np.einsum("ij,kj->ik", v, v) / np.outer(np.linalg.norm(v, axis=1), np.linalg.norm(v, axis=1)), nan=0.0)
+    for k, least, cov in ((5, None, None), (5, None, 0.7), (40, 0.1, 0.7), (None, 0.1, None), (None, -0.2, 0.7), (400, None, None)):
+        key = S.score_keys(s if cov is None else np.where(lens[:, None] >= lens[None, :] * cov, s, 0.0))
+        rows = [[(-key[i, j], j) for j in ids if j != i and (least is None or key[i, j] >= S.least_key(least))] for i in ids]
+        want = {(i, j) for i in ids for _, j in sorted(rows[i])[:k]}
+        scorer = S._Scorer(ids, v, lens, k, least, cov, True, work=2_048)
+        got = [b for a in range(0, len(v), 70) for b in scorer.feed(ids[a:a + 70], v[a:a + 70], lens[a:a + 70])] + scorer.result().to_batches()
+        pairs = [(q, t) for b in got for q, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want, (k, least, cov)
