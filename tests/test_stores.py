@@ -60,6 +60,19 @@ def test_failed_batches_are_recorded_and_only_they_are_staged_again(spark, tmp_p
     assert SG.stage_batches(files, path, F.lit(None).cast("string")).collect() == [] and SG.read_ledger(spark, path).count() == 10
 
 
+def test_batches_share_files_and_a_dead_attempt_is_replaced(spark, tmp_path):
+    """400 batches of two files do not become 400 folders; an attempt without its ledger rows does not count."""
+    path = str(tmp_path / "stage")
+    files = spark.createDataFrame([(i, "o" + str(i % 2), i // 4, f"text {i}") for i in range(800)], "file_id int, organism string, batch long, content string").repartition(4)
+    SG.stage_batches(files, path, F.when(F.col("file_id") == 5, F.lit("cannot be read")))
+    assert len(glob.glob(f"{path}/data/**/part-*.parquet", recursive=True)) <= 8
+    files.withColumn("content", F.lit("half")).write.partitionBy("organism").parquet(f"{path}/data/attempt=2")  # died before its ledger rows
+    assert SG.read_staged(spark, path).count() == 798
+    SG.stage_batches(files, path, F.lit(None).cast("string"))
+    got = sorted((r["file_id"], r["organism"], r["batch"], r["content"], r["attempt"]) for r in SG.read_staged(spark, path).collect())
+    assert got == [(i, "o" + str(i % 2), i // 4, f"text {i}", 2 if i in (5, 7) else 1) for i in range(800)]
+
+
 def test_json_array_is_one_document_with_its_types(spark, tmp_path):
     values = ['{"cath":"1","n":69,"o":{"a":1}}', '{"x": [1, 2.5, null, true], "s": "a]b"}', "[1,[2]]", "not json", '"t"']
     hits = spark.createDataFrame(list(enumerate(values)), "qid int, metadata string").repartition(3)
