@@ -7,6 +7,7 @@ from ..operators import search as S
 from ..operators import summary as SU
 from ..session import scratch_path
 from ..sources import reports as RP
+from ..sources.store import written
 from . import q_search as QS
 from . import views as VW
 from .registry import register
@@ -34,7 +35,8 @@ def structures(spark, sf):
 
 
 def report_tables(spark, sf):
-    h = hits_with_fields(spark, sf)
+    # both tables read the hits, some queries in jobs of their own: searched once
+    h = written(hits_with_fields(spark, sf).select("structure", "plddt", "metadata"), "report-hits")
     means = SU.mean_plddt(structures(spark, sf).select("structure"), h, "structure")
     counts = SU.class_counts(h, "structure")
     return means, counts

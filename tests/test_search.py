@@ -174,3 +174,29 @@ def test_single_precision_drops_no_pair():
         got = [b for a in range(0, len(v), 70) for b in scorer.feed(ids[a:a + 70], v[a:a + 70], lens[a:a + 70])] + scorer.result().to_batches()
         pairs = [(q, t) for b in got for q, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
         assert len(pairs) == len(set(pairs)) and set(pairs) == want, (k, least, cov)
+
+
+def test_queries_search_once(spark, monkeypatch):
+    """Queries that read their hits several times (two tables, two files, bounds of ranges and rows) search once."""
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    from foldframe.plans import q_io, q_search, q_summary
+
+    real = q_search.masked_hits
+    for query in (q_summary.q_sink_summary, q_summary.q_sink_report, q_io.q_sink_metadata_json):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(s, sf, **opts):
+            hits = real(s, sf, **opts)
+
+            def count(batches):
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+
+            return hits.mapInArrow(count, hits.schema)
+
+        monkeypatch.setattr(q_search, "masked_hits", counted)
+        query(spark, SF_SMALL).collect()
+        assert seen.value == real(spark, SF_SMALL).agg(F.count(F.lit(1))).first()[0]
