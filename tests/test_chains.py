@@ -140,3 +140,24 @@ def test_dense_index_on_a_shuffled_input(spark):
     got = dense_index(df, ["k"], out="rn", partitions=9).select("k", "rn")
     assert got.where(F.col("rn") != F.col("k") + 1).count() == 0
     assert got.count() == 5000
+
+
+def test_pairs_of_long_blocks_are_not_exchanged_with_both_vectors(spark):
+    """Every domain of a chain meets every entry of a block of 40; no exchange carries what the aligner reads of both."""
+    import re
+
+    t = spark.createDataFrame([(i, "a" if i < 40 else "b", f"n{i}.pdb", [float(i)], i, None) for i in range(44)],
+                              "dbindex long, chain string, name string, embedding array<float>, length int, metadata string")
+    q = spark.createDataFrame([(i, f"q{i}", f"c{i // 2}", [float(-i)], i) for i in range(6)], "qid long, query string, query_chain string, q_embedding array<float>, q_len int")
+    cands = spark.createDataFrame([("c0", "a", 0, 2, 40), ("c2", "a", 0, 2, 40), ("c1", "b", 40, 2, 4)], "query_chain string, chain string, block long, nqd long, nhd long")
+    qdoms = C.query_domains(q.select("qid", "query", "query_chain"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = C.candidate_pairs(cands, qdoms, C.chain_store(t), q)
+        got = sorted((r["qid"], r["dbindex"], r["hd_ord"], r["hd_name"], r["q_embedding"][0], r["t_embedding"][0]) for r in pairs.collect())
+        plan = pairs._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted([(i, d, d + 1, f"n{d}", -i, d) for i in (0, 1, 4, 5) for d in range(40)] + [(i, d, d - 39, f"n{d}", -i, d) for i in (2, 3) for d in range(40, 44)])
+    moved = re.findall(r"\n\(\d+\) Exchange\nInput[^:]*: \[([^\]]*)\]", plan)
+    assert moved and not any("q_embedding" in x and "t_embedding" in x for x in moved)
