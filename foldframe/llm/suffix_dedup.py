@@ -20,10 +20,12 @@ All suffixes of a large corpus cannot be sorted, so the work is cut where equal
    interval's smallest id goes back to the contexts in it.
 4. Chunks gather the answers, mark the windows of a larger id, and cut the bytes that they cover.
 
-Chunks, buckets and messages are bounded by ``chunk_bytes``, not by the corpus; a key that very many chunks hold
-(``hot_chunks``), or whose contexts pass ``merge_bytes`` over all chunks, is dealt window by window instead, so no bucket
+Chunks, buckets and messages are bounded by ``chunk_bytes``, not by the corpus; a key whose contexts pass ``merge_bytes``
+over all chunks (or that more than ``hot_chunks`` chunks hold, if set) is dealt window by window instead, so no bucket
 collects the edges of a passage that a third of all documents share, and no merge takes more than ``merge_bytes`` (whole
-keys). Results do not depend on any of these settings.
+keys). Keys under that bound are not dealt so however many chunks hold them: a window alone takes ``SPAN`` bytes, in a
+context a few. Contexts go from chunks to buckets in one shuffle and are not written besides. Results do not depend on any
+of these settings.
 (Windows are judged on the input; overlaps count.)
 
 Defined results: null text = empty; texts under ``SPAN`` bytes lose nothing; a null id counts as smaller than any other;
@@ -50,13 +52,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from foldframe.session import scratch_path
 
-from .common import give_back, ready, written
+from .common import give_back, ready
 
 SPAN, GRAM, STEP = 50, 24, 8
 CHUNK_BYTES = 4 << 20
 #: Windows of a context; longer runs are cut.
 RUN_WINDOWS = 32
-HOT_CHUNKS = 256
 #: Runs of a key in a chunk that are not counted: each is taken for a longest context of its own.
 FEW = 3
 #: Bytes of contexts that one merge takes (whole keys; it needs about 100 times as much memory).
@@ -166,6 +167,30 @@ def _from_keys_message(blob: bytes, few: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, size
 
 
+def _answer_message(shared: np.ndarray, hot: np.ndarray) -> bytes:
+    """Two flags for each key. Messages are many and short, so none carries a pickle's header."""
+    return zstandard.compress(len(shared).to_bytes(4, "little") + np.packbits(shared).tobytes() + np.packbits(hot).tobytes(), 3)
+
+
+def _from_answer_message(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n = int.from_bytes(raw[:4], "little")
+    return tuple(np.unpackbits(x, count=n).astype(bool) for x in np.frombuffer(raw[4:], np.uint8).reshape(2, -1))
+
+
+def _contexts_message(short: np.ndarray, least: np.ndarray, texts: list[bytes]) -> bytes:
+    """32-bit keys, smallest ids and texts of contexts, which have less than 256 bytes each."""
+    lens = np.fromiter(map(len, texts), np.uint8, len(texts))
+    return zstandard.compress(len(texts).to_bytes(4, "little") + short.astype("<u4").tobytes() + least.astype("<i8").tobytes() + lens.tobytes() + b"".join(texts), LEVEL)
+
+
+def _from_contexts_message(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.decompress(blob)
+    n = int.from_bytes(raw[:4], "little")
+    at = np.cumsum([4, 4 * n, 8 * n, n]).tolist()
+    return *(np.frombuffer(raw[a:b], t) for a, b, t in zip(at, at[1:], ("<u4", "<i8", "u1"))), raw[at[-1]:]
+
+
 def _gaps(sorted_: np.ndarray) -> bytes:
     """A sorted array of 32-bit numbers as gaps, byte by byte, compressed."""
     gaps = np.diff(sorted_.astype(np.int64), prepend=0).astype("<u4")
@@ -357,17 +382,19 @@ def _send_keys(buckets: int, span: int, gram: int):
     return run
 
 
-def _answer_keys(hot_chunks: int, merge_bytes: int = MERGE_BYTES, span: int = SPAN):
-    """For each chunk's keys, as bits: is it in another document too; is it hot: in very many chunks, or with contexts
-    that one merge cannot take."""
+def _answer_keys(hot_chunks: int | None, merge_bytes: int = MERGE_BYTES, span: int = SPAN):
+    """For each chunk's keys, as bits: is it in another document too; is it hot: with contexts that one merge cannot take,
+    or in ``hot_chunks`` chunks."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts, sizes = zip(*(_from_keys_message(p, FEW * (RUN_WINDOWS + span - 1)) for p in table.column("payload").to_pylist()))
         all_ = np.concatenate(parts)
         _, at, n = np.unique(all_ >> 1, return_inverse=True, return_counts=True)
         shared = (n > 1) | (np.bincount(at, all_ & 1) > 0)
-        hot = (n >= hot_chunks) | (np.bincount(at, np.concatenate(sizes)) > merge_bytes)
+        hot = np.bincount(at, np.concatenate(sizes)) > merge_bytes
+        if hot_chunks is not None:
+            hot |= n >= hot_chunks
         cut = np.cumsum([0, *map(len, parts)])
-        said = [pack(len(p), np.packbits(shared[at[a:b]]), np.packbits(hot[at[a:b]])) for p, a, b in zip(parts, cut, cut[1:])]
+        said = [_answer_message(shared[at[a:b]], hot[at[a:b]]) for a, b in zip(cut, cut[1:])]
         return pa.Table.from_batches([_messages([(key[0].as_py(), c, s) for c, s in zip(table.column("chunk").to_pylist(), said)])])
 
     return run
@@ -378,16 +405,16 @@ def _send_contexts(buckets: int, span: int, gram: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         c = _Chunk(left.to_pylist()[0])
         start, n, key, ids, order, head = c.keys(span, gram)
-        said = [unpack(p) for _, p in sorted(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist()))]
+        said = [_from_answer_message(p) for _, p in sorted(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist()))]
         many = np.diff(np.append(head, len(order)))
 
         def of_runs(k):  # answers by distinct key -> by run
-            bits = np.concatenate([np.zeros(0, np.uint8), *[np.unpackbits(s[k], count=s[0]) for s in said]]).astype(bool)
+            bits = np.concatenate([np.zeros(0, bool), *[s[k] for s in said]])
             out = np.zeros(len(order), bool)
             out[order] = np.repeat(bits, many)
             return out
 
-        shared, hot = (of_runs(1), of_runs(2)) if len(head) else (np.zeros(0, bool),) * 2
+        shared, hot = (of_runs(0), of_runs(1)) if len(head) else (np.zeros(0, bool),) * 2
         index: dict[bytes, int] = {}
         of_key, least, spots = array("Q"), array("q"), array("q")
         for i in np.flatnonzero(shared).tolist():
@@ -407,9 +434,7 @@ def _send_contexts(buckets: int, span: int, gram: int):
         rows = []
         for b, i, j in present(of_key[sort], buckets):
             mine = sort[i:j]
-            part = [texts[k] for k in mine.tolist()]
-            rows.append((b, c.chunk, pack((of_key[mine] & np.uint64(0xFFFFFFFF)).astype(np.uint32), least[mine],
-                                          np.fromiter(map(len, part), np.uint8, len(part)), b"".join(part))))
+            rows.append((b, c.chunk, _contexts_message(of_key[mine] & np.uint64(0xFFFFFFFF), least[mine], [texts[k] for k in mine.tolist()])))
         place = np.empty(len(sort), np.int64)
         place[sort] = np.arange(len(sort))
         a, w, at, d = np.frombuffer(spots, np.int64).reshape(-1, 4).T
@@ -433,13 +458,16 @@ def _merges(key: np.ndarray, size: np.ndarray, most: int) -> Iterator[np.ndarray
 
 
 def _answer_contexts(span: int, merge_bytes: int):
-    """For each chunk's contexts: which of their windows start in a document with a smaller id than the chunk's smallest."""
+    """For each chunk's contexts: which of their windows start in a document with a smaller id than the chunk's smallest.
+    What a chunk sent to itself passes."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            return table
         sent = sorted(zip(table.column("chunk").to_pylist(), table.column("payload").to_pylist()))
         index: dict[bytes, int] = {}
         at, ids, keys, shard = array("q"), [], array("q"), array("q")
         for k, (_, payload) in enumerate(sent):
-            short, least, lens, joined = unpack(payload)
+            short, least, lens, joined = _from_contexts_message(payload)
             ends = np.cumsum(lens, dtype=np.int64).tolist()
             for i, e in enumerate(ends):
                 text = joined[e - int(lens[i]):e]
@@ -467,7 +495,7 @@ def _answer_contexts(span: int, merge_bytes: int):
             return np.packbits(smaller, axis=1, bitorder="little").view("<u4").ravel()
 
         cut = np.cumsum([0, *map(len, ids)])
-        return pa.Table.from_batches([_messages([(key[0].as_py(), c, pack(bits(a, b))) for (c, _), a, b in zip(sent, cut, cut[1:])])])
+        return pa.Table.from_batches([_messages([(key[0].as_py(), c, zstandard.compress(bits(a, b).tobytes(), LEVEL)) for (c, _), a, b in zip(sent, cut, cut[1:])])])
 
     return run
 
@@ -481,7 +509,7 @@ def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
         said = sorted(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist()))
         start, n, at, larger = unpack(said[0][1])  # bucket -1
         start = _from_gaps(start)
-        bits = np.concatenate([np.zeros(0, np.uint32), *[unpack(p)[0] for _, p in said[1:]]]).astype("<u4")
+        bits = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(zstandard.decompress(p), "<u4") for _, p in said[1:]]]).astype("<u4")
         size = len(c.bytes)
         # runs of a document that is not the chunk's smallest are covered whole, the others window by window
         whole_a, whole_b = start[larger], (start + n + span - 1)[larger]
@@ -511,7 +539,7 @@ def _cut(struct: T.StructType, n_keep: int, span: int, whole_characters: bool):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), span: int = SPAN,
-                   gram: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS, buckets: int | None = None, merge_bytes: int = MERGE_BYTES,
+                   gram: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int | None = None, buckets: int | None = None, merge_bytes: int = MERGE_BYTES,
                    with_text: bool = False, whole_characters: bool = False) -> DataFrame:
     """One row for each input row: the kept columns (``k0``, ``k1``, ...), ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``
     and, ``with_text``, ``kept`` (binary; with ``whole_characters``, UTF-8 characters cut in half go from it, while
@@ -522,12 +550,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     light = chunks.select("chunk", "ids", "ends", "body")
     asked = light.mapInArrow(_send_keys(n, span, gram), MESSAGE)
     known = asked.groupBy("bucket").applyInArrow(_answer_keys(hot_chunks, merge_bytes, span), MESSAGE)
-    sent = written(light.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_send_contexts(n, span, gram), MESSAGE), "contexts")
-    answers = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer_contexts(span, merge_bytes), MESSAGE)
+    sent = light.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_send_contexts(n, span, gram), MESSAGE)
+    own = F.when(F.col("bucket") < 0, F.col("chunk"))  # a group for each chunk, not one for all that is sent to chunks
+    back = sent.groupBy("bucket", own.alias("own")).applyInArrow(_answer_contexts(span, merge_bytes), MESSAGE)
     rest = chunks.schema["rest"].dataType.elementType
     struct = T.StructType([*[T.StructField(f"k{i}", rest[f"c{i}"].dataType) for i in range(len(keep))],
                            T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
                            *[T.StructField("kept", T.BinaryType())] * with_text])
-    back = sent.where("bucket < 0").unionByName(answers)
     return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_cut(struct, len(keep), span, whole_characters), struct)

@@ -282,6 +282,31 @@ def test_suffix_dedup_of_a_frequent_line(spark, merge_bytes):
     assert _sorted(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == _cut(_line_rows(), 50)
 
 
+def test_suffix_dedup_writes_the_chunks_only(docs, monkeypatch):
+    """Contexts go to the buckets in a shuffle: a written copy of them would be on disk twice."""
+    from foldframe import session
+
+    made: list[str] = []
+    monkeypatch.setattr(session, "_SCRATCH", made)
+    suffix_dedup.remove_repeats(docs, chunk_bytes=2000).collect()
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in made] == ["chunks"]
+
+
+def test_suffix_dedup_of_keys_that_many_chunks_hold():
+    """Such a key is dealt window by window only where its contexts pass what one merge takes."""
+    import inspect
+
+    import pyarrow as pa
+
+    most = inspect.signature(suffix_dedup.remove_repeats).parameters["hot_chunks"].default
+    one = suffix_dedup._keys_message(np.array([10, 20], np.uint32), np.zeros(0), np.zeros(0))
+    for n, want in ((400, [False, False]), (9000, [True, True])):
+        asked = pa.table({"bucket": pa.array([0] * n, pa.int32()), "chunk": pa.array(range(n), pa.int64()), "payload": pa.array([one] * n, pa.binary())})
+        said = suffix_dedup._answer_keys(most)((pa.scalar(0),), asked).column("payload").to_pylist()
+        shared, hot = suffix_dedup._from_answer_message(said[-1])
+        assert shared.tolist() == [True, True] and hot.tolist() == want
+
+
 def test_suffix_dedup_keeps_columns(docs):
     got = suffix_dedup.remove_repeats(docs, keep=tuple(docs.columns), with_text=True).collect()
     assert sorted(((r.k1, r.k0, r.k2, r.k3, r.k4) for r in got), key=_key) == sorted(((i, t, "x", 1, 2) for i, t in ROWS), key=_key)
