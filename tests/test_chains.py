@@ -161,3 +161,47 @@ def test_pairs_of_long_blocks_are_not_exchanged_with_both_vectors(spark):
     assert got == sorted([(i, d, d + 1, f"n{d}", -i, d) for i in (0, 1, 4, 5) for d in range(40)] + [(i, d, d - 39, f"n{d}", -i, d) for i in (2, 3) for d in range(40, 44)])
     moved = re.findall(r"\n\(\d+\) Exchange\nInput[^:]*: \[([^\]]*)\]", plan)
     assert moved and not any("q_embedding" in x and "t_embedding" in x for x in moved)
+
+
+def test_pairs_of_small_groups_and_cells(spark, monkeypatch):
+    """A query domain goes to a group once, whatever the number of its blocks there; groups, cells, spans and batches of a few
+    rows give the pairs of a loop, for blocks that cross runs, vectors of unlike length or none, and no candidates."""
+    import random
+
+    r = random.Random(3)
+    start, rows = {}, []
+    for name, n in zip("abcdefgh", (3, 1, 9, 2, 30, 5, 4, 7)):
+        start[name] = (len(rows), n if n > 1 else 0)
+        rows += [(len(rows) + i, name, f"n{len(rows) + i}.pdb", [float(i)] * 3, i, None) for i in range(n)]
+    schema = "dbindex long, chain string, name string, embedding array<float>, length int, metadata string"
+    store = C.chain_store(spark.createDataFrame(rows, schema))
+    q = spark.createDataFrame([(i, f"q{i}", f"c{i // 3}", [float(-i)] * 3, i) for i in range(12)], "qid long, query string, query_chain string, q_embedding array<float>, q_len int")
+    qdoms = C.query_domains(q.select("qid", "query", "query_chain"))
+    picked = [(f"c{c}", b, start[b][0], 3, start[b][1]) for c in range(4) for b in r.sample("acdefgh", 5)]
+    cands = spark.createDataFrame(picked, "query_chain string, chain string, block long, nqd long, nhd long")
+    dealt, cells = C.dealt_pairs(cands, qdoms, store, q)
+    assert dealt.where("side = 1").count() == 12 and dealt.where("side = 0").count() == 60 * cells
+    want = sorted((i, d, rows[d][1], d - s + 1, 3, n) for c, _, s, _, n in picked for i in range(12) if f"c{i // 3}" == c for d in range(s, s + n))
+    for bits, held, task, batch in ((10, 1 << 17, 1 << 22, 1 << 12), (1, 4, 40, 7), (2, 16, 10, 1)):
+        for k, v in (("RUN_BITS", bits), ("HELD_ENTRIES", held), ("TASK_PAIRS", task), ("BATCH_PAIRS", batch)):
+            monkeypatch.setattr(C, k, v)
+        for packed in (False, True):
+            got = C.candidate_pairs(cands, qdoms, store, q, packed=packed)
+            assert sorted((x["qid"], x["dbindex"], x["chain"], x["hd_ord"], x["nqd"], x["nhd"]) for x in got.collect()) == want
+    assert C.candidate_pairs(cands.where("false"), qdoms, store, q).collect() == []
+    # unlike lengths and nulls pass as they are; binary vectors are read as the lists are
+    odd = [(i, n, name, None if i == 0 else [float(i)] * (1 + (i == 1)), k, m) for i, n, name, _, k, m in rows]
+    few = C.candidate_pairs(cands.where("chain = 'a'"), qdoms, C.chain_store(spark.createDataFrame(odd, schema)), q).collect()
+    assert {x["dbindex"]: x["t_embedding"] for x in few} == {0: None, 1: [1.0, 1.0], 2: [2.0]}
+
+
+def test_packed_vectors_are_read_as_lists():
+    import numpy as np
+    import pyarrow as pa
+
+    from foldframe.operators.search import _arrow_vectors
+
+    v = np.arange(12, dtype=np.float32).reshape(4, 3)
+    lists, packed = pa.array(list(v), pa.list_(pa.float32())), pa.array([x.tobytes() for x in v], pa.binary())
+    for a, n in ((0, 4), (1, 2), (3, 1), (4, 0)):
+        assert _arrow_vectors(packed.slice(a, n)).tolist() == _arrow_vectors(lists.slice(a, n)).tolist()
