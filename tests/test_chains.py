@@ -205,3 +205,14 @@ def test_packed_vectors_are_read_as_lists():
     lists, packed = pa.array(list(v), pa.list_(pa.float32())), pa.array([x.tobytes() for x in v], pa.binary())
     for a, n in ((0, 4), (1, 2), (3, 1), (4, 0)):
         assert _arrow_vectors(packed.slice(a, n)).tolist() == _arrow_vectors(lists.slice(a, n)).tolist()
+
+
+def test_division_reads_buckets_where_they_lie(spark):
+    from foldframe.sources.store import bucketed
+
+    rows = [("Q", "H", b, 2, 3, q, h, f"q{q}", f"h{h}", s, None) for b, q, h, s in
+            [(0, 1, 1, 0.9), (0, 2, 1, 0.8), (1, 1, 1, 0.9), (1, 1, 1, 0.9), (1, 2, 3, 0.8), (2, 1, 1, 0.5), (2, 1, 2, 0.5), (3, 1, 1, 0.5), (3, 2, 2, 0.0)]]
+    sc = _scored(spark, rows)
+    kept = C.division(bucketed(sc, "scored", "query_chain", "chain", "block"))
+    assert [r["block"] for r in C.division(sc).collect()] == [r["block"] for r in kept.collect()] == [1]
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
