@@ -200,3 +200,21 @@ def test_queries_search_once(spark, monkeypatch):
         monkeypatch.setattr(q_search, "masked_hits", counted)
         query(spark, SF_SMALL).collect()
         assert seen.value == real(spark, SF_SMALL).agg(F.count(F.lit(1))).first()[0]
+
+
+def test_groups_are_no_more_than_keep_the_cores_busy(spark, monkeypatch):
+    """Each group of targets sends all queries and their best rows once more, so its number follows the cores and not the
+    number of shuffle partitions, which grows with the tables."""
+    q, t = _clusters(spark)
+    want = sorted((r["qid"], r["dbindex"]) for r in S.vector_search(q, t, 3, exclude_self=True).collect())
+    monkeypatch.setattr(S, "SPLIT_PAIRS", 100)
+    most = 2 * spark.sparkContext.defaultParallelism
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (partitions, "700"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            s = S.BlockSearch(q, t)
+            assert s.units == 1 and s.groups == most
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sorted((r["qid"], r["dbindex"]) for r in S.topk(s.search(3, exclude_self=True), 3).collect()) == want
